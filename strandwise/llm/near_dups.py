@@ -6,9 +6,11 @@
 3. BANDS bands of ROWS register values each give candidate buckets. Two sets with a similarity of 0.8 share none of them
    with a chance of (1 - 0.8**4)**32 = 5e-8.
 4. Hub round: each class is compared with the hub of each of its buckets by the joint likelihood of both sketches; its
-   likeliest partner is verified on the full sets, and verified links form components.
+   likeliest partner is verified on the full sets, and verified links form components. A bucket's hub is the member whose
+   buckets are the largest: of copies with edits of their own, the text that they were made from.
 5. Rest round: in buckets that still hold several components, all members in different components are compared by their
-   sketches, in blocks of bounded size; every pair that may reach the threshold is verified on the full sets.
+   sketches, in blocks of bounded size; every pair that may reach the threshold is verified on the full sets: pairs of
+   small buckets by joins, pairs of large ones where they are found, to which their members bring their sets.
 
 No pair in one component is compared again, so groups of thousands of copies cost about one comparison a member.
 """
@@ -32,7 +34,8 @@ REGISTERS, SPACING, RATE, TOP, ROWS = 128, 1.001, 20.0, 65535, 4
 BANDS = REGISTERS // ROWS
 #: Pairs whose likeliest similarity is this far under the threshold aren't verified: 5 standard deviations at 0.8.
 MARGIN = 0.18
-BLOCK = 256
+#: Shingles of a block, and members from which a bucket counts as large.
+BLOCK, LARGE = 600_000, 48
 _MULTIPLIERS = (mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
@@ -85,7 +88,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """(band long, rep long): a row for each band of each sketch."""
+    """(band long, j int, rep long): a row for each band of each sketch; band is a hash of j and the band's values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,9 +99,10 @@ def bands(classes: DataFrame) -> DataFrame:
             for j in range(ROWS):
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + regs[:, :, j])
             reps = np.repeat(batch.column(0).to_numpy(), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(reps)], ["band", "rep"])
+            j = np.tile(np.arange(BANDS, dtype=np.int32), len(regs))
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(j), pa.array(reps)], ["band", "j", "rep"])
 
-    return classes.select("rep", "registers").mapInArrow(run, "band long, rep long")
+    return classes.select("rep", "registers").mapInArrow(run, "band long, j int, rep long")
 
 
 def _likely(pairs: DataFrame, sketched: DataFrame, threshold: float) -> DataFrame:
@@ -119,21 +123,22 @@ def _likely(pairs: DataFrame, sketched: DataFrame, threshold: float) -> DataFram
     return joined.mapInArrow(run, "x long, y long, likeness double")
 
 
-def _rest_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """Likely pairs between components of a bucket. members: (band, rep, component, n_shingles, registers).
+def _rest(members: DataFrame, percent: int, full: bool) -> DataFrame:
+    """Pairs between components of a bucket. members: (band, j, rep, component, n_shingles, registers, members or null).
 
-    Buckets are cut into blocks of BLOCK rows; a row goes once to each pair of blocks that its own is part of, and a task
-    compares two blocks at a time, as matrices.
+    Buckets are cut into blocks of BLOCK shingles; a row goes once to each pair of blocks that its own is part of, and a
+    task compares two blocks at a time, as matrices. A pair comes from the first bucket that it shares, so it comes once.
+    full: the rows carry their full sets, and verified links come out, without those inside what they link; else likely
+    pairs to verify.
     """
-    w = Window.partitionBy("band")
-    cut = members.withColumn("at", F.row_number().over(w.orderBy("rep")) - 1).withColumn("n", F.count("*").over(w))
-    cut = cut.withColumn("own", F.floor(F.col("at") / BLOCK).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / BLOCK).cast("int"))))
-    cut = cut.select("band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "component", "n_shingles", "registers")
-
-    def compare(rows: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        lo, hi, own, rep, comp, size, regs = (np.concatenate([r[i] for r in rows]) for i in range(7))
-        left, right = own == lo, own == hi
-        a, b = np.flatnonzero(left), np.flatnonzero(right)
+    threshold = percent / 100
+    w = Window.partitionBy("band").orderBy("rep")
+    cut = members.withColumn("own", F.floor(F.sum(F.col("n_shingles") + 200).over(w) / BLOCK).cast("int"))
+    cut = cut.withColumn("last", F.max("own").over(Window.partitionBy("band"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    cut = cut.select("band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "j", "rep", "component", "n_shingles", "registers", "members")
+
+    def candidates(lo, hi, own, j_of, comp, size, regs) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        a, b = np.flatnonzero(own == lo[0]), np.flatnonzero(own == hi[0])
         for at in range(0, len(a), 64):
             part = a[at : at + 64]
             fits = comp[part][:, None] != comp[b][None, :]
@@ -143,38 +148,94 @@ def _rest_pairs(members: DataFrame, threshold: float) -> DataFrame:
             i, j = np.nonzero(fits & (np.minimum(s, t) >= threshold * np.maximum(s, t) - 1e-9))
             for cut_at in range(0, len(i), 20_000):
                 p, q = part[i[cut_at : cut_at + 20_000]], b[j[cut_at : cut_at + 20_000]]
-                same = (regs[p] == regs[q]).sum(1)
-                near = same >= REGISTERS * (threshold - MARGIN - 0.1)
+                near = (regs[p] == regs[q]).sum(1) >= REGISTERS * (threshold - MARGIN - 0.1)
                 p, q = p[near], q[near]
+                first = (regs[p] == regs[q]).reshape(-1, BANDS, ROWS).all(2).argmax(1) == j_of[0]
+                p, q = p[first], q[first]
                 if len(p):
                     likeness = likeliest_similarity((regs[p] > regs[q]).sum(1), (regs[p] < regs[q]).sum(1), size[p].astype(float), size[q].astype(float))
                     ok = likeness >= threshold - MARGIN
-                    yield rep[p[ok]], rep[q[ok]], likeness[ok]
+                    yield p[ok], q[ok]
+
+    def links(rows: list) -> tuple[np.ndarray, np.ndarray]:
+        lo, hi, own, j_of, rep, comp, size, sets, regs = (np.concatenate([r[i] for r in rows]) for i in range(9))
+        found = list(candidates(lo, hi, own, j_of, comp, size, regs))
+        p, q = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, int) for i in range(2))
+        if full and len(p):
+            both = common(sets, p, q)
+            ok = 100 * both >= percent * (size[p] + size[q] - both)
+            p, q = spanning(comp, p[ok], q[ok])
+        return np.minimum(rep[p], rep[q]), np.maximum(rep[p], rep[q])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
 
         def out(rows):
-            for x, y, likeness in compare(rows):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(likeness)], ["x", "y", "likeness"])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in links(rows)], ["x", "y"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)] + [_matrix(batch.column(7))]
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(9)] + [_matrix(batch.column(9))]
             change = np.flatnonzero((np.diff(columns[0]) != 0) | (np.diff(columns[1]) != 0) | (np.diff(columns[2]) != 0)) + 1
             for s, e in zip([0, *change], [*change, batch.num_rows], strict=True):
                 now = tuple(columns[i][s] for i in range(3))
                 if held and now != key:
-                    yield from out(held)
+                    yield out(held)
                     held = []
                 key = now
                 held.append([c[s:e] for c in columns[1:]])
         if held:
-            yield from out(held)
+            yield out(held)
 
     keys = ["band", "lo", "hi"]
-    return cut.repartition(*keys).sortWithinPartitions(*keys, "own").mapInArrow(run, "x long, y long, likeness double").distinct()
+    dealt = cut.repartition(*keys).sortWithinPartitions(*keys, "own")
+    return dealt.select("band", "lo", "hi", "own", "j", "rep", "component", "n_shingles", "members", "registers").mapInArrow(run, "x long, y long")
+
+
+def common(sets: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets (bytes of sorted 64-bit hashes) at p and q: by bitmaps over the hashes that
+    two or more of the sets hold, some thousand at a time."""
+    rows = np.unique(np.concatenate([p, q]))
+    place = np.zeros(len(sets), int)
+    place[rows] = np.arange(len(rows))
+    values = [np.frombuffer(sets[r], np.uint64) for r in rows]
+    owner = np.repeat(np.arange(len(rows)), [len(v) for v in values])
+    _, word, count = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+    shared = count > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[word]
+    word, owner = number[word[keep]], owner[keep]
+    order = np.argsort(word, kind="stable")
+    word, owner, p, q = word[order], owner[order], place[p], place[q]
+    out, width = np.zeros(len(p), np.int64), 8192
+    for at in range(0, int(shared.sum()), width):
+        s, e = np.searchsorted(word, [at, at + width])
+        bits = np.zeros((len(rows), width), bool)
+        bits[owner[s:e], word[s:e] - at] = True
+        packed = np.packbits(bits, axis=1).view(np.uint64)
+        for k in range(0, len(p), 8192):
+            out[k : k + 8192] += np.bitwise_count(packed[p[k : k + 8192]] & packed[q[k : k + 8192]]).sum(1, dtype=np.int64)
+    return out
+
+
+def spanning(comp: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the links between p and q, those that join what earlier ones didn't yet join, counted by component."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := root.get(x, x)) != x:
+            root[x] = root.get(y, y)
+            x = y
+        return x
+
+    kept = []
+    for n, (x, y) in enumerate(zip(comp[p].tolist(), comp[q].tolist(), strict=True)):
+        x, y = find(x), find(y)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            kept.append(n)
+    return p[kept], q[kept]
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -196,7 +257,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _sets(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
     """(rep, members binary): the sorted shingle hashes of the documents in reps (rep). A Bloom filter holds back the other texts."""
-    bitmap = hit_bits(reps, "h", bits_for(reps.count())) if "h" in reps.columns else hit_bits(reps.withColumn("h", F.xxhash64("rep")), "h", bits_for(reps.count()))
+    bitmap = hit_bits(reps.select(F.xxhash64("rep").alias("h")), "h", bits_for(reps.count()))
     id_of = F.col("doc_id").cast("long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,22 +283,26 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> Dat
     classes = stored(classes)
     reps = sketched.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "set_id", "n_shingles"], "left_semi").select(F.col("doc_id").alias("rep"), "n_shingles", "registers").dropDuplicates(["rep"])
     w = Window.partitionBy("band")
-    buckets = bands(reps).select("band", "rep", F.count("*").over(w).alias("n"), F.min(F.struct(F.xxhash64("rep").alias("h"), "rep")).over(w)["rep"].alias("hub"))
-    buckets = stored(buckets.filter("n > 1").select("band", "rep", "hub"))
-    involved = stored(buckets.select("rep").distinct())
+    buckets = stored(bands(reps).withColumn("n", F.count("*").over(w)).filter("n > 1"))
+    involved = stored(buckets.groupBy("rep").agg(F.sum("n").alias("weight")))
     few = stored(reps.join(involved, "rep", "left_semi"))
     sets = stored(_sets(docs, involved, k))
 
-    stars = buckets.filter("rep <> hub").select(F.col("rep").alias("x"), F.col("hub").alias("y")).distinct()
+    hubs = buckets.join(involved, "rep").groupBy("band").agg(F.max(F.struct("weight", F.xxhash64("rep").alias("h"), "rep"))["rep"].alias("hub"))
+    stars = buckets.join(hubs, "band").filter("rep <> hub").select(F.col("rep").alias("x"), F.col("hub").alias("y")).distinct()
     best = _likely(stars, few, threshold).groupBy("x").agg(F.max(F.struct("likeness", "y")).alias("best")).select("x", F.col("best.y").alias("y"))
     links = stored(_verified(best, sets, percent))
     labels = stored(component_labels(links))
 
     own = lambda df: df.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    labelled = own(buckets.select("band", "rep"))
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("band")
-    members = labelled.join(mixed, "band", "left_semi").join(few, "rep")
-    more = stored(_verified(_rest_pairs(members, threshold), sets, percent))
+    labelled = own(buckets.select("band", "j", "rep"))
+    mixed = labelled.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n")).filter("a <> b").select("band", "n")
+    members = stored(labelled.join(mixed, "band"))
+    small = members.filter(F.col("n") < LARGE).drop("n").join(few, "rep").withColumn("members", F.lit(None).cast("binary"))
+    large = members.filter(F.col("n") >= LARGE).drop("n").join(few, "rep").join(sets, "rep")
+    columns = ["band", "j", "rep", "component", "n_shingles", "registers", "members"]
+    more = _verified(_rest(small.select(*columns), percent, False), sets, percent)
+    more = stored(more.unionAll(_rest(large.select(*columns), percent, True)))
 
     same_id = sketched.filter("set_id is not null and doc_id is not null").select("doc_id", "set_id", "n_shingles").distinct()
     to_class = same_id.join(classes, ["set_id", "n_shingles"]).filter("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst"))
