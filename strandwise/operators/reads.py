@@ -2,39 +2,47 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise.operators.graph import component_labels
 
 
-def qualities(qual: Column) -> Column:
-    """Phred scores."""
-    return F.transform(F.filter(F.split(qual, ""), lambda c: c != ""), lambda c: F.ascii(c) - 33)
+def _window_cut(window: int, mean: float, low: int):
+    """UDF: (start, length, low) of a quality string: both ends cut up to the first window of that mean, and how many bases
+    of the rest are below low. Running sums, one pass a read."""
 
+    @F.pandas_udf("start int, length int, low int")
+    def run(qual: pd.Series) -> pd.DataFrame:
+        def one(text: str) -> tuple[int, int, int]:
+            q = np.frombuffer(text.encode("latin-1", "replace"), np.uint8).astype(np.int64) - 33
+            k = min(window, len(q))
+            total = np.concatenate([[0], np.cumsum(q)])
+            good = np.flatnonzero(total[k:] - total[: len(total) - k] >= mean * k) if k else []
+            if not len(good):
+                return 0, 0, 0
+            start, end = int(good[0]), int(good[-1]) + k
+            return start, end - start, int((q[start:end] < low).sum())
 
-def _first_good(scores: Column, window: int, mean: float) -> Column:
-    """Leading positions up to the first window of that mean; all if there is none."""
-    n = F.size(scores)
-    starts = F.sequence(F.lit(0), F.greatest(n - window, F.lit(0)))
-    total = lambda i: F.aggregate(F.slice(scores, i + 1, window), F.lit(0), lambda a, x: a + x)
-    good = F.filter(starts, lambda i: total(i) >= mean * F.least(F.lit(window), n))
-    return F.when(F.size(good) > 0, F.array_min(good)).otherwise(n)
+        return pd.DataFrame([one(x or "") for x in qual], columns=["start", "length", "low"])
+
+    return run
 
 
 def trim_reads(reads: DataFrame, window: int = 4, mean: float = 30, adapters: list[str] = (), poly: int = 10, low: int = 30, max_low: float = 0.10, min_length: int = 50) -> DataFrame:
     """reads (seq, qual) after clipping adapters and a tail of poly or more equal bases, cutting both ends up to the first
     window of the mean quality, and dropping reads that are short or have too many bases below low."""
+    cut = lambda df, n: df.withColumn("_n", n).withColumns({c: F.expr(f"substring({c}, 1, _n)") for c in ("seq", "qual")}).drop("_n")
     out = reads
     if adapters:
         at = [F.when(F.instr("seq", a) > 0, F.instr("seq", a) - 1) for a in adapters]
-        out = out.withColumn("_n", F.coalesce(F.least(*at) if len(at) > 1 else at[0], F.length("seq"))).withColumns({c: F.expr(f"substring({c}, 1, _n)") for c in ("seq", "qual")}).drop("_n")
-    out = out.withColumn("_n", F.length(F.regexp_replace("seq", f"([ACGT])\\1{{{poly - 1},}}$", ""))).withColumns({c: F.expr(f"substring({c}, 1, _n)") for c in ("seq", "qual")}).drop("_n")
-    out = out.withColumn("_q", qualities(F.col("qual"))).withColumn("_a", _first_good(F.col("_q"), window, mean)).withColumn("_b", _first_good(F.reverse("_q"), window, mean))
-    out = out.withColumn("_len", F.greatest(F.size("_q") - F.col("_a") - F.col("_b"), F.lit(0)))
-    out = out.withColumns({c: F.expr(f"substring({c}, _a + 1, _len)") for c in ("seq", "qual")}).withColumn("_q", F.slice("_q", F.col("_a") + 1, F.col("_len")))
-    bad = F.size(F.filter("_q", lambda x: x < low))
-    return out.filter((F.col("_len") >= min_length) & (bad <= max_low * F.col("_len"))).drop("_q", "_a", "_b", "_len")
+        out = cut(out, F.coalesce(F.least(*at) if len(at) > 1 else at[0], F.length("seq")))
+    out = cut(out, F.length(F.regexp_replace("seq", f"([ACGT])\\1{{{poly - 1},}}$", "")))
+    out = out.withColumn("_cut", _window_cut(window, mean, low)("qual")).select("*", F.col("_cut.start").alias("_start"), F.col("_cut.length").alias("_length"), F.col("_cut.low").alias("_low"))
+    kept = out.filter((F.col("_length") >= min_length) & (F.col("_low") <= max_low * F.col("_length")))
+    return kept.withColumns({c: F.expr(f"substring({c}, _start + 1, _length)") for c in ("seq", "qual")}).drop("_cut", "_start", "_length", "_low")
 
 
 def read_qc(reads: DataFrame, key: str) -> DataFrame:

@@ -108,7 +108,7 @@ def taxon_table(counts: DataFrame, taxonomy: DataFrame, closure: DataFrame, rank
 def reestimate(counts: DataFrame, weights: DataFrame, closure: DataFrame) -> DataFrame:
     """(taxid, reads): reads at each node (taxid, reads) dealt to the weighted taxa (taxid, weight) in its clade, by weight."""
     below = closure.select(F.col("taxid").alias("leaf"), F.col("ancestor").alias("taxid")).join(weights.select(F.col("taxid").alias("leaf"), "weight"), "leaf")
-    share = below.withColumn("share", F.col("weight") / F.sum("weight").over(Window.partitionBy("taxid")))
+    share = below.withColumn("share", F.try_divide(F.col("weight"), F.sum("weight").over(Window.partitionBy("taxid"))))
     return counts.join(share, "taxid").groupBy(F.col("leaf").alias("taxid")).agg(F.sum(F.col("reads") * F.col("share")).alias("reads"))
 
 
