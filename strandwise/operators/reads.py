@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -70,18 +72,33 @@ def kmers(seq: Column, k: int) -> Column:
 
 def complexity(seq: Column, k: int = 3) -> Column:
     """Entropy of the k-mers of a sequence, 0 to 1 of the most that so many can have; short ones: 0."""
-    words = kmers(seq, k)
-    n = F.size(words)
-    counts = F.transform(F.array_distinct(words), lambda w: F.size(F.filter(words, lambda x: x == w)))
-    bits = F.aggregate(counts, F.lit(0.0), lambda a, c: a - (c / n) * F.log2(c / n))
-    return F.when(n > 1, bits / F.log2(F.least(n, F.lit(4**k)))).otherwise(0.0)
+
+    @F.pandas_udf("double")
+    def run(seq: pd.Series) -> pd.Series:
+        def one(text: str) -> float:
+            n = len(text) - k + 1
+            if n < 2:
+                return 0.0
+            share = np.array(list(Counter(text[i : i + k] for i in range(n)).values())) / n
+            return float(-(share * np.log2(share)).sum() / np.log2(min(n, 4**k)))
+
+        return pd.Series([one(x or "") for x in seq], dtype=float)
+
+    return run(seq)
 
 
 def dust(seq: Column) -> Column:
     """Triplet score: sum of c * (c - 1) / 2 over triplets, over the number of triplets less 1."""
-    words = kmers(seq, 3)
-    counts = F.transform(F.array_distinct(words), lambda w: F.size(F.filter(words, lambda x: x == w)))
-    return F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * (c - 1) / 2) / F.greatest(F.size(words) - 1, F.lit(1))
+
+    @F.pandas_udf("double")
+    def run(seq: pd.Series) -> pd.Series:
+        def one(text: str) -> float:
+            counts = Counter(text[i : i + 3] for i in range(len(text) - 2))
+            return sum(c * (c - 1) / 2 for c in counts.values()) / max(len(text) - 3, 1)
+
+        return pd.Series([one(x or "") for x in seq], dtype=float)
+
+    return run(seq)
 
 
 def extract_umi(reads: DataFrame, length: int) -> DataFrame:

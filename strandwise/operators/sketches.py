@@ -22,11 +22,11 @@ def words(df: DataFrame, k: int, key: str = "seq_id", split: str | None = None,
     """(key, word): distinct k-mers of seq, or k-grams of what split cuts."""
     if split is None:
         found = kmers(F.col("seq"), k)
-        found = F.transform(found, canonical) if canonical_words else found
-    else:
-        parts = F.filter(F.split("seq", split), lambda p: p != "")
-        found = F.transform(F.when(F.size(parts) >= k, F.sequence(F.lit(1), F.size(parts) - k + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.array_join(F.slice(parts, i, k), " "))
-    return df.select(key, F.explode(F.array_distinct(found)).alias("word"))
+        return df.select(key, F.explode(F.array_distinct(F.transform(found, canonical) if canonical_words else found)).alias("word"))
+    # the exploded one-item array keeps the parts from being cut again for each word
+    cut = df.select(key, F.explode(F.array(F.filter(F.split("seq", split), lambda p: p != ""))).alias("_p"))
+    found = F.transform(F.when(F.size("_p") >= k, F.sequence(F.lit(1), F.size("_p") - k + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.array_join(F.slice("_p", i, k), " "))
+    return cut.select(key, F.explode(F.array_distinct(found)).alias("word"))
 
 
 def sketch(of: DataFrame, size: int, key: str = "seq_id") -> DataFrame:

@@ -683,9 +683,12 @@ def sketch(spark, d):
     return sketches.sketch(_words(Tables(spark, d).benchmark, "item_id"), 50)
 
 
-@query(f"WITH s AS ({SKETCH}), n AS (SELECT seq_id, count(*) AS n FROM s GROUP BY 1), p AS (SELECT x.seq_id AS a, y.seq_id AS b, count(*) AS shared FROM s x JOIN s y ON x.h = y.h AND x.seq_id > y.seq_id GROUP BY 1, 2) SELECT a, b, round(shared / (na.n + nb.n - shared), 6) AS jaccard, round(greatest(0.0, -ln(2 * (shared / (na.n + nb.n - shared)) / (1 + shared / (na.n + nb.n - shared))) / 3), 6) AS distance FROM p JOIN n na ON na.seq_id = a JOIN n nb ON nb.seq_id = b")
+SINGLE = f"SELECT seq_id, h FROM (SELECT *, row_number() OVER (PARTITION BY seq_id ORDER BY h) AS n FROM (SELECT DISTINCT seq_id, {HASH} AS h FROM (SELECT item_id AS seq_id, unnest(list_filter(string_split(lower(text), ' '), lambda x: x <> '')) AS word FROM benchmark))) WHERE n <= 50"
+
+
+@query(f"WITH s AS ({SINGLE}), n AS (SELECT seq_id, count(*) AS n FROM s GROUP BY 1), p AS (SELECT x.seq_id AS a, y.seq_id AS b, count(*) AS shared FROM s x JOIN s y ON x.h = y.h AND x.seq_id > y.seq_id GROUP BY 1, 2) SELECT a, b, round(shared / (na.n + nb.n - shared), 6) AS jaccard, round(greatest(0.0, -ln(2 * (shared / (na.n + nb.n - shared)) / (1 + shared / (na.n + nb.n - shared))) / 3), 6) AS distance FROM p JOIN n na ON na.seq_id = a JOIN n nb ON nb.seq_id = b")
 def mash_distance(spark, d):
-    out = sketches.mash_distances(sketches.sketch(_words(Tables(spark, d).benchmark, "item_id"), 50), 3)
+    out = sketches.mash_distances(sketches.sketch(_words(Tables(spark, d).benchmark, "item_id", 1), 50), 3)
     return out.select("a", "b", F.round("jaccard", 6).alias("jaccard"), F.round("distance", 6).alias("distance"))
 
 
@@ -788,7 +791,7 @@ def samples_overview(spark, d):
     return report.samples_overview(samples, summary)
 
 
-BRANDS = [f"Brand#{a}{b}" for a in range(1, 6) for b in range(1, 6)]
+BRANDS = [f"Brand#{n}" for n in range(1, 26)]
 
 
 @query("SELECT r_name AS sample, " + ", ".join(f"min(p_size) FILTER (p_brand = '{b}')::varchar AS \"{b} - size\", min(p_type) FILTER (p_brand = '{b}') AS \"{b} - type\"" for b in BRANDS) + " FROM part, region WHERE p_partkey % 5 = r_regionkey GROUP BY 1")
