@@ -25,14 +25,17 @@ def _numbered(lines: DataFrame) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path, sample: str | None = None) -> DataFrame:
-    """(sample, read_id, mate, seq, qual): records of four lines, split before an '@' that begins a line and whose third line is '+'."""
-    text = spark.read.option("lineSep", "\n@").text(path).select(F.input_file_name().alias("file"), "value")
-    part = F.split(F.regexp_replace(F.regexp_replace("value", "^@", ""), "\r", ""), "\n")
-    whole = text.select("file", part.alias("p")).filter("size(p) >= 4 and substring(p[2], 1, 1) = '+'")
-    name = F.split(F.col("p")[0], "\\s+")
-    mate = F.coalesce(F.expr("try_cast(nullif(regexp_extract(p[0], '(?:/|\\\\s)([12])(?::|$)', 1), '') as int)"), F.lit(1))
+    """(sample, read_id, mate, seq, qual): records of four lines. A quality line may begin with '@', so records are told
+    apart by their lines' number in the file, which takes a window a file."""
+    lines = _numbered(spark.read.text(path))
+    n = F.row_number().over(Window.partitionBy("file").orderBy("line")) - 1
+    line = lambda k: F.max(F.when(F.col("k") == k, F.col("value")))
+    cut = lines.select("file", F.regexp_replace("value", "\\r$", "").alias("value"), F.floor(n / 4).alias("record"), (n % 4).alias("k"))
+    whole = cut.groupBy("file", "record").agg(line(0).alias("head"), line(1).alias("seq"), line(2).alias("plus"), line(3).alias("qual")).filter("head like '@%' and plus like '+%'")
+    mate = F.coalesce(F.expr("try_cast(nullif(regexp_extract(head, '(?:/|\\\\s)([12])(?::|$)', 1), '') as int)"), F.lit(1))
     own = F.lit(sample) if sample else F.regexp_extract("file", "([^/]+?)(?:_R?[12])?\\.(?:fq|fastq)(?:\\.gz)?$", 1)
-    return whole.select(own.alias("sample"), F.regexp_replace(name[0], "/[12]$", "").alias("read_id"), mate.alias("mate"), F.col("p")[1].alias("seq"), F.col("p")[3].alias("qual"))
+    name = F.regexp_replace(F.split(F.expr("substring(head, 2)"), "\\s+")[0], "/[12]$", "")
+    return whole.select(own.alias("sample"), name.alias("read_id"), mate.alias("mate"), "seq", "qual")
 
 
 def read_hits(spark: SparkSession, path) -> DataFrame:
