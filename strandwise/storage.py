@@ -17,8 +17,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The rows written once as Parquet in the shared folder and read from there: lineage ends, lost executors cost nothing."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+    """The rows written once as Parquet in the shared folder and read from there: lineage ends, lost executors cost nothing.
+
+    batch_rows: most rows of an Arrow batch while they are written, so that Python workers hold little of wide rows; the
+    session's own setting is put back.
+    """
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    path, before = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}", spark.conf.get(key)
+    if batch_rows:
+        spark.conf.set(key, str(min(batch_rows, int(before)) if int(before) > 0 else batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)
