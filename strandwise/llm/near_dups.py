@@ -34,6 +34,8 @@ REGISTERS, SPACING, RATE, TOP, ROWS = 128, 1.001, 20.0, 65535, 4
 BANDS = REGISTERS // ROWS
 #: Pairs whose likeliest similarity is this far under the threshold aren't verified: 5 standard deviations at 0.8.
 MARGIN = 0.18
+#: Rows of an Arrow batch with texts or sets.
+TEXT_ROWS = 1000
 #: Shingles of a block, and members from which a bucket counts as large.
 BLOCK, LARGE = 600_000, 48
 _MULTIPLIERS = (mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -278,7 +280,7 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> Dat
     that share a doc_id but not the text count as linked by their id. No table, however small, is special.
     """
     threshold = percent / 100
-    sketched = stored(sketches(docs, k))
+    sketched = stored(sketches(docs, k), TEXT_ROWS)
     classes = sketched.filter("set_id is not null and doc_id is not null").groupBy("set_id", "n_shingles").agg(F.min("doc_id").alias("rep"))
     classes = stored(classes)
     reps = sketched.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "set_id", "n_shingles"], "left_semi").select(F.col("doc_id").alias("rep"), "n_shingles", "registers").dropDuplicates(["rep"])
@@ -286,12 +288,12 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> Dat
     buckets = stored(bands(reps).withColumn("n", F.count("*").over(w)).filter("n > 1"))
     involved = stored(buckets.groupBy("rep").agg(F.sum("n").alias("weight")))
     few = stored(reps.join(involved, "rep", "left_semi"))
-    sets = stored(_sets(docs, involved, k))
+    sets = stored(_sets(docs, involved, k), TEXT_ROWS)
 
     hubs = buckets.join(involved, "rep").groupBy("band").agg(F.max(F.struct("weight", F.xxhash64("rep").alias("h"), "rep"))["rep"].alias("hub"))
     stars = buckets.join(hubs, "band").filter("rep <> hub").select(F.col("rep").alias("x"), F.col("hub").alias("y")).distinct()
     best = _likely(stars, few, threshold).groupBy("x").agg(F.max(F.struct("likeness", "y")).alias("best")).select("x", F.col("best.y").alias("y"))
-    links = stored(_verified(best, sets, percent))
+    links = stored(_verified(best, sets, percent), TEXT_ROWS)
     labels = stored(component_labels(links))
 
     own = lambda df: df.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -302,7 +304,7 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> Dat
     large = members.filter(F.col("n") >= LARGE).drop("n").join(few, "rep").join(sets, "rep")
     columns = ["band", "j", "rep", "component", "n_shingles", "registers", "members"]
     more = _verified(_rest(small.select(*columns), percent, False), sets, percent)
-    more = stored(more.unionAll(_rest(large.select(*columns), percent, True)))
+    more = stored(more.unionAll(_rest(large.select(*columns), percent, True)), TEXT_ROWS)
 
     same_id = sketched.filter("set_id is not null and doc_id is not null").select("doc_id", "set_id", "n_shingles").distinct()
     to_class = same_id.join(classes, ["set_id", "n_shingles"]).filter("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst"))

@@ -140,12 +140,10 @@ def score_quality(docs: DataFrame, net: Network) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
-    @F.pandas_udf("double")
-    def run(text):
-        import pandas as pd
-
-        data, offsets = text_buffers(pa.array(text, pa.large_string()))
-        return pd.Series([score(shared.value, data[s:e]) for _, s, e in pieces(offsets)], dtype=float)
+    @F.arrow_udf("double")
+    def run(text: pa.Array) -> pa.Array:
+        data, offsets = text_buffers(text)
+        return pa.array([score(shared.value, data[s:e]) for _, s, e in pieces(offsets)], pa.float64())
 
     out = docs.drop("score", "predicted").withColumn("score", run(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

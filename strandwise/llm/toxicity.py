@@ -117,14 +117,12 @@ def score_severity(docs: DataFrame, model: SeverityModel) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("chance double, severity double")
-    def run(text):
-        import pandas as pd
-
-        data, offsets = text_buffers(pa.array(text, pa.large_string()))
+    @F.arrow_udf("chance double, severity double")
+    def run(text: pa.Array) -> pa.Array:
+        data, offsets = text_buffers(text)
         rows = [shared.value.chances(features(data[s:e])) for _, s, e in pieces(offsets)]
-        table = np.array(rows).reshape(len(rows), -1)
-        return pd.DataFrame({"chance": table[:, 0], "severity": table.sum(1)} if len(rows) else {"chance": np.zeros(0), "severity": np.zeros(0)})
+        table = np.array(rows).reshape(len(rows), GRADES)
+        return pa.StructArray.from_arrays([pa.array(table[:, 0]), pa.array(table.sum(1))], ["chance", "severity"])
 
     out = docs.drop("toxic_chance", "severity", "toxic").withColumn("_scored", run(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     return out.withColumns({"toxic_chance": F.col("_scored.chance"), "severity": F.col("_scored.severity"), "toxic": F.col("_scored.chance") >= 0.5}).drop("_scored")
