@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwise.llm.common import LOWER, pieces, slice_hashes, text_buffers
+from strandwise.llm.common import LOWER, pieces, shingle_set, slice_hashes, text_buffers
 
 #: Hashed features; labelled rows of each class that the model is fitted on at most; grades above 0.
 FEATURES, ROWS_A_CLASS, GRADES = 1 << 18, 6000, 3
@@ -57,12 +57,12 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 150) -> SeverityModel:
     """Fits the model on labelled texts. Grade 0: not toxic; toxic texts are graded 1, 2, 3 by how many occurrences of
     tell-tale features they hold (up to 2, up to 6, more). Features are chosen by the
     log-likelihood ratio of their shares among toxic and other texts.
-    Copies and near copies (one label and the same three least features) count once, else their other words would tell.
+    Copies and near copies (one label and the same three least shingles) count once, else their other words would tell.
     Without a toxic or without another text the model calls nothing toxic."""
-    found = [features(np.frombuffer((t or "").encode(), np.uint8)) for t in texts]
-    alike: dict[tuple, int] = {}
-    for i, (f, label) in enumerate(zip(found, toxic, strict=True)):
-        alike.setdefault((label, *np.unique(f)[:3].tolist()), i)
+    data = [np.frombuffer((t or "").encode(), np.uint8) for t in texts]
+    found, alike = [features(x) for x in data], {}
+    for i, (x, label) in enumerate(zip(data, toxic, strict=True)):
+        alike.setdefault((label, *shingle_set(x, 3)[:3].tolist()), i)
     found = [found[i] for i in alike.values()]
     y = np.array([toxic[i] for i in alike.values()], int)
     if not y.any() or y.all():
