@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 #: Base patterns. Possessive digits only save retries inside a run of digits, which can't change a match.
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_EMAIL = re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_EMAIL_RUN = re.compile(r"(?<![A-Za-z0-9._%+-])" + _EMAIL.pattern)
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -34,11 +35,19 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> list[tuple[str, int, int]]:
+    """Leftmost non-overlapping emails. If the start of a run of name characters fails, so do its other characters; so only
+    starts of runs and ends of matches are tried, and a long run costs no more than its length."""
+    out, at = [], 0
+    while found := (_EMAIL.match(text, at) if at else None) or _EMAIL_RUN.search(text, at):
+        at = found.end()
+        out.append(("email", found.start(), at))
+    return out
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the base patterns, by start, then kind; leftmost and non-overlapping within a kind."""
-    out = []
-    if "@" in text:
-        out += [("email", m.start(), m.end()) for m in _EMAIL.finditer(text)]
+    out = _emails(text) if "@" in text else []
     for m in _IP.finditer(text):
         if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")):
             out.append(("ip", m.start(), m.end()))

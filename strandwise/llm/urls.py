@@ -18,6 +18,8 @@ class _Node:
     segments: dict[str, _Node] = field(default_factory=dict)
     #: rules that end here: the last, perhaps partial, segment -> (rule, verdict)
     ends: dict[str, tuple[str, str]] = field(default_factory=dict)
+    #: lengths of the keys of ends, so that a walk looks up one key a length, however many rules end here
+    lengths: set[int] = field(default_factory=set)
 
 
 class UrlTrie:
@@ -44,6 +46,7 @@ class UrlTrie:
             key = ("/" + last) if slash and not whole else last
             if node.ends.get(key, ("", ""))[1] != "block":
                 node.ends[key] = (rule, verdict)
+                node.lengths.add(len(key))
 
     def find(self, host: str, path: str) -> tuple[str, str] | None:
         """(rule, verdict) of the longest fitting rule."""
@@ -59,9 +62,9 @@ class UrlTrie:
     def _path(node: _Node, path: str) -> tuple[str, str] | None:
         best, rest = None, path
         while True:
-            for end in sorted(node.ends, key=len):
-                if rest.startswith(end):
-                    best = node.ends[end]
+            fits = max((n for n in node.lengths if n <= len(rest) and rest[:n] in node.ends), default=None)
+            if fits is not None:
+                best = node.ends[rest[:fits]]
             segment, slash, after = rest.removeprefix("/").partition("/") if rest is path else rest.partition("/")
             if not slash or (rest is path and not path.startswith("/")):
                 return best

@@ -226,6 +226,10 @@ def test_base_patterns():
     for n in range(3000):
         text = "".join(rng.choice(list("01925.+- ()@ab"), int(rng.integers(0, 40))))
         assert private_data.base_spans(text) == naive_base(text), text
+    for n in range(3000):
+        text = "".join(rng.choice(list("ab@@..-_ "), int(rng.integers(0, 40))))
+        assert private_data.base_spans(text) == naive_base(text), text
+    assert private_data.base_spans("a" * 200000 + " b@c.de_f@g.hi") == [("email", 200001, 200007), ("email", 200007, 200014)]
     assert private_data.base_spans("4539 5787-6362 1486 a@b.c 1.2.3.4 +1 (555) 123-4567") == naive_base("4539 5787-6362 1486 a@b.c 1.2.3.4 +1 (555) 123-4567")
 
 
