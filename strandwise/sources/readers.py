@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from strandwise import schemas
 
+#: Most bytes of a sheet that the driver parses.
+MOST_SHEET = 16 << 20
+
 
 def read_fasta(spark: SparkSession, path) -> DataFrame:
     """(file, seq_id, description, seq): records split at '>', whatever the number of sequence lines; id is the first word."""
@@ -47,14 +50,25 @@ def _csv(sep: str, header: bool = True) -> Callable[[SparkSession, str], DataFra
     return lambda spark, path: spark.read.csv(path, sep=sep, header=header, inferSchema=True)
 
 
-READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {"tsv": _csv("\t"), "txt": _csv("\t"), "csv": _csv(","), "json": lambda spark, path: spark.read.option("multiLine", True).json(path)}
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
+def _length(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or folder; 0 if there is none."""
     jvm = spark.sparkContext._jvm
     found = jvm.org.apache.hadoop.fs.Path(path)
     fs = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(found) and fs.getContentSummary(found).getLength() > 0
+    return fs.getContentSummary(found).getLength() if fs.exists(found) else 0
+
+
+def read_yaml_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """A YAML sheet of MOST_SHEET bytes at most, parsed on the driver: a list gives a row an item, a mapping one row."""
+    import yaml
+
+    if _length(spark, path) > MOST_SHEET:
+        raise ValueError(f"{path} is over {MOST_SHEET} bytes")
+    found = yaml.safe_load(spark.read.text(path, wholetext=True).first()[0])
+    return spark.createDataFrame(found if isinstance(found, list) else [found])
+
+
+READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {"tsv": _csv("\t"), "txt": _csv("\t"), "csv": _csv(","), "json": lambda spark, path: spark.read.option("multiLine", True).json(path), "yaml": read_yaml_sheet, "yml": read_yaml_sheet}
 
 
 def read_tables(spark: SparkSession, paths: list[str]) -> DataFrame | None:
@@ -64,7 +78,7 @@ def read_tables(spark: SparkSession, paths: list[str]) -> DataFrame | None:
         suffix = path.rsplit(".", 1)[-1].lower()
         if suffix not in READERS:
             raise ValueError(f"no reader for .{suffix}")
-        if _exists(spark, path):
+        if _length(spark, path):
             frames.append(READERS[suffix](spark, path))
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
 

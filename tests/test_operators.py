@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import math
 
 from pyspark.sql import functions as F
@@ -159,7 +160,10 @@ def test_files(spark, tmp_path):
     quast = p("q.tsv", "contigs\t5\nN50\t10\n")
     assert readers.read_key_values(spark, quast).first().asDict() == {"file": "q", "N50": "10", "contigs": "5"}
     assert readers.read_tables(spark, [idx, str(tmp_path / "missing.tsv")]) is not None and readers.read_tables(spark, [str(tmp_path / "none.csv")]) is None
-    members = p("n.tsv", "NODE_1\t0\nNC_9\t0\nNODE_2\t1\n")
+    if importlib.util.find_spec("yaml"):
+        sheet = p("s.yaml", "- sample: a\n  depth: 3\n- sample: b\n")
+        assert rows(readers.read_tables(spark, [sheet, idx]).filter("sample is not null").fillna(0), "sample", "depth") == [("a", 3), ("b", 0)]
+    members = p("n.tsv","NODE_1\t0\nNC_9\t0\nNODE_2\t1\n")
     assert rows(readers.read_membership(spark, members), "member", "is_centroid") == [("NC_9", True), ("NODE_1", False), ("NODE_2", True)]
     df = spark.createDataFrame([("x", "ACGT", "t1")], "seq_id string, seq string, taxid string")
     writers.write_fasta(df, str(tmp_path / "out"), by="taxid", width=3)
