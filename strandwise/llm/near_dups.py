@@ -319,6 +319,7 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> Dat
 
 
 def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs whose document stands for its group; columns as given. One row stays of rows that repeat a doc_id."""
+    """The rows of docs whose document stands for its group; columns as given. Rows that repeat a doc_id stay
+    or go together: exact deduplication, which comes first in the pipeline, is what removes repeated rows."""
     groups = near_duplicate_groups(docs, k, percent).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(groups, docs["doc_id"].cast("long") == groups["_gone"], "left_anti")
