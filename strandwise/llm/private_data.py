@@ -25,6 +25,8 @@ REACH = 32
 _TRIGGER = re.compile(r"[0-9@]+|[\[({]\s?(?:at|dot)\s?[\])}]|\bat\b(?=\s\S+\sdot\s)", re.I)
 #: Labelled windows made for the fit, and passes over them.
 EXAMPLES, PASSES = 2000, 10
+#: Documents looked at for each one whose text labelled spans are set into, on average.
+SPARE = 8
 
 
 def luhn(digits: str) -> bool:
@@ -249,9 +251,19 @@ def labelled_windows(contexts: list[str], examples: int = EXAMPLES, seed: int =
 
 
 def fit_on_sample(docs: DataFrame, contexts: int = 200) -> Tagger:
-    """Fits the tagger on labelled spans set into the texts of at most contexts documents, chosen by a hash of doc_id."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.substring("text", 1, 4000).alias("t")).filter("length(t) >= 200").orderBy(F.xxhash64("_id"), "_id").limit(contexts).collect()
-    return fit(*labelled_windows([r.t for r in rows]))
+    """Fits the tagger on labelled spans set into the texts of at most contexts documents, those of the least hashes of doc_id.
+
+    Every partition sends its least rows to the driver, so only a share of the hash space that should hold SPARE times
+    contexts documents is looked at; a larger share follows while too few of its texts are long enough.
+    """
+    known = docs.select(F.col("doc_id").cast("long").alias("_id"), F.substring("text", 1, 4000).alias("t")).withColumn("h", F.xxhash64("_id")).filter("length(t) >= 200")
+    share = SPARE * contexts / max(1, docs.select("doc_id").count())
+    while True:
+        part = known.filter(F.col("h") < F.lit(int(share * 2**64) - (1 << 63))) if share < 1 else known
+        rows = part.orderBy("h", "_id", "t").limit(contexts).collect()
+        if len(rows) == contexts or share >= 1:
+            return fit(*labelled_windows([r.t for r in rows]))
+        share *= SPARE
 
 
 # ------------------------------------------------------------------ decoding whole texts

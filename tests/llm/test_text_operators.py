@@ -247,6 +247,18 @@ def test_private_data(spark):
     assert private_data.masked(df, model).filter("doc_id = 1").first().text.startswith("ééé mail <email> or ring")
 
 
+def test_private_data_sample(spark, docs, monkeypatch):
+    """The sample is that of the least hashes, whatever share of them is looked at."""
+    seen = []
+    monkeypatch.setattr(private_data, "labelled_windows", lambda texts: (seen.append(texts), ())[1:] * 2)
+    monkeypatch.setattr(private_data, "fit", lambda *_: None)
+    for spare in (2, 10**6):
+        monkeypatch.setattr(private_data, "SPARE", spare)
+        private_data.fit_on_sample(docs, 5)
+        private_data.fit_on_sample(docs.limit(0), 5)
+    assert len(seen[0]) == 5 and seen[0] == seen[2] and seen[1] == seen[3] == []
+
+
 def test_toxicity(spark, docs, odd):
     clean = [prose(i, 50) for i in range(60)]
     rude = [t + " wretch villain" for t in clean[:25]]
