@@ -22,7 +22,8 @@ def component_labels(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Alternating star contraction: each round hooks every larger neighbour to the smallest one, then every
     vertex to its smallest smaller neighbour, until no edge changes. A round is two aggregations and joins on the
-    vertex, so a hub's edges are partly aggregated before the shuffle and split by the skew join.
+    vertex. A hub's edges are partly aggregated before the shuffle; the minima are stored, so that the skew join can split
+    the join on the vertex (over an aggregation it can't).
     """
     pairs = edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).filter("a <> b and a is not null and b is not null")
     pairs = stored(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -31,9 +32,9 @@ def component_labels(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if pairs.isEmpty():
             break
         both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        small_least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = stored(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+        small_least = stored(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(small_least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         pairs = stored(small)
         state = pairs.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first()
