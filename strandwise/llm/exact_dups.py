@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandwise.llm.bloom import bits_for, may_hold, repeated_bits
+from strandwise.storage import stored
 
 
 def _hash(text: Column) -> Column:
@@ -23,8 +24,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     Of equal texts the row with the largest doc_id stays; null and empty texts are equal. Rows that repeat that doc_id
     with that text are all marked kept. A null doc_id is below every other; a group with no other id has a null keep_id
     and keeps its rows. First pass: a Bloom bitmap of the hashes hit more than once. Second pass: rows outside it pass
-    straight through as groups of one, the others are counted by hash; a hot hash is partly counted before the shuffle,
-    and the join on it is left to the skew join.
+    straight through as groups of one, the others are counted by hash; a hot hash is partly counted before the shuffle.
+    The counts are stored, so that the join on the hash has plain shuffles on both sides, which the skew join can split
+    (over an aggregation it can't), or none where the counts are small.
     """
     rows = docs.select(_id(docs).alias("doc_id"), _hash(docs["text"]).alias("text_sha256"))
     short = rows.select(F.xxhash64("text_sha256").alias("h"))
@@ -32,7 +34,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     marked = rows.withColumn("again", may_hold(docs, bitmap, F.xxhash64("text_sha256")))
     alone = marked.filter("not again").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     again = marked.filter("again").drop("again")
-    groups = again.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    groups = stored(again.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
     joined = again.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     return alone.unionAll(joined)
 
