@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandwise.llm.bloom import bits_for, hit_bits, may_hold
@@ -90,7 +90,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """(band long, j int, rep long): a row for each band of each sketch; band is a hash of j and the band's values."""
+    """(band, j, rep, n_shingles): a row for each band of each sketch; band is a hash of j and the band's values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,9 +102,10 @@ def bands(classes: DataFrame) -> DataFrame:
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + regs[:, :, j])
             reps = np.repeat(batch.column(0).to_numpy(), BANDS)
             j = np.tile(np.arange(BANDS, dtype=np.int32), len(regs))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(j), pa.array(reps)], ["band", "j", "rep"])
+            sizes = np.repeat(batch.column(2).to_numpy(), BANDS)
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(j), pa.array(reps), pa.array(sizes)], ["band", "j", "rep", "n_shingles"])
 
-    return classes.select("rep", "registers").mapInArrow(run, "band long, j int, rep long")
+    return classes.select("rep", "registers", "n_shingles").mapInArrow(run, "band long, j int, rep long, n_shingles long")
 
 
 def _likely(pairs: DataFrame, sketched: DataFrame, threshold: float) -> DataFrame:
@@ -126,17 +127,16 @@ def _likely(pairs: DataFrame, sketched: DataFrame, threshold: float) -> DataFram
 
 
 def _rest(members: DataFrame, percent: int, full: bool) -> DataFrame:
-    """Pairs between components of a bucket. members: (band, j, rep, component, n_shingles, registers, members or null).
+    """Pairs between components of a bucket. members: (band, blocks, j, rep, component, n_shingles, registers, members or null).
 
-    Buckets are cut into blocks of BLOCK shingles; a row goes once to each pair of blocks that its own is part of, and a
-    task compares two blocks at a time, as matrices. A pair comes from the first bucket that it shares, so it comes once.
+    Buckets are dealt by a hash into blocks, of BLOCK shingles on average; a row goes once to each pair of blocks that its
+    own is part of, and a task compares two blocks at a time, as matrices. A pair comes from the first bucket that it
+    shares, so it comes once.
     full: the rows carry their full sets, and verified links come out, without those inside what they link; else likely
     pairs to verify.
     """
     threshold = percent / 100
-    w = Window.partitionBy("band").orderBy("rep")
-    cut = members.withColumn("own", F.floor(F.sum(F.col("n_shingles") + 200).over(w) / BLOCK).cast("int"))
-    cut = cut.withColumn("last", F.max("own").over(Window.partitionBy("band"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    cut = members.withColumn("own", F.pmod(F.xxhash64("rep", F.lit(3)), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.select("band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "j", "rep", "component", "n_shingles", "registers", "members")
 
     def candidates(lo, hi, own, j_of, comp, size, regs) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -284,25 +284,31 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> Dat
     classes = sketched.filter("set_id is not null and doc_id is not null").groupBy("set_id", "n_shingles").agg(F.min("doc_id").alias("rep"))
     classes = stored(classes)
     reps = sketched.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "set_id", "n_shingles"], "left_semi").select(F.col("doc_id").alias("rep"), "n_shingles", "registers").dropDuplicates(["rep"])
-    w = Window.partitionBy("band")
-    buckets = stored(bands(reps).withColumn("n", F.count("*").over(w)).filter("n > 1"))
+    # what is counted by band is stored before it is joined by band: no window holds a bucket, and a join of plain shuffles
+    # can be split where a bucket is hot
+    every = stored(bands(reps))
+    counts = stored(every.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"))
+    buckets = stored(every.join(counts, "band"))
     involved = stored(buckets.groupBy("rep").agg(F.sum("n").alias("weight")))
     few = stored(reps.join(involved, "rep", "left_semi"))
     sets = stored(_sets(docs, involved, k), TEXT_ROWS)
 
-    hubs = buckets.join(involved, "rep").groupBy("band").agg(F.max(F.struct("weight", F.xxhash64("rep").alias("h"), "rep"))["rep"].alias("hub"))
+    hubs = stored(buckets.join(involved, "rep").groupBy("band").agg(F.max(F.struct("weight", F.xxhash64("rep").alias("h"), "rep"))["rep"].alias("hub")))
     stars = buckets.join(hubs, "band").filter("rep <> hub").select(F.col("rep").alias("x"), F.col("hub").alias("y")).distinct()
     best = _likely(stars, few, threshold).groupBy("x").agg(F.max(F.struct("likeness", "y")).alias("best")).select("x", F.col("best.y").alias("y"))
     links = stored(_verified(best, sets, percent), TEXT_ROWS)
     labels = stored(component_labels(links))
 
     own = lambda df: df.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    labelled = own(buckets.select("band", "j", "rep"))
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n")).filter("a <> b").select("band", "n")
+    labelled = own(buckets.select("band", "j", "rep", "n_shingles"))
+    blocks = (F.floor(F.sum(F.col("n_shingles") + 200) / BLOCK) + 1).cast("int")
+    mixed = labelled.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n"), blocks.alias("blocks"))
+    mixed = stored(mixed.filter("a <> b").select("band", "n", "blocks"))
     members = stored(labelled.join(mixed, "band"))
-    small = members.filter(F.col("n") < LARGE).drop("n").join(few, "rep").withColumn("members", F.lit(None).cast("binary"))
-    large = members.filter(F.col("n") >= LARGE).drop("n").join(few, "rep").join(sets, "rep")
-    columns = ["band", "j", "rep", "component", "n_shingles", "registers", "members"]
+    sketch_of = few.select("rep", "registers")
+    small = members.filter(F.col("n") < LARGE).drop("n").join(sketch_of, "rep").withColumn("members", F.lit(None).cast("binary"))
+    large = members.filter(F.col("n") >= LARGE).drop("n").join(sketch_of, "rep").join(sets, "rep")
+    columns = ["band", "blocks", "j", "rep", "component", "n_shingles", "registers", "members"]
     more = _verified(_rest(small.select(*columns), percent, False), sets, percent)
     more = stored(more.unionAll(_rest(large.select(*columns), percent, True)), TEXT_ROWS)
 
