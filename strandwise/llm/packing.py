@@ -1,4 +1,4 @@
-"""Packing documents into fixed windows of tokens by lexical retrieval: a sharded BM25 index gives each seed its neighbours."""
+"""Packing documents into fixed windows of tokens by lexical retrieval: every shard of a BM25 index answers for each seed."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise.storage import stored
@@ -19,6 +20,8 @@ from strandwise.storage import stored
 WINDOW, END, SHARD_TOKENS, TERMS = 2048, 1, 1 << 19, 50_257
 #: BM25 parameters, and the seed's terms of most weight that make up the query.
 K1, B, QUERY_TERMS = 1.2, 0.75, 24
+#: Tokens and documents of an index shard at most; seeds of a block; neighbours of a search; windows left for each chain of a round.
+INDEX_TOKENS, INDEX_DOCS, BLOCK, NEAREST, WINDOWS_A_CHAIN = 1 << 22, 1 << 16, 8192, 16, 3
 
 
 def default_vocabulary() -> str:
@@ -132,25 +135,177 @@ def chain(index: Bm25, lengths: np.ndarray, window: int = WINDOW) -> list[int]:
         seed = nxt
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def index_shards(tokens: DataFrame, shared, index_tokens: int = INDEX_TOKENS) -> DataFrame:
+    """A row for each INDEX_TOKENS tokens of tokens (row, ids): an inverted index, entries by term and place. Rows are taken as
+    they come, so that no key decides on a shard's size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, made, rows, ids, size = ["shard", "rows", "sizes", "term", "place", "weight"], 0, [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            index = Bm25(ids, *shared.value)
+            columns = [np.array(rows, "<i8"), np.array([len(x) for x in ids], "<i8"), index.term.astype("<u2"), index.doc.astype("<u2"), index.weight]
+            return pa.RecordBatch.from_arrays([pa.array([(TaskContext.get().partitionId() << 20) + made], pa.int64()), *[pa.array([x.tobytes()], pa.binary()) for x in columns]], names)
+
+        for batch in batches:
+            for row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rows.append(row)
+                ids.append(np.frombuffer(raw, "<u2"))
+                size += len(ids[-1])
+                if size >= index_tokens or len(ids) == INDEX_DOCS:
+                    yield flush()
+                    made, rows, ids, size = made + 1, [], [], 0
+        if ids:
+            yield flush()
+
+    return tokens.select("row", "ids").mapInArrow(run, "shard long, rows binary, sizes binary, term binary, place binary, weight binary")
+
+
+def indexed_documents(shards: DataFrame) -> DataFrame:
+    """(key, row, n_tokens, query) of the documents of index shards: key is shard and place, query the terms of most weight."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, *raw in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                rows, sizes, term, place, weight = (np.frombuffer(x, t) for x, t in zip(raw, ("<i8", "<i8", "<u2", "<u2", "<f4"), strict=True))
+                order = np.lexsort((term, -weight, place))
+                first = np.searchsorted(place[order], np.arange(len(rows) + 1))
+                queries = [term[order[a : min(b, a + QUERY_TERMS)]].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array((shard << 16) + np.arange(len(rows))), pa.array(rows), pa.array(sizes), pa.array(queries, pa.binary())], ["key", "row", "n_tokens", "query"])
+
+    return shards.mapInArrow(run, "key long, row long, n_tokens long, query binary")
+
+
+def nearest(shards: DataFrame, used: DataFrame, seeds: DataFrame, n_seeds: int, most: int = NEAREST) -> DataFrame:
+    """(chain, key, n_tokens, score): the most best unused documents of all shards for each seed (chain, query); ties in an
+    order of the seed's own. used (key). Each block of seeds goes through all shards in a few tasks, which keep its best so far."""
+
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chains, queries = [], []
+
+        def packed() -> pa.RecordBatch:
+            sizes = np.array([len(q) // 2 for q in queries], "<i4")
+            return pa.RecordBatch.from_arrays([pa.array([np.array(chains, "<i8").tobytes()], pa.binary()), pa.array([sizes.tobytes()], pa.binary()), pa.array([b"".join(queries)], pa.binary())], ["chains", "counts", "queries"])
+
+        for batch in batches:
+            for chain_id, query in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                chains.append(chain_id)
+                queries.append(query)
+                if len(chains) == BLOCK:
+                    yield packed()
+                    chains, queries = [], []
+        if chains:
+            yield packed()
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[bytes, list[np.ndarray]] = {}
+        for batch in batches:
+            for shard, sizes, term, place, weight, gone, chains, counts, queries in zip(*(batch.column(i).to_pylist() for i in range(9)), strict=True):
+                sizes, term, place, weight = (np.frombuffer(x, t) for x, t in ((sizes, "<i8"), (term, "<u2"), (place, "<u2"), (weight, "<f4")))
+                free = np.ones(len(sizes), bool)
+                free[np.array(gone or [], np.int64)] = False
+                if not free.any():
+                    continue
+                left, number = np.flatnonzero(free), np.cumsum(free) - 1
+                stays = free[place]
+                term, place, weight = term[stays], number[place[stays]], weight[stays].astype(np.float64)
+                starts = np.searchsorted(term, np.arange((1 << 16) + 1))
+                ids = np.frombuffer(chains, "<i8")
+                ends = np.cumsum(np.frombuffer(counts, "<i4"))
+                terms = np.frombuffer(queries, "<u2")
+                k = min(most, len(left))
+                keys, scores = np.zeros((len(ids), k), np.int64), np.zeros((len(ids), k))
+                for i, (a, b) in enumerate(zip(np.concatenate([[0], ends[:-1]]), ends, strict=True)):
+                    spans = [slice(starts[t], starts[t + 1]) for t in terms[a:b].tolist()]
+                    score = np.bincount(np.concatenate([place[x] for x in spans]), np.concatenate([weight[x] for x in spans]), len(left)) if spans else np.zeros(len(left))
+                    found = np.flatnonzero(score >= np.partition(score, -k)[-k])
+                    if len(found) > k:
+                        mixed = (found + 1) * 0x9E3779B1 ^ int(ids[i]) * 0x85EBCA77 & 0x7FFFFFFF
+                        found = found[np.lexsort((mixed * 0xC2B2AE35 & 0xFFFFFFFF, -score[found]))[:k]]
+                    keys[i], scores[i] = (shard << 16) + left[found], score[found]
+                tokens = sizes[keys & 0xFFFF]
+                if chains in best:
+                    keys, scores, tokens = (np.concatenate(x, axis=1) for x in zip(best[chains], (keys, scores, tokens), strict=True))
+                    if keys.shape[1] > most:
+                        top = np.argpartition(-scores, most - 1, axis=1)[:, :most]
+                        keys, scores, tokens = (np.take_along_axis(x, top, axis=1) for x in (keys, scores, tokens))
+                best[chains] = [keys, scores, tokens]
+        for chains, (keys, scores, tokens) in best.items():
+            found = scores > 0
+            ids = np.broadcast_to(np.frombuffer(chains, "<i8")[:, None], keys.shape)
+            yield pa.RecordBatch.from_arrays([pa.array(x[found]) for x in (ids, keys, tokens, scores)], ["chain", "key", "n_tokens", "score"])
+
+    masks = used.groupBy(F.shiftright("key", 16).alias("shard")).agg(F.collect_list(F.col("key").bitwiseAND(F.lit(0xFFFF))).alias("gone"))
+    parts = max(8, -(-n_seeds // BLOCK))
+    blocks = stored(seeds.select("chain", "query").repartition(parts).mapInArrow(block, "chains binary, counts binary, queries binary"))
+    held = shards.join(masks, "shard", "left").select("shard", "sizes", "term", "place", "weight", "gone")
+    tiles = held.coalesce(2).hint("shuffle_replicate_nl").crossJoin(blocks.repartition(parts))
+    found = tiles.mapInArrow(search, "chain long, key long, n_tokens long, score double")
+    place = Window.partitionBy("chain").orderBy(F.desc("score"), "key")
+    return stored(found, batch_rows=2).withColumn("_n", F.row_number().over(place)).filter(F.col("_n") <= most).drop("_n")
+
+
+def chains(shards: DataFrame, documents: DataFrame, total: int, n_docs: int, window: int, rest: int) -> tuple[DataFrame, int]:
+    """(key, chain, round, nth) of all documents but at most rest tokens, and their tokens.
+
+    Many chains grow at a time, each as chain() does: a seed's best unused neighbours of the whole corpus follow it while
+    its window has room, and the one that overruns it is the next seed. A document that several want goes to the one that it
+    scores most for; who loses it takes the next of its list, and searches again among the unused. There are fewer chains
+    as documents run out; when they hardly grow any more, new ones start, so that every round takes documents.
+    """
+    spark = shards.sparkSession
+    used = spark.createDataFrame([], "key long, chain long, round int, nth int, n_tokens long")
+    state, alive, taken_tokens, taken_docs, turn, restart = None, 0, 0, 0, 0, True
+    while total - taken_tokens > rest and n_docs > taken_docs:
+        wanted = max(1, (total - taken_tokens) // (WINDOWS_A_CHAIN * window))
+        turn += 1
+        draw = lambda c, share, salt=turn: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+        if restart:
+            free = documents.join(used.select("key"), "key", "left_anti")
+            state = stored(free.filter(draw("key", min(1.0, wanted / (n_docs - taken_docs)))).select(F.col("key").alias("chain"), F.col("key").alias("seed"), (F.col("n_tokens") % window).alias("fill"), "query", "n_tokens"))
+            used = used.unionAll(state.select(F.col("seed").alias("key"), "chain", F.lit(turn).alias("round"), F.lit(0).alias("nth"), "n_tokens"))
+            alive, more = state.agg(F.count("*"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+            taken_docs, taken_tokens, state, restart = taken_docs + alive, taken_tokens + more, state.drop("n_tokens"), False
+            if not alive:
+                restart = True
+                continue
+        elif alive > wanted:
+            state = state.filter(draw("chain", wanted / alive))
+        found = nearest(shards, used.select("key"), state, alive)
+        won = found.groupBy("key").agg(F.max(F.struct("score", "chain", "n_tokens")).alias("_w")).select("key", "_w.*")
+        order = Window.partitionBy("chain").orderBy(F.desc("score"), "key")
+        own = won.join(state.select("chain", "fill"), "chain").withColumn("before", F.col("fill") + F.coalesce(F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        taken = stored(own.withColumn("nth", F.row_number().over(order)).filter(F.col("before") < window).select("key", "chain", F.lit(turn).alias("round"), "nth", "n_tokens"))
+        count, more = taken.agg(F.count("*"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+        grown = taken.groupBy("chain").agg(F.sum("n_tokens").alias("more"), F.max_by("key", "nth").alias("last"))
+        seeds = state.join(grown, "chain", "left").withColumn("_fill", F.col("fill") + F.coalesce("more", F.lit(0)))
+        moved = seeds.select("chain", F.when(F.col("_fill") >= window, F.col("last")).otherwise(F.col("seed")).alias("seed"), (F.col("_fill") % window).alias("fill"))
+        state = stored(moved.join(documents.select(F.col("key").alias("seed"), "query"), "seed").select("chain", "seed", "fill", "query"))
+        used = used.unionAll(taken)
+        taken_docs, taken_tokens, alive = taken_docs + count, taken_tokens + more, state.count()
+        restart = 4 * count < alive or not alive
+    return used.drop("n_tokens"), taken_tokens
+
+
+def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS, index_tokens: int = INDEX_TOKENS) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset): the pieces of every row of docs (doc_id, text).
 
     Each text's ids with END after them lie in pieces without gap or overlap; a sequence is filled from 0 up to window, only
-    the last of a shard is shorter. Shards are dealt by a hash, so that they get shard_tokens tokens on average; each is
+    the last of a shard is shorter. Neighbours come from the whole corpus (chains); whole chains are dealt to output shards
+    of shard_tokens tokens on average. The last shard_tokens tokens that no chain has taken, or a corpus no larger, are
     indexed and packed in one task, in order of doc_id. Term statistics are the whole corpus'. Null and empty texts are the
     single id END; rows that repeat a doc_id are packed each for itself; an empty table gives no pieces.
     """
-    tokens = stored(tokenized(docs, vocabulary))
+    tokens = stored(tokenized(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()))
     seen, n_docs, total = document_frequencies(tokens)
-    shards = max(1, -(-int(total) // shard_tokens))
     idf = np.log1p((n_docs - seen + 0.5) / (seen + 0.5)).astype(np.float32)
     shared = docs.sparkSession.sparkContext.broadcast((idf, total / max(1, n_docs)))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     names = [x.split()[0] for x in schema.split(", ")]
 
-    def one(shard: int, doc_ids: list[int], ids: list[np.ndarray]) -> pa.RecordBatch:
+    def one(shard: int, ordered: bool, doc_ids: list[int], ids: list[np.ndarray]) -> pa.RecordBatch:
         lengths, rows = np.array([len(x) for x in ids]), []
-        order = chain(Bm25(ids, *shared.value), lengths, window)
+        order = range(len(ids)) if ordered else chain(Bm25(ids, *shared.value), lengths, window)
         at = 0
         for d in order:
             start = 0
@@ -166,14 +321,22 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, s
         for batch in batches:
             for shard, doc_id, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if shard != key and ids:
-                    yield one(key, doc_ids, ids)
+                    yield one(key, key > 0, doc_ids, ids)
                     doc_ids, ids = [], []
                 key = shard
                 doc_ids.append(doc_id)
                 ids.append(np.frombuffer(raw, "<u2"))
         if ids:
-            yield one(key, doc_ids, ids)
+            yield one(key, key > 0, doc_ids, ids)
 
-    shard = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(shards))
-    dealt = tokens.select(shard.alias("shard"), "doc_id", "ids").repartition("shard").sortWithinPartitions("shard", "doc_id", "ids")
+    if total <= shard_tokens:
+        placed = tokens.select(F.lit(0).cast("long").alias("shard"), "doc_id", "ids", *[F.lit(0).alias(c) for c in ("chain", "round", "nth")])
+    else:
+        shards = stored(index_shards(tokens, shared, index_tokens))
+        documents = stored(indexed_documents(shards))
+        order, chained = chains(shards, documents, int(total), int(n_docs), window, shard_tokens)
+        rows = documents.select("key", "row").join(order, "key").drop("key")
+        shard = F.pmod(F.xxhash64("chain", F.lit(11)), F.lit(max(1, -(-chained // shard_tokens)))) + 1
+        placed = tokens.join(rows, "row", "left").withColumn("shard", F.coalesce(shard, F.lit(0)))
+    dealt = placed.select("shard", "doc_id", "ids", "chain", "round", "nth").repartition("shard").sortWithinPartitions("shard", "chain", "round", "nth", "doc_id", "ids")
     return dealt.mapInArrow(run, schema)

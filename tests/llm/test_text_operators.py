@@ -299,3 +299,23 @@ def test_pipeline(spark, docs, tmp_path):
     assert ids[2] == ids[1] - {6, 9}  # 9 is 8 in other case
     assert ids[3] <= ids[2]
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == ids[3]
+
+
+def test_packing_finds_neighbours_of_all_shards(spark):
+    rng = np.random.default_rng(5)
+    pool = [f"{a}{b}" for a in WORDS for b in WORDS]
+    topics = [rng.choice(pool, 12, replace=False) for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(topics[i % 60], 50)), "en", "a", 0) for i in range(240)]
+    out = packing.pack(spark.createDataFrame(rows, SCHEMA), window=512, shard_tokens=3000, index_tokens=4000).collect()
+    assert sorted(r.doc_id for r in out if not r.start) == list(range(240)) and sum(r.length for r in out) == sum(r.doc_tokens for r in out if not r.start)
+    ids = {r.doc_id: np.frombuffer(r.ids, "<u2") for r in packing.tokenized(spark.createDataFrame(rows, SCHEMA)).collect()}
+    seen = np.bincount(np.concatenate([np.unique(x) for x in ids.values()]), minlength=1 << 16)
+    index = packing.Bm25([ids[i] for i in range(240)], np.log1p((240.5 - seen) / (seen + 0.5)).astype(np.float32), float(np.mean([len(x) for x in ids.values()])))
+    windows = defaultdict(set)
+    for r in out:
+        windows[r.sequence_id].add(r.doc_id)
+    met = 0
+    for i in range(240):
+        best = set(index.neighbours(i, np.arange(240) == i)[:3].tolist())
+        met += any(i in w and best & w for w in windows.values())
+    assert met >= 0.8 * 240
