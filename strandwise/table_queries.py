@@ -625,7 +625,7 @@ def read_gates(spark, d):
 
 @query()
 def trim_reads(spark, d):
-    docs = Tables(spark, d).documents.filter("length(text) < 2000").select("doc_id", F.col("text").alias("seq"), F.regexp_replace(F.regexp_replace("text", "[a-zA-Z]", "I"), "[^I]", "#").alias("qual"))
+    docs = Tables(spark, d).documents.select("doc_id", F.col("text").alias("seq"), F.regexp_replace(F.regexp_replace("text", "[a-zA-Z]", "I"), "[^I]", "#").alias("qual"))
     return reads.trim_reads(docs, mean=25, max_low=0.5).select("doc_id", "seq")
 
 
