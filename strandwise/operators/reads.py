@@ -101,6 +101,55 @@ def dust(seq: Column) -> Column:
     return run(seq)
 
 
+def low_complexity(seq: Column, window: int = 50, least: float = 0.3, most: float = 0.20, k: int = 3) -> Column:
+    """Struct (entropy, dust, low): the least entropy of the k-mers of any window, 0 to 1 of the most that so many can have;
+    the largest triplet score of any window, 0 to 1 of that of one repeated triplet; and whether one passes its threshold.
+    A short sequence is one window; one of less than two k-mers has entropy and score 0. A few array passes for each place of a
+    window, so the time is linear in the length."""
+
+    def extremes(codes: np.ndarray, n: int, g: np.ndarray) -> np.ndarray:
+        """Sums of g(count) over the words of each window of n: a word that enters or leaves changes one term."""
+        back, ahead = np.zeros(len(codes), np.int16), np.zeros(len(codes), np.int16)
+        for lag in range(1, min(n, len(codes))):
+            same = codes[lag:] == codes[:-lag]
+            back[lag:] += same
+            ahead[:-lag] += same
+        step = np.diff(g)
+        first = g[np.unique(codes[:n], return_counts=True)[1]].sum()
+        return first + np.concatenate([[0], np.cumsum(step[back[n:]] - step[ahead[: len(codes) - n]])])
+
+    def one(text: str) -> tuple[float, float, bool]:
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        out = []
+        for size in (k, 3):
+            number = len(points) - size + 1
+            if number < 2:
+                out.append(0.0)
+                continue
+            letters = np.unique(points, return_inverse=True)[1].astype(np.int64)
+            codes = letters[:number]
+            for i in range(1, size):  # renumbered after each letter, so that no code overflows
+                codes = np.unique(codes * (letters.max() + 1) + letters[i : number + i], return_inverse=True)[1].astype(np.int64)
+            n, count = min(number, window - size + 1), np.arange(window + 1)
+            if len(out) == 0:
+                sums = extremes(codes, n, np.where(count > 0, count * np.log2(np.maximum(count, 1)), 0.0))
+                out.append(float(max(0.0, (np.log2(n) - sums.max() / n) / np.log2(min(n, 4**k)))))
+            else:
+                out.append(float(extremes(codes, n, count * (count - 1) / 2).max() / (n * (n - 1) / 2)))
+        return out[0], out[1], bool(out[0] < least or out[1] > most)
+
+    @F.pandas_udf("entropy double, dust double, low boolean")
+    def run(seq: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(x or "") for x in seq], columns=["entropy", "dust", "low"])
+
+    return run(seq)
+
+
+def filter_complexity(reads: DataFrame, **options) -> DataFrame:
+    """reads (seq) without those that have a window of low complexity."""
+    return reads.withColumn("_c", low_complexity(F.col("seq"), **options)).filter("not _c.low").drop("_c")
+
+
 def extract_umi(reads: DataFrame, length: int) -> DataFrame:
     """The first length bases go to the read's name."""
     return reads.withColumns({"umi": F.expr(f"substring(seq, 1, {length})"), "read_id": F.concat("read_id", F.lit("_"), F.expr(f"substring(seq, 1, {length})")), "seq": F.expr(f"substring(seq, {length + 1})"), "qual": F.expr(f"substring(qual, {length + 1})")})

@@ -634,6 +634,11 @@ def complexity(spark, d):
     return Tables(spark, d).part.select("p_partkey", F.round(reads.complexity(F.col("p_name")), 6).alias("complexity"), F.round(reads.dust(F.col("p_name")), 6).alias("dust"))
 
 
+@query()
+def complexity_filter(spark, d):
+    return reads.filter_complexity(Tables(spark, d).documents.select("doc_id", F.col("text").alias("seq")))
+
+
 @query("SELECT conv_id, turn, substr(text, 1, 4) AS umi, substr(text, 5) AS seq FROM conversations")
 def umi_extract(spark, d):
     c = Tables(spark, d).conversations.select("conv_id", "turn", F.col("text").alias("seq"), F.lit("").alias("qual"), F.lit("r").alias("read_id"))

@@ -2,10 +2,40 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
+from pyspark.sql import functions as F
+
 from strandwise import table_queries
+from strandwise.operators import reads
 
 
 def test_trim_reads_takes_long_texts(spark, tmp_path):
     rows = [(1, "word " * 1000), (2, None), (3, "word " * 20)]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id: len(r.seq) for r in table_queries.QUERIES["trim_reads"](spark, str(tmp_path)).collect()} == {1: 5000, 3: 100}
+
+
+def test_complexity_filter_sees_windows(spark, tmp_path):
+    prose = " ".join(str(i * i * 7919) for i in range(300))
+    texts = [prose, prose[:900] + "a" * 60 + prose[900:], "acgt" * 40, prose[:20], "", None, prose[:300] + "ab" * 12 + prose[300:600], "\U0001f600" * 80 + prose]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def brute(text):
+        windows = [text[i : i + 50] for i in range(max(1, len(text) - 49))]
+        found = []
+        for w in windows:
+            n = len(w) - 2
+            counts = Counter(w[i : i + 3] for i in range(n))
+            entropy = -sum(c / n * math.log2(c / n) for c in counts.values()) / math.log2(min(n, 64)) if n > 1 else 0.0
+            found.append((entropy, sum(c * (c - 1) for c in counts.values()) / (n * (n - 1)) if n > 1 else 0.0))
+        return min(e for e, _ in found), max(s for _, s in found)
+
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.c for r in docs.select("doc_id", reads.low_complexity(F.col("text")).alias("c")).collect()}
+    for i, text in enumerate(texts):
+        entropy, score = brute(text or "")
+        assert abs(got[i].entropy - entropy) < 1e-9 and abs(got[i].dust - score) < 1e-9 and got[i].low == (entropy < 0.3 or score > 0.20)
+    assert [got[i].low for i in (0, 1, 2, 7)] == [False, True, True, True]
+    assert {r.doc_id for r in table_queries.QUERIES["complexity_filter"](spark, str(tmp_path)).collect()} == {i for i in got if not got[i].low}
