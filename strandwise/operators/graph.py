@@ -17,6 +17,19 @@ def filter_edges(edges: DataFrame, score: float, mode: str = "default") -> DataF
     return edges.filter((F.col("weight") > 0) & (F.col("weight") < score))
 
 
+def near_values(rows: DataFrame, key: str, value: str, score: float, id: str = "id") -> DataFrame:
+    """Edges (src, dst, weight) of rows (id, key, value) with the components of all pairs of a key whose values differ by less
+    than score. Rows in a bin of that width are all such pairs, so each is linked to the bin's least; between a bin and the
+    next only the closest rows matter. As many edges as rows and bins at most, by aggregation, without pairs or windows."""
+    cut = rows.select(F.col(id).alias("id"), F.col(key).alias("key"), F.col(value).alias("value"), F.floor(F.col(value) / score).cast("long").alias("bin"))
+    place = F.struct("value", "id")
+    ends = stored(cut.groupBy("key", "bin").agg(F.min(place).alias("low"), F.max(place).alias("high")))
+    own = cut.join(ends, ["key", "bin"]).filter(F.col("id") != F.col("low.id")).select(F.col("id").alias("src"), F.col("low.id").alias("dst"), (F.col("value") - F.col("low.value")).alias("weight"))
+    after = ends.select("key", (F.col("bin") - 1).alias("bin"), F.col("low").alias("next"))
+    between = ends.join(after, ["key", "bin"]).select(F.col("next.id").alias("src"), F.col("high.id").alias("dst"), (F.col("next.value") - F.col("high.value")).alias("weight"))
+    return own.unionAll(between.filter(F.col("weight") < score))
+
+
 def component_labels(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component) for every vertex of the edges (src, dst): component is the smallest id reachable.
 

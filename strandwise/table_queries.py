@@ -391,6 +391,16 @@ def components(spark, d):
     return found.join(graph.membership(found), "id").select("id", "component", "cluster")
 
 
+NEAR = "SELECT s.s_suppkey AS a, t.s_suppkey AS b FROM supplier s JOIN supplier t ON s.s_nationkey = t.s_nationkey AND t.s_suppkey <> s.s_suppkey AND abs(s.s_acctbal - t.s_acctbal) < 4000"
+
+
+@query(f"WITH RECURSIVE e AS ({NEAR}), r AS (SELECT s_suppkey AS id, s_suppkey AS c FROM supplier UNION SELECT r.id, e.b FROM r JOIN e ON r.c = e.a) SELECT id, min(c) AS component, dense_rank() OVER (ORDER BY min(c)) - 1 AS cluster FROM r GROUP BY id")
+def components_all_edges(spark, d):
+    s = Tables(spark, d).supplier.select(F.col("s_suppkey").alias("id"), "s_nationkey", "s_acctbal")
+    found = graph.connected_components(s, graph.near_values(s, "s_nationkey", "s_acctbal", 4000))
+    return found.join(graph.membership(found), "id").select("id", "component", "cluster")
+
+
 # ------------------------------------------------------------------ pileup: letters of documents by place, per language
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from strandwise import table_queries
-from strandwise.operators import reads
+from strandwise.operators import graph, reads
 
 
 def test_trim_reads_takes_long_texts(spark, tmp_path):
@@ -39,3 +40,18 @@ def test_complexity_filter_sees_windows(spark, tmp_path):
         assert abs(got[i].entropy - entropy) < 1e-9 and abs(got[i].dust - score) < 1e-9 and got[i].low == (entropy < 0.3 or score > 0.20)
     assert [got[i].low for i in (0, 1, 2, 7)] == [False, True, True, True]
     assert {r.doc_id for r in table_queries.QUERIES["complexity_filter"](spark, str(tmp_path)).collect()} == {i for i in got if not got[i].low}
+
+
+def test_components_keep_all_edges(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, int(rng.integers(0, 40)), float(rng.integers(-1000, 10000)) + float(rng.choice([0, 0.5]))) for i in range(240)] + [(240, 99, 5.0), (241, 99, 4005.0), (242, 99, 8004.99), (243, 99, 5.0)]
+    root = list(range(len(rows)))
+    for a, ka, va in rows:
+        for b, kb, vb in rows:
+            if ka == kb and abs(va - vb) < 4000:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    df = spark.createDataFrame(rows, "id long, k long, v double")
+    got = {r.id: r.component for r in graph.connected_components(df, graph.near_values(df, "k", "v", 4000)).collect()}
+    assert got == dict(enumerate(root))
+    assert got[240] == got[243] != got[241] == got[242]
