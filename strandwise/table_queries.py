@@ -698,6 +698,11 @@ def sketch(spark, d):
     return sketches.sketch(_words(Tables(spark, d).benchmark, "item_id"), 50)
 
 
+@query(SKETCH.replace(WORDS("benchmark", "item_id"), WORDS("documents", "doc_id")))
+def sketch_documents(spark, d):
+    return sketches.sketch(_words(Tables(spark, d).documents, "doc_id"), 50)
+
+
 SINGLE = f"SELECT seq_id, h FROM (SELECT *, row_number() OVER (PARTITION BY seq_id ORDER BY h) AS n FROM (SELECT DISTINCT seq_id, {HASH} AS h FROM (SELECT item_id AS seq_id, unnest(list_filter(string_split(lower(text), ' '), lambda x: x <> '')) AS word FROM benchmark))) WHERE n <= 50"
 
 
@@ -723,8 +728,8 @@ def best_reference(spark, d):
 
 @query()
 def cluster_sequences(spark, d):
-    b = Tables(spark, d).benchmark
-    return sketches.cluster_sequences(_words(b, "item_id"), b.select(F.col("item_id").alias("seq_id"), F.length("text").alias("length")))
+    docs = Tables(spark, d).documents
+    return sketches.cluster_sequences(_words(docs, "doc_id"), docs.select(F.col("doc_id").alias("seq_id"), F.length("text").alias("length")))
 
 
 @query()

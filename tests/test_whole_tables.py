@@ -55,3 +55,17 @@ def test_components_keep_all_edges(spark):
     got = {r.id: r.component for r in graph.connected_components(df, graph.near_values(df, "k", "v", 4000)).collect()}
     assert got == dict(enumerate(root))
     assert got[240] == got[243] != got[241] == got[242]
+
+
+def test_cluster_sequences_takes_documents(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10_000, 60)) for _ in range(20)]
+    texts += [f"{t} and a tail" for t in texts[:10]] + [None, "", "one two"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    grams = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in ((t or "").split() for t in texts)]
+    brute = {}
+    for i, own in enumerate(grams):
+        holds = [j for j, other in enumerate(grams) if own and j != i and len(texts[j] or "") > len(texts[i]) and len(own & other) >= 0.85 * len(own)]
+        brute[i] = max(holds, key=lambda j: len(texts[j]), default=i)
+    assert {r.seq_id: r.centroid for r in table_queries.QUERIES["cluster_sequences"](spark, str(tmp_path)).collect()} == brute
+    assert sum(i != c for i, c in brute.items()) == 10
