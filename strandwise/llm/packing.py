@@ -292,8 +292,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, s
 
     Each text's ids with END after them lie in pieces without gap or overlap; a sequence is filled from 0 up to window, only
     the last of a shard is shorter. Neighbours come from the whole corpus (chains); whole chains are dealt to output shards
-    of shard_tokens tokens on average. The last shard_tokens tokens that no chain has taken, or a corpus no larger, are
-    indexed and packed in one task, in order of doc_id. Term statistics are the whole corpus'. Null and empty texts are the
+    of shard_tokens tokens on average. The last index_tokens tokens at most that no chain has taken, or a corpus of
+    shard_tokens, are indexed and packed in one task, in order of doc_id. Term statistics are the whole corpus'. Null and empty texts are the
     single id END; rows that repeat a doc_id are packed each for itself; an empty table gives no pieces.
     """
     tokens = stored(tokenized(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()))
@@ -334,7 +334,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, s
     else:
         shards = stored(index_shards(tokens, shared, index_tokens))
         documents = stored(indexed_documents(shards))
-        order, chained = chains(shards, documents, int(total), int(n_docs), window, shard_tokens)
+        order, chained = chains(shards, documents, int(total), int(n_docs), window, max(shard_tokens, index_tokens))
         rows = documents.select("key", "row").join(order, "key").drop("key")
         shard = F.pmod(F.xxhash64("chain", F.lit(11)), F.lit(max(1, -(-chained // shard_tokens)))) + 1
         placed = tokens.join(rows, "row", "left").withColumn("shard", F.coalesce(shard, F.lit(0)))
