@@ -1,4 +1,4 @@
-"""Packing documents into fixed windows of tokens by lexical retrieval: every shard of a BM25 index answers for each seed."""
+"""Packing documents into fixed windows of tokens by lexical retrieval from a sharded BM25 index."""
 
 from __future__ import annotations
 
@@ -11,17 +11,20 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandwise.llm.common import mix
 from strandwise.storage import stored
 
-#: Window length; the id after each document; tokens of a shard (an index in one task's memory); vocabulary bound.
-WINDOW, END, SHARD_TOKENS, TERMS = 2048, 1, 1 << 19, 50_257
-#: BM25 parameters, and the seed's terms of most weight that make up the query.
-K1, B, QUERY_TERMS = 1.2, 0.75, 24
-#: Tokens and documents of an index shard at most; seeds of a block; neighbours of a search; windows left for each chain of a round.
-INDEX_TOKENS, INDEX_DOCS, BLOCK, NEAREST, WINDOWS_A_CHAIN = 1 << 22, 1 << 16, 8192, 16, 3
+#: Window length; the id after each document; the vocabulary's special token and its id.
+WINDOW, END, SPECIAL, SPECIAL_ID = 2048, 1, "<|endoftext|>", 50_256
+#: Tokens up to which a corpus isn't dealt, and tokens of an index shard (held in one task's memory).
+SHARD_TOKENS, INDEX_TOKENS = 1 << 19, 1 << 22
+#: BM25 parameters, the seed's terms of most weight that make up the query, and neighbours that a search sorts at first.
+K1, B, QUERY_TERMS, NEAREST = 1.2, 0.75, 24, 64
+#: How strongly the draw of a document's content key leans to terms of high weight. Most Spark partitions of the dealing.
+LEAN, MOST_PARTS = 3, 50_000
 
 
 def default_vocabulary() -> str:
@@ -37,42 +40,57 @@ def _encoder(path: str):
     import tiktoken
 
     lines = (line.split() for line in Path(path).read_bytes().splitlines() if line)
-    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in lines}, special_tokens={})
+    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in lines}, special_tokens={SPECIAL: SPECIAL_ID})
+
+
+def encoded(encoder, text: str) -> np.ndarray:
+    """Ids of a text as unsigned 16-bit numbers, END after them; a special token's string is that token, as the tokenizers library has it."""
+    found = encoder.encode_to_numpy(text, allowed_special="all") if SPECIAL in text else encoder.encode_to_numpy(text, disallowed_special=())
+    return np.append(found, END).astype("<u2")
 
 
 def tokenized(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids) for every row: ids as little-endian unsigned 16-bit numbers, END after the text's own."""
+    """(doc_id, n_tokens, ids, terms, counts) for every row: ids with END after the text's own, and its distinct ids with
+    their numbers, all as little-endian unsigned 16-bit numbers (a number over 65535 counts as that)."""
     path = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path).encode_to_numpy
+        encoder = _encoder(path)
         for batch in batches:
-            ids, sizes = [], []
-            for text in batch.column(1):
-                found = encode(text.as_py(), disallowed_special=()).astype("<u2")
-                ids.append(found.tobytes() + END.to_bytes(2, "little"))
-                sizes.append(len(found) + 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                ids = [encoded(encoder, text.as_py()) for text in part.column(1)]
+                term, tf, sizes = distinct(ids)
+                ends = np.cumsum(sizes)
+                binary = lambda arrays: pa.array([x.tobytes() for x in arrays], pa.binary())
+                cut = lambda x: np.split(np.minimum(x, 65535).astype("<u2"), ends[:-1])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, ids), pa.int64()), binary(ids), binary(cut(term)), binary(cut(tf))], ["doc_id", "n_tokens", "ids", "terms", "counts"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary, terms binary, counts binary")
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+
+def distinct(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ids of one document after the other, ascending in each, how often each stands there, and how many each has."""
+    lengths = np.array([len(d) for d in docs])
+    kind = np.uint32 if len(docs) <= 1 << 16 else np.uint64
+    both = np.sort(np.repeat(np.arange(len(docs), dtype=kind) << kind(16), lengths) | np.concatenate(docs))
+    at = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+    first = both[at].astype(np.int64)
+    return first & 0xFFFF, np.diff(np.append(at, len(both))), np.bincount(first >> 16, minlength=len(docs))
 
 
 def document_frequencies(tokens: DataFrame) -> tuple[np.ndarray, int, int]:
-    """Documents that hold each term, documents, tokens: over the whole corpus, TERMS numbers at most."""
+    """Documents that hold each term, documents, tokens: over the whole corpus, a number for each id of the vocabulary at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, docs, total = np.zeros(1 << 16, np.int64), 0, 0
         for batch in batches:
-            for ids in batch.column(0):
-                found = np.frombuffer(ids.as_buffer(), "<u2")
-                seen += np.bincount(found, minlength=1 << 16) > 0 if len(found) > 20_000 else 0
-                if len(found) <= 20_000:
-                    seen[np.unique(found)] += 1
-                docs, total = docs + 1, total + len(found)
+            seen += np.bincount(_joined(batch.column(0))[0], minlength=1 << 16)
+            docs, total = docs + batch.num_rows, total + int(batch.column(1).to_numpy(zero_copy_only=False).sum())
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([used, [-1, -2]])), pa.array(np.concatenate([seen[used], [docs, total]]))], ["term", "n"])
 
-    counts = tokens.select("ids").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = tokens.select("terms", "n_tokens").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     out, docs, total = np.zeros(1 << 16, np.int64), 0, 0
     for row in counts.collect():  # a row a term of the vocabulary
         if row.term >= 0:
@@ -84,36 +102,70 @@ def document_frequencies(tokens: DataFrame) -> tuple[np.ndarray, int, int]:
     return out, docs, total
 
 
+def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 16-bit numbers of a binary column one after the other, and how many each row has."""
+    raw = column.to_pylist()
+    return np.frombuffer(b"".join(raw), "<u2"), np.array([len(x) // 2 for x in raw], np.int64)
+
+
+def _weights(term: np.ndarray, tf: np.ndarray, length: np.ndarray, idf: np.ndarray, mean: float) -> np.ndarray:
+    """BM25 weights of terms in documents."""
+    return (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))).astype(np.float32)
+
+
+def content_keys(term: np.ndarray, weight: np.ndarray, sizes: np.ndarray, salt: int) -> np.ndarray:
+    """A term of each document (sizes of them, one or more terms each), drawn in proportion to weight ** LEAN by hashes of the terms:
+    two documents draw the same one with the chance of their weighted overlap, copies always."""
+    chance = ((mix(term.astype(np.uint64) + np.uint64((salt + 1) << 20)) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    time = -np.log(chance) / np.maximum(weight.astype(np.float64) ** LEAN, 1e-12)
+    least = np.repeat(np.minimum.reduceat(time, starts), sizes)
+    at = np.flatnonzero(time == least)
+    _, first = np.unique(np.repeat(np.arange(len(sizes)), sizes)[at], return_index=True)
+    return term[at[first]].astype(np.int64)
+
+
 class Bm25:
     """Inverted index of one shard: term frequencies by term, with the whole corpus' idf and mean length."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
-        n = len(docs)
-        lengths = np.array([len(d) for d in docs])
-        owner = np.repeat(np.arange(n), lengths)
-        key, tf = np.unique(np.concatenate(docs).astype(np.int64) * n + owner, return_counts=True)
-        self.term, self.doc = key // n, key % n
-        self.weight = (idf[self.term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / mean))).astype(np.float32)
-        self.starts = np.searchsorted(self.term, np.arange((1 << 16) + 1))
-        order = np.lexsort((self.term, -self.weight, self.doc))
-        first = np.searchsorted(self.doc[order], np.arange(n + 1))
-        self.queries = [self.term[order[a : min(b, a + QUERY_TERMS)]] for a, b in zip(first[:-1], first[1:], strict=True)]
-        self.n = n
+        self.n = len(docs)
+        term, tf, sizes = distinct(docs)
+        lengths, doc = np.array([len(d) for d in docs]), np.repeat(np.arange(self.n), sizes)
+        weight = _weights(term, tf, lengths[doc], idf, mean)
+        best = np.argsort(doc - weight / (weight.max() + 1.0), kind="stable")  # by document, falling weight, term
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        self.queries = [term[best[a : min(b, a + QUERY_TERMS)]] for a, b in zip(first[:-1], first[1:], strict=True)]
+        by_term = np.argsort(term, kind="stable")
+        self.doc, self.weight = doc[by_term], weight[by_term]
+        self.starts = np.searchsorted(term[by_term], np.arange((1 << 16) + 1))
+
+    def scores(self, seed: int) -> np.ndarray:
+        spans = [slice(self.starts[t], self.starts[t + 1]) for t in self.queries[seed]]
+        return np.bincount(np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.n) if spans else np.zeros(self.n)
 
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
         """Unused documents by falling score, ties by place; those that share no query term are not among them."""
-        spans = [(self.starts[t], self.starts[t + 1]) for t in self.queries[seed]]
-        at = np.concatenate([np.arange(a, b) for a, b in spans]) if spans else np.zeros(0, int)
-        score = np.bincount(self.doc[at], self.weight[at], self.n)
+        return np.fromiter(self.each_neighbour(seed, used), np.int64)
+
+    def each_neighbour(self, seed: int, used: np.ndarray) -> Iterator[int]:
+        """neighbours() one by one: the first NEAREST are sorted at once, the others only if they are asked for."""
+        score = self.scores(seed)
         score[used] = 0
         found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")]
+        if len(found) > NEAREST:
+            edge = np.partition(score[found], len(found) - NEAREST)[len(found) - NEAREST]
+            near = found[score[found] > edge]
+            yield from near[np.argsort(-score[near], kind="stable")]
+            found = found[score[found] <= edge]
+        yield from found[np.argsort(-score[found], kind="stable")]
 
 
-def chain(index: Bm25, lengths: np.ndarray, window: int = WINDOW) -> list[int]:
+def chain(index: Bm25, lengths: np.ndarray, window: int = WINDOW, begun: int = 0) -> list[int]:
     """The order in which a shard's documents fill windows: a seed, then its best unused neighbours while the window that
-    the seed ends in has room; the one that overruns it is the next seed. Without neighbours the next unused one in order is taken."""
-    used, out, fill, at, seed = np.zeros(len(lengths), bool), [], 0, 0, None
+    the seed ends in has room; the one that overruns it is the next seed. Without neighbours the next unused one in order is
+    taken. begun: how far the first window is filled already."""
+    used, out, fill, at, seed = np.zeros(len(lengths), bool), [], begun % window, 0, None
     while True:
         if seed is None:
             while at < len(lengths) and used[at]:
@@ -123,8 +175,8 @@ def chain(index: Bm25, lengths: np.ndarray, window: int = WINDOW) -> list[int]:
             seed, used[at] = at, True
             out.append(seed)
             fill = (fill + lengths[seed]) % window
-        nearest, nxt = index.neighbours(seed, used), None
-        for d in nearest:
+        nxt = None
+        for d in index.each_neighbour(seed, used):
             used[d] = True
             out.append(int(d))
             over = fill + lengths[d] >= window
@@ -135,208 +187,74 @@ def chain(index: Bm25, lengths: np.ndarray, window: int = WINDOW) -> list[int]:
         seed = nxt
 
 
-def index_shards(tokens: DataFrame, shared, index_tokens: int = INDEX_TOKENS) -> DataFrame:
-    """A row for each INDEX_TOKENS tokens of tokens (row, ids): an inverted index, entries by term and place. Rows are taken as
-    they come, so that no key decides on a shard's size."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, made, rows, ids, size = ["shard", "rows", "sizes", "term", "place", "weight"], 0, [], [], 0
-
-        def flush() -> pa.RecordBatch:
-            index = Bm25(ids, *shared.value)
-            columns = [np.array(rows, "<i8"), np.array([len(x) for x in ids], "<i8"), index.term.astype("<u2"), index.doc.astype("<u2"), index.weight]
-            return pa.RecordBatch.from_arrays([pa.array([(TaskContext.get().partitionId() << 20) + made], pa.int64()), *[pa.array([x.tobytes()], pa.binary()) for x in columns]], names)
+def dealt_by_content(tokens: DataFrame, shared, parts: int) -> DataFrame:
+    """tokens (doc_id, row, ids) sorted by content, in parts ranges of about equal numbers of rows.
 
-        for batch in batches:
-            for row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows.append(row)
-                ids.append(np.frombuffer(raw, "<u2"))
-                size += len(ids[-1])
-                if size >= index_tokens or len(ids) == INDEX_DOCS:
-                    yield flush()
-                    made, rows, ids, size = made + 1, [], [], 0
-        if ids:
-            yield flush()
-
-    return tokens.select("row", "ids").mapInArrow(run, "shard long, rows binary, sizes binary, term binary, place binary, weight binary")
-
-
-def indexed_documents(shards: DataFrame) -> DataFrame:
-    """(key, row, n_tokens, query) of the documents of index shards: key is shard and place, query the terms of most weight."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, *raw in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                rows, sizes, term, place, weight = (np.frombuffer(x, t) for x, t in zip(raw, ("<i8", "<i8", "<u2", "<u2", "<f4"), strict=True))
-                order = np.lexsort((term, -weight, place))
-                first = np.searchsorted(place[order], np.arange(len(rows) + 1))
-                queries = [term[order[a : min(b, a + QUERY_TERMS)]].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array((shard << 16) + np.arange(len(rows))), pa.array(rows), pa.array(sizes), pa.array(queries, pa.binary())], ["key", "row", "n_tokens", "query"])
-
-    return shards.mapInArrow(run, "key long, row long, n_tokens long, query binary")
-
-
-def nearest(shards: DataFrame, used: DataFrame, seeds: DataFrame, n_seeds: int, most: int = NEAREST) -> DataFrame:
-    """(chain, key, n_tokens, score): the most best unused documents of all shards for each seed (chain, query); ties in an
-    order of the seed's own. used (key). Each block of seeds goes through all shards in a few tasks, which keep its best so far."""
-
-    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chains, queries = [], []
+    The content key is two terms that each document draws (content_keys); documents of the same key, and keys of the same
+    first term, stand together. The row breaks ties, so that a range border may divide a key however many documents have it.
+    """
 
-        def packed() -> pa.RecordBatch:
-            sizes = np.array([len(q) // 2 for q in queries], "<i4")
-            return pa.RecordBatch.from_arrays([pa.array([np.array(chains, "<i8").tobytes()], pa.binary()), pa.array([sizes.tobytes()], pa.binary()), pa.array([b"".join(queries)], pa.binary())], ["chains", "counts", "queries"])
+    @F.arrow_udf("long")
+    def key(terms: pa.Array, counts: pa.Array, n_tokens: pa.Array) -> pa.Array:
+        idf, mean = shared.value
+        (term, sizes), (tf, _) = _joined(terms), _joined(counts)
+        if not len(sizes):
+            return pa.array([], pa.int64())
+        length = np.repeat(n_tokens.to_numpy(zero_copy_only=False), sizes)
+        weight = _weights(term.astype(np.int64), tf.astype(np.int64), length, idf, mean)
+        first, second = (content_keys(term, weight, sizes, salt) for salt in (0, 1))
+        return pa.array(first * (1 << 16) + second)
 
-        for batch in batches:
-            for chain_id, query in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                chains.append(chain_id)
-                queries.append(query)
-                if len(chains) == BLOCK:
-                    yield packed()
-                    chains, queries = [], []
-        if chains:
-            yield packed()
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[bytes, list[np.ndarray]] = {}
-        for batch in batches:
-            for shard, sizes, term, place, weight, gone, chains, counts, queries in zip(*(batch.column(i).to_pylist() for i in range(9)), strict=True):
-                sizes, term, place, weight = (np.frombuffer(x, t) for x, t in ((sizes, "<i8"), (term, "<u2"), (place, "<u2"), (weight, "<f4")))
-                free = np.ones(len(sizes), bool)
-                free[np.array(gone or [], np.int64)] = False
-                if not free.any():
-                    continue
-                left, number = np.flatnonzero(free), np.cumsum(free) - 1
-                stays = free[place]
-                term, place, weight = term[stays], number[place[stays]], weight[stays].astype(np.float64)
-                starts = np.searchsorted(term, np.arange((1 << 16) + 1))
-                ids = np.frombuffer(chains, "<i8")
-                ends = np.cumsum(np.frombuffer(counts, "<i4"))
-                terms = np.frombuffer(queries, "<u2")
-                k = min(most, len(left))
-                keys, scores = np.zeros((len(ids), k), np.int64), np.zeros((len(ids), k))
-                for i, (a, b) in enumerate(zip(np.concatenate([[0], ends[:-1]]), ends, strict=True)):
-                    spans = [slice(starts[t], starts[t + 1]) for t in terms[a:b].tolist()]
-                    score = np.bincount(np.concatenate([place[x] for x in spans]), np.concatenate([weight[x] for x in spans]), len(left)) if spans else np.zeros(len(left))
-                    found = np.flatnonzero(score >= np.partition(score, -k)[-k])
-                    if len(found) > k:
-                        mixed = (found + 1) * 0x9E3779B1 ^ int(ids[i]) * 0x85EBCA77 & 0x7FFFFFFF
-                        found = found[np.lexsort((mixed * 0xC2B2AE35 & 0xFFFFFFFF, -score[found]))[:k]]
-                    keys[i], scores[i] = (shard << 16) + left[found], score[found]
-                tokens = sizes[keys & 0xFFFF]
-                if chains in best:
-                    keys, scores, tokens = (np.concatenate(x, axis=1) for x in zip(best[chains], (keys, scores, tokens), strict=True))
-                    if keys.shape[1] > most:
-                        top = np.argpartition(-scores, most - 1, axis=1)[:, :most]
-                        keys, scores, tokens = (np.take_along_axis(x, top, axis=1) for x in (keys, scores, tokens))
-                best[chains] = [keys, scores, tokens]
-        for chains, (keys, scores, tokens) in best.items():
-            found = scores > 0
-            ids = np.broadcast_to(np.frombuffer(chains, "<i8")[:, None], keys.shape)
-            yield pa.RecordBatch.from_arrays([pa.array(x[found]) for x in (ids, keys, tokens, scores)], ["chain", "key", "n_tokens", "score"])
-
-    masks = used.groupBy(F.shiftright("key", 16).alias("shard")).agg(F.collect_list(F.col("key").bitwiseAND(F.lit(0xFFFF))).alias("gone"))
-    parts = max(8, -(-n_seeds // BLOCK))
-    blocks = stored(seeds.select("chain", "query").repartition(parts).mapInArrow(block, "chains binary, counts binary, queries binary"))
-    held = shards.join(masks, "shard", "left").select("shard", "sizes", "term", "place", "weight", "gone")
-    tiles = held.coalesce(2).hint("shuffle_replicate_nl").crossJoin(blocks.repartition(parts))
-    found = tiles.mapInArrow(search, "chain long, key long, n_tokens long, score double")
-    place = Window.partitionBy("chain").orderBy(F.desc("score"), "key")
-    return stored(found, batch_rows=2).withColumn("_n", F.row_number().over(place)).filter(F.col("_n") <= most).drop("_n")
-
-
-def chains(shards: DataFrame, documents: DataFrame, total: int, n_docs: int, window: int, rest: int) -> tuple[DataFrame, int]:
-    """(key, chain, round, nth) of all documents but at most rest tokens, and their tokens.
-
-    Many chains grow at a time, each as chain() does: a seed's best unused neighbours of the whole corpus follow it while
-    its window has room, and the one that overruns it is the next seed. A document that several want goes to the one that it
-    scores most for; who loses it takes the next of its list, and searches again among the unused. There are fewer chains
-    as documents run out; when they hardly grow any more, new ones start, so that every round takes documents.
-    """
-    spark = shards.sparkSession
-    used = spark.createDataFrame([], "key long, chain long, round int, nth int, n_tokens long")
-    state, alive, taken_tokens, taken_docs, turn, restart = None, 0, 0, 0, 0, True
-    while total - taken_tokens > rest and n_docs > taken_docs:
-        wanted = max(1, (total - taken_tokens) // (WINDOWS_A_CHAIN * window))
-        turn += 1
-        draw = lambda c, share, salt=turn: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
-        if restart:
-            free = documents.join(used.select("key"), "key", "left_anti")
-            state = stored(free.filter(draw("key", min(1.0, wanted / (n_docs - taken_docs)))).select(F.col("key").alias("chain"), F.col("key").alias("seed"), (F.col("n_tokens") % window).alias("fill"), "query", "n_tokens"))
-            used = used.unionAll(state.select(F.col("seed").alias("key"), "chain", F.lit(turn).alias("round"), F.lit(0).alias("nth"), "n_tokens"))
-            alive, more = state.agg(F.count("*"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
-            taken_docs, taken_tokens, state, restart = taken_docs + alive, taken_tokens + more, state.drop("n_tokens"), False
-            if not alive:
-                restart = True
-                continue
-        elif alive > wanted:
-            state = state.filter(draw("chain", wanted / alive))
-        found = nearest(shards, used.select("key"), state, alive)
-        won = found.groupBy("key").agg(F.max(F.struct("score", "chain", "n_tokens")).alias("_w")).select("key", "_w.*")
-        order = Window.partitionBy("chain").orderBy(F.desc("score"), "key")
-        own = won.join(state.select("chain", "fill"), "chain").withColumn("before", F.col("fill") + F.coalesce(F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        taken = stored(own.withColumn("nth", F.row_number().over(order)).filter(F.col("before") < window).select("key", "chain", F.lit(turn).alias("round"), "nth", "n_tokens"))
-        count, more = taken.agg(F.count("*"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
-        grown = taken.groupBy("chain").agg(F.sum("n_tokens").alias("more"), F.max_by("key", "nth").alias("last"))
-        seeds = state.join(grown, "chain", "left").withColumn("_fill", F.col("fill") + F.coalesce("more", F.lit(0)))
-        moved = seeds.select("chain", F.when(F.col("_fill") >= window, F.col("last")).otherwise(F.col("seed")).alias("seed"), (F.col("_fill") % window).alias("fill"))
-        state = stored(moved.join(documents.select(F.col("key").alias("seed"), "query"), "seed").select("chain", "seed", "fill", "query"))
-        used = used.unionAll(taken)
-        taken_docs, taken_tokens, alive = taken_docs + count, taken_tokens + more, state.count()
-        restart = 4 * count < alive or not alive
-    return used.drop("n_tokens"), taken_tokens
+    keyed = tokens.select("doc_id", "row", "ids", key("terms", "counts", "n_tokens").alias("content"))
+    return keyed.repartitionByRange(parts, "content", "row").sortWithinPartitions("content", "row").select("doc_id", "ids")
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS, index_tokens: int = INDEX_TOKENS) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset): the pieces of every row of docs (doc_id, text).
 
     Each text's ids with END after them lie in pieces without gap or overlap; a sequence is filled from 0 up to window, only
-    the last of a shard is shorter. Neighbours come from the whole corpus (chains); whole chains are dealt to output shards
-    of shard_tokens tokens on average. The last index_tokens tokens at most that no chain has taken, or a corpus of
-    shard_tokens, are indexed and packed in one task, in order of doc_id. Term statistics are the whole corpus'. Null and empty texts are the
-    single id END; rows that repeat a doc_id are packed each for itself; an empty table gives no pieces.
+    the last of a Spark partition is shorter. Documents are dealt by content (dealt_by_content), so that likely neighbours
+    meet in one index shard of index_tokens tokens; there each seed's best unused neighbours fill its window (chain). A corpus
+    of shard_tokens is one shard, in order of doc_id. Term statistics are the whole corpus'. Null and empty texts are the
+    single id END; rows that repeat a doc_id are packed each for itself, a null doc_id stays null; equal scores are taken in
+    the shard's order. An empty table gives no pieces. A long text is cut into as many sequences as it needs.
     """
     tokens = stored(tokenized(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()))
     seen, n_docs, total = document_frequencies(tokens)
     idf = np.log1p((n_docs - seen + 0.5) / (seen + 0.5)).astype(np.float32)
-    shared = docs.sparkSession.sparkContext.broadcast((idf, total / max(1, n_docs)))
+    shared = docs.sparkSession.sparkContext.broadcast((idf, total / max(1, n_docs)))  # 256 KB
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     names = [x.split()[0] for x in schema.split(", ")]
 
-    def one(shard: int, ordered: bool, doc_ids: list[int], ids: list[np.ndarray]) -> pa.RecordBatch:
-        lengths, rows = np.array([len(x) for x in ids]), []
-        order = range(len(ids)) if ordered else chain(Bm25(ids, *shared.value), lengths, window)
-        at = 0
-        for d in order:
-            start = 0
-            while start < lengths[d]:
-                take = min(int(lengths[d]) - start, window - at % window)
-                piece = ids[d][start : start + take].astype("<u4").tobytes()
-                rows.append((doc_ids[d], start, take, zlib.crc32(piece), int(lengths[d]), (shard << 32) + at // window, at % window))
-                start, at = start + take, at + take
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, doc_ids, ids = None, [], []
+        doc_ids, ids, size, at = [], [], 0, 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal at
+            lengths, rows, base = np.array([len(x) for x in ids]), [], TaskContext.get().partitionId() << 40
+            for d in chain(Bm25(ids, *shared.value), lengths, window, at):
+                start = 0
+                while start < lengths[d]:
+                    take = min(int(lengths[d]) - start, window - at % window)
+                    piece = ids[d][start : start + take].astype("<u4").tobytes()
+                    rows.append((doc_ids[d], start, take, zlib.crc32(piece), int(lengths[d]), base + at // window, at % window))
+                    start, at = start + take, at + take
+            for i in range(0, len(rows), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i : i + 10_000], strict=True)], names)
+
         for batch in batches:
-            for shard, doc_id, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if shard != key and ids:
-                    yield one(key, key > 0, doc_ids, ids)
-                    doc_ids, ids = [], []
-                key = shard
+            for doc_id, raw in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
                 doc_ids.append(doc_id)
                 ids.append(np.frombuffer(raw, "<u2"))
+                size += len(ids[-1])
+                if size >= index_tokens:
+                    yield from flush()
+                    doc_ids, ids, size = [], [], 0
         if ids:
-            yield one(key, key > 0, doc_ids, ids)
+            yield from flush()
 
     if total <= shard_tokens:
-        placed = tokens.select(F.lit(0).cast("long").alias("shard"), "doc_id", "ids", *[F.lit(0).alias(c) for c in ("chain", "round", "nth")])
+        dealt = tokens.coalesce(1).sortWithinPartitions("doc_id", "row").select("doc_id", "ids")
     else:
-        shards = stored(index_shards(tokens, shared, index_tokens))
-        documents = stored(indexed_documents(shards))
-        order, chained = chains(shards, documents, int(total), int(n_docs), window, max(shard_tokens, index_tokens))
-        rows = documents.select("key", "row").join(order, "key").drop("key")
-        shard = F.pmod(F.xxhash64("chain", F.lit(11)), F.lit(max(1, -(-chained // shard_tokens)))) + 1
-        placed = tokens.join(rows, "row", "left").withColumn("shard", F.coalesce(shard, F.lit(0)))
-    dealt = placed.select("shard", "doc_id", "ids", "chain", "round", "nth").repartition("shard").sortWithinPartitions("shard", "chain", "round", "nth", "doc_id", "ids")
+        dealt = dealt_by_content(tokens, shared, min(MOST_PARTS, -(-total // index_tokens) + 1))
     return dealt.mapInArrow(run, schema)

@@ -135,7 +135,6 @@ def test_packing_round_trip(docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     rows = [r for r in docs.collect() if r.doc_id != 8]
     rows.append(type(rows[0])(doc_id=99, text="end <|endoftext|> here", lang="", source="", n_chars=0))
     df = docs.sparkSession.createDataFrame(rows, SCHEMA)
