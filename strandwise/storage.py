@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests), a new temporary folder, set once a session."""
+    """The folder in spark.checkpoint.dir. Where that is unset and everything runs in one process (tests, bench), a new
+    temporary folder, set once a session; a cluster without that setting is an error, as executors share no local folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -32,3 +36,12 @@ def stored(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     finally:
         spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of stored tables that nothing will read again."""
+    for table in tables:
+        for path in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            if "/table-" in path:
+                where = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
