@@ -40,17 +40,18 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, columns as given: of each text the row with the largest doc_id, once.
+    """The rows of docs that stay, columns as given, whatever their names: of each text the row with the largest doc_id, once.
 
     Rows outside the Bloom bitmap aren't shuffled; of the others, each text's rows meet by hash, partly reduced first.
+    Null and empty texts are equal; a null doc_id is below every other; of rows that tie, any one stays.
     """
-    hashed = docs.withColumn("_sha", _hash(docs["text"]))
+    hashed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), _id(docs).alias("_id"), _hash(docs["text"]).alias("_sha"))
     bitmap = repeated_bits(hashed.select(F.xxhash64("_sha").alias("h")), "h", bits_for(docs.select("doc_id").count()))
     marked = hashed.withColumn("_again", may_hold(docs, bitmap, F.xxhash64("_sha")))
     again = marked.filter("_again")
-    keep = again.groupBy("_sha").agg(F.max(_id(docs)).alias("_keep"), F.count("*").alias("_size")).withColumnRenamed("_sha", "_of")
-    last = again.join(keep, (F.col("_sha") == F.col("_of")) & _id(docs).eqNullSafe(F.col("_keep")), "inner").drop("_of", "_keep", "_size").dropDuplicates(["_sha"])
-    return marked.filter("not _again").unionByName(last).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keep = again.groupBy("_sha").agg(F.max("_id").alias("_keep"))
+    last = again.join(keep, "_sha").filter(F.col("_id").eqNullSafe(F.col("_keep"))).dropDuplicates(["_sha"])
+    return marked.filter("not _again").select("_row.*").unionAll(last.select("_row.*"))
 
 
 EXACT_SQL = """
