@@ -108,7 +108,8 @@ def entropy() -> Column:
 
 
 def weighted_entropy(value: Column, k: int = 50) -> Column:
-    return F.when(depth() > 0, value * depth() / (depth() + k)).otherwise(0.0)
+    """An entropy weighted by depth, rounded half to even to 3 places; 0 without reads."""
+    return F.when(depth() > 0, F.bround(value * depth() / (depth() + k), 3) + 0.0).otherwise(0.0)
 
 
 def majority_base(share: float = 0.7) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise.operators.graph import component_labels
+from strandwise.storage import discard, stored
 
 
 def _window_cut(window: int, mean: float, low: int):
@@ -156,22 +157,47 @@ def extract_umi(reads: DataFrame, length: int) -> DataFrame:
 
 
 def dedup_umi(reads: DataFrame, keys: list[str] = (), method: str = "directional") -> DataFrame:
-    """(keys, umi, n, group): words within one mismatch of each other, as groups named by their commonest word's hash.
-    directional links a to b only if n(a) >= 2 n(b) - 1; cluster links all. Neighbours share a word with one place cut out,
-    so they meet in an equi join."""
+    """(keys, umi, n, group): words within one mismatch of each other, as groups. cluster links all neighbours; directional
+    links a to b only if n(a) >= 2 n(b) - 1, and a group is what its commonest word reaches along such links, so that two
+    common words that share a rare neighbour stay apart. Neighbours share a word with one place cut out, so they meet in an
+    equi join."""
     counted = reads.groupBy(*keys, "umi").agg(F.count("*").alias("n")).withColumn("id", F.xxhash64(*keys, "umi"))
     holes = F.transform(F.sequence(F.lit(1), F.length("umi")), lambda i: F.concat(i.cast("string"), F.lit(":"), F.substring("umi", F.lit(1), i - 1), F.lit("_"), F.substring("umi", i + 1, F.length("umi"))))
     cut = counted.filter("length(umi) > 0").select(*keys, "id", "n", F.explode(holes).alias("hole"))
     other = cut.select(*keys, F.col("id").alias("id_b"), F.col("n").alias("n_b"), "hole")
     near = cut.join(other, [*keys, "hole"]).filter("id <> id_b and n >= n_b")
     if method == "directional":
-        near = near.filter("n >= 2 * n_b - 1")
-    elif method != "cluster":
+        return _directed_groups(counted, near.filter("n >= 2 * n_b - 1").select("id", "n", "id_b", "n_b").distinct()).select(*keys, "umi", "n", "group")
+    if method != "cluster":
         raise ValueError(f"unknown method {method}")
     labels = component_labels(near.select(F.col("id").alias("src"), F.col("id_b").alias("dst")))
     return counted.join(labels, "id", "left").select(*keys, "umi", "n", F.coalesce("component", "id").alias("group"))
 
 
+def _directed_groups(counted: DataFrame, links: DataFrame, rounds: int = 64) -> DataFrame:
+    """counted (umi, n, id) with group: the id of the commonest word (ties by word) from which links (id, n, id_b, n_b) lead to it.
+
+    Counts at least halve, nearly, along a link, but for words seen once, which reach each other both ways: those are
+    contracted first, so the rounds that hand the best word on along links are as many as a count has bits.
+    """
+    once = component_labels(links.filter("n = 1 and n_b = 1").select(F.col("id").alias("src"), F.col("id_b").alias("dst")))
+    words = stored(counted.join(once, "id", "left").withColumn("node", F.coalesce("component", "id")).drop("component"))
+    node = words.select("id", "node")
+    edges = links.filter("n > 1").join(node, "id").join(node.select(F.col("id").alias("id_b"), F.col("node").alias("to")), "id_b")
+    edges = stored(edges.select("node", "to").filter("node <> to").distinct())
+    best = stored(words.groupBy("node").agg(F.min(F.struct((-F.col("n")).alias("n"), "umi", "id")).alias("best")))
+    for _ in range(rounds):
+        handed = edges.join(best, "node").groupBy(F.col("to").alias("node")).agg(F.min("best").alias("handed"))
+        joined = best.join(handed, "node", "left")
+        after = stored(joined.select("node", F.least("best", "handed").alias("best"), (F.col("handed") < F.col("best")).alias("moved")))
+        settled = after.filter("moved").isEmpty()
+        discard(best)
+        best = after.drop("moved")
+        if settled:
+            return words.join(best, "node").withColumn("group", F.col("best.id"))
+    raise RuntimeError("groups did not settle")
+
+
 def umi_representatives(groups: DataFrame, keys: list[str] = ()) -> DataFrame:
     """The commonest word of each group (ties by word), with the group's reads."""
     w = Window.partitionBy(*keys, "group")

@@ -110,6 +110,11 @@ def constraint_summary(df: DataFrame, values: list[str]) -> DataFrame:
     return drop_null_columns(wide)
 
 
+def final_genomes(df: DataFrame, cycles: int) -> DataFrame:
+    """Rows (iteration, is_constraint, ...) of genomes that are final: those of the last refinement cycle, and constraints."""
+    return df.filter((F.col("iteration").cast("string") == str(cycles)) | F.coalesce(F.col("is_constraint").cast("boolean"), F.lit(False)))
+
+
 def final_counts(df: DataFrame) -> DataFrame:
     """(sample, n): rows of each sample at the earliest step rank that any row has."""
     ranked = df.withColumn("_r", step_rank(F.col("step")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise.operators.reads import kmers
+from strandwise.storage import stored
 
 
 def canonical(word: Column) -> Column:
@@ -78,16 +79,28 @@ def without_host(reads: DataFrame, classified: DataFrame, key: str = "seq_id") -
     return reads.join(classified.select(key).distinct(), key, "left_anti")
 
 
-def cluster_sequences(of: DataFrame, lengths: DataFrame, share: float = 0.85, minima: int = 8, key: str = "seq_id") -> DataFrame:
-    """(key, centroid): greedy by length in linear time: sequences meet in buckets of their least word hashes, each bucket's
-    longest is a centre, and a sequence joins the longest centre that holds the share of its words; others found clusters."""
+def cluster_sequences(of: DataFrame, lengths: DataFrame, share: float = 0.85, minima: int = 8, key: str = "seq_id", rounds: int = 100) -> DataFrame:
+    """(key, centroid): greedy by length: sequences meet in buckets of their least word hashes, where each is compared with
+    the bucket's longest. The longest sequences are centres; one that holds the share of its words in a centre joins the
+    longest such, and can't be a centre itself; one whose candidates all joined others is a centre.
+    Candidates are as many as sequences and buckets, and every round decides those whose longer candidates are decided."""
     hashed = of.select(key, portable_hash(F.col("word")).alias("h"))
-    low = hashed.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("h"))).filter(F.col("_n") <= minima).drop("_n")
-    w = Window.partitionBy("h").orderBy(F.desc("length"), key)
-    centred = low.join(lengths, key).withColumn("centre", F.first(key).over(w)).withColumn("centre_length", F.first("length").over(w))
-    pairs = centred.filter(F.col("centre") != F.col(key)).select(key, "centre", "centre_length").distinct()
+    low = hashed.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("h"))).filter(F.col("_n") <= minima).drop("_n").join(lengths, key)
+    longest = low.groupBy("h").agg(F.min_by(F.struct(F.col(key).alias("centre"), F.col("length").alias("centre_length")), F.struct(-F.col("length"), key)).alias("c")).select("h", "c.*")
+    pairs = low.join(longest, "h").filter(F.col("centre") != F.col(key)).select(key, "centre", "centre_length").distinct()
     size = hashed.groupBy(key).agg(F.count("*").alias("n"))
     both = pairs.join(hashed, key).join(hashed.withColumnRenamed(key, "centre"), ["centre", "h"]).groupBy(key, "centre", "centre_length").agg(F.count("*").alias("shared"))
-    near = both.join(size, key).filter(F.col("shared") >= share * F.col("n"))
-    chosen = near.groupBy(key).agg(F.max_by("centre", F.struct("centre_length", "shared", "centre")).alias("centroid"))
+    near = stored(both.join(size, key).filter(F.col("shared") >= share * F.col("n")).drop("n"))
+    left, member = near, near.limit(0)
+    for _ in range(rounds):
+        open_keys = left.select(F.col(key).alias("centre")).distinct()
+        joins = stored(left.join(open_keys, "centre", "left_anti"))  # their candidate is a centre
+        if joins.isEmpty():
+            break
+        member = member.unionAll(joins)
+        joined = joins.select(key).distinct()
+        left = stored(left.join(joined, key, "left_anti").join(joined.withColumnRenamed(key, "centre"), "centre", "left_anti").select(*near.columns))
+    else:
+        raise RuntimeError("clusters did not settle")
+    chosen = member.groupBy(key).agg(F.max_by("centre", F.struct("centre_length", "shared", "centre")).alias("centroid"))
     return lengths.select(key).join(chosen, key, "left").select(key, F.coalesce("centroid", key).alias("centroid"))

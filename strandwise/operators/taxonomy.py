@@ -97,6 +97,18 @@ def clade_counts(counts: DataFrame, closure: DataFrame) -> DataFrame:
     return clade.withColumnRenamed("ancestor", "taxid").join(direct, "taxid", "left").select("taxid", "clade_reads", F.coalesce("direct_reads", F.lit(0)).alias("direct_reads"))
 
 
+def taxa_counts(hits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((sample, ntaxa), (sample, taxid, hits)) of classified rows (sample, taxid): taxa a sample, and hits a taxon. A null
+    taxid is no taxon."""
+    by_taxon = hits.filter("taxid is not null").groupBy("sample", "taxid").agg(F.count("*").alias("hits"))
+    return hits.select("sample").distinct().join(by_taxon.groupBy("sample").agg(F.count("*").alias("ntaxa")), "sample", "left").fillna(0, ["ntaxa"]), by_taxon
+
+
+def unclassified_reads(reports: DataFrame, key: str = "file") -> DataFrame:
+    """(key, reads): the clade reads of a report's unclassified row, 0 for reports without one."""
+    return reports.groupBy(key).agg(F.coalesce(F.sum(F.when(F.trim("name") == "unclassified", F.col("clade_reads"))), F.lit(0)).cast("long").alias("reads"))
+
+
 def taxon_table(counts: DataFrame, taxonomy: DataFrame, closure: DataFrame, rank: str = "S") -> DataFrame:
     """(sample, taxid, reads, percent) of counts (sample, taxid, reads) summed to the taxa of one rank; percent of all reads."""
     at_rank = taxonomy.filter(F.col("rank") == rank).select(F.col("taxid").alias("ancestor"))

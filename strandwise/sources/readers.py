@@ -15,8 +15,8 @@ MOST_SHEET = 16 << 20
 
 
 def read_fasta(spark: SparkSession, path) -> DataFrame:
-    """(file, seq_id, description, seq): records split at '>', whatever the number of sequence lines; id is the first word."""
-    records = spark.read.option("lineSep", ">").text(path).select(F.input_file_name().alias("file"), F.regexp_replace("value", "\r", "").alias("value")).filter(F.trim("value") != "")
+    """(file, seq_id, description, seq): records split at '>' at a line's start, whatever the number of sequence lines; id is the first word."""
+    records = spark.read.option("lineSep", "\n>").text(path).select(F.input_file_name().alias("file"), F.regexp_replace(F.regexp_replace("value", "\r", ""), "^\\s*>", "").alias("value")).filter(F.trim("value") != "")
     head = F.split("value", "\n", 2)
     named = records.select("file", F.trim(head[0]).alias("head"), F.regexp_replace(F.coalesce(F.try_element_at(head, F.lit(2)), F.lit("")), "\\s", "").alias("seq"))
     return named.select("file", F.split("head", "\\s+")[0].alias("seq_id"), F.col("head").alias("description"), "seq")
@@ -43,7 +43,7 @@ def read_fastq(spark: SparkSession, path, sample: str | None = None) -> DataFram
 
 def read_hits(spark: SparkSession, path) -> DataFrame:
     """Headerless tab-separated hits, 15 columns."""
-    return spark.read.schema(schemas.HITS).csv(path, sep="\t")
+    return spark.read.schema(schemas.HITS).csv(path, sep="\t", quote="")
 
 
 def _csv(sep: str, header: bool = True) -> Callable[[SparkSession, str], DataFrame]:
@@ -92,7 +92,7 @@ def read_json_records(spark: SparkSession, path, key: str = "id") -> DataFrame:
 
 def read_key_values(spark: SparkSession, path) -> DataFrame:
     """Two-column reports, one row a file: (file, one column a key)."""
-    rows = spark.read.schema("key string, value string").csv(path, sep="\t").withColumn("file", F.regexp_extract(F.input_file_name(), "([^/]+?)(?:\\.[^./]*)?$", 1))
+    rows = spark.read.schema("key string, value string").csv(path, sep="\t", quote="").withColumn("file", F.regexp_extract(F.input_file_name(), "([^/]+?)(?:\\.[^./]*)?$", 1))
     return rows.groupBy("file").pivot("key").agg(F.first("value"))
 
 
@@ -106,17 +106,24 @@ def read_cdhit(spark: SparkSession, path) -> DataFrame:
 
 
 def read_mmseqs(spark: SparkSession, path) -> DataFrame:
-    """(file, cluster, member, is_centroid) of centroid-member tables; clusters are numbered in order of appearance; a row
-    that repeats the centroid founds the cluster and adds no member."""
+    """(file, cluster, centroid, member) of centroid-member tables; clusters are numbered in order of appearance; a row
+    that repeats the centroid founds the cluster and adds no member (null where it has no other)."""
     rows = _numbered(spark.read.text(path)).withColumn("p", F.split("value", "\t")).select("file", "line", F.col("p")[0].alias("centroid"), F.col("p")[1].alias("member"))
     seen = rows.groupBy("file", "centroid").agg(F.min("line").alias("at"))
     numbered = seen.select("file", "centroid", (F.row_number().over(Window.partitionBy("file").orderBy("at")) - 1).cast("long").alias("cluster"))
     return numbered.join(rows.filter("member <> centroid"), ["file", "centroid"], "left").select("file", "cluster", "centroid", "member")
 
 
+def read_mmseqs_members(spark: SparkSession, path) -> DataFrame:
+    """(file, cluster, member, is_centroid) of centroid-member tables, as the other cluster readers have it."""
+    rows = read_mmseqs(spark, path)
+    centres = rows.select("file", "cluster", F.col("centroid").alias("member"), F.lit(True).alias("is_centroid")).distinct()
+    return centres.unionAll(rows.filter("member is not null").select("file", "cluster", "member", F.lit(False)))
+
+
 def read_uc(spark: SparkSession, path) -> DataFrame:
     """(file, cluster, member, is_centroid) of .uc records: S is a centroid, H a member, C a summary."""
-    rows = spark.read.schema(schemas.UC).csv(path, sep="\t").filter("record in ('S', 'H')")
+    rows = spark.read.schema(schemas.UC).csv(path, sep="\t", quote="").filter("record in ('S', 'H')")
     return rows.select(F.input_file_name().alias("file"), "cluster", "member", (F.col("record") == "S").alias("is_centroid"))
 
 
@@ -164,12 +171,12 @@ def read_kraken_report(spark: SparkSession, path) -> DataFrame:
 
 def read_screen(spark: SparkSession, path) -> DataFrame:
     """Sketch screen results, six columns."""
-    return spark.read.schema(schemas.SCREEN).csv(path, sep="\t")
+    return spark.read.schema(schemas.SCREEN).csv(path, sep="\t", quote="")
 
 
 def read_vcf(spark: SparkSession, path) -> DataFrame:
     """Variant rows without the header."""
-    return spark.read.schema(schemas.VCF).csv(path, sep="\t", comment="#")
+    return spark.read.schema(schemas.VCF).csv(path, sep="\t", comment="#", quote="")
 
 
 def read_sam(spark: SparkSession, path) -> DataFrame:

@@ -445,8 +445,17 @@ def consensus_seq(spark, d):
     return alignments.consensus(_pile(Tables(spark, d)), ["ref"], 10)
 
 
+def _first_letters(t):
+    """(ref, pos, base): each place's letter in the first document that has the place. Id and code point pack into one number,
+    so that the least is found by hash aggregation; ids over 2**42 don't fit."""
+    letters = _letters(t).select("ref", "pos", (F.col("doc_id") * (1 << 21) + F.ascii("kind")).alias("packed"))
+    least = letters.groupBy("ref", "pos").agg(F.min("packed").alias("packed"))
+    code = F.lpad(F.hex(F.pmod("packed", F.lit(1 << 21))), 8, "0")
+    return least.select("ref", "pos", F.decode(F.unhex(code), "UTF-32").alias("base"))
+
+
 def _called(t):
-    first = _letters(t).groupBy("ref", "pos").agg(F.min_by("kind", "doc_id").alias("ref_base"))
+    first = _first_letters(t).withColumnRenamed("base", "ref_base")
     return variants.call_variants(_pile(t).join(first, ["ref", "pos"]), ["ref", "pos"], 10, 0.25)
 
 
@@ -491,11 +500,13 @@ def split_alleles(spark, d):
     return variants.split_alleles(p).select("p_partkey", "alt", F.col("allele").cast("long").alias("allele"))
 
 
-@query()
+@query("""WITH t AS (SELECT l_suppkey, count(*) FILTER (l_returnflag = 'A' AND l_linestatus = 'F') AS a, count(*) FILTER (l_returnflag = 'A' AND l_linestatus = 'O') AS b, count(*) FILTER (l_returnflag = 'N' AND l_linestatus = 'F') AS c, count(*) FILTER (l_returnflag = 'N' AND l_linestatus = 'O') AS d FROM lineitem GROUP BY 1),
+p AS (SELECT l_suppkey, sum(exp(lgamma(a + b + 1) + lgamma(c + d + 1) + lgamma(a + c + 1) + lgamma(b + d + 1) - lgamma(a + b + c + d + 1) - lgamma(x + 1) - lgamma(a + b - x + 1) - lgamma(a + c - x + 1) - lgamma(d - a + x + 1))) AS p FROM t, LATERAL (SELECT unnest(range(a, least(a + b, a + c) + 1)) AS x) r GROUP BY 1)
+SELECT l_suppkey, a AS "AF", b AS "AO", c AS "NF", d AS "NO", round(least(1.0, p), 9) AS p_value FROM t JOIN p USING (l_suppkey)""")
 def strand_bias(spark, d):
     n = lambda flag, status: F.count_if((F.col("l_returnflag") == flag) & (F.col("l_linestatus") == status)).alias(f"{flag}{status}")
     table = Tables(spark, d).lineitem.groupBy("l_suppkey").agg(n("A", "F"), n("A", "O"), n("N", "F"), n("N", "O"))
-    return table.withColumn("p_value", variants.strand_bias(*[F.col(c) for c in ("AF", "AO", "NF", "NO")]))
+    return table.withColumn("p_value", F.round(variants.strand_bias(*[F.col(c) for c in ("AF", "AO", "NF", "NO")]), 9))
 
 
 @query(f"WITH v AS (SELECT ref AS key, pos, pos % 3 AS frame, ref_base, max(alt) AS alt FROM ({CALLED}) GROUP BY ALL), g AS (SELECT *, pos - row_number() OVER (PARTITION BY key, pos - frame ORDER BY pos) AS island FROM v) SELECT key, min(pos) AS pos, string_agg(ref_base, '' ORDER BY pos) AS ref, string_agg(alt, '' ORDER BY pos) AS alt, count(*) AS n FROM g GROUP BY key, pos - frame, island")
@@ -507,7 +518,7 @@ def codon_merge(spark, d):
 @query(f"WITH c AS (SELECT ref, pos, arg_min(kind, doc_id) AS base FROM ({LETTERS}) GROUP BY 1, 2), v AS (SELECT ref, pos, max(alt) AS alt FROM ({CALLED}) GROUP BY 1, 2) SELECT c.ref AS key, string_agg(coalesce(v.alt, c.base), '' ORDER BY c.pos) AS seq FROM c LEFT JOIN v ON c.ref = v.ref AND c.pos = v.pos GROUP BY 1")
 def apply_variants(spark, d):
     t = Tables(spark, d)
-    first = _letters(t).groupBy("ref", "pos").agg(F.min_by("kind", "doc_id").alias("base"))
+    first = _first_letters(t)
     reference = intervals.sequence(first, ["ref"]).withColumnRenamed("ref", "key")
     called = _called(t).groupBy(F.col("ref").alias("key"), "pos").agg(F.max("alt").alias("alt")).withColumn("ref", F.lit("X"))
     return variants.apply_variants(reference, called)
@@ -633,13 +644,24 @@ def read_gates(spark, d):
     return good.withColumn("passed", F.lit(True)).unionAll(bad.withColumn("passed", F.lit(False)))
 
 
-@query()
+FOUR = "(III.|II.I|I.II|.III)"
+TRIMMED = f"""WITH a AS (SELECT doc_id, regexp_replace(text, '(A{{10,}}|C{{10,}}|G{{10,}}|T{{10,}})$', '') AS seq FROM documents WHERE text IS NOT NULL),
+b AS (SELECT *, regexp_replace(regexp_replace(seq, '[a-zA-Z]', 'I', 'g'), '[^I]', '#', 'g') AS q FROM a),
+c AS (SELECT *, length(regexp_extract(q, '^(.*?){FOUR}', 1)) AS ahead, length(regexp_extract(reverse(q), '^(.*?){FOUR}', 1)) AS behind FROM b WHERE regexp_matches(q, '{FOUR}')),
+d AS (SELECT doc_id, substr(seq, ahead + 1, length(seq) - ahead - behind) AS seq, substr(q, ahead + 1, length(seq) - ahead - behind) AS q FROM c)
+SELECT doc_id, seq FROM d WHERE length(q) >= 50 AND length(replace(q, 'I', '')) <= 0.5 * length(q)"""
+
+
+@query(TRIMMED)
 def trim_reads(spark, d):
     docs = Tables(spark, d).documents.select("doc_id", F.col("text").alias("seq"), F.regexp_replace(F.regexp_replace("text", "[a-zA-Z]", "I"), "[^I]", "#").alias("qual"))
     return reads.trim_reads(docs, mean=25, max_low=0.5).select("doc_id", "seq")
 
 
-@query()
+@query("""WITH k AS (SELECT p_partkey, length(p_name) - 2 AS n, substr(p_name, i::int, 3) AS w FROM part, LATERAL (SELECT unnest(range(1, greatest(length(p_name) - 1, 1))) AS i) r),
+c AS (SELECT p_partkey, n, w, count(*) AS c FROM k GROUP BY ALL),
+s AS (SELECT p_partkey, round(sum(-(c / n) * log2(c / n)) / log2(least(any_value(n), 64)), 6) AS complexity, round(sum(c * (c - 1) / 2) / greatest(any_value(n) - 1, 1), 6) AS dust FROM c GROUP BY 1)
+SELECT p_partkey, CASE WHEN length(p_name) < 4 THEN 0.0 ELSE s.complexity + 0.0 END AS complexity, coalesce(s.dust, 0.0) AS dust FROM part LEFT JOIN s USING (p_partkey)""")
 def complexity(spark, d):
     return Tables(spark, d).part.select("p_partkey", F.round(reads.complexity(F.col("p_name")), 6).alias("complexity"), F.round(reads.dust(F.col("p_name")), 6).alias("dust"))
 
@@ -655,15 +677,30 @@ def umi_extract(spark, d):
     return reads.extract_umi(c, 4).select("conv_id", "turn", "umi", "seq")
 
 
-@query()
+SMALL = "abcdefghijklmnopqrstuvwxyz"
+
+
+def _umi_sql(key: str = "") -> str:
+    """Groups: what the commonest word reaches over links to words at most half as common, nearly. key: a column and a comma."""
+    same = f" AND a.{key[:-1]} = b.{key[:-1]}" if key else ""
+    of = lambda x: f"{x}.{key}" if key else ""
+    both = lambda x, y: f" AND {x}.{key[:-1]} = {y}.{key[:-1]}" if key else ""
+    return f"""WITH RECURSIVE c AS (SELECT {key} translate(substr(text, 1, 8), '{SMALL}', '{SMALL.upper()}') AS umi, count(*) AS n FROM conversations GROUP BY ALL),
+e AS (SELECT {of('a')} a.umi AS a, b.umi AS b FROM c a JOIN c b ON a.umi <> b.umi AND length(a.umi) = length(b.umi){same} AND a.n >= 2 * b.n - 1 AND len(list_filter(range(1, length(a.umi) + 1), lambda i: a.umi[i] <> b.umi[i])) = 1),
+r AS (SELECT {key} umi AS a, umi AS b FROM c UNION SELECT {of('r')} r.a, e.b FROM r JOIN e ON r.b = e.a{both('r', 'e')}),
+g AS (SELECT {of('r')} r.b, r.a, row_number() OVER (PARTITION BY {of('r')} r.b ORDER BY c.n DESC, r.a) AS place FROM r JOIN c ON c.umi IS NOT DISTINCT FROM r.a{both('r', 'c')})
+SELECT {of('g')} g.a AS umi, sum(c.n)::bigint AS reads FROM g JOIN c ON c.umi IS NOT DISTINCT FROM g.b{both('g', 'c')} WHERE place = 1 GROUP BY ALL"""
+
+
+@query(_umi_sql())
 def umi_dedup(spark, d):
-    c = Tables(spark, d).conversations.select(F.upper(F.substring("text", 1, 8)).alias("umi"))
+    c = Tables(spark, d).conversations.select(F.translate(F.substring("text", 1, 8), SMALL, SMALL.upper()).alias("umi"))
     return reads.umi_representatives(reads.dedup_umi(c)).select("umi", "reads")
 
 
-@query()
+@query(_umi_sql("role,"))
 def umi_dedup_mapped(spark, d):
-    c = Tables(spark, d).conversations.select("role", F.upper(F.substring("text", 1, 8)).alias("umi"))
+    c = Tables(spark, d).conversations.select("role", F.translate(F.substring("text", 1, 8), SMALL, SMALL.upper()).alias("umi"))
     return reads.umi_representatives(reads.dedup_umi(c, ["role"]), ["role"]).select("role", "umi", "reads")
 
 
@@ -732,7 +769,10 @@ def cluster_sequences(spark, d):
     return sketches.cluster_sequences(_words(docs, "doc_id"), docs.select(F.col("doc_id").alias("seq_id"), F.length("text").alias("length")))
 
 
-@query()
+KNOWN = f"SELECT word, min(source || ':' || lang) AS taxid FROM ({WORDS('documents', 'doc_id')}) JOIN documents ON doc_id = seq_id GROUP BY 1"
+
+
+@query(f"SELECT seq_id, taxid, score FROM (SELECT seq_id, taxid, count(*) AS score, row_number() OVER (PARTITION BY seq_id ORDER BY count(*) DESC, taxid) AS n FROM ({WORDS('benchmark', 'item_id')}) JOIN ({KNOWN}) USING (word) GROUP BY 1, 2) WHERE n = 1")
 def kmer_classify(spark, d):
     t = Tables(spark, d)
     tree = t.documents.select(F.concat(F.lit("l:"), "lang").alias("taxid"), F.lit("1").alias("parent_taxid"), F.lit("G").alias("rank")).distinct()
@@ -826,5 +866,57 @@ def constraint_summary(spark, d):
 def refine_rounds(spark, d):
     t = Tables(spark, d)
     piled = _pile(t).withColumnRenamed("ref", "key")
-    first = intervals.sequence(_letters(t).groupBy("ref", "pos").agg(F.min_by("kind", "doc_id").alias("base")), ["ref"]).withColumnRenamed("ref", "key")
+    first = intervals.sequence(_first_letters(t), ["ref"]).withColumnRenamed("ref", "key")
     return alignments.refine(lambda current: piled.join(current.select("key"), "key", "left_semi"), first, 3)
+
+
+# ------------------------------------------------------------------ whole operators beside the narrower queries above
+
+
+@query(f"""SELECT ref, pos, round_even(e, 3) + 0.0 AS entropy, CASE WHEN n > 0 THEN round_even(round_even(e, 3) * n / (n + 50), 3) + 0.0 ELSE 0.0 END AS weighted FROM (SELECT ref, pos, n, CASE WHEN n > 0 THEN {ENTROPY} ELSE 0.0 END AS e FROM (SELECT *, ("A" + "C" + "G" + "T") AS n FROM ({PILE})))""")
+def entropy_weighted(spark, d):
+    piled = _pile(Tables(spark, d)).withColumn("entropy", alignments.entropy())
+    return piled.select("ref", "pos", "entropy", alignments.weighted_entropy(F.col("entropy")).alias("weighted"))
+
+
+SAMPLE_TAXA = "SELECT l_orderkey % 20 AS sample, CASE WHEN l_returnflag <> 'R' THEN (l_partkey % 50)::varchar END AS taxid FROM lineitem"
+
+
+@query(f"WITH h AS ({SAMPLE_TAXA}), n AS (SELECT sample, count(DISTINCT taxid) AS ntaxa FROM h GROUP BY 1) SELECT sample, taxid, count(*) AS hits, ntaxa FROM h JOIN n USING (sample) WHERE taxid IS NOT NULL GROUP BY ALL")
+def taxa_counts(spark, d):
+    rows = Tables(spark, d).lineitem.select((F.col("l_orderkey") % 20).alias("sample"), F.when(F.col("l_returnflag") != "R", (F.col("l_partkey") % 50).cast("string")).alias("taxid"))
+    samples, by_taxon = taxonomy.taxa_counts(rows)
+    return by_taxon.join(samples, "sample")
+
+
+@query("SELECT user_id AS file, coalesce(sum(event_id) FILTER (event_type = 'view'), 0)::bigint AS reads FROM events GROUP BY 1")
+def unclassified_reads(spark, d):
+    name = F.when(F.col("event_type") == "view", "unclassified").otherwise(F.col("event_type"))
+    return taxonomy.unclassified_reads(Tables(spark, d).events.select(F.col("user_id").alias("file"), name.alias("name"), F.col("event_id").alias("clade_reads")))
+
+
+@query("SELECT event_id FROM events WHERE day(ts) % 9 + 1 = 4 OR user_id % 7 = 0")
+def final_genomes(spark, d):
+    rows = Tables(spark, d).events.select("event_id", (F.dayofmonth("ts") % 9 + 1).alias("iteration"), (F.col("user_id") % 7 == 0).alias("is_constraint"))
+    return report.final_genomes(rows, 4).select("event_id")
+
+
+@query("SELECT DISTINCT (l_orderkey % 20) || '_' || (l_partkey % 50) || '-CONSTRAINT' AS id, (l_partkey % 50)::varchar AS cluster_id, 'constraint' AS step FROM lineitem")
+def constraint_ids(spark, d):
+    pairs = Tables(spark, d).lineitem.select((F.col("l_orderkey") % 20).alias("sample"), (F.col("l_partkey") % 50).alias("mapping_id")).distinct()
+    return flow.constraint_ids(pairs).select("id", "cluster_id", "step")
+
+
+@query("SELECT p_partkey, p_brand || '_contigs' AS seq_id FROM part")
+def rename_records(spark, d):
+    parts = Tables(spark, d).part.select("p_partkey", F.col("p_name").alias("seq_id"), F.col("p_brand").alias("sample"))
+    return flow.rename_records(parts, "sample", "contigs").select("p_partkey", "seq_id")
+
+
+EDGES = "SELECT l_orderkey AS src, l_partkey AS dst, l_discount AS weight FROM lineitem"
+
+
+@query(f"SELECT *, 'default' AS mode FROM ({EDGES}) WHERE weight > 0 AND weight < 0.05 UNION ALL SELECT *, 'ani' FROM ({EDGES}) WHERE weight <= 1 - 0.97")
+def edges_filter(spark, d):
+    edges = Tables(spark, d).lineitem.select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), F.col("l_discount").alias("weight"))
+    return graph.filter_edges(edges, 0.05).withColumn("mode", F.lit("default")).unionAll(graph.filter_edges(edges, 0.97, "ani").withColumn("mode", F.lit("ani")))
