@@ -13,6 +13,8 @@ from strandwise.llm.common import slice_hashes
 
 #: Minima in a signature, each the least hash of its share of the phrase hashes; 16 bits of each are kept.
 MINIMA = 128
+#: Rows of a range of ids, about, where there are more of them than shuffle partitions times this.
+ROWS_A_PART = 20_000
 _EMPTY = 0xFFFF
 
 
@@ -77,19 +79,20 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     """docs (doc_id, text) dealt into ranges of doc_id, with the first row of the following range (of the first, after the
     last) in each range too: columns part, tail, doc_id, text, sorted within Spark's partitions.
 
-    Range borders are ids of the table, from a quantile sketch; the texts are shuffled once.
+    Range borders are ids of the table, from a quantile sketch; the texts are shuffled once, a range to a Spark partition.
+    Null ids come before all others.
     """
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    found = ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(parts)], 10_000).alias("q"), F.min("doc_id").alias("least")).first()
+    place = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    found = docs.select(place.alias("k")).agg(F.percentile_approx("k", [i / parts for i in range(parts)], 10_000).alias("q"), F.min("k").alias("least")).first()
     borders = sorted({found.least, *(found.q or [])} - {None}) or [0]
     border = F.array(*[F.lit(b).cast("long") for b in borders])
-    own = F.greatest(F.lit(0), F.aggregate(border, F.lit(-1), lambda n, b: n + (F.col("doc_id") >= b).cast("int")))
-    at = F.array_position(border, F.col("doc_id")).cast("int")  # 1-based; 0: not a border
+    own = F.greatest(F.lit(0), F.aggregate(border, F.lit(-1), lambda n, b: n + (place >= b).cast("int")))
+    at = F.array_position(border, place).cast("int")  # 1-based; 0: not a border
     before = F.when(at == 1, F.lit(len(borders) - 1)).when(at > 1, at - 2)
     places = F.when(at > 0, F.array(F.struct(own.alias("part"), F.lit(0).alias("tail")), F.struct(before.alias("part"), F.lit(1).alias("tail")))).otherwise(F.array(F.struct(own.alias("part"), F.lit(0).alias("tail"))))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     dealt = rows.select(F.explode(places).alias("p"), "doc_id", "text").select("p.part", "p.tail", "doc_id", "text")
-    return dealt.repartition(len(borders), "part").sortWithinPartitions("part", "tail", "doc_id", "text")
+    return dealt.repartitionById(len(borders), "part").sortWithinPartitions("part", "tail", "doc_id", "text")
 
 
 def edited_fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
@@ -98,12 +101,13 @@ def edited_fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
     The edited text has its last floor(n_chars / 4) code points replaced by the first as many (or all) of the next
     document in ascending doc_id; after the last comes the first, so a single document follows itself. Rows that share a
     doc_id follow each other by text. A null doc_id sorts before all others. Null texts are empty. The parse of the text
-    is carried on from the cut for both versions, so the edited one costs a quarter more.
+    is carried on from the cut for both versions, so the edited one costs a quarter more; a very long text is parsed whole,
+    its phrases in one task's memory. Other columns, whatever their names, play no part.
     """
     import hashlib
 
     spark = docs.sparkSession
-    parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.select("doc_id").count() // ROWS_A_PART), 1)
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
     def parsed(text: str):

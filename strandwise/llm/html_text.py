@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import html
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Lines in a block, and the least characters of a block that a part without an article element has to reach.
+#: Lines in a block, and the least characters of a block that make a surge.
 WINDOW, SURGE = 3, 80
 #: Elements whose content is never text, elements outside the main text, names of classes and ids that mark
-#: such parts, and elements that don't break lines.
+#: such parts, names that may stand beside those in one class, and elements that don't break lines.
 SILENT = "script style noscript template iframe svg math canvas object select textarea button title head audio video".split()
 ASIDE = "nav header footer aside form menu dialog".split()
-MARKS = "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies disclaimer footer header masthead menu nav navbar navigation newsletter notice popup promo promoted related reply replies share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
+MARKS = "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies disclaimer footer header masthead menu nav navbar navigation contentinfo complementary newsletter notice popup promo promoted related reply replies share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
+PLAIN = "area bar block box bottom col column container desktop fixed global group inner item items left link links list mobile outer page panel primary right row secondary section site sticky top widget wrap wrapper".split()
 INLINE = "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 #: Elements that end by themselves: they don't hold others open.
@@ -25,36 +27,49 @@ LOOSE = "p li dt dd tr td th option thead tbody tfoot colgroup".split()
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^<>]*)>", re.S)
 _NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
-_SETS = {name: frozenset(values) for name, values in {"silent": SILENT, "aside": ASIDE, "marks": MARKS, "inline": INLINE, "void": VOID, "loose": LOOSE}.items()}
+_SETS = {name: frozenset(values) for name, values in {"silent": SILENT, "aside": ASIDE, "marks": MARKS, "plain": PLAIN, "inline": INLINE, "void": VOID, "loose": LOOSE}.items()}
 
 
 def _marked(attributes: str) -> bool:
+    """Whether a class, id or role names a part outside the main text: a whole name, all of whose parts are in MARKS or PLAIN."""
     for found in _NAME.finditer(attributes):
-        value = (found[1] or found[2] or found[3] or "").lower()
-        if any(word in _SETS["marks"] for word in re.split(r"[\s_-]+", value)):
-            return True
+        for name in (found[1] or found[2] or found[3] or "").lower().split():
+            parts = [x for x in re.split(r"[_-]+|[0-9]+", name) if x]
+            if any(x in _SETS["marks"] for x in parts) and all(x in _SETS["marks"] or x in _SETS["plain"] for x in parts):
+                return True
     return False
 
 
-def lines(page: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, linked characters, outside, in article) of each line: text between block elements, without markup.
+class Line(NamedTuple):
+    """Text between block elements, without markup. linked: its characters within links; outside: within an element that is
+    never main text; marks: numbers of the elements around it whose class, id or role marks them so; listed: in a list item."""
 
-    outside: within a part that the markup marks as menu, header, footer, sidebar, notice, advert, form or comments.
-    A header within an article counts as article. A part ends with its element, or with the one around it.
-    """
-    out: list[tuple[str, int, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, outside, article
+    text: str
+    linked: int
+    outside: bool
+    marks: tuple[int, ...]
+    article: bool
+    listed: bool
+
+
+def lines(page: str) -> list[Line]:
+    """The lines of a page. A header within an article counts as article. An element ends with its own end or with that of the one around it."""
+    out: list[Line] = []
+    stack: list[tuple[str, bool, tuple[int, ...], bool]] = []  # name, outside, marks, article
     text: list[str] = []
-    linked, link, at, end = 0, False, 0, len(page)
+    linked, link, at, end, marked = 0, False, 0, len(page), 0
+    hidden: list | None = None  # a marked inline element: name, open elements of that name, pieces and linked characters before it, blocks around it
 
     def flush():
         nonlocal linked
-        if text:
-            joined = _SPACE.sub(" ", html.unescape("".join(text))).strip()
-            if joined:
-                top = stack[-1] if stack else ("", False, False)
-                out.append((joined, linked, top[1], top[2]))
-            text.clear()
+        if hidden:
+            del text[hidden[2] :]
+            linked, hidden[2:4] = hidden[3], (0, 0)
+        joined = _SPACE.sub(" ", html.unescape("".join(text))).strip() if text else ""
+        if joined:
+            _, outside, marks, article = stack[-1] if stack else ("", False, (), False)
+            out.append(Line(joined, linked, outside, marks, article, any(x[0] == "li" for x in stack)))
+        text.clear()
         linked = 0
 
     while at < end:
@@ -87,14 +102,16 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
                 elif name in ("script", "style", "template", "noscript"):
                     at = end
             continue
-        top = stack[-1] if stack else ("", False, False)
         if name in _SETS["inline"]:
-            if not close and name != "a" and name not in _SETS["void"] and not top[1] and _marked(attributes):
-                stack.append((name, True, top[2]))
-            elif close and stack and stack[-1][0] == name:
-                flush_to = stack.pop()
-                if flush_to[1]:
-                    text.clear()
+            if name in _SETS["void"]:
+                continue
+            if hidden and name == hidden[0]:
+                hidden[1] += -1 if close else 1
+                if not hidden[1]:
+                    del text[hidden[2] :]
+                    linked, hidden = hidden[3], None
+            elif not hidden and not close and name != "a" and _marked(attributes):
+                hidden = [name, 1, len(text), linked, len(stack)]
             continue
         flush()
         if name in _SETS["void"]:
@@ -107,49 +124,92 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
         elif not attributes.endswith("/"):
             while stack and stack[-1][0] in _SETS["loose"] and name in ("p", stack[-1][0], "article", "main", "nav", "footer", "aside", "section", "div"):
                 stack.pop()
-            top = stack[-1] if stack else ("", False, False)
-            article = top[2] or name in ("article", "main")
-            outside = top[1] or (name in _SETS["aside"] and not (name == "header" and top[2])) or (name not in ("body", "html", "article", "main") and _marked(attributes))
-            stack.append((name, outside, article))
+            top = stack[-1] if stack else ("", False, (), False)
+            article = top[3] or name in ("article", "main")
+            marks = top[2]
+            if name not in ("body", "html", "article", "main") and _marked(attributes):
+                marked += 1
+                marks = (*marks, marked)
+            stack.append((name, top[1] or (name in _SETS["aside"] and not (name == "header" and top[3])), marks, article))
+        if hidden and len(stack) < hidden[4]:
+            hidden = None
     flush()
     return out
 
 
-def main_text(page: str | None) -> str:
-    """The main text of one page: lines between surge and dive points of the block distribution, joined by a newline.
+def candidates(found: list[Line]) -> list[Line]:
+    """Lines that no element excludes. A mark doesn't count if without it fewer than SURGE characters would be left and the
+    element holds more than half of the page's text: then it is a name for the page, not for a part beside the text."""
+    found = [x for x in found if not x.outside]
+    left = [x for x in found if not x.marks]
+    if sum(len(x.text) for x in left) >= SURGE or any(x.article for x in left):
+        return left
+    held: dict[int, int] = {}
+    for x in found:
+        for m in x.marks:
+            held[m] = held.get(m, 0) + len(x.text)
+    void = {m for m, n in held.items() if 2 * n > sum(len(x.text) for x in found)}
+    return [x for x in found if void.issuperset(x.marks)]
+
+
+def blocks(sizes: np.ndarray) -> np.ndarray:
+    """The line-block distribution: at each line, the characters of it and the next WINDOW - 1 lines."""
+    return np.convolve(sizes, np.ones(WINDOW, np.int64))[WINDOW - 1 :] if len(sizes) else sizes
 
-    Lines outside the main text by their markup, and lines that are mostly links, have length 0 (in an article only the
-    former); where the page has article or main elements, so has every line outside them. A block is the sum over WINDOW
-    lines. A part starts where the sum surges from 0 and ends where it dives to 0; it is kept whole, first and last line
-    included, if it lies in an article or its largest block has SURGE characters, or if no part has so many and it is the largest.
+
+def line_sizes(found: list[Line]) -> tuple[np.ndarray, np.ndarray]:
+    """What each line counts in the distribution, and whether it may stand in a part although it counts nothing.
+
+    Lines that are mostly links count nothing. Article and main elements are evidence if they hold half of the text or more:
+    their lines count as SURGE at least (not link lists), and lines outside them count only where the blocks of the lines
+    outside surge as high as the article's blocks are on average.
     """
-    found = lines(page or "")
+    length = np.array([len(x.text) for x in found])
+    links, article, listed = (np.array([f(x) for x in found], bool) for f in (lambda x: 2 * x.linked > len(x.text), lambda x: x.article, lambda x: x.listed))
+    if 2 * length[article].sum() < length.sum() or not article.any():
+        return np.where(links, 0, length), np.ones(len(found), bool)
+    outside = blocks(np.where(article | links, 0, length))
+    height = np.array([outside[max(0, i - WINDOW + 1) : i + 1].max() for i in range(len(found))])
+    high = height >= max(SURGE, blocks(np.where(article, length, 0))[article].mean())
+    own = np.where(links & listed, 0, np.maximum(length, SURGE))
+    return np.where(article, own, np.where(high & ~links, length, 0)), article
+
+
+def main_parts(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Parts (start, end) of the lines. The distribution falls to 0 between regions. A region with a surge, a block of SURGE or
+    more, is a part from its first surge to the dive behind its last one, where the block that ends there falls under SURGE,
+    but without lines of size 0 at its edges. If no region has a surge, that of the highest block is the part."""
+    ahead = blocks(sizes)
+    behind = blocks(sizes[::-1])[::-1]
+    used = np.flatnonzero(sizes)
+    if not len(used):
+        return []
+    cut = np.flatnonzero(np.diff(used) > WINDOW)
+    regions = [(int(used[a]), int(used[b]) + 1) for a, b in zip([0, *(cut + 1)], [*cut, len(used) - 1], strict=True)]
+    out = []
+    for a, b in regions:
+        rise, fall = np.flatnonzero(ahead[a:b] >= SURGE), np.flatnonzero(behind[a:b] >= SURGE)
+        if len(rise):
+            inside = used[(used >= a + rise[0]) & (used <= a + fall[-1])]
+            out.append((int(inside[0]), int(inside[-1]) + 1))
+    return out or [max(regions, key=lambda r: ahead[r[0] : r[1]].max())]
+
+
+def main_text(page: str | None) -> str:
+    """The main text of one page: the lines between the surge and dive points of its line-block distribution, joined by a
+    newline. Null, empty and markup-only pages have none; lines that repeat are all kept."""
+    found = candidates(lines(page or ""))
     if not found:
         return ""
-    whole = any(x[3] and not x[2] for x in found)
-    size = np.array([0 if x[2] or (whole and not x[3]) or (not x[3] and 2 * x[1] > len(x[0])) else len(x[0]) for x in found])
-    gap = np.array([x[2] for x in found])
-    block = np.convolve(size, np.ones(WINDOW, int))[: len(size)]
-    parts, start = [], None
-    for i in range(len(size)):
-        if start is None and size[i]:
-            start = i  # surge
-        if start is not None and (block[i] == 0 or gap[i]):
-            parts.append((start, i))  # dive
-            start = None
-    if start is not None:
-        parts.append((start, len(size)))
-    if not parts:
-        return ""
-    height = [int(block[a:b].max()) for a, b in parts]
-    kept = [p for p, h in zip(parts, height, strict=True) if whole or h >= SURGE] or [parts[int(np.argmax(height))]]
-    return "\n".join(found[i][0] for a, b in kept for i in range(a, b) if size[i])
+    sizes, stays = line_sizes(found)
+    return "\n".join(found[i].text for a, b in main_parts(sizes) for i in range(a, b) if sizes[i] or stays[i])
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """pages (html, any other columns) with text and n_chars added (columns of these names are replaced).
 
-    Null, empty and markup-only pages have an empty text. Each page is taken whole and alone; nothing is shuffled.
+    Null, empty and markup-only pages have an empty text; rows that repeat have each their own, equal one. Each page is taken
+    whole and alone, however long; nothing is shuffled. An empty table gives no rows.
     """
 
     @F.pandas_udf("string")

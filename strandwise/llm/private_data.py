@@ -18,13 +18,16 @@ _EMAIL_RUN = re.compile(r"(?<![A-Za-z0-9._%+-])" + _EMAIL.pattern)
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Hidden units a direction, character classes, tags (0: none, then KINDS), window length, step between windows.
-HIDDEN, EMBEDDED, TAGS, WINDOW, HOP = 16, 12, 5, 64, 32
-#: Characters around a trigger that are decoded. All four kinds hold a digit, an @ or a spelled-out one.
-REACH = 32
-_TRIGGER = re.compile(r"[0-9@]+|[\[({]\s?(?:at|dot)\s?[\])}]|\bat\b(?=\s\S+\sdot\s)", re.I)
-#: Labelled windows made for the fit, and passes over them.
-EXAMPLES, PASSES = 2000, 10
+#: Hidden units a direction, values of a character, tags (0: none, then KINDS), length of the windows that are trained on,
+#: length of those that are decoded, and the step between them.
+HIDDEN, EMBEDDED, TAGS, TRAINED, WINDOW, HOP = 12, 12, 5, 96, 320, 288
+#: Labelled windows made for the fit, those that a pass trains on at random, and beside them at most those that the model
+#: tags wrongly; passes; and the log-odds against plain text that a span needs to be added.
+EXAMPLES, DRAWN, WRONG, PASSES, LEAST_ODDS = 16_000, 3000, 1500, 16, 4.0
+#: Characters of a document that the fit looks at, and windows that go through the network at a time.
+CONTEXT, BATCH = 4000, 1024
+#: The shortest and longest span that is added; no labelled one is shorter (an IP address) or longer.
+LEAST_SPAN, MOST_SPAN = 7, 64
 #: Documents looked at for each one whose text labelled spans are set into, on average.
 SPARE = 8
 
@@ -124,23 +127,48 @@ def _lstm_back(x, w, kept, dout):
     return dw, dx
 
 
-def emissions(model: Tagger, x: np.ndarray) -> np.ndarray:
-    """Scores (windows, WINDOW, TAGS) of windows of character classes (windows, WINDOW)."""
-    e = model.embed[x.T]
-    forward, _ = _lstm(e, model.lstm[0])
-    backward, _ = _lstm(e[::-1], model.lstm[1])
-    h = np.concatenate([forward, backward[::-1]], 2)
-    return (h @ model.out[:-1] + model.out[-1]).transpose(1, 0, 2)
+def _passed(codes: np.ndarray, table: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Hidden values (steps, HIDDEN, windows) of one direction. codes: (steps, windows); table: what each class adds to each
+    gate; u: recurrent weights. The last gate's columns hold twice their value: tanh(x) = 2 / (1 + exp(-2x)) - 1."""
+    steps, n = codes.shape
+    out = np.empty((steps, HIDDEN, n), np.float32)
+    h, c, z = np.zeros((HIDDEN, n), np.float32), np.zeros((HIDDEN, n), np.float32), np.empty((4 * HIDDEN, n), np.float32)
+    for t in range(steps):
+        np.take(table, codes[t], axis=1, out=z, mode="clip")
+        z += u @ h
+        np.negative(z, out=z)
+        np.exp(z, out=z)
+        z += 1
+        np.reciprocal(z, out=z)
+        i, f, o, g = (z[k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
+        c = f * c + i * (2 * g - 1)
+        np.multiply(o, np.tanh(c), out=out[t])
+        h = out[t]
+    return out
 
 
-def viterbi(scores: np.ndarray, trans: np.ndarray) -> np.ndarray:
-    """Best tags (n, steps) under scores (n, steps, TAGS) and transitions."""
+def emissions(model: Tagger, x: np.ndarray) -> np.ndarray:
+    """Scores (windows, steps, TAGS) of windows of character classes (windows, steps)."""
+    codes, sides = np.ascontiguousarray(x.T), []
+    for k, w in enumerate(model.lstm):
+        twice = np.concatenate([np.ones(3 * HIDDEN), np.full(HIDDEN, 2.0)]).astype(np.float32)
+        table, u = ((model.embed @ w[:EMBEDDED] + w[-1]) * twice).T.copy(), (w[EMBEDDED:-1] * twice).T.copy()
+        sides.append(_passed(codes[::-1] if k else codes, table, u)[:: -1 if k else 1])
+    out = model.out[:HIDDEN].T @ sides[0] + model.out[HIDDEN:-1].T @ sides[1] + model.out[-1][:, None]
+    return out.transpose(2, 0, 1)
+
+
+def viterbi(scores: np.ndarray, trans: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
+    """Best tags (n, steps) under scores (n, steps, TAGS) and transitions. sizes: the steps of each row that count."""
     n, steps, _ = scores.shape
     best, back = scores[:, 0], np.empty((steps, n, TAGS), np.int64)
     for t in range(1, steps):
         through = best[:, :, None] + trans[None]
+        now = through.max(1) + scores[:, t]
         back[t] = through.argmax(1)
-        best = through.max(1) + scores[:, t]
+        if sizes is not None and (over := t >= sizes).any():
+            now[over], back[t, over] = best[over], np.arange(TAGS)
+        best = now
     tags = np.empty((n, steps), np.int64)
     tags[:, -1] = best.argmax(1)
     for t in range(steps - 1, 0, -1):
@@ -168,18 +196,23 @@ def _crf_gradient(scores, trans, gold):
 
 
 def fit(x: np.ndarray, gold: np.ndarray, passes: int = PASSES, seed: int = 3) -> Tagger:
-    """Trains the tagger by Adam on windows of character classes and their tags."""
+    """Trains the tagger by Adam on windows of character classes and their tags. Each pass takes DRAWN windows by chance, and
+    from the third one on as many as WRONG of those that the model so far tags wrongly, so that it meets the rare hard ones."""
     rng = np.random.default_rng(seed)
-    init = lambda *s: rng.normal(0, 0.25, s)
-    params = [init(CLASSES, EMBEDDED), init(EMBEDDED + HIDDEN + 1, 4 * HIDDEN), init(EMBEDDED + HIDDEN + 1, 4 * HIDDEN), init(2 * HIDDEN + 1, TAGS), np.zeros((TAGS, TAGS))]
+    init = lambda *s: rng.normal(0, 0.25, s).astype(np.float32)
+    params = [init(CLASSES, EMBEDDED), init(EMBEDDED + HIDDEN + 1, 4 * HIDDEN), init(EMBEDDED + HIDDEN + 1, 4 * HIDDEN), init(2 * HIDDEN + 1, TAGS), np.zeros((TAGS, TAGS), np.float32)]
     for w in params[1:3]:
         w[-1, HIDDEN : 2 * HIDDEN] = 1
     first, second, steps = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     for turn in range(passes):
-        order = rng.permutation(len(x))
-        rate = 0.02 * (1 - turn / passes) + 0.001
-        for at in range(0, len(order), 64):
-            part = order[at : at + 64]
+        order = rng.permutation(len(x))[:DRAWN]
+        if turn >= 2:
+            now = _rounded(params)
+            wrong = [at + np.flatnonzero((viterbi(emissions(now, x[at : at + BATCH]), now.trans) != gold[at : at + BATCH]).any(1)) for at in range(0, len(x), BATCH)]
+            order = rng.permutation(np.concatenate([order, rng.permutation(np.concatenate(wrong))[:WRONG]]))
+        rate = 0.025 * (1 - turn / passes) + 0.001
+        for at in range(0, len(order), 128):
+            part = order[at : at + 128]
             e = params[0][x[part].T]
             fo, fk = _lstm(e, params[1])
             ba, bk = _lstm(e[::-1], params[2])
@@ -198,65 +231,98 @@ def fit(x: np.ndarray, gold: np.ndarray, passes: int = PASSES, seed: int = 3) ->
                 g = np.clip(g, -1, 1)
                 a += 0.1 * (g - a)
                 b += 0.001 * (g * g - b)
-                p -= rate * (a / (1 - 0.9**steps)) / (np.sqrt(b / (1 - 0.999**steps)) + 1e-8)
+                p -= (rate * (a / (1 - 0.9**steps)) / (np.sqrt(b / (1 - 0.999**steps)) + 1e-8)).astype(np.float32)
+    return _rounded(params)
+
+
+def _rounded(params: list[np.ndarray]) -> Tagger:
     p = [q.astype(np.float32) for q in params]
     return Tagger(p[0], p[1:3], p[3], p[4])
 
 
 # ------------------------------------------------------------------ labelled spans for the fit
 
+#: Ways of writing a value of each kind.
+FORMS = 8
 
-def _value(kind: str, rng: np.random.Generator) -> str:
-    """A made-up value of a kind, as the base pattern writes it or in a common other form."""
+
+def _value(kind: str, rng: np.random.Generator, form: int) -> str:
+    """A made-up value of a kind in one of FORMS ways: as the base pattern has it, spelled out, or with other separators."""
     word = lambda a, b: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(a, b)))
     digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
-    form = rng.integers(0, 4)
     if kind == "email":
-        name, host, top = word(3, 9) + (f".{digits(2)}" if rng.random() < 0.5 else ""), word(3, 8) + digits(rng.integers(0, 2)), rng.choice(["com", "org", "net", "de", "example.com"])
-        at, dot = [("@", "."), (" [at] ", " [dot] "), (" (at) ", " (dot) "), (" at ", " dot ")][form]
-        return f"{name}{at}{host}{dot}{top}"
+        name = word(3, 9) + ("." + word(3, 8) if rng.random() < 0.4 else "") + (f".{digits(2)}" if rng.random() < 0.4 else "")
+        host, top = word(3, 8) + digits(rng.integers(0, 2)), str(rng.choice(["com", "org", "net", "de", "io", "co.uk", "fr", "edu", "example.com"]))
+        at, dot = [("@", "."), (" [at] ", " [dot] "), (" (at) ", " (dot) "), (" at ", " dot "), (" @ ", "."), ("[at]", "."), ("(at)", "[dot]"), (" {at} ", ".")][form]
+        out = f"{name}{at}{host}{dot}{top}"
+        return out.upper() if rng.random() < 0.15 else out
     if kind == "ip":
-        parts = [str(n) for n in rng.integers(1, 256, 4)]
-        return [".", ".", "[.]", " . "][form].join(parts)
+        return [".", ".", "[.]", " . ", "(.)", "[dot]", " dot ", "."][form].join(str(n) for n in rng.integers(1, 256, 4)) + (f":{digits(4)}" if form == 7 else "")
     if kind == "card":
-        n = digits(15)
-        n += next(str(d) for d in range(10) if luhn(n + str(d)))
-        return n if form < 2 else (".", " / ")[form - 2].join(n[i : i + 4] for i in range(0, 16, 4))
+        n = digits(16)
+        return [" ", "", "-", ".", " / ", "", "_", "  "][form].join(n[i : i + 4] for i in range(0, 16, 4))
     a, b, c = digits(3), digits(3), digits(4)
-    return [f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"00{digits(2)} {a} {b} {c}"][form]
+    return [f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"00{digits(2)} {a} {b} {c}", f"{a}.{b}.{c}", f"tel:{a}{b}{c}", f"1-{a}-{b}-{c}", f"{a} {b} {c}"][form]
 
 
 def _decoy(rng: np.random.Generator) -> str:
-    """Digits that are no personal data: keys, counts, dates, prices, versions."""
+    """Digits and marks that are no personal data: keys, counts, dates, prices, versions, times, ranges."""
     n = int(rng.integers(0, 10**6))
     text = lambda k, of: "".join(rng.choice(list(of), k))
-    return [str(n), f"{n % 100}.{n % 7}", f"20{n % 90 + 10}-{n % 12 + 1:02}-{n % 28 + 1:02}", f"${n}.99", f"v{n % 9}.{n % 30}.{n % 4}", "AKIA" + text(16, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), "password=" + text(20, "0123456789abcdef"), f'token = "{text(40, "0123456789abcdef")}"', f"at {n % 24} dot {text(4, 'abcdef')}", f"{n % 999}%"][int(rng.integers(0, 10))]
+    made = [str(n), f"{n % 100}.{n % 7}", f"20{n % 90 + 10}-{n % 12 + 1:02}-{n % 28 + 1:02}", f"${n}.99", f"v{n % 9}.{n % 30}.{n % 4}", "AKIA" + text(16, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), "password=" + text(20, "0123456789abcdef"), f'token = "{text(40, "0123456789abcdef")}"', f"at {n % 24} dot {text(4, 'abcdef')}", f"{n % 999}%", f"{n % 24}:{n % 60:02}", f"{n % 28 + 1}.{n % 12 + 1}.19{n % 90 + 10}", f"{n % 900}-{n % 999}", f"version {n % 9}.{n % 10}", f"{n:,} of {n * 3:,}", "@" + text(7, "abcdefghij"), f"look at {text(5, 'abcdefgh')} dot by dot", f"#{n} [{n % 90}]", "e" * 40 + "!!", f"{n} {n % 77} {n % 13}"]
+    return made[int(rng.integers(0, len(made)))]
+
+
+def labelled_spans(text: str) -> list[tuple[str, int, int]]:
+    """The base spans of a text of the corpus, and numbers of 14 to 19 digits in one piece as cards: a wrong check digit, which
+    the network can't see, mostly means a mistyped number."""
+    found = base_spans(text)
+    return found + [("card", m.start(), m.end()) for m in re.finditer(r"(?<![0-9])[0-9]{14,19}(?![0-9])", text) if not any(s < m.end() and m.start() < e for _, s, e in found)]
 
 
-def labelled_windows(contexts: list[str], examples: int = EXAMPLES, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of text with made-up values set into contexts, and the tag of each character."""
+def labelled_windows(contexts: list[str], examples: int = EXAMPLES, seed: int = 7, forms: tuple[int, ...] = tuple(range(FORMS))) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of text and the tag of each character: two fifths are texts of the contexts as they are, mostly about a digit or
+    an @ where they have one, with labelled_spans(); the others have a made-up value or decoy set into them."""
     rng = np.random.default_rng(seed)
-    contexts = [c for c in contexts if len(c) >= 2 * WINDOW] or ["the quick brown fox and the lazy dog walk on by the long old road and back again to their home " * 2]
-    x, y = np.zeros((examples, WINDOW), np.int64), np.zeros((examples, WINDOW), np.int64)
+    contexts = [c for c in contexts if len(c) >= 2 * TRAINED] or ["the quick brown fox and the lazy dog walk on by the long old road and back again to their home " * 4]
+    known = [labelled_spans(c) for c in contexts]
+    marks = [[m.start() for m in re.finditer(r"[0-9@]+", c)] for c in contexts]
+    busy = [i for i, m in enumerate(marks) if m]
+    x, y = np.zeros((examples, TRAINED), np.int64), np.zeros((examples, TRAINED), np.int64)
     for n in range(examples):
+        if n % 5 < 2:
+            i = busy[int(rng.integers(len(busy)))] if busy and rng.random() < 0.3 else int(rng.integers(len(contexts)))
+            text, at = contexts[i], int(rng.integers(0, len(contexts[i]) - TRAINED + 1))
+            if marks[i] and rng.random() < 0.7:
+                at = int(np.clip(marks[i][int(rng.integers(len(marks[i])))] - rng.integers(0, TRAINED), 0, len(text) - TRAINED))
+            tags = np.zeros(len(text), np.int64)
+            for kind, s, e in known[i]:
+                tags[s:e] = KINDS.index(kind) + 1
+            x[n], y[n] = char_classes(text[at : at + TRAINED]), tags[at : at + TRAINED]
+            continue
         context = contexts[int(rng.integers(len(contexts)))]
-        at = int(rng.integers(0, len(context) - 2 * WINDOW + 1))
+        at = int(rng.integers(0, len(context) - 2 * TRAINED + 1))
         kind = int(rng.integers(0, 6))
-        value = _value(KINDS[kind], rng) if kind < 4 else _decoy(rng)
-        left, right = re.sub(r"[0-9@]", "e", context[at : at + WINDOW]), re.sub(r"[0-9@]", "e", context[at + WINDOW : at + 2 * WINDOW])
-        text, tags = left + " " + value + " " + right, [0] * (WINDOW + 1) + [kind + 1 if kind < 4 else 0] * len(value) + [0] * (WINDOW + 1)
-        start = int(rng.integers(max(0, WINDOW + 1 + len(value) // 2 - WINDOW), WINDOW + 1 + len(value) // 2))
-        x[n], y[n] = char_classes(text[start : start + WINDOW]), tags[start : start + WINDOW]
+        value = _value(KINDS[kind], rng, forms[int(rng.integers(len(forms)))]) if kind < 4 else _decoy(rng)
+        left, right = re.sub(r"[0-9@]", "e", context[at : at + TRAINED]), re.sub(r"[0-9@]", "e", context[at + TRAINED : at + 2 * TRAINED])
+        before, after = str(rng.choice([" ", " ", " ", "\n", " (", ": "])), str(rng.choice([" ", " ", " ", ". ", ", ", "\n", ") ", "!! "]))
+        text, tags = left + before + value + after + right, [0] * len(left + before) + [kind + 1 if kind < 4 else 0] * len(value) + [0] * (TRAINED + len(after))
+        middle = len(left + before) + len(value) // 2
+        start = int(rng.integers(max(0, middle - TRAINED), middle))
+        part = text[start : start + TRAINED]
+        x[n, : len(part)], y[n, : len(part)] = char_classes(part), tags[start : start + TRAINED]
     return x, y
 
 
 def fit_on_sample(docs: DataFrame, contexts: int = 200) -> Tagger:
-    """Fits the tagger on labelled spans set into the texts of at most contexts documents, those of the least hashes of doc_id.
+    """Fits the tagger on labelled spans of the texts, and set into the texts, of at most contexts documents, those of the least
+    hashes of doc_id; of each the first CONTEXT characters. Only the fit has these bounds. Null, empty and short texts are
+    passed over; an empty table leaves a plain English sentence as the only context.
 
     Every partition sends its least rows to the driver, so only a share of the hash space that should hold SPARE times
     contexts documents is looked at; a larger share follows while too few of its texts are long enough.
     """
-    known = docs.select(F.col("doc_id").cast("long").alias("_id"), F.substring("text", 1, 4000).alias("t")).withColumn("h", F.xxhash64("_id")).filter("length(t) >= 200")
+    known = docs.select(F.col("doc_id").cast("long").alias("_id"), F.substring("text", 1, CONTEXT).alias("t")).withColumn("h", F.xxhash64("_id")).filter("length(t) >= 200")
     share = SPARE * contexts / max(1, docs.select("doc_id").count())
     while True:
         part = known.filter(F.col("h") < F.lit(int(share * 2**64) - (1 << 63))) if share < 1 else known
@@ -268,101 +334,111 @@ def fit_on_sample(docs: DataFrame, contexts: int = 200) -> Tagger:
 
 # ------------------------------------------------------------------ decoding whole texts
 
-
-def regions(text: str) -> list[tuple[int, int]]:
-    """Parts of the text within REACH characters of a trigger, joined where they touch."""
-    out: list[list[int]] = []
-    for m in _TRIGGER.finditer(text):
-        s, e = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        if out and s <= out[-1][1]:
-            out[-1][1] = e
-        else:
-            out.append([s, e])
-    return [(s, e) for s, e in out]
-
-
 _CORE = re.compile(r"[A-Za-z0-9+(](?:.*[A-Za-z0-9])?", re.S)
 
 
-def _plausible(kind: str, value: str) -> bool:
-    digits = sum("0" <= c <= "9" for c in value)
-    if kind == "email":
-        return bool(re.search(r"\w\s?(?:@|[\[({]\s?at\s?[\])}]|\sat\s)\s?\w", value, re.I) and re.search(r"\.|\bdot\b", value, re.I))
-    if kind == "ip":
-        return 4 <= digits <= 12 and len(re.findall(r"[0-9]+", value)) == 4
-    if kind == "card":
-        return 14 <= digits <= 19 and luhn(re.sub(r"[^0-9]", "", value))
-    return 10 <= digits <= 15 and len(re.findall(r"[0-9]+", value)) >= 2
+def scored(model: Tagger, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Scores (characters, TAGS) of texts that stand one after the other in codes: windows of WINDOW characters every HOP cover
+    each text, and each character takes its scores from the window in which it stands nearest to the middle."""
+    starts = np.cumsum(lengths) - lengths
+    windows = np.maximum(1, -(-(lengths - (WINDOW - HOP)) // HOP))
+    owner = np.repeat(np.arange(len(lengths)), windows)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    at, size = nth * HOP, lengths[owner]
+    margin, out, offset = (WINDOW - HOP) // 2, np.empty((len(codes), TAGS), np.float32), np.arange(WINDOW)
+    order = np.arange(len(owner))
+    for k in range(0, len(order), BATCH):
+        part = order[k : k + BATCH]
+        place = at[part][:, None] + offset
+        inside = place < size[part][:, None]
+        where = starts[owner[part]][:, None] + place
+        x = np.where(inside, codes[np.minimum(where, len(codes) - 1)], 0)
+        scores = emissions(model, x)
+        own = inside & ((offset >= margin) | (nth[part] == 0)[:, None]) & ((offset < WINDOW - margin) | (nth[part] == windows[owner[part]] - 1)[:, None])
+        out[where[own]] = scores[own]
+    return out
 
 
-def added_spans(model: Tagger, texts: list[str], base: list[list[tuple[str, int, int]]]) -> list[list[tuple[str, int, int]]]:
-    """Spans that the tagger adds to each text's base spans, without overlap with them.
+def decoded(model: Tagger, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The best tags of each text under its scores and the transitions, as one Viterbi search over the whole text gives them.
 
-    Windows of WINDOW characters every HOP cover each region; each character takes its scores from the window in which it
-    stands nearest to the middle, and each region is then decoded once, as a whole.
+    A run of other tags can only be part of a best path if it may gain on plain text: if the most that its characters lead tag 0
+    by, with the best transitions within it, outweighs the best ways in and out. So a character is plain for certain if even
+    the best run through it gains nothing, by prefix sums and their running extremes, and only the stretches between such
+    characters are searched, with the one on either side.
     """
-    places, codes = [], []
-    for n, text in enumerate(texts):
-        for s, e in regions(text):
-            if not all(any(b <= m.start() + s and m.end() + s <= c for _, b, c in base[n]) for m in _TRIGGER.finditer(text[s:e])):
-                places.append((n, s, e))
-                codes.append(char_classes(text[s:e]))
-    out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    group, size = [], 0
-    for k in range(len(places) + 1):
-        if group and (k == len(places) or size > 100_000):
-            for i, tags in zip(group, _decoded(model, [codes[i] for i in group]), strict=True):
-                n, s, _ = places[i]
-                out[n] += _spans(texts[n], s, tags, base[n])
-            group, size = [], 0
-        if k < len(places):
-            group.append(k)
-            size += len(codes[k])
-    return out
+    trans = model.trans
+    way_in, way_out, within = (float(x.max()) for x in (trans[0, 1:] - trans[0, 0], trans[1:, 0] - trans[0, 0], trans[1:, 1:] - trans[0, 0]))
+    ends = np.cumsum(lengths)
+    lead = (scores[:, 1:].max(1) - scores[:, 0]).astype(np.float64) + within
+    lead[ends - lengths] -= min(way_in, 0.0)  # a run at a text's border has no way in or out
+    lead[ends - 1] -= min(way_out, 0.0)
+    total = np.concatenate([[0.0], np.cumsum(lead)])
+    ending = total[1:] - np.minimum.accumulate(total[:-1])
+    beginning = np.maximum.accumulate(total[:0:-1])[::-1] - total[:-1]
+    sure = ending + beginning - lead + way_in + way_out - within < -1e-3
+    tags = np.zeros(len(scores), np.int64)
+    near = ~sure
+    near[:-1] |= ~sure[1:]
+    near[1:] |= ~sure[:-1]
+    first = np.zeros(len(scores) + 1, bool)
+    first[ends - lengths] = True
+    begins = np.flatnonzero(near & (first[:-1] | ~np.concatenate([[False], near[:-1]])))
+    stops = np.flatnonzero(near & (first[1:] | (np.arange(len(scores)) == len(scores) - 1) | ~np.concatenate([near[1:], [False]]))) + 1
+    size = stops - begins
+    order = np.argsort(size, kind="stable")
+    at = 0
+    while at < len(order):
+        longest = max(8, 2 * int(size[order[at]]))
+        upto = min(int(np.searchsorted(size[order], longest, "right")), at + max(1, 2_000_000 // longest))
+        part = order[at:upto]
+        steps = int(size[part[-1]])
+        place = begins[part][:, None] + np.arange(steps)
+        inside = place < stops[part][:, None]
+        place = np.minimum(place, len(scores) - 1)
+        padded = scores[place]
+        padded[..., 1:] -= np.where(sure[place], 1e6, 0.0)[..., None].astype(np.float32)  # plain for certain
+        found = viterbi(padded, trans, size[part])
+        tags[place[inside]] = found[inside]
+        at = upto
+    return tags
 
 
-def _decoded(model: Tagger, codes: list[np.ndarray]) -> list[np.ndarray]:
-    """Tags of each region."""
-    windows, own = [], []
-    for n, c in enumerate(codes):
-        for at in range(0, max(1, len(c) - HOP), HOP):
-            w = np.zeros(WINDOW, np.int64)
-            w[: len(c[at : at + WINDOW])] = c[at : at + WINDOW]
-            windows.append(w)
-            own.append((n, at))
-    scores = np.concatenate([emissions(model, np.stack(windows[i : i + 1024])) for i in range(0, len(windows), 1024)])
-    whole = [np.zeros((len(c), TAGS), np.float32) for c in codes]
-    margin = (WINDOW - HOP) // 2
-    for (n, at), score in zip(own, scores, strict=True):
-        a = at if at == 0 else at + margin
-        b = min(len(whole[n]), at + WINDOW)
-        whole[n][a:b] = score[a - at : b - at]  # later windows overwrite what lies nearer to their middle
-    out: list[np.ndarray] = [None] * len(codes)
-    by_length: dict[int, list[int]] = {}
-    for n, c in enumerate(codes):
-        by_length.setdefault(-(-len(c) // 64), []).append(n)
-    for blocks, members in by_length.items():
-        for at in range(0, len(members), max(1, 4096 // blocks)):
-            part = members[at : at + max(1, 4096 // blocks)]
-            padded = np.zeros((len(part), blocks * 64, TAGS), np.float32)
-            for i, n in enumerate(part):
-                padded[i, : len(codes[n])] = whole[n]
-                padded[i, len(codes[n]) :, 0] = 20
-            for n, tags in zip(part, viterbi(padded, model.trans), strict=True):
-                out[n] = tags[: len(codes[n])]
-    return out
+def odds(model: Tagger, scores: np.ndarray, tags: np.ndarray, s: int, e: int) -> float:
+    """Log-odds of the span with its one tag against plain text in its place."""
+    k, t = tags[s], model.trans
+    return float((scores[s:e, k] - scores[s:e, 0]).sum() + (e - s - 1) * (t[k, k] - t[0, 0]) + t[0, k] + t[k, 0] - 2 * t[0, 0])
 
 
-def _spans(text, offset, tags, base):
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], tags, [0]))))
-    out = []
-    for a, b in zip(edge[:-1], edge[1:], strict=True):
-        if tags[a]:
-            kind, found = KINDS[tags[a] - 1], _CORE.search(text[offset + a : offset + b])
-            if found:
-                s, e = offset + int(a) + found.start(), offset + int(a) + found.end()
-                if _plausible(kind, text[s:e]) and not any(s < y and x < e for _, x, y in base):
-                    out.append((kind, s, e))
+def added_spans(model: Tagger, texts: list[str], base: list[list[tuple[str, int, int]]]) -> list[list[tuple[str, int, int]]]:
+    """Spans that the tagger adds to each text's base spans, without overlap with them. Every character of every text goes
+    through the network; a text is decoded once, as a whole."""
+    out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    codes = [char_classes(t) for t in texts]
+    lengths = np.array([len(c) for c in codes])
+    used = np.flatnonzero(lengths)
+    groups = np.split(used, np.flatnonzero(np.diff(np.cumsum(lengths[used]) // 1_000_000)) + 1) if len(used) else []
+    for group in groups:
+        joined, size = np.concatenate([codes[n] for n in group]), lengths[group]
+        scores = scored(model, joined, size)
+        tags = decoded(model, scores, size)
+        ends = np.cumsum(size)
+        starts = ends - size
+        change = np.flatnonzero(np.concatenate([[True], (tags[1:] != tags[:-1])]))
+        cuts = np.unique(np.concatenate([change, starts]))
+        cuts = cuts[tags[cuts] > 0]
+        change = np.append(change, len(tags))
+        for s in cuts:
+            n = int(np.searchsorted(ends, s, "right"))
+            e = min(int(change[np.searchsorted(change, s, "right")]), int(ends[n]))
+            if odds(model, scores, tags, int(s), e) < LEAST_ODDS:
+                continue
+            row, s, e = int(group[n]), int(s - starts[n]), int(e - starts[n])
+            found = _CORE.search(texts[row][s:e])
+            if found and LEAST_SPAN <= found.end() - found.start() <= MOST_SPAN:
+                s, e = s + found.start(), s + found.end()
+                if not any(s < y and x < e for _, x, y in base[row]):
+                    out[row].append((KINDS[tags[starts[n] + s] - 1], s, e))
     return out
 
 
@@ -374,7 +450,8 @@ def find_private(docs: DataFrame, model: Tagger) -> DataFrame:
     """docs with private added: an array of (kind, start, end, base), code points, end exclusive; and counts and digests
     n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (columns of these names are replaced).
 
-    Null and empty texts have no spans. The model (20 KB) is broadcast; each text is read whole, nothing is shuffled.
+    Null and empty texts have no spans; rows that repeat a text get the same spans each; an empty table gives no rows. Of
+    tags that tie the lower one is taken. The model (20 KB) is broadcast; each text is read whole, however long, and nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "private"]
@@ -391,8 +468,9 @@ def find_private(docs: DataFrame, model: Tagger) -> DataFrame:
             rows.append((*counts, hashlib.sha256(_joined(b).encode()).hexdigest(), _joined(b + m), private))
         return pd.DataFrame(rows, columns=names)
 
-    out = docs.drop(*names).withColumn("_found", run(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return out.withColumns({n: F.col(f"_found.{n}") for n in names}).drop("_found")
+    kept = [f"`{c}`" for c in docs.columns if c not in names]
+    out = docs.select(F.struct(*kept).alias("_row"), run(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_found"))
+    return out.select("_row.*", *[F.col(f"_found.{n}").alias(n) for n in names])
 
 
 def masked(docs: DataFrame, model: Tagger) -> DataFrame:

@@ -117,8 +117,8 @@ def fit(texts: list[str], labels: list[int], passes: int = PASSES, seed: int = 5
 
 
 def held_out(doc_id: Column) -> Column:
-    """Rows that the fit never sees: crc32 of doc_id as text, modulo 5, is 0."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+    """Rows that the fit never sees: crc32 of doc_id as text, modulo 5, is 0; not those without an id, which have no label."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Network:
@@ -136,7 +136,7 @@ def score_quality(docs: DataFrame, net: Network) -> DataFrame:
     """docs with score (0 to 1, higher: label 1 likelier) and predicted added; columns of these names are replaced.
 
     Every byte of every text is convolved, in steps of bounded size; null and empty texts get the score of one padded
-    filter. The network (130 KB) is broadcast; nothing is shuffled.
+    filter; rows that repeat a text get one and the same score; a score of just THRESHOLD counts as 1. The network (130 KB) is broadcast; nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)
 

@@ -98,8 +98,9 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], default: str = "a
         found = [trie.value.find(h, p) or (None, default) for h, p in zip(host, path, strict=True)]
         return pd.DataFrame(found, columns=["rule", "verdict"])
 
-    out = pages.drop("host", "path", "rule", "verdict").withColumns({"host": url_host(pages["url"]), "path": url_path(pages["url"])}).withColumn("_found", find("host", "path"))
-    return out.withColumns({"rule": F.col("_found.rule"), "verdict": F.col("_found.verdict")}).drop("_found")
+    kept = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")])
+    out = pages.select(kept.alias("_row"), url_host(pages["url"]).alias("host"), url_path(pages["url"]).alias("path")).withColumn("_found", find("host", "path"))
+    return out.select("_row.*", "host", "path", F.col("_found.rule").alias("rule"), F.col("_found.verdict").alias("verdict"))
 
 
 def without_blocked(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
