@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandwise.operators.graph import numbered
+
 #: Names of contigs (matched anywhere but for the first), and of assemblers (at the start of a name, in order).
 CONTIGS = r"^(TRINITY)|(NODE)|(k\d+)|(scaffold\d+)"
 ASSEMBLERS = {"spades": r"^(?:(spades)|(NODE))", "megahit": r"^(?:(megahit)|(k\d+))", "trinity": r"^(?:(trinity)|(TRINITY))"}
@@ -23,7 +25,7 @@ def taxid_from_file(file: Column) -> Column:
 
 def renumber(members: DataFrame, keys: list[str]) -> DataFrame:
     """members with cluster_id cl0, cl1, ... in the order of keys (file and number in it). The numbering runs over clusters."""
-    numbers = members.select(*keys).distinct().withColumn("cluster_id", F.concat(F.lit("cl"), (F.row_number().over(Window.orderBy(*keys)) - 1).cast("string")))
+    numbers = numbered(members.select(*keys).distinct(), keys, "cluster_id").withColumn("cluster_id", F.concat(F.lit("cl"), F.col("cluster_id").cast("string")))
     return members.join(numbers, keys)
 
 

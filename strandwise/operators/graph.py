@@ -66,7 +66,17 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     return vertices.select("id").distinct().join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
+def numbered(keys: DataFrame, order: list[str], name: str) -> DataFrame:
+    """keys with their place in the order, from 0, as name: sorted ranges are numbered each for itself, and start where the
+    ranges before them end, so no task holds more than a range and only the ranges' sizes meet in one."""
+    dealt = stored(keys.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
+    before = F.coalesce(F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = dealt.groupBy("_p").count().select("_p", before.alias("_before"))
+    within = dealt.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
+    return within.join(starts, "_p").withColumn(name, (F.col("_before") + F.col("_n") - 1).cast("long")).select(*keys.columns, name)
+
+
 def membership(components: DataFrame) -> DataFrame:
     """(id, cluster): clusters numbered from 0 by their smallest member. The numbering runs over components, not vertices."""
-    numbers = components.select("component").distinct().select("component", (F.row_number().over(Window.orderBy("component")) - 1).cast("long").alias("cluster"))
+    numbers = numbered(components.select("component").distinct(), ["component"], "cluster")
     return components.join(numbers, "component").select("id", "cluster")

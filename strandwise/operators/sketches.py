@@ -94,7 +94,7 @@ def cluster_sequences(of: DataFrame, lengths: DataFrame, share: float = 0.85, mi
     left, member = near, near.limit(0)
     for _ in range(rounds):
         open_keys = left.select(F.col(key).alias("centre")).distinct()
-        joins = stored(left.join(open_keys, "centre", "left_anti"))  # their candidate is a centre
+        joins = stored(left.join(open_keys, "centre", "left_anti").select(*near.columns))  # their candidate is a centre
         if joins.isEmpty():
             break
         member = member.unionAll(joins)

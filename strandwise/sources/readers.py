@@ -27,11 +27,19 @@ def _numbered(lines: DataFrame) -> DataFrame:
     return lines.select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"), "value")
 
 
+def _line_numbers(lines: DataFrame) -> DataFrame:
+    """(file, n, value) of _numbered() lines, n from 0 in each file: a line's place in its split, and the lines of the file's
+    splits before it. Only the splits' sizes meet in a window."""
+    placed = lines.withColumn("part", F.shiftright("line", 33))
+    sizes = placed.groupBy("file", "part").agg(F.min("line").alias("first"), F.count("*").alias("size"))
+    before = F.coalesce(F.sum("size").over(Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return placed.join(sizes.select("file", "part", "first", before.alias("before")), ["file", "part"]).select("file", (F.col("line") - F.col("first") + F.col("before")).alias("n"), "value")
+
+
 def read_fastq(spark: SparkSession, path, sample: str | None = None) -> DataFrame:
     """(sample, read_id, mate, seq, qual): records of four lines. A quality line may begin with '@', so records are told
-    apart by their lines' number in the file, which takes a window a file."""
-    lines = _numbered(spark.read.text(path))
-    n = F.row_number().over(Window.partitionBy("file").orderBy("line")) - 1
+    apart by their lines' number in the file."""
+    lines, n = _line_numbers(_numbered(spark.read.text(path))), F.col("n")
     line = lambda k: F.max(F.when(F.col("k") == k, F.col("value")))
     cut = lines.select("file", F.regexp_replace("value", "\\r$", "").alias("value"), F.floor(n / 4).alias("record"), (n % 4).alias("k"))
     whole = cut.groupBy("file", "record").agg(line(0).alias("head"), line(1).alias("seq"), line(2).alias("plus"), line(3).alias("qual")).filter("head like '@%' and plus like '+%'")
