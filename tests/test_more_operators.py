@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from strandwise.operators import alignments, clusters, flow, graph, hits, intervals, reads, report, sheets, sketches, taxonomy, variants
@@ -112,6 +113,14 @@ def test_taxa_and_reports(spark):
     assert rows(sketches.classify_words(of, taxa, taxonomy.ancestors(tree))) == [("x", "31", 2), ("y", "32", 1)]
 
 
+def test_deep_trees(spark):
+    chain = spark.createDataFrame([(str(i), str(i - 1) if i else None) for i in range(40)], "taxid string, parent_taxid string")
+    up = taxonomy.ancestors(chain)
+    assert rows(up.filter("taxid = '39'"), "depth") == [(i,) for i in range(40)] and up.count() == 40 * 41 // 2
+    with pytest.raises(RuntimeError):
+        taxonomy.ancestors(spark.createDataFrame([("a", "b"), ("b", "a")], "taxid string, parent_taxid string"), rounds=3)
+
+
 def test_names_and_ids(spark):
     records = spark.createDataFrame([("s", "a", "a b", "AC")], "sample string, seq_id string, description string, seq string")
     assert rows(flow.rename_records(records, "sample", "it1")) == [("s", "s_it1", "s_it1", "AC")] and rows(flow.rename_records(records, "sample"), "seq_id") == [("s",)]
