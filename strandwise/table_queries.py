@@ -920,3 +920,31 @@ EDGES = "SELECT l_orderkey AS src, l_partkey AS dst, l_discount AS weight FROM l
 def edges_filter(spark, d):
     edges = Tables(spark, d).lineitem.select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), F.col("l_discount").alias("weight"))
     return graph.filter_edges(edges, 0.05).withColumn("mode", F.lit("default")).unionAll(graph.filter_edges(edges, 0.97, "ani").withColumn("mode", F.lit("ani")))
+
+
+@query(f"SELECT count(*) AS total, count(*) FILTER (mapped) AS mapped, count(*) FILTER (paired) AS paired, count(*) FILTER (paired) AS proper_pair, count(*) FILTER (NOT mapped) AS unmapped, count(*) FILTER (reverse) AS reverse, " + ", ".join(f"0::bigint AS {n}" for n in ("mate_unmapped", "read1", "read2", "secondary", "qc_fail", "duplicate", "supplementary")) + f", ref % 10 AS part FROM ({ALIGNED}) GROUP BY ref % 10")
+def flag_counts_all(spark, d):
+    return alignments.flag_counts(_aligned(Tables(spark, d)).withColumn("part", F.col("ref") % 10), ["part"])
+
+
+@query(f"SELECT ref, round(stddev(tlen) FILTER (paired AND tlen > 0), 6) AS insert_sd, round(avg(quality), 6) AS mean_quality FROM ({ALIGNED}) GROUP BY 1")
+def align_spread(spark, d):
+    out = alignments.alignment_summary(_aligned(Tables(spark, d)), ["ref"])
+    return out.select("ref", F.round("insert_sd", 6).alias("insert_sd"), F.round("mean_quality", 6).alias("mean_quality"))
+
+
+STEPS = ", ".join(f"round(100 * count(*) FILTER (depth >= {c}) / 5000, 6) AS x{c}" for c in alignments.COVERAGE)
+
+
+@query(f"WITH dep AS (SELECT l_suppkey % 5 AS ref, l_orderkey % 5000 + 1 AS pos, count(*) AS depth FROM lineitem GROUP BY 1, 2), f AS (SELECT r.ref, i AS pos, coalesce(depth, 0) AS depth FROM (SELECT DISTINCT ref FROM dep) r CROSS JOIN range(1, 5001) t(i) LEFT JOIN dep ON dep.ref = r.ref AND dep.pos = i) SELECT ref, {STEPS} FROM f GROUP BY 1")
+def depth_steps(spark, d):
+    depth = Tables(spark, d).lineitem.groupBy((F.col("l_suppkey") % 5).alias("ref"), (F.col("l_orderkey") % 5000 + 1).alias("pos")).agg(F.count("*").alias("depth"))
+    out = alignments.depth_summary(depth, depth.select("ref").distinct().withColumn("length", F.lit(5000)))
+    return out.select("ref", *[F.round(f"x{c}", 6).alias(f"x{c}") for c in alignments.COVERAGE])
+
+
+@query("SELECT key, cycle, base, count(*) AS n, round(avg(unicode(base) - 33), 6) AS mean_quality FROM (SELECT role AS key, generate_subscripts(l, 1) - 1 AS cycle, unnest(l) AS base FROM (SELECT role, string_split(text, '') AS l FROM conversations WHERE text <> '')) GROUP BY 1, 2, 3")
+def cycle_profile(spark, d):
+    turns = Tables(spark, d).conversations.select(F.col("role").alias("key"), F.col("text").alias("seq"), F.col("text").alias("qual"))
+    out = alignments.cycle_metrics(turns, ["key"])
+    return out.select("key", F.col("cycle").cast("long").alias("cycle"), "base", "n", F.round("mean_quality", 6).alias("mean_quality"))
