@@ -927,10 +927,10 @@ def flag_counts_all(spark, d):
     return alignments.flag_counts(_aligned(Tables(spark, d)).withColumn("part", F.col("ref") % 10), ["part"])
 
 
-@query(f"SELECT ref, round(stddev(tlen) FILTER (paired AND tlen > 0), 6) AS insert_sd, round(avg(quality), 6) AS mean_quality FROM ({ALIGNED}) GROUP BY 1")
+@query(f"SELECT ref, round(stddev(tlen) FILTER (paired AND tlen > 0), 6) AS insert_sd, round(avg(quality) + 1e-9, 6) AS mean_quality FROM ({ALIGNED}) GROUP BY 1")
 def align_spread(spark, d):
     out = alignments.alignment_summary(_aligned(Tables(spark, d)), ["ref"])
-    return out.select("ref", F.round("insert_sd", 6).alias("insert_sd"), F.round("mean_quality", 6).alias("mean_quality"))
+    return out.select("ref", F.round("insert_sd", 6).alias("insert_sd"), F.round(F.col("mean_quality") + F.lit(1e-9), 6).alias("mean_quality"))
 
 
 STEPS = ", ".join(f"round(100 * count(*) FILTER (depth >= {c}) / 5000, 6) AS x{c}" for c in alignments.COVERAGE)
