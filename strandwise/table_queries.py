@@ -862,12 +862,32 @@ def constraint_summary(spark, d):
     return report.constraint_summary(least, ["size", "type"])
 
 
-@query()
+TURNS = "SELECT role AS key, conv_id * 1000 + turn AS read, generate_subscripts(l, 1) AS pos, unnest(l) AS kind FROM (SELECT role, conv_id, turn, string_split(translate(text, 'acgt', 'ACGT'), '') AS l FROM conversations WHERE text <> '')"
+
+
+def _refined_sql(rounds: int) -> str:
+    """Each round piles up the turns a tenth of whose letters agree with the sequence of the round before."""
+    steps = [f"l AS ({TURNS})", "c0 AS (SELECT key, pos, arg_min(kind, read) AS base FROM l GROUP BY 1, 2)"]
+    for n in range(1, rounds + 1):
+        steps.append(f"a{n} AS (SELECT read, key FROM l JOIN c{n - 1} USING (key, pos) GROUP BY 1, 2 HAVING 10 * count(*) FILTER (kind = base) >= count(*))")
+        counts = ", ".join(f"count(*) FILTER (kind = '{x}') AS \"{x}\"" for x in "ACGT")
+        steps.append(f"p{n} AS (SELECT *, (\"A\" + \"C\" + \"G\" + \"T\") AS n FROM (SELECT key, pos, {counts} FROM l JOIN a{n} USING (read, key) GROUP BY 1, 2))")
+        steps.append(f"c{n} AS (SELECT c.key, c.pos, CASE WHEN n >= 10 AND ({MASK}) < 15 THEN substr('{alignments.IUPAC}', ({MASK})::int + 1, 1) ELSE c.base END AS base FROM c{n - 1} c LEFT JOIN p{n} p ON p.key = c.key AND p.pos = c.pos)")
+    return f"WITH {', '.join(steps)} " + " UNION ALL ".join(f"SELECT key, 'it{n}' AS step, string_agg(base, '' ORDER BY pos) AS seq FROM c{n} GROUP BY 1" for n in range(1, rounds + 1))
+
+
+@query(_refined_sql(3))
 def refine_rounds(spark, d):
-    t = Tables(spark, d)
-    piled = _pile(t).withColumnRenamed("ref", "key")
-    first = intervals.sequence(_first_letters(t), ["ref"]).withColumnRenamed("ref", "key")
-    return alignments.refine(lambda current: piled.join(current.select("key"), "key", "left_semi"), first, 3)
+    turns = Tables(spark, d).conversations
+    text = F.split(F.translate("text", "acgt", "ACGT"), "")
+    letters = turns.select(F.col("role").alias("key"), (F.col("conv_id") * 1000 + F.col("turn")).alias("read"), F.posexplode(text).alias("pos", "kind")).filter("kind <> ''").withColumn("pos", F.col("pos") + 1)
+    first = intervals.sequence(letters.groupBy("key", "pos").agg(F.min_by("kind", "read").alias("base")), ["key"])
+
+    def align(current):
+        agree = letters.join(intervals.bases(current), ["key", "pos"]).groupBy("read", "key").agg(F.count_if(F.col("kind") == F.col("base")).alias("k"), F.count("*").alias("n")).filter("10 * k >= n")
+        return alignments.pileup(letters.join(agree.select("read", "key"), ["read", "key"]), ["key", "pos"])
+
+    return alignments.refine(align, first, 3)
 
 
 # ------------------------------------------------------------------ whole operators beside the narrower queries above
