@@ -154,7 +154,9 @@ def emissions(model: Tagger, x: np.ndarray) -> np.ndarray:
         twice = np.concatenate([np.ones(3 * HIDDEN), np.full(HIDDEN, 2.0)]).astype(np.float32)
         table, u = ((model.embed @ w[:EMBEDDED] + w[-1]) * twice).T.copy(), (w[EMBEDDED:-1] * twice).T.copy()
         sides.append(_passed(codes[::-1] if k else codes, table, u)[:: -1 if k else 1])
-    out = model.out[:HIDDEN].T @ sides[0] + model.out[HIDDEN:-1].T @ sides[1] + model.out[-1][:, None]
+    out = model.out[:HIDDEN].T @ sides[0]
+    out += model.out[HIDDEN:-1].T @ sides[1]
+    out += model.out[-1][:, None]
     return out.transpose(2, 0, 1)
 
 
@@ -340,23 +342,21 @@ _CORE = re.compile(r"[A-Za-z0-9+(](?:.*[A-Za-z0-9])?", re.S)
 def scored(model: Tagger, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Scores (characters, TAGS) of texts that stand one after the other in codes: windows of WINDOW characters every HOP cover
     each text, and each character takes its scores from the window in which it stands nearest to the middle."""
-    starts = np.cumsum(lengths) - lengths
-    windows = np.maximum(1, -(-(lengths - (WINDOW - HOP)) // HOP))
-    owner = np.repeat(np.arange(len(lengths)), windows)
-    nth = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    at, size = nth * HOP, lengths[owner]
-    margin, out, offset = (WINDOW - HOP) // 2, np.empty((len(codes), TAGS), np.float32), np.arange(WINDOW)
-    order = np.arange(len(owner))
-    for k in range(0, len(order), BATCH):
-        part = order[k : k + BATCH]
-        place = at[part][:, None] + offset
-        inside = place < size[part][:, None]
-        where = starts[owner[part]][:, None] + place
-        x = np.where(inside, codes[np.minimum(where, len(codes) - 1)], 0)
-        scores = emissions(model, x)
-        own = inside & ((offset >= margin) | (nth[part] == 0)[:, None]) & ((offset < WINDOW - margin) | (nth[part] == windows[owner[part]] - 1)[:, None])
-        out[where[own]] = scores[own]
-    return out
+    margin, out = (WINDOW - HOP) // 2, np.empty((TAGS, len(codes)), np.float32)
+    places = []  # where a window starts, its characters, and which of them take their scores from it
+    for start, length in zip((np.cumsum(lengths) - lengths).tolist(), lengths.tolist(), strict=True):
+        last = max(0, -(-(length - WINDOW) // HOP)) * HOP
+        places += [(start + at, min(WINDOW, length - at), margin if at else 0, WINDOW - margin if at < last else min(WINDOW, length - at)) for at in range(0, last + 1, HOP)]
+    places.sort(key=lambda place: place[1])
+    for k in range(0, len(places), BATCH):
+        part = places[k : k + BATCH]
+        x = np.zeros((len(part), part[-1][1]), np.int64)
+        for row, (at, size, _, _) in zip(x, part, strict=True):
+            row[:size] = codes[at : at + size]
+        scores = np.ascontiguousarray(emissions(model, x).transpose(0, 2, 1))
+        for row, (at, _, a, b) in zip(scores, part, strict=True):
+            out[:, at + a : at + b] = row[:, a:b]
+    return out.T
 
 
 def decoded(model: Tagger, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -370,7 +370,8 @@ def decoded(model: Tagger, scores: np.ndarray, lengths: np.ndarray) -> np.ndarra
     trans = model.trans
     way_in, way_out, within = (float(x.max()) for x in (trans[0, 1:] - trans[0, 0], trans[1:, 0] - trans[0, 0], trans[1:, 1:] - trans[0, 0]))
     ends = np.cumsum(lengths)
-    lead = (scores[:, 1:].max(1) - scores[:, 0]).astype(np.float64) + within
+    by_tag = scores.T
+    lead = (by_tag[1:].max(0) - by_tag[0]).astype(np.float64) + within
     lead[ends - lengths] -= min(way_in, 0.0)  # a run at a text's border has no way in or out
     lead[ends - 1] -= min(way_out, 0.0)
     total = np.concatenate([[0.0], np.cumsum(lead)])
@@ -396,9 +397,9 @@ def decoded(model: Tagger, scores: np.ndarray, lengths: np.ndarray) -> np.ndarra
         place = begins[part][:, None] + np.arange(steps)
         inside = place < stops[part][:, None]
         place = np.minimum(place, len(scores) - 1)
-        padded = scores[place]
-        padded[..., 1:] -= np.where(sure[place], 1e6, 0.0)[..., None].astype(np.float32)  # plain for certain
-        found = viterbi(padded, trans, size[part])
+        padded = scores[place].astype(np.float64)
+        padded[..., 1:] -= np.where(sure[place], 1e6, 0.0)[..., None]  # plain for certain
+        found = viterbi(padded, trans.astype(np.float64), size[part])
         tags[place[inside]] = found[inside]
         at = upto
     return tags

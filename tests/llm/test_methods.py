@@ -110,7 +110,7 @@ def test_private_decoding_is_exact(tagger):
     scores = private_data.scored(tagger, np.concatenate(codes), lengths)
     tags, at = private_data.decoded(tagger, scores, lengths), 0
     for n in lengths:
-        assert (private_data.viterbi(scores[at : at + n][None], tagger.trans)[0] == tags[at : at + n]).all()
+        assert (private_data.viterbi(scores[at : at + n][None].astype(float), tagger.trans.astype(float))[0] == tags[at : at + n]).all()
         at += n
 
 
