@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from strandwise.llm import exact_dups, fingerprints, html_text, mixing, packing, private_data, quality, toxicity, urls
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -315,3 +316,22 @@ def test_packing_callers_columns_and_keys(spark):
             same[(r.doc_id - 10) % 20].append(r.sequence_id >> 40)
     split = sum(len(set(parts)) > 1 for parts in same.values())
     assert split <= len({r.sequence_id >> 40 for r in out})  # copies meet in one shard, but for those at a border of ranges
+
+
+# ------------------------------------------------------------------ pipeline
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """Null ids, texts and sources, repeated rows, no label; then no document at all."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(None, None, None, None, None), (None, "alone without an id", "en", "a", 0), (1, "x y z", "en", "a", 0), (1, "x y z", "en", "a", 0), (2, "", "en", None, 0), (3, prose(3, 5000), "en", "b", 0), (4, prose(4, 60), "en", None, 0)]
+    for name, part in (("some", rows), ("none", [])):
+        spark.createDataFrame(part, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/some/documents.parquet")
+    for stage, left in zip([f for _, f in corpus_pipeline.STAGES[:3]], (7, 5, 5), strict=True):
+        docs = stage(spark, docs, f"{tmp_path}/some")
+        assert docs.columns == [c.split()[0] for c in schema.split(", ")] and docs.count() == left
+    out = corpus_pipeline.run(spark, f"{tmp_path}/some").collect()
+    assert {r.doc_id for r in out if r.length} <= {None, 1, 2, 3, 4} and sum(r.length for r in out) == sum(r.doc_tokens for r in out if not r.start)
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
