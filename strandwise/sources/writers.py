@@ -33,10 +33,12 @@ def write_cluster_json(clusters: DataFrame, path: str) -> None:
 
 
 def vcf_header(contigs: list[tuple[str, int]], sample: str) -> list[str]:
-    """Header lines of a variant file. Filters and format fields."""
-    filters = [("PASS", "All filters passed"), ("ft", "Fisher's exact test of variant frequency compared to mean error rate, p-value > 0.05"), ("sb", "Strand-bias filter not passed")]
-    formats = [("GT", "1", "String", "Genotype"), ("REF_DP", "1", "Integer", "Depth of reference base"), ("REF_RV", "1", "Integer", "Depth of reference base on reverse reads"), ("REF_QUAL", "1", "Integer", "Mean quality of reference base"), ("ALT_DP", "1", "Integer", "Depth of alternate base"), ("ALT_RV", "1", "Integer", "Depth of alternate base on reverse reads"), ("ALT_QUAL", "1", "Integer", "Mean quality of alternate base"), ("ALT_FREQ", "1", "Float", "Frequency of alternate base")]
-    lines = ["##fileformat=VCFv4.2", *[f"##contig=<ID={c},length={n}>" for c, n in contigs], '##INFO=<ID=DP,Number=1,Type=Integer,Description="Total depth">']
+    """Header lines of a variant file. The names of filters and format fields."""
+    filters = [("PASS", "Passed every filter"), ("ft", "No more frequent than errors are, by Fisher's exact test"), ("sb", "Strand bias")]
+    depths = [("REF_DP", "Reads with the reference base"), ("REF_RV", "Reverse reads with the reference base"), ("REF_QUAL", "Mean quality of the reference base")]
+    depths += [("ALT_DP", "Reads with the alternate base"), ("ALT_RV", "Reverse reads with the alternate base"), ("ALT_QUAL", "Mean quality of the alternate base")]
+    formats = [("GT", "1", "String", "Genotype"), *[(k, "1", "Integer", d) for k, d in depths], ("ALT_FREQ", "1", "Float", "Share of reads with the alternate base")]
+    lines = ["##fileformat=VCFv4.2", *[f"##contig=<ID={c},length={n}>" for c, n in contigs], '##INFO=<ID=DP,Number=1,Type=Integer,Description="Reads at the position">']
     lines += [f'##FILTER=<ID={k},Description="{d}">' for k, d in filters] + [f'##FORMAT=<ID={k},Number={n},Type={t},Description="{d}">' for k, n, t, d in formats]
     return [*lines, "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", sample])]
 
