@@ -271,7 +271,11 @@ def _decoy(rng: np.random.Generator) -> str:
     """Digits and marks that are no personal data: keys, counts, dates, prices, versions, times, ranges."""
     n = int(rng.integers(0, 10**6))
     text = lambda k, of: "".join(rng.choice(list(of), k))
-    made = [str(n), f"{n % 100}.{n % 7}", f"20{n % 90 + 10}-{n % 12 + 1:02}-{n % 28 + 1:02}", f"${n}.99", f"v{n % 9}.{n % 30}.{n % 4}", "AKIA" + text(16, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), "password=" + text(20, "0123456789abcdef"), f'token = "{text(40, "0123456789abcdef")}"', f"at {n % 24} dot {text(4, 'abcdef')}", f"{n % 999}%", f"{n % 24}:{n % 60:02}", f"{n % 28 + 1}.{n % 12 + 1}.19{n % 90 + 10}", f"{n % 900}-{n % 999}", f"version {n % 9}.{n % 10}", f"{n:,} of {n * 3:,}", "@" + text(7, "abcdefghij"), f"look at {text(5, 'abcdefgh')} dot by dot", f"#{n} [{n % 90}]", "e" * 40 + "!!", f"{n} {n % 77} {n % 13}"]
+    made = [str(n), f"{n % 100}.{n % 7}", f"20{n % 90 + 10}-{n % 12 + 1:02}-{n % 28 + 1:02}", f"${n}.99", f"v{n % 9}.{n % 30}.{n % 4}"]
+    made += ["AKIA" + text(16, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), "password=" + text(20, "0123456789abcdef"), f'token = "{text(40, "0123456789abcdef")}"']
+    made += [f"at {n % 24} dot {text(4, 'abcdef')}", f"{n % 999}%", f"{n % 24}:{n % 60:02}", f"{n % 28 + 1}.{n % 12 + 1}.19{n % 90 + 10}", f"{n % 900}-{n % 999}"]
+    made += [f"version {n % 9}.{n % 10}", f"{n:,} of {n * 3:,}", "@" + text(7, "abcdefghij"), f"look at {text(5, 'abcdefgh')} dot by dot", f"#{n} [{n % 90}]"]
+    made += ["e" * 40 + "!!", f"{n} {n % 77} {n % 13}"]
     return made[int(rng.integers(0, len(made)))]
 
 
