@@ -18,7 +18,9 @@ def call_variants(piled: DataFrame, keys: list[str], min_depth: int = 10, min_fr
     with enough reads."""
     long = piled.withColumn("total", depth()).filter(F.col("total") >= min_depth).select(*keys, "ref_base", "total", F.explode(F.array(*[F.struct(F.lit(b).alias("alt"), F.col(b).alias("alt_depth")) for b in "ACGT"])).alias("v"), *"ACGT")
     ref_depth = F.element_at(F.create_map(*[x for b in "ACGT" for x in (F.lit(b), F.col(b))]), F.col("ref_base"))
-    return long.select(*keys, "ref_base", F.col("v.alt").alias("alt"), F.coalesce(ref_depth, F.lit(0)).alias("ref_depth"), F.col("v.alt_depth").alias("alt_depth"), "total", (F.col("v.alt_depth") / F.col("total")).alias("freq")).filter((F.col("alt") != F.col("ref_base")) & (F.col("freq") >= min_freq) & (F.col("alt_depth") > 0))
+    alt_depth = F.col("v.alt_depth")
+    named = long.select(*keys, "ref_base", F.col("v.alt").alias("alt"), F.coalesce(ref_depth, F.lit(0)).alias("ref_depth"), alt_depth.alias("alt_depth"), "total", (alt_depth / F.col("total")).alias("freq"))
+    return named.filter((F.col("alt") != F.col("ref_base")) & (F.col("freq") >= min_freq) & (F.col("alt_depth") > 0))
 
 
 def typed(variants: DataFrame) -> DataFrame:
