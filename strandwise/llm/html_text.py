@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 #: Lines in a block, and the least characters of a block that make a surge.
 WINDOW, SURGE = 3, 80
 #: Elements whose content is never text, elements outside the main text, names of classes and ids that mark
-#: such parts, names that may stand beside those in one class, and elements that don't break lines.
+#: such parts, names that may stand beside those in one class, marks that don't count as the last part of another name, words
+#: that make a name one of a layout, and elements that don't break lines.
 SILENT = "script style noscript template iframe svg math canvas object select textarea button title head audio video".split()
 ASIDE = "nav header footer aside form menu dialog".split()
 MARKS = "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies disclaimer footer header masthead menu nav navbar navigation contentinfo complementary newsletter notice popup promo promoted related reply replies share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
-PLAIN = "area bar block box bottom col column container desktop fixed global group inner item items left link links list mobile outer page panel primary right row secondary section site sticky top widget wrap wrapper".split()
+PLAIN = "area articles bar block body bottom box button buttons col column consent container content desktop fixed form global group icons inner item items left link links list mobile outer page panel posts primary right row secondary section signup site slot sticky stories text top unit wrap wrapper".split()
+WEAK = "header masthead reply replies".split()
+LAYOUT = "with without has no".split()
 INLINE = "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 #: Elements that end by themselves: they don't hold others open.
@@ -27,16 +30,20 @@ LOOSE = "p li dt dd tr td th option thead tbody tfoot colgroup".split()
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^<>]*)>", re.S)
 _NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
-_SETS = {name: frozenset(values) for name, values in {"silent": SILENT, "aside": ASIDE, "marks": MARKS, "plain": PLAIN, "inline": INLINE, "void": VOID, "loose": LOOSE}.items()}
+_SETS = {name: frozenset(values) for name, values in {"silent": SILENT, "aside": ASIDE, "marks": MARKS, "plain": PLAIN, "weak": WEAK, "layout": LAYOUT, "inline": INLINE, "void": VOID, "loose": LOOSE}.items()}
 
 
 def _marked(attributes: str) -> bool:
-    """Whether a class, id or role names a part outside the main text: a whole name, all of whose parts are in MARKS or PLAIN."""
+    """Whether a class, id or role names a part outside the main text: a whole name whose parts are all in MARKS or PLAIN, one
+    of them in MARKS, as comment-list; or whose last part is in MARKS and not WEAK, as reader-comments, but not with-sidebar."""
     for found in _NAME.finditer(attributes):
         for name in (found[1] or found[2] or found[3] or "").lower().split():
             parts = [x for x in re.split(r"[_-]+|[0-9]+", name) if x]
-            if any(x in _SETS["marks"] for x in parts) and all(x in _SETS["marks"] or x in _SETS["plain"] for x in parts):
-                return True
+            if any(x in _SETS["marks"] for x in parts):
+                if all(x in _SETS["marks"] or x in _SETS["plain"] for x in parts):
+                    return True
+                if parts[-1] in _SETS["marks"] and parts[-1] not in _SETS["weak"] and not any(x in _SETS["layout"] for x in parts):
+                    return True
     return False
 
 

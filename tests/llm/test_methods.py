@@ -81,6 +81,8 @@ def test_html_keeps_text():
         '<div id="share-layout"><p>abc</p></div>': "abc",
         '<div class="content sidebar"><p>The only text of this page.</p></div>': "The only text of this page.",
         '<article><p>Story.</p><div class="site-comments"><p>' + prose(3, 90) + "</p></div></article>": "Story.",
+        '<article><div class="entry-header"><h1>Head</h1></div><p>Story.</p><div class="reader-comments"><p>Reader.</p></div><div class="ad-slot">Buy</div></article>': "Head\nStory.",
+        '<div class="has-sidebar"><p>Text.</p><div class="main-nav"><p>Menu</p></div></div>': "Text.",
         "<p>x</p>" * 3: "x\nx\nx",
     }
     for page, text in cases.items():
