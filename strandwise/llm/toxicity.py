@@ -176,12 +176,13 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, rows_a_class: int = ROWS_A
     Labels are 0 or 1; grade 0 is label 0. Toxic documents are graded 1 to GRADES by thirds, in order of the evidence of
     tell-tale features chosen on the other half of the sample: the cuts above the first carry that order, not a label.
     Texts become features in the tasks; the driver gets counts by feature, at most FEATURES, and the few
-    features of each text that were chosen. Near copies, and rows that repeat an id or a text, count once. Empty and null
+    features of each text that were chosen. Near copies count once, and of rows that repeat an id the least text. Empty and null
     texts have no features. Without labelled documents of both classes the model calls nothing toxic.
     """
     spark = docs.sparkSession
     chosen = sample_of_labels(labels, "toxic", rows_a_class)
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "_id")
+    rows = rows.groupBy("_id", "toxic").agg(F.min("text").alias("text"))  # an id's rows are reduced where they lie, however many
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
