@@ -20,7 +20,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Hidden units a direction, values of a character, tags (0: none, then KINDS), length of the windows that are trained on,
 #: length of those that are decoded, and the step between them.
-HIDDEN, EMBEDDED, TAGS, TRAINED, WINDOW, HOP = 12, 12, 5, 96, 320, 288
+HIDDEN, EMBEDDED, TAGS, TRAINED, WINDOW, HOP = 12, 12, 5, 96, 480, 448
 #: Labelled windows made for the fit, those that a pass trains on at random, and beside them at most those that the model
 #: tags wrongly; passes; and the log-odds against plain text that a span needs to be added.
 EXAMPLES, DRAWN, WRONG, PASSES, LEAST_ODDS = 16_000, 3000, 1500, 16, 4.0
@@ -129,21 +129,25 @@ def _lstm_back(x, w, kept, dout):
 
 def _passed(codes: np.ndarray, table: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Hidden values (steps, HIDDEN, windows) of one direction. codes: (steps, windows); table: what each class adds to each
-    gate; u: recurrent weights. The last gate's columns hold twice their value: tanh(x) = 2 / (1 + exp(-2x)) - 1."""
+    gate; u: recurrent weights. Both hold the negative of their value, as 1 / (1 + exp(-x)) takes it, and the last gate's twice
+    that: tanh(x) = 2 / (1 + exp(-2x)) - 1."""
     steps, n = codes.shape
     out = np.empty((steps, HIDDEN, n), np.float32)
-    h, c, z = np.zeros((HIDDEN, n), np.float32), np.zeros((HIDDEN, n), np.float32), np.empty((4 * HIDDEN, n), np.float32)
+    h, c, now = np.zeros((HIDDEN, n), np.float32), np.zeros((HIDDEN, n), np.float32), np.empty((HIDDEN, n), np.float32)
+    z, more = np.empty((4 * HIDDEN, n), np.float32), np.empty((4 * HIDDEN, n), np.float32)
+    i, f, o, g = (z[k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
     for t in range(steps):
         np.take(table, codes[t], axis=1, out=z, mode="clip")
-        z += u @ h
-        np.negative(z, out=z)
+        z += np.matmul(u, h, out=more)
         np.exp(z, out=z)
         z += 1
         np.reciprocal(z, out=z)
-        i, f, o, g = (z[k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
-        c = f * c + i * (2 * g - 1)
-        np.multiply(o, np.tanh(c), out=out[t])
-        h = out[t]
+        g *= 2
+        g -= 1
+        g *= i
+        c *= f
+        c += g
+        h = np.multiply(o, np.tanh(c, out=now), out=out[t])
     return out
 
 
@@ -151,8 +155,8 @@ def emissions(model: Tagger, x: np.ndarray) -> np.ndarray:
     """Scores (windows, steps, TAGS) of windows of character classes (windows, steps)."""
     codes, sides = np.ascontiguousarray(x.T), []
     for k, w in enumerate(model.lstm):
-        twice = np.concatenate([np.ones(3 * HIDDEN), np.full(HIDDEN, 2.0)]).astype(np.float32)
-        table, u = ((model.embed @ w[:EMBEDDED] + w[-1]) * twice).T.copy(), (w[EMBEDDED:-1] * twice).T.copy()
+        sign = -np.concatenate([np.ones(3 * HIDDEN), np.full(HIDDEN, 2.0)]).astype(np.float32)
+        table, u = ((model.embed @ w[:EMBEDDED] + w[-1]) * sign).T.copy(), (w[EMBEDDED:-1] * sign).T.copy()
         sides.append(_passed(codes[::-1] if k else codes, table, u)[:: -1 if k else 1])
     out = model.out[:HIDDEN].T @ sides[0]
     out += model.out[HIDDEN:-1].T @ sides[1]
