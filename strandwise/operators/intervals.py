@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandwise.operators.scan import dealt, running
+
 #: Width of the bins that turn range joins into equi joins.
 BIN = 1 << 14
 
 
 def merge_intervals(df: DataFrame, keys: list[str], gap: int = 0) -> DataFrame:
-    """Overlapping or touching (up to gap apart) intervals as one, with n: how many went in."""
-    w = Window.partitionBy(*keys).orderBy("start", "end")
-    far = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = df.withColumn("_new", F.when(far.isNull() | (F.col("start") > far + gap), 1).otherwise(0))
-    return marked.withColumn("_g", F.sum("_new").over(w)).groupBy(*keys, "_g").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("_g")
+    """Overlapping or touching (up to gap apart) intervals as one, with n: how many went in. A key's intervals are scanned by
+    ranges, so a key of any number of them is no single task's work."""
+    order = ["start", "end"]
+    far = running(dealt(df.select(*keys, *order), keys, order), keys, order, {"_far": ("max", F.col("end"))}, before=True)
+    marked = far.withColumn("_new", F.when(F.col("_far").isNull() | (F.col("start") > F.col("_far") + gap), 1).otherwise(0))
+    return running(marked, keys, order, {"_g": ("sum", F.col("_new"))}).groupBy(*keys, "_g").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("_g")
 
 
 def runs(df: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
-    """Distinct positions as runs of consecutive ones: (keys, start, end), end inclusive."""
-    w = Window.partitionBy(*keys).orderBy(pos)
-    return df.select(*keys, pos).distinct().withColumn("_g", F.col(pos) - F.row_number().over(w)).groupBy(*keys, "_g").agg(F.min(pos).alias("start"), F.max(pos).alias("end")).drop("_g")
+    """Distinct positions as runs of consecutive ones: (keys, start, end), end inclusive. Scanned by ranges, as intervals are."""
+    placed = running(dealt(df.select(*keys, pos).distinct(), keys, [pos]), keys, [pos], {"_n": ("sum", F.lit(1))})
+    return placed.groupBy(*keys, (F.col(pos) - F.col("_n")).alias("_g")).agg(F.min(pos).alias("start"), F.max(pos).alias("end")).drop("_g")
 
 
 def low_depth(depth: DataFrame, limit: int, inclusive: bool = False) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandwise import schemas
+from strandwise.operators.scan import dealt, running
 
 #: Most bytes of a sheet that the driver parses.
 MOST_SHEET = 16 << 20
@@ -106,9 +107,8 @@ def read_key_values(spark: SparkSession, path) -> DataFrame:
 
 def read_cdhit(spark: SparkSession, path) -> DataFrame:
     """(file, cluster, member, is_centroid) of .clstr files: each member belongs to the last header above it."""
-    lines = _numbered(spark.read.text(path))
-    w = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    marked = lines.withColumn("cluster", F.last(F.expr("try_cast(nullif(regexp_extract(value, '^>Cluster\\\\s+(\\\\d+)', 1), '') as long)"), ignorenulls=True).over(w))
+    header = F.expr("try_cast(nullif(regexp_extract(value, '^>Cluster\\\\s+(\\\\d+)', 1), '') as long)")
+    marked = running(dealt(_numbered(spark.read.text(path)), ["file"], ["line"]), ["file"], ["line"], {"cluster": ("last", header)})
     members = marked.filter(~F.col("value").startswith(">Cluster")).withColumn("member", F.regexp_extract("value", ">(.+?)\\.\\.\\.", 1)).filter("member <> ''")
     return members.select("file", "cluster", "member", F.col("value").endswith("*").alias("is_centroid"))
 
@@ -142,10 +142,12 @@ def read_membership(spark: SparkSession, path, header: bool = False, contigs: st
 
     lines = _numbered(spark.read.text(path)).withColumn("p", F.split("value", "\t")).select("file", "line", F.col("p")[0].alias("member"), F.col("p")[1].alias("cluster"))
     if header:
-        lines = lines.withColumn("_n", F.row_number().over(Window.partitionBy("file").orderBy("line"))).filter("_n > 1").drop("_n")
+        top = lines.groupBy("file").agg(F.min("line").alias("_top"))  # a row a file
+        lines = lines.join(top, "file").filter("line > _top").drop("_top")
     order = F.struct(F.col("member").rlike(contigs or CONTIGS).alias("contig"), "line")
-    first = F.min(order).over(Window.partitionBy("file", "cluster"))
-    return lines.select("file", "cluster", "member", (order == first).alias("is_centroid"))
+    first = lines.groupBy(F.col("file").alias("_file"), F.col("cluster").alias("_cluster")).agg(F.min(order)["line"].alias("_first"))
+    joined = lines.join(first, (F.col("file") == F.col("_file")) & F.col("cluster").eqNullSafe(F.col("_cluster")))
+    return joined.select("file", "cluster", "member", (F.col("line") == F.col("_first")).alias("is_centroid"))
 
 
 def read_idxstats(spark: SparkSession, path) -> DataFrame:
@@ -168,13 +170,12 @@ def read_kraken_report(spark: SparkSession, path) -> DataFrame:
     p = F.split("value", "\t")
     rows = _numbered(spark.read.text(path)).select("file", "line", F.trim(p[0]).cast("double").alias("percent"), F.trim(p[1]).cast("long").alias("clade_reads"), F.trim(p[2]).cast("long").alias("direct_reads"), F.trim(p[3]).alias("rank"), F.trim(p[4]).alias("taxid"), p[5].alias("raw"))
     rows = rows.withColumn("level", ((F.length("raw") - F.length(F.ltrim("raw"))) / 2).cast("int")).withColumn("name", F.trim("raw")).drop("raw")
-    path_so_far = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    deepest = rows.agg(F.max("level")).first()[0] or 0  # ranks of a taxonomy, a few dozen
-    parent = F.lit(None).cast("string")
-    for level in range(1, deepest + 1):
-        above = F.last(F.when(F.col("level") == level - 1, F.col("taxid")), ignorenulls=True).over(path_so_far)
-        parent = F.when(F.col("level") == level, above).otherwise(parent)
-    return rows.withColumn("parent_taxid", F.when(F.col("rank") != "U", parent)).drop("line", "level")
+    ranges = dealt(rows, ["file"], ["line"])
+    deepest = ranges.agg(F.max("level")).first()[0] or 0  # ranks of a taxonomy, a few dozen
+    above = {f"_at{level}": ("last", F.when(F.col("level") == level, F.col("taxid"))) for level in range(deepest)}
+    parent = F.coalesce(*[F.when(F.col("level") == level + 1, F.col(f"_at{level}")) for level in range(deepest)], F.lit(None).cast("string"))
+    placed = running(ranges, ["file"], ["line"], above, before=True) if above else ranges
+    return placed.withColumn("parent_taxid", F.when(F.col("rank") != "U", parent)).drop("line", "level", "_range", *above)
 
 
 def read_screen(spark: SparkSession, path) -> DataFrame:
