@@ -295,7 +295,8 @@ def scores(found: DataFrame, counts: DataFrame) -> DataFrame:
                 yield from out()
         yield from out()
 
-    joined = found.select("pair", "chunk", "plane", "docs").join(counts, "pair").select("chunk", "plane", "n", "best", "docs")
+    # the pairs of a vocabulary aren't few enough to broadcast, so the same join at every size
+    joined = found.select("pair", "chunk", "plane", "docs").join(counts.hint("merge"), "pair").select("chunk", "plane", "n", "best", "docs")
     added = joined.repartition("chunk").mapInArrow(run, "chunk long, low int, n_best long, count_sum long")
     return added.groupBy("chunk", "low").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
 
