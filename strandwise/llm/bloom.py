@@ -83,13 +83,18 @@ def hit_bits(df: DataFrame, hash_column: str, bits: int) -> np.ndarray:
     return repeated_bits(twice, "h", bits)
 
 
+def held(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """True where all positions of a hash are set in the bitmap."""
+    where = positions(hashes, len(bitmap) * 8)
+    return ((bitmap[(where >> np.uint64(3)).astype(np.int64)] >> (where & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)
+
+
 def may_hold(df: DataFrame, bitmap: np.ndarray, hashed: Column) -> Column:
     """True where all positions of the hash are set in the bitmap (broadcast; MOST_BITS / 8 bytes at most)."""
-    shared, bits = df.sparkSession.sparkContext.broadcast(bitmap), len(bitmap) * 8
+    shared = df.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("boolean")
-    def held(h: pd.Series) -> pd.Series:
-        byte_map, where = shared.value, positions(h.to_numpy().view(np.uint64), bits)
-        return pd.Series(((byte_map[(where >> np.uint64(3)).astype(np.int64)] >> (where & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0))
+    def run(h: pd.Series) -> pd.Series:
+        return pd.Series(held(shared.value, h.to_numpy().view(np.uint64)))
 
-    return held(hashed)
+    return run(hashed)

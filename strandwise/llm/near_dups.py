@@ -271,6 +271,14 @@ def _sets(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
     return near.join(reps.select("rep"), "rep", "left_semi").mapInArrow(run, "rep long, members binary").dropDuplicates(["rep"])
 
 
+def verified_links(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Edges (src, dst) of the pairs (x, y) of doc_ids whose full sets of k-word shingles reach the percentage; only the texts
+    in pairs are read again."""
+    pairs = stored(pairs)
+    ids = stored(pairs.select(F.explode(F.array("x", "y")).alias("rep")).distinct())
+    return _verified(pairs, stored(_sets(docs, ids, k), TEXT_ROWS), percent)
+
+
 def near_duplicate_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs (doc_id, text, any other columns).
 

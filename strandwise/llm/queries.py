@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strandwise.llm import alignment, exact_dups, fingerprints, html_text, mixing, near_dups, packing, prefix_trie, private_data, quality, toxicity, urls
+from strandwise.llm import alignment, exact_dups, fingerprints, html_text, mixing, near_dups, packing, parity_join, prefix_trie, private_data, quality, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,13 +64,17 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.similar_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"), width=4, percent=85)
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_tokenizers(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [op1_html_text, op2_private_data, op3_mixing, op4_toxicity, op5_urls, op6_fingerprints, op7_near_dups, op8_packing, op9_quality, op10_exact_dups]
-    own += [op11_prefix_trie, op13_alignment]
+    own += [op11_prefix_trie, op12_parity_join, op13_alignment]
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
