@@ -90,6 +90,65 @@ def aligned_bases(alignments: DataFrame) -> DataFrame:
     return rows.select("ref", F.when(F.col("b.op") == "I", F.col("b.at") - 1).otherwise(F.col("b.at") + F.col("i")).alias("pos"), kind.alias("kind"))
 
 
+def alleles(alignments: DataFrame, keys: list[str] = ("ref",)) -> DataFrame:
+    """(keys, pos, allele, deleted, quality, reverse) of alignments (keys, pos 1-based, flag, cigar, seq, qual): a letter at each
+    aligned place, * at each deleted one, and at the place before an insertion + and the whole inserted string, before a
+    deletion - with how many bases it takes out. Letters a-z count as A-Z.
+
+    quality: a letter's own, the mean of an insertion's letters rounded down, for deletions that of the base before; null where
+    the read has none (* or no string). Unmapped reads, and reads without a sequence, give no rows. Each part of a read goes
+    on by itself, so long reads aren't copied for each of their places."""
+    parts = F.regexp_extract_all("cigar", F.lit(r"(\d+)([MIDNSHP=X])"), F.lit(0))
+    empty = F.array().cast("array<struct<at:long,from:long,n:long,op:string>>")
+    init = F.struct(F.col("pos").cast("long").alias("r"), F.lit(1).cast("long").alias("q"), empty.alias("out"))
+
+    def step(acc, part):
+        op, n = F.right(part, F.lit(1)), F.regexp_extract(part, r"^(\d+)", 1).cast("long")
+        on_ref, on_read = op.isin("M", "=", "X", "D", "N"), op.isin("M", "=", "X", "I", "S")
+        block = F.struct(acc["r"].alias("at"), acc["q"].alias("from"), n.alias("n"), op.alias("op"))
+        return F.struct(F.when(on_ref, acc["r"] + n).otherwise(acc["r"]).alias("r"), F.when(on_read, acc["q"] + n).otherwise(acc["q"]).alias("q"), F.concat(acc["out"], F.array(block)).alias("out"))
+
+    upper = F.translate("seq", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    mapped = alignments.filter(~has(F.col("flag"), "unmapped") & F.col("cigar").isNotNull() & F.col("seq").isNotNull())
+    reads = mapped.select(*keys, has(F.col("flag"), "reverse").alias("reverse"), upper.alias("seq"), F.when(F.length("qual") == F.length("seq"), F.col("qual")).alias("qual"), F.explode(F.aggregate(parts, init, step, lambda a: a["out"])).alias("b"))
+    start, size = F.col("b.from").cast("int"), F.col("b.n").cast("int")
+    cut = lambda c: F.when(F.col("b.op") == "D", F.substring(c, start - 1, F.lit(1))).otherwise(F.substring(c, start, size))
+    blocks = reads.filter("b.op in ('M', '=', 'X', 'D', 'I') and b.n > 0").select(*keys, "reverse", F.col("b.at").alias("at"), F.col("b.n").alias("n"), F.col("b.op").alias("op"), cut("seq").alias("s"), cut("qual").alias("q"))
+    score = lambda c: F.ascii(c) - 33
+    letters = F.arrays_zip(F.split("s", "").alias("base"), F.split(F.coalesce("q", F.lit("")), "").alias("q"))
+    aligned = blocks.filter("op not in ('I', 'D')").select(*keys, "reverse", "at", F.posexplode(letters).alias("i", "l")).filter("l.base <> ''")
+    none = F.lit(None).cast("long")
+    out = aligned.select(*keys, (F.col("at") + F.col("i")).alias("pos"), F.col("l.base").alias("allele"), none.alias("deleted"), F.when(F.col("l.q") != "", score(F.col("l.q"))).alias("quality"), "reverse")
+    marks = F.filter(F.split("q", ""), lambda x: x != "")
+    mean = F.floor(F.try_divide(F.aggregate(marks, F.lit(0), lambda total, x: total + score(x)), F.size(marks))).cast("int")
+    inserted = blocks.filter("op = 'I' and s <> ''").select(*keys, (F.col("at") - 1).alias("pos"), F.concat(F.lit("+"), "s").alias("allele"), none.alias("deleted"), mean.alias("quality"), "reverse")
+    deleted = blocks.filter("op = 'D'").withColumn("quality", F.when(F.col("q") != "", score(F.col("q"))))
+    before = deleted.select(*keys, (F.col("at") - 1).alias("pos"), F.lit("-").alias("allele"), F.col("n").alias("deleted"), "quality", "reverse")
+    gone = deleted.select(*keys, F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("pos"), F.lit("*").alias("allele"), none.alias("deleted"), "quality", "reverse")
+    return out.unionAll(inserted).unionAll(before).unionAll(gone)
+
+
+def count_alleles(found: DataFrame, keys: list[str] = ("ref",), min_quality: int = 20) -> DataFrame:
+    """(keys, pos, allele, deleted, dp, rv, quality) of alleles(): reads, reverse ones and the sum of qualities for each allele
+    string, from rows of at least min_quality or without one. Reads are counted before the shuffle, so a deep place is a row
+    an allele and task."""
+    good = found.filter(F.col("quality").isNull() | (F.col("quality") >= min_quality))
+    return good.groupBy(*keys, "pos", "allele", "deleted").agg(F.count("*").alias("dp"), F.count_if("reverse").alias("rv"), F.sum("quality").alias("quality"))
+
+
+def inserted_consensus(counted: DataFrame, keys: list[str] = ("ref",), min_depth: int = 1, insertion: float = 0.1) -> DataFrame:
+    """(keys, seq) of count_alleles(): at each place the commonest of A, C, G, T (an IUPAC code for ties, N under min_depth),
+    and after it the commonest inserted string, if it has at least that share of the reads there; of equally common ones the
+    first in order. Reads with the place deleted count as depth for the share, not for the base."""
+    n = lambda allele: F.sum(F.when(F.col("allele") == allele, F.col("dp")).otherwise(0)).alias("gone" if allele == "*" else allele)
+    plus = F.col("allele").startswith("+")
+    top = F.min(F.when(plus, F.struct((-F.col("dp")).alias("n"), F.expr("substring(allele, 2)").alias("s"))))
+    piled = counted.groupBy(*keys, "pos").agg(*[n(b) for b in ("A", "C", "G", "T", "*")], top.alias("top"))
+    share = F.try_divide(-F.col("top.n"), depth() + F.col("gone"))
+    after = F.when(share >= insertion, F.col("top.s")).otherwise("")
+    return sequence(piled.withColumn("base", F.concat(consensus_base(min_depth), F.coalesce(after, F.lit("")))), list(keys))
+
+
 def pileup(counted: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, A, C, G, T, ins, del) from rows with a kind each. Counted before the shuffle, so deep places are cheap."""
     return counted.groupBy(*keys).agg(*[F.count_if(F.col("kind") == k).alias(k) for k in ("A", "C", "G", "T", "ins", "del")])

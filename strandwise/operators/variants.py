@@ -23,6 +23,32 @@ def call_variants(piled: DataFrame, keys: list[str], min_depth: int = 10, min_fr
     return named.filter((F.col("alt") != F.col("ref_base")) & (F.col("freq") >= min_freq) & (F.col("alt_depth") > 0))
 
 
+def call_alleles(counted: DataFrame, references: DataFrame, key: str = "ref", min_depth: int = 10, min_freq: float = 0.25) -> DataFrame:
+    """(chrom, pos, ref, alt, ref_dp, ref_rv, ref_qual, alt_dp, alt_rv, alt_qual, freq, total) of count_alleles() on references
+    (key, seq), named by key: bases other than the reference's, inserted strings as +X and deleted ones as -X (for typed()), of enough
+    frequency at places of enough depth. total: reads with A, C, G, T or the place deleted; an insertion or deletion stands at
+    the place before it. Qualities are means, null without any. Places outside the reference are left out.
+
+    Depths are summed over a place's alleles, of which there are as many as strings, not reads. Deleted strings are read from
+    the reference only for deletions that are called."""
+    own = bases(references.select(F.col(key).alias("chrom"), "seq"), "chrom").select("chrom", "pos", F.col("base").alias("_ref"))
+    at = counted.withColumnRenamed(key, "chrom").join(own, ["chrom", "pos"])
+    w = Window.partitionBy("chrom", "pos")
+    depth_of = F.when(F.col("allele").isin("A", "C", "G", "T", "*"), F.col("dp")).otherwise(0)
+    is_ref = F.col("allele") == F.translate("_ref", "acgt", "ACGT")
+    of_ref = lambda c, name: F.max(F.when(is_ref, F.col(c))).over(w).alias(name)
+    summed = at.select("*", F.sum(depth_of).over(w).alias("total"), of_ref("dp", "ref_dp"), of_ref("rv", "ref_rv"), of_ref("quality", "_ref_quality"))
+    change = F.col("allele").isin("A", "C", "G", "T") | F.col("allele").startswith("+") | F.col("deleted").isNotNull()
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    freq = F.try_divide("dp", "total")
+    called = summed.filter(change & ~is_ref & (F.col("total") >= min_depth) & (freq >= min_freq))
+    called = called.select("chrom", "pos", F.translate("_ref", "acgt", "ACGT").alias("ref"), "allele", "deleted", zero("ref_dp").alias("ref_dp"), zero("ref_rv").alias("ref_rv"), F.try_divide("_ref_quality", "ref_dp").alias("ref_qual"), F.col("dp").alias("alt_dp"), F.col("rv").alias("alt_rv"), F.try_divide("quality", "dp").alias("alt_qual"), freq.alias("freq"), "total")
+    taken = called.filter("deleted is not null").select("chrom", "pos", "deleted").distinct().join(references.select(F.col(key).alias("chrom"), "seq"), "chrom")
+    strings = taken.select("chrom", "pos", "deleted", F.concat(F.lit("-"), F.translate(F.substring("seq", (F.col("pos") + 1).cast("int"), F.col("deleted").cast("int")), "acgt", "ACGT")).alias("_gone"))
+    named = called.join(strings, ["chrom", "pos", "deleted"], "left").withColumn("alt", F.coalesce("_gone", "allele"))
+    return named.select("chrom", "pos", "ref", "alt", "ref_dp", "ref_rv", "ref_qual", "alt_dp", "alt_rv", "alt_qual", "freq", "total")
+
+
 def typed(variants: DataFrame) -> DataFrame:
     """Variants with type, and '+X' and '-X' alternates as whole alleles: +X appends to the reference, -X extends it."""
     plus, minus = F.col("alt").startswith("+"), F.col("alt").startswith("-")

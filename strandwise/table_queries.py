@@ -968,3 +968,67 @@ def cycle_profile(spark, d):
     turns = Tables(spark, d).conversations.select(F.col("role").alias("key"), F.col("text").alias("seq"), F.col("text").alias("qual"))
     out = alignments.cycle_metrics(turns, ["key"])
     return out.select("key", F.col("cycle").cast("long").alias("cycle"), "base", "n", F.round("mean_quality", 6).alias("mean_quality"))
+
+
+# ------------------------------------------------------------------ alleles: conversations as reads on the longest text of their role
+
+
+def _turn_reads(t):
+    """Turns as aligned reads: a text of 12 letters and more has two inserted after its first third and three deleted after its
+    second; the text is its own quality string, so blanks, digits and stops are below 20."""
+    third, length = F.floor(F.length("text") / 3), F.length("text")
+    cigar = F.when(length >= 12, F.concat(third, F.lit("M2I"), third, F.lit("M3D"), length - 2 * third - 2, F.lit("M"))).otherwise(F.concat(length, F.lit("M")))
+    flag = F.when(F.col("conv_id") % 2 == 1, 16).otherwise(0)
+    return t.conversations.filter("text <> ''").select(F.col("role").alias("ref"), (F.col("conv_id") % 7 + 1).alias("pos"), flag.alias("flag"), cigar.alias("cigar"), F.col("text").alias("seq"), F.col("text").alias("qual"))
+
+
+def _turn_references(t):
+    longest = F.max(F.struct(F.length("text").alias("n"), "text"))["text"]
+    return t.conversations.groupBy(F.col("role").alias("ref")).agg(longest.alias("seq"))
+
+
+_AZ = "'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
+TURN_READS = f"""turns AS (SELECT role AS ref, conv_id % 7 + 1 AS p, conv_id % 2 = 1 AS rev, translate(text, {_AZ}) AS s, text AS q, length(text) AS n, length(text) // 3 AS k FROM conversations WHERE text <> ''),
+places AS (SELECT ref, rev, n, k, p, unnest(range(1, n + 1)) AS i, unnest(string_split(s, '')) AS base, unnest(list_transform(string_split(q, ''), lambda x: unicode(x) - 33)) AS quality FROM turns),
+found AS (SELECT ref, p + i - 1 - CASE WHEN n >= 12 AND i > k + 2 THEN 2 ELSE 0 END + CASE WHEN n >= 12 AND i > 2 * k + 2 THEN 3 ELSE 0 END AS pos, base AS allele, 0 AS deleted, quality, rev FROM places WHERE n < 12 OR i <= k OR i > k + 2
+ UNION ALL SELECT ref, p + k - 1, '+' || substr(s, k + 1, 2), 0, (unicode(substr(q, k + 1, 1)) + unicode(substr(q, k + 2, 1)) - 66) // 2, rev FROM turns WHERE n >= 12
+ UNION ALL SELECT ref, p + 2 * k - 1, '-', 3, unicode(substr(q, 2 * k + 2, 1)) - 33, rev FROM turns WHERE n >= 12
+ UNION ALL SELECT ref, p + 2 * k + d, '*', 0, unicode(substr(q, 2 * k + 2, 1)) - 33, rev FROM turns, range(0, 3) r(d) WHERE n >= 12),
+counted AS (SELECT ref, pos, allele, deleted, count(*) AS dp, count(*) FILTER (rev) AS rv, sum(quality) AS quality FROM found WHERE quality >= 20 GROUP BY ALL),
+longest AS (SELECT ref, seq FROM (SELECT role AS ref, text AS seq, row_number() OVER (PARTITION BY role ORDER BY length(text) DESC, encode(text) DESC) AS place FROM conversations) WHERE place = 1)"""
+CALLED_ALLELES = f"""WITH {TURN_READS},
+own AS (SELECT ref, unnest(range(1, length(seq) + 1)) AS pos, unnest(string_split(translate(seq, 'acgt', 'ACGT'), '')) AS base FROM longest),
+depth AS (SELECT ref, pos, sum(dp) AS total FROM counted WHERE allele IN ('A', 'C', 'G', 'T', '*') GROUP BY 1, 2),
+calls AS (SELECT c.ref AS chrom, c.pos, own.base AS ref, CASE WHEN c.allele = '-' THEN '-' || translate(substr(l.seq, c.pos + 1, 3), 'acgt', 'ACGT') ELSE c.allele END AS alt, coalesce(r.dp, 0) AS ref_dp, coalesce(r.rv, 0) AS ref_rv, r.quality / r.dp AS ref_qual, c.dp AS alt_dp, c.rv AS alt_rv, c.quality / c.dp AS alt_qual, c.dp / total AS freq, total::bigint AS total
+ FROM counted c JOIN own ON own.ref = c.ref AND own.pos = c.pos JOIN longest l ON l.ref = c.ref JOIN depth d ON d.ref = c.ref AND d.pos = c.pos LEFT JOIN counted r ON r.ref = c.ref AND r.pos = c.pos AND r.allele = own.base
+ WHERE (c.allele IN ('A', 'C', 'G', 'T') OR c.allele LIKE '+_%' OR c.deleted > 0) AND c.allele <> own.base AND total >= 10 AND c.dp / total >= 0.05)"""
+_QUALS = "round(ref_qual + 1e-9, 6) AS ref_qual, round(alt_qual + 1e-9, 6) AS alt_qual, round(freq + 1e-9, 6) AS freq"
+
+
+def _called_alleles(t):
+    return variants.call_alleles(alignments.count_alleles(alignments.alleles(_turn_reads(t))), _turn_references(t), min_depth=10, min_freq=0.05)
+
+
+def _six(name: str):
+    return F.round(F.col(name) + F.lit(1e-9), 6).alias(name)
+
+
+@query(f"{CALLED_ALLELES} SELECT chrom, pos, ref, alt, ref_dp, ref_rv, alt_dp, alt_rv, total, {_QUALS} FROM calls")
+def call_alleles(spark, d):
+    return _called_alleles(Tables(spark, d)).select("chrom", "pos", "ref", "alt", "ref_dp", "ref_rv", _six("ref_qual"), "alt_dp", "alt_rv", _six("alt_qual"), _six("freq"), "total")
+
+
+@query(f"{CALLED_ALLELES} SELECT chrom, pos, CASE WHEN alt LIKE '+%' THEN 'INS' WHEN alt LIKE '-%' THEN 'DEL' ELSE 'SNP' END AS type, CASE WHEN alt LIKE '-%' THEN ref || substr(alt, 2) ELSE ref END AS ref, CASE WHEN alt LIKE '+%' THEN ref || substr(alt, 2) WHEN alt LIKE '-%' THEN ref ELSE alt END AS alt, ref_dp - ref_rv AS ref_fw, alt_dp - alt_rv AS alt_fw FROM calls")
+def typed_alleles(spark, d):
+    return variants.strand_depths(variants.typed(_called_alleles(Tables(spark, d)))).select("chrom", "pos", "type", "ref", "alt", "ref_fw", "alt_fw")
+
+
+_COUNT_OF = ", ".join(f"""coalesce(sum(dp) FILTER (allele = '{b}'), 0) AS "{b}\"""" for b in "ACGT")
+
+
+@query(f"""WITH {TURN_READS}, piled AS (SELECT ref, pos, {_COUNT_OF}, coalesce(sum(dp) FILTER (allele = '*'), 0) AS gone FROM counted GROUP BY 1, 2),
+top AS (SELECT ref, pos, allele, dp FROM (SELECT *, row_number() OVER (PARTITION BY ref, pos ORDER BY dp DESC, encode(allele)) AS place FROM counted WHERE allele LIKE '+_%') WHERE place = 1),
+sized AS (SELECT *, ("A" + "C" + "G" + "T") AS n FROM piled)
+SELECT ref, string_agg(CASE WHEN n >= 1 THEN substr('NACMGRSVTWYHKDBN', ({MASK})::int + 1, 1) ELSE 'N' END || CASE WHEN n + gone > 0 AND dp / (n + gone) >= 0.02 THEN substr(allele, 2) ELSE '' END, '' ORDER BY pos) AS seq FROM sized LEFT JOIN top USING (ref, pos) GROUP BY 1""")
+def inserted_consensus(spark, d):
+    return alignments.inserted_consensus(alignments.count_alleles(alignments.alleles(_turn_reads(Tables(spark, d)))), insertion=0.02)
