@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise.operators.reads import kmers
+from strandwise.operators.taxonomy import fold_to_common
 from strandwise.storage import stored
 
 
@@ -75,6 +76,27 @@ def classify_words(of: DataFrame, taxa: DataFrame, closure: DataFrame, key: str
     return scored.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select(key, F.col("leaf").alias("taxid"), "score")
 
 
+def word_taxa(found: DataFrame, closure: DataFrame) -> DataFrame:
+    """(word, taxid) from rows (word, taxid) of taxa that hold words: a word of several taxa belongs to their deepest common
+    ancestor; words of taxa without one, or outside the closure, are left out."""
+    return fold_to_common(found, closure, "word").filter("taxid is not null")
+
+
+def classify_reads(reads: DataFrame, taxa: DataFrame, closure: DataFrame, key: str = "seq_id") -> DataFrame:
+    """(key, taxid, score, hits): words (key, word) against word_taxa(). The hits of a key make a tree; the path from the root
+    with the most hits decides: a taxon's score is the hits at it and at all above it. The taxon at the path's end is the
+    answer, the deepest common ancestor of the ends where paths tie. hits: all words of the key with a taxon. Keys without
+    any are left out. A hit outside the closure counts for no path, so taxa come from word_taxa()."""
+    found = reads.select(key, "word").join(taxa, "word").groupBy(key, "taxid").agg(F.count("*").alias("n"))
+    above = closure.select("taxid", "ancestor")
+    on_path = found.select(key, F.col("taxid").alias("ancestor"), F.col("n").alias("_above"))
+    scored = found.join(above, "taxid").join(on_path, [key, "ancestor"]).groupBy(key, "taxid").agg(F.sum("_above").alias("score"))
+    best = scored.groupBy(key).agg(F.max("score").alias("score"))
+    ends = scored.join(best, [key, "score"])
+    total = found.groupBy(key).agg(F.sum("n").alias("hits"))
+    return fold_to_common(ends, closure, key).join(best, key).join(total, key).select(key, "taxid", "score", "hits")
+
+
 def without_host(reads: DataFrame, classified: DataFrame, key: str = "seq_id") -> DataFrame:
     return reads.join(classified.select(key).distinct(), key, "left_anti")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +46,25 @@ def common_ancestor(pairs: DataFrame, closure: DataFrame) -> DataFrame:
     return pairs.join(found, ["a", "b"], "left")
 
 
+def fold_to_common(found: DataFrame, closure: DataFrame, key: str | list[str]) -> DataFrame:
+    """(key, taxid): of rows (key, taxid, ...) the deepest taxon that all taxa of a key lie under, itself included; null where
+    they have none in common, or one of them isn't in the closure.
+
+    One aggregation for any number of taxa: an ancestor is common to all if as many of the key's taxa lie under it as there
+    are. Keys of one taxon, most of them as a rule, are settled without their ancestors."""
+    keys = [key] if isinstance(key, str) else list(key)
+    distinct = found.filter("taxid is not null").select(*keys, "taxid").distinct()
+    sized = distinct.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("taxid").alias("taxid"))
+    level = closure.groupBy("taxid").agg(F.max("depth").alias("_level"))
+    up = closure.select("taxid", "ancestor").join(level.withColumnRenamed("taxid", "ancestor"), "ancestor")
+    several = sized.filter("_n > 1").select(*[F.col(k).alias(f"_{k}") for k in keys], "_n")
+    same = functools.reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    counted = distinct.join(several, same).join(up, "taxid").groupBy(*keys, "_n", "ancestor", "_level").agg(F.count("*").alias("_under"))
+    common = counted.groupBy(*keys).agg(F.max(F.when(F.col("_under") == F.col("_n"), F.struct("_level", "ancestor")))["ancestor"].alias("taxid"))
+    lost = sized.filter("_n > 1").select(*keys).exceptAll(common.select(*keys)).withColumn("taxid", F.lit(None).cast("string"))
+    return sized.filter("_n = 1").select(*keys, "taxid").unionAll(common.select(*keys, "taxid")).unionAll(lost)
+
+
 def merge_classifiers(first: DataFrame, second: DataFrame, closure: DataFrame, strategy: str = "lca") -> DataFrame:
     """(name, flag, taxid) from two tables (flag C or U, name, taxid). Where only one classifies, it wins; equal taxids stay;
     else strategy decides: '1' or '2' take that table, 'lca' the common ancestor, 'lowest' the lower of two that lie on one

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandwise.operators import alignments, clusters, flow, graph, hits, intervals, reads, report, sheets, sketches, taxonomy, variants
+from strandwise.storage import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -1032,3 +1033,51 @@ sized AS (SELECT *, ("A" + "C" + "G" + "T") AS n FROM piled)
 SELECT ref, string_agg(CASE WHEN n >= 1 THEN substr('NACMGRSVTWYHKDBN', ({MASK})::int + 1, 1) ELSE 'N' END || CASE WHEN n + gone > 0 AND dp / (n + gone) >= 0.02 THEN substr(allele, 2) ELSE '' END, '' ORDER BY pos) AS seq FROM sized LEFT JOIN top USING (ref, pos) GROUP BY 1""")
 def inserted_consensus(spark, d):
     return alignments.inserted_consensus(alignments.count_alleles(alignments.alleles(_turn_reads(Tables(spark, d)))), insertion=0.02)
+
+
+# ------------------------------------------------------------------ words of taxa at every level: conversations against documents
+
+
+def _word_tree(t):
+    """Root, languages, and a source of a language under its language."""
+    pairs = t.documents.select("lang", "source").distinct()
+    low = pairs.select(F.concat_ws(":", "source", "lang").alias("taxid"), F.concat(F.lit("l:"), "lang").alias("parent_taxid"), F.lit("S").alias("rank"))
+    mid = pairs.select(F.concat(F.lit("l:"), "lang").alias("taxid"), F.lit("1").alias("parent_taxid"), F.lit("G").alias("rank")).distinct()
+    return low.unionAll(mid).unionAll(t.documents.sparkSession.createDataFrame([("1", None, "R")], low.schema))
+
+
+def _taken_words(t):
+    """Words with the taxon of their document: of every third only its language is known, of every seventh nothing."""
+    taxid = F.when(F.col("doc_id") % 7 == 0, "1").when(F.col("doc_id") % 3 == 0, F.concat(F.lit("l:"), "lang")).otherwise(F.concat_ws(":", "source", "lang"))
+    return sketches.words(t.documents.select(taxid.alias("taxid"), F.lower("text").alias("seq")), 1, "taxid", split=" ").distinct()
+
+
+WORD_TREE = """word_tree AS (SELECT '1' AS taxid, NULL AS parent UNION ALL SELECT DISTINCT 'l:' || lang, '1' FROM documents UNION ALL SELECT DISTINCT source || ':' || lang, 'l:' || lang FROM documents),
+up AS (SELECT taxid, taxid AS ancestor, 0 AS steps FROM word_tree UNION ALL SELECT u.taxid, w.parent, steps + 1 FROM up u JOIN word_tree w ON w.taxid = u.ancestor WHERE w.parent IS NOT NULL),
+height AS (SELECT taxid, max(steps) AS level FROM up GROUP BY 1),
+held AS (SELECT DISTINCT CASE WHEN doc_id % 7 = 0 THEN '1' WHEN doc_id % 3 = 0 THEN 'l:' || lang ELSE source || ':' || lang END AS taxid, unnest(list_filter(string_split(lower(text), ' '), lambda x: x <> '')) AS word FROM documents),
+sized AS (SELECT word, count(*) AS n FROM held GROUP BY 1),
+common AS (SELECT word, ancestor, count(*) AS under FROM held JOIN up USING (taxid) GROUP BY 1, 2),
+word_taxon AS (SELECT word, arg_max(ancestor, level) AS taxid FROM common JOIN sized USING (word) JOIN height ON height.taxid = ancestor WHERE under = n GROUP BY 1)"""
+
+
+@query(f"WITH RECURSIVE {WORD_TREE} SELECT word, taxid FROM word_taxon")
+def word_taxa(spark, d):
+    t = Tables(spark, d)
+    return sketches.word_taxa(_taken_words(t), taxonomy.ancestors(_word_tree(t), levels=2))
+
+
+@query(f"""WITH RECURSIVE {WORD_TREE},
+said AS (SELECT DISTINCT conv_id * 1000 + turn AS seq_id, unnest(list_filter(string_split(lower(text), ' '), lambda x: x <> '')) AS word FROM conversations),
+found AS (SELECT seq_id, taxid, count(*) AS n FROM said JOIN word_taxon USING (word) GROUP BY 1, 2),
+scored AS (SELECT f.seq_id, f.taxid, sum(g.n) AS score FROM found f JOIN up u ON u.taxid = f.taxid JOIN found g ON g.seq_id = f.seq_id AND g.taxid = u.ancestor GROUP BY 1, 2),
+best AS (SELECT seq_id, max(score) AS score FROM scored GROUP BY 1),
+ends AS (SELECT seq_id, taxid, score FROM scored JOIN best USING (seq_id, score)),
+ties AS (SELECT seq_id, count(*) AS k FROM ends GROUP BY 1),
+shared AS (SELECT seq_id, ancestor, count(*) AS under FROM ends JOIN up USING (taxid) GROUP BY 1, 2)
+SELECT seq_id, arg_max(ancestor, level) AS taxid, any_value(best.score)::bigint AS score, any_value(h.hits)::bigint AS hits FROM shared JOIN ties USING (seq_id) JOIN best USING (seq_id) JOIN height ON height.taxid = ancestor JOIN (SELECT seq_id, sum(n) AS hits FROM found GROUP BY 1) h USING (seq_id) WHERE under = k GROUP BY 1""")
+def classify_turns(spark, d):
+    t = Tables(spark, d)
+    turns = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("seq_id"), F.lower("text").alias("seq"))
+    up = stored(taxonomy.ancestors(_word_tree(t), levels=2))
+    return sketches.classify_reads(sketches.words(turns, 1, split=" "), sketches.word_taxa(_taken_words(t), up), up)
