@@ -52,6 +52,37 @@ def mash_distances(sketches: DataFrame, k: int, key: str = "seq_id") -> DataFram
     return pairs.select("a", "b", j.alias("jaccard")).withColumn("distance", F.greatest(F.lit(0.0), -F.log(2 * F.col("jaccard") / (1 + F.col("jaccard"))) / k))
 
 
+def sketch_classes(sketches: DataFrame, key: str = "seq_id") -> tuple[DataFrame, DataFrame]:
+    """((a representative a class: key, sketch array), (key, representative)) of sketches (key, h): keys of one and the same
+    sketch are a class, and its least key stands for it, so thousands of copies are compared once. Both stored."""
+    whole = stored(sketches.groupBy(key).agg(F.array_sort(F.collect_set("h")).alias("sketch")))
+    classes = stored(whole.groupBy("sketch").agg(F.min(key).alias("representative")))
+    return classes.select(F.col("representative").alias(key), "sketch"), whole.join(classes, "sketch").select(key, "representative")
+
+
+def block_pairs(classes: DataFrame, k: int, key: str = "seq_id", block: int = 512) -> DataFrame:
+    """(a, b, shared, jaccard, distance), a > b, of all pairs of classes (key, sketch array) that share a hash; all others have
+    distance 1. distance = -ln(2j / (1 + j)) / k.
+
+    The keys of a hash are dealt into blocks of about block keys, and a row goes to each pair of blocks that its own is part
+    of, so a task meets two blocks at a time, whatever share of the keys a hash has. A pair counts only at the least hash that
+    it shares, where its sketches are compared whole: it comes once, and its shared hashes are never listed."""
+    posted = classes.select(F.col(key).alias("k"), "sketch", F.explode("sketch").alias("h"))
+    sizes = posted.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    placed = stored(posted.join(sizes.select("h", "blocks"), "h").withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = placed.select("h", "own", "k", "sketch", others)
+    # a pair of blocks is one key of the join; within a block both sides hold all of it
+    low, high = dealt.filter("own <= other"), dealt.filter("own >= other")
+    left = low.select("h", F.col("own").alias("lo"), F.col("other").alias("hi"), F.col("k").alias("x"), F.col("sketch").alias("sx"))
+    right = high.select("h", F.col("other").alias("lo"), F.col("own").alias("hi"), F.col("k").alias("y"), F.col("sketch").alias("sy"))
+    met = left.join(right, ["h", "lo", "hi"]).filter("(lo < hi or x < y) and x <> y")
+    both = met.select("h", F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"), F.array_intersect("sx", "sy").alias("both"), (F.size("sx") + F.size("sy")).alias("n"))
+    shared = both.filter(F.array_min("both") == F.col("h")).select("a", "b", F.size("both").cast("long").alias("shared"), "n")
+    j = F.col("shared") / (F.col("n") - F.col("shared"))
+    return shared.select("a", "b", "shared", j.alias("jaccard")).withColumn("distance", F.greatest(F.lit(0.0), -F.log(2 * F.col("jaccard") / (1 + F.col("jaccard"))) / k))
+
+
 def screen(reads: DataFrame, references: DataFrame, k: int, key: str = "ref") -> DataFrame:
     """(key, shared, total, identity, multiplicity): reference sketches (key, h) against the hashes of all reads (h)."""
     seen = reads.groupBy("h").agg(F.count("*").alias("times"))

@@ -1081,3 +1081,22 @@ def classify_turns(spark, d):
     turns = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("seq_id"), F.lower("text").alias("seq"))
     up = stored(taxonomy.ancestors(_word_tree(t), levels=2))
     return sketches.classify_reads(sketches.words(turns, 1, split=" "), sketches.word_taxa(_taken_words(t), up), up)
+
+
+# ------------------------------------------------------------------ distances between all documents
+
+_DOC_SKETCH = SKETCH.replace(WORDS("benchmark", "item_id"), WORDS("documents", "doc_id"))
+DOC_CLASSES = f"""s AS ({_DOC_SKETCH}), whole AS (SELECT seq_id, list_sort(list(h)) AS sketch FROM s GROUP BY 1), classes AS (SELECT sketch, min(seq_id) AS representative FROM whole GROUP BY 1)"""
+
+
+@query(f"""WITH {DOC_CLASSES}, p AS (SELECT representative AS seq_id, unnest(sketch) AS h, len(sketch) AS n FROM classes),
+pairs AS (SELECT x.seq_id AS a, y.seq_id AS b, count(*) AS shared, any_value(x.n + y.n) AS n FROM p x JOIN p y ON x.h = y.h AND x.seq_id > y.seq_id GROUP BY 1, 2)
+SELECT a, b, shared, round(shared / (n - shared) + 1e-9, 6) AS jaccard, round(greatest(0.0, -ln(2 * (shared / (n - shared)) / (1 + shared / (n - shared))) / 3) + 1e-9, 6) AS distance FROM pairs""")
+def document_distances(spark, d):
+    classes, _ = sketches.sketch_classes(sketches.sketch(_words(Tables(spark, d).documents, "doc_id"), 50))
+    return sketches.block_pairs(classes, 3).select("a", "b", "shared", _six("jaccard"), _six("distance"))
+
+
+@query(f"WITH {DOC_CLASSES} SELECT seq_id, representative FROM whole JOIN classes USING (sketch)")
+def sketch_members(spark, d):
+    return sketches.sketch_classes(sketches.sketch(_words(Tables(spark, d).documents, "doc_id"), 50))[1]
