@@ -19,8 +19,8 @@ from strandwise.storage import stored
 
 #: Window length; the id after each document; the vocabulary's special token and its id.
 WINDOW, END, SPECIAL, SPECIAL_ID = 2048, 1, "<|endoftext|>", 50_256
-#: Tokens up to which a corpus isn't dealt, and tokens of an index shard (held in one task's memory).
-SHARD_TOKENS, INDEX_TOKENS = 1 << 19, 1 << 22
+#: Tokens of an index shard (held in one task's memory).
+INDEX_TOKENS = 1 << 22
 #: BM25 parameters, the seed's terms of most weight that make up the query, and neighbours that a search sorts at first.
 K1, B, QUERY_TERMS, NEAREST = 1.2, 0.75, 24, 64
 #: How strongly the draw of a document's content key leans to terms of high weight. Most Spark partitions of the dealing.
@@ -209,13 +209,13 @@ def dealt_by_content(tokens: DataFrame, shared, parts: int) -> DataFrame:
     return keyed.repartitionByRange(parts, "content", "row").sortWithinPartitions("content", "row").select("doc_id", "ids")
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS, index_tokens: int = INDEX_TOKENS) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, index_tokens: int = INDEX_TOKENS) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset): the pieces of every row of docs (doc_id, text).
 
     Each text's ids with END after them lie in pieces without gap or overlap; a sequence is filled from 0 up to window, only
     the last of a Spark partition is shorter. Documents are dealt by content (dealt_by_content), so that likely neighbours
     meet in one index shard of index_tokens tokens; there each seed's best unused neighbours fill its window (chain). A corpus
-    of shard_tokens is one shard, in order of doc_id. Term statistics are the whole corpus'. Null and empty texts are the
+    of any size is dealt in the same way. Term statistics are the whole corpus'. Null and empty texts are the
     single id END; rows that repeat a doc_id are packed each for itself, a null doc_id stays null; equal scores are taken in
     the shard's order. An empty table gives no pieces. A long text is cut into as many sequences as it needs.
     """
@@ -253,8 +253,4 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, s
         if ids:
             yield from flush()
 
-    if total <= shard_tokens:
-        dealt = tokens.coalesce(1).sortWithinPartitions("doc_id", "row").select("doc_id", "ids")
-    else:
-        dealt = dealt_by_content(tokens, shared, min(MOST_PARTS, -(-total // index_tokens) + 1))
-    return dealt.mapInArrow(run, schema)
+    return dealt_by_content(tokens, shared, min(MOST_PARTS, -(-total // index_tokens) + 1)).mapInArrow(run, schema)

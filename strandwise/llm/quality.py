@@ -13,8 +13,8 @@ from strandwise.llm.common import pieces, text_buffers
 
 #: Filters of WIDTH bytes at every STRIDE-th byte; chunks of CHUNK filter places, one at every CHUNK // 2.
 FILTERS, WIDTH, STRIDE, CHUNK = 16, 8, 4, 128
-#: Labelled rows that the network is fitted on at most, and passes over them.
-ROWS, PASSES = 3000, 12
+#: Labelled ids that the network is fitted on at most, the most characters of their texts each, and passes over them.
+ROWS, FIT_CHARS, PASSES = 3000, 1 << 16, 12
 THRESHOLD = 0.3
 #: Bytes convolved at a time.
 STEP = 1 << 18
@@ -121,14 +121,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit_on_labels(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Network:
-    """Fits the network on at most rows labelled documents that aren't held out, half of each label where there are enough,
-    chosen by a hash of doc_id."""
-    known = labels.filter("quality is not null").select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality")).filter(~held_out(F.col("_id")))
+def fit_sample(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataFrame:
+    """(_id, quality, text) of at most rows labelled ids that aren't held out, half of each label where there are enough,
+    chosen by a hash of the id. An id counts once, however often it is labelled or stands in docs: with the lower of its
+    labels, and the least of its texts. Texts of more than FIT_CHARS characters are left out, so that the sample is bounded in
+    bytes as well: the driver gets rows * FIT_CHARS characters at most."""
+    known = labels.filter("quality is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality")).filter(~held_out(F.col("_id")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    once = known.groupBy("_id").agg(F.min("quality").alias("quality")).join(texts.select("_id"), "_id", "left_semi")
     order = [F.xxhash64("_id"), F.col("_id")]
     half = rows // 2
-    chosen = known.filter("quality = 0").orderBy(*order).limit(half).unionAll(known.filter("quality = 1").orderBy(*order).limit(half))
-    found = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(chosen), "_id").orderBy("_id", "text").limit(2 * rows).collect()
+    chosen = once.filter("quality = 0").orderBy(*order).limit(half).unionAll(once.filter("quality = 1").orderBy(*order).limit(half))
+    return texts.join(F.broadcast(chosen), "_id").filter(F.length("text") <= FIT_CHARS).groupBy("_id", "quality").agg(F.min("text").alias("text"))
+
+
+def fit_on_labels(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Network:
+    """Fits the network on fit_sample()."""
+    found = fit_sample(docs, labels, rows).orderBy("_id").collect()
     return fit([r.text for r in found], [r.quality for r in found])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -306,7 +307,7 @@ def test_bm25_against_the_formula():
 def test_packing_callers_columns_and_keys(spark):
     rows = [(None, None), (None, "a"), (1, "b c"), (1, "b c")] + [(10 + i, " ".join(f"{WORDS[i % 20]}{j * (i % 20 + 3) % 97}" for j in range(300))) for i in range(300)]
     docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, ids string, content string")
-    out = packing.pack(docs, shard_tokens=1000, index_tokens=20_000).collect()
+    out = packing.pack(docs, index_tokens=20_000).collect()
     assert sum(r.start == 0 for r in out) == len(rows) and sum(r.length for r in out) == sum(r.doc_tokens for r in out if not r.start)
     fill = defaultdict(int)
     for r in out:
@@ -337,3 +338,22 @@ def test_pipeline_on_odd_tables(spark, tmp_path):
     out = corpus_pipeline.run(spark, f"{tmp_path}/some").collect()
     assert {r.doc_id for r in out if r.length} <= {None, 1, 2, 3, 4} and sum(r.length for r in out) == sum(r.doc_tokens for r in out if not r.start)
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+# ------------------------------------------------------------------ quality: the sample that is fitted
+
+
+def test_quality_sample_takes_an_id_once(spark):
+    rows = [(i, f"text {i}") for i in range(399)] + [(0, f"copy {k}") for k in range(300)] + [(5, None), (None, "x"), (1000, "long " * 20_000)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, quality int")
+    marks = [(i, i % 2) for i in range(399)] + [(0, 1)] * 300 + [(7, 0), (1000, 1), (2000, 1), (None, 1), (3, None)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    found = quality.fit_sample(docs, labels, 100).collect()
+    assert 99 <= len(found) == len({r["_id"] for r in found})
+    assert 49 <= sum(r.quality for r in found) <= 50 and all(r["_id"] is not None and r["_id"] < 399 and zlib.crc32(str(r["_id"]).encode()) % 5 for r in found)
+    every = {r["_id"]: (r.quality, r.text) for r in quality.fit_sample(docs, labels, 10_000).collect()}
+    want = {i: i % 2 for i in range(399) if zlib.crc32(str(i).encode()) % 5}
+    want |= {i: 0 for i in (0, 7) if i in want}
+    assert {i: q for i, (q, _) in every.items()} == want
+    assert all(every[i][1] == ("copy 0" if i == 0 else "" if i == 5 else f"text {i}") for i in every)
+    assert quality.fit_sample(docs.limit(0), labels, 10).count() == 0

@@ -138,7 +138,7 @@ def test_packing_round_trip(docs):
     rows = [r for r in docs.collect() if r.doc_id != 8]
     rows.append(type(rows[0])(doc_id=99, text="end <|endoftext|> here", lang="", source="", n_chars=0))
     df = docs.sparkSession.createDataFrame(rows, SCHEMA)
-    out = packing.pack(df, shard_tokens=4000).collect()
+    out = packing.pack(df).collect()
     by, seq = defaultdict(list), defaultdict(list)
     for r in out:
         by[r.doc_id].append(r)
@@ -305,7 +305,7 @@ def test_packing_finds_neighbours_of_all_shards(spark):
     pool = [f"{a}{b}" for a in WORDS for b in WORDS]
     topics = [rng.choice(pool, 12, replace=False) for _ in range(60)]
     rows = [(i, " ".join(rng.choice(topics[i % 60], 50)), "en", "a", 0) for i in range(240)]
-    out = packing.pack(spark.createDataFrame(rows, SCHEMA), window=512, shard_tokens=3000, index_tokens=4000).collect()
+    out = packing.pack(spark.createDataFrame(rows, SCHEMA), window=512, index_tokens=4000).collect()
     assert sorted(r.doc_id for r in out if not r.start) == list(range(240)) and sum(r.length for r in out) == sum(r.doc_tokens for r in out if not r.start)
     ids = {r.doc_id: np.frombuffer(r.ids, "<u2") for r in packing.tokenized(spark.createDataFrame(rows, SCHEMA)).collect()}
     seen = np.bincount(np.concatenate([np.unique(x) for x in ids.values()]), minlength=1 << 16)
