@@ -10,9 +10,13 @@
 3. Pigeonhole join: of a layout's parts at least all but k agree, so if every document posts its k + 1 fullest parts (in an
    order that depends on a part's value alone), each pair that links shares a posting. Nothing is left to chance but
    collisions of 32-bit values, which only add candidates.
-4. Documents of one and the same set are a class; its smallest doc_id stands for it. In each bucket all members are compared
-   with a hub: sketches within the bound go on to the full sets, and links found there make components. In buckets that
-   still hold several components, the members of different ones are compared by their sketches, in blocks of bounded size.
+4. Documents of one and the same set are a class; its smallest doc_id stands for it.
+5. Hub round: the parts of a layout in CHUNKS runs make a few keys a document, by which close copies meet. All members of
+   such a bucket are compared with its hub, the member that shares the most: sketches within the bound go on to the full
+   sets, and links found there make components.
+6. Exact round: the pigeonhole join, over the buckets that hold several components only. Their members of different
+   components are compared by their sketches, in blocks of bounded size, and likely pairs by their full sets. So a group of
+   thousands of copies costs a comparison a member, and no link is left out.
 """
 
 from __future__ import annotations
@@ -35,8 +39,8 @@ from strandwise.storage import discard, stored
 BAND, SPARE = 1.6, 1.25
 #: Rows of an Arrow batch with texts or sets, and bucket members that make a block on average.
 TEXT_ROWS, BLOCK = 1000, 1024
-#: Rounds in which buckets are compared with hubs before their members are compared with each other.
-HUB_ROUNDS = 2
+#: Runs of parts that make the keys of the hub round.
+CHUNKS = 16
 
 
 @functools.lru_cache(maxsize=4)
@@ -82,20 +86,29 @@ def posted(values: np.ndarray, words: np.ndarray, k: int) -> np.ndarray:
     return np.sort(np.argpartition(rank, len(rank) - k - 1)[len(rank) - k - 1 :])
 
 
-_SKETCHED = "doc_id long, n_shingles long, set_id binary, bands array<int>, words array<binary>, keys array<binary>"
+def chunk_keys(values: np.ndarray, words: np.ndarray, band: int) -> np.ndarray:
+    """A key for each of CHUNKS runs of parts, of all their values; runs without a set place have none."""
+    own = mix((values.astype(np.uint64) << np.uint64(32)) | np.arange(len(values), dtype=np.uint64))
+    at = np.unique(np.arange(CHUNKS) * len(values) // CHUNKS)
+    used = np.bitwise_or.reduceat(words, at) > 0
+    return mix(np.bitwise_xor.reduceat(own, at) + mix(np.uint64(band + 1) * np.uint64(1 << 32) + at.astype(np.uint64)))[used]
+
+
+_SKETCHED = "doc_id long, n_shingles long, set_id binary, bands array<int>, words array<binary>, chunks array<binary>, keys array<binary>"
 
 
 def sketches(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, set_id, bands, words, keys) of every row of docs (doc_id, text): by layout, the words of all parts
-    and the keys (64 bits of band, part and value) of those posted. A set that no other set can link with has no layouts."""
+    """(doc_id, n_shingles, set_id, bands, words, chunks, keys) of every row of docs (doc_id, text): by layout, the words of all
+    parts, the keys of the hub round, and the keys (64 bits of band, part and value) of the parts posted. A set that no other
+    set can link with has no layouts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
-            rows: list[list] = [[] for _ in range(5)]
+            rows: list[list] = [[] for _ in range(6)]
             for _, s, e in pieces(offsets):
                 found = shingle_set(data[s:e], width)
-                own: list[list] = [[], [], []]
+                own: list[list] = [[], [], [], []]
                 for band in bands_of(len(found), percent) if len(found) else []:
                     k, parts = (int(x[band]) for x in layouts(percent)[1:])
                     if not k:
@@ -103,43 +116,44 @@ def sketches(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     values, words = parity(found, band, parts)
                     use = posted(values, words, k)
                     key = mix((values[use].astype(np.uint64) << np.uint64(32)) ^ mix(np.uint64(band) * np.uint64(1 << 32) + use.astype(np.uint64)))
-                    for column, value in zip(own, (band, words.tobytes(), key.tobytes()), strict=True):
+                    for column, value in zip(own, (band, words.tobytes(), chunk_keys(values, words, band).tobytes(), key.tobytes()), strict=True):
                         column.append(value)
                 sums = (found.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(found + np.uint64(7)))) if len(found) else None
                 for column, value in zip(rows, (len(found), np.array(sums).tobytes() if sums else None, *own), strict=True):
                     column.append(value)
-            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.binary()))
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int32()), *[pa.list_(pa.binary())] * 3)
             arrays = [pa.array(c, kind) for c, kind in zip(rows, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], [c.split()[0] for c in _SKETCHED.split(", ")])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _SKETCHED)
 
 
-def postings(reps: DataFrame, repeated: np.ndarray | None = None) -> DataFrame:
-    """(bucket, rep, band) for each posting of (rep, bands, keys). repeated: a Bloom bitmap of the buckets to keep (with false
-    hits); it is broadcast, and of bounded size."""
-    shared = reps.sparkSession.sparkContext.broadcast(repeated) if repeated is not None else None
+def postings(reps: DataFrame, keys: str, kept: np.ndarray | None = None) -> DataFrame:
+    """(bucket, rep, band, component) for each of the keys of (rep, component, bands, keys). kept: a Bloom bitmap of the buckets
+    to keep (with false hits); it is broadcast, and of bounded size."""
+    shared = reps.sparkSession.sparkContext.broadcast(kept) if kept is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                own, of, layout = [], [], []
-                for rep, bands, keys in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
-                    for band, key in zip(bands, keys, strict=True):
+                own, of, layout, comp = [], [], [], []
+                for rep, component, bands, lists in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
+                    for band, key in zip(bands, lists, strict=True):
                         own.append(np.frombuffer(key, np.int64))
                         of.append(rep)
                         layout.append(band)
+                        comp.append(component)
                 if not own:
                     continue
                 sizes, bucket = [len(x) for x in own], np.concatenate(own)
-                of, layout = np.repeat(np.array(of, np.int64), sizes), np.repeat(np.array(layout, np.int32), sizes)
+                columns = [bucket, *(np.repeat(np.array(x, kind), sizes) for x, kind in ((of, np.int64), (layout, np.int32), (comp, np.int64)))]
                 if shared is not None:
                     keep = held(shared.value, bucket.view(np.uint64))
-                    bucket, of, layout = bucket[keep], of[keep], layout[keep]
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(of), pa.array(layout)], ["bucket", "rep", "band"])
+                    columns = [x[keep] for x in columns]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["bucket", "rep", "band", "component"])
 
-    return reps.select("rep", "bands", "keys").mapInArrow(run, "bucket long, rep long, band int")
+    return reps.select("rep", "component", "bands", keys).mapInArrow(run, "bucket long, rep long, band int, component long")
 
 
 def allowed(size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
@@ -229,35 +243,31 @@ def similar_groups(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFr
     sized = sketched.filter("set_id is not null and doc_id is not null")
     classes = stored(sized.groupBy("set_id", "n_shingles").agg(F.min(F.struct("doc_id", "row")).alias("r")).select("set_id", "n_shingles", F.col("r.doc_id").alias("rep"), "r.row"))
     chosen = classes.select("row", "rep")
-    reps = stored(sketched.filter("size(bands) > 0").select("row", "bands", "keys").join(chosen, "row").select("rep", "bands", "keys").dropDuplicates(["rep"]), TEXT_ROWS)
-    counts = stored(postings(reps).groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
-    # postings that no other document has end here, but for false hits of the bitmap, which the join ends
-    bitmap = hit_bits(counts, "bucket", bits_for(counts.count()))
-    buckets = stored(postings(reps, bitmap).join(counts, "bucket"))
-    discard(reps)
-    weight = stored(buckets.groupBy("rep").agg(F.sum("n").alias("weight")))
-    layered = sketched.select("row", "n_shingles", "bands", "words").join(chosen.join(weight.select("rep"), "rep", "left_semi"), "row")
-    layered = stored(layered.select("rep", "n_shingles", F.explode(F.arrays_zip("bands", "words")).alias("l")).select("rep", "n_shingles", F.col("l.bands").alias("band"), F.col("l.words").alias("word")), TEXT_ROWS)
-
-    links, labels, mixed = None, None, buckets
-    for n in range(HUB_ROUNDS):
-        rank = F.struct("weight", F.xxhash64("rep", F.lit(n)).alias("h"), "rep") if not n else F.struct(F.xxhash64("rep", F.lit(n)).alias("h"), "rep")
-        hubs = stored((mixed.join(weight, "rep") if not n else mixed).groupBy("bucket").agg(F.max(rank)["rep"].alias("hub")))
-        stars = mixed.join(hubs, "bucket").filter("rep <> hub")
-        if n:
-            at = labels.select(F.col("id").alias("hub"), F.col("component").alias("hub_component"))
-            stars = stars.join(at, "hub", "left").filter("component <> coalesce(hub_component, hub)")
-        stars = stars.select(F.least("rep", "hub").alias("x"), F.greatest("rep", "hub").alias("y"), "band").dropDuplicates(["x", "y"])
-        found = stored(verified_links(likely(stars, layered, percent), docs, width, percent), TEXT_ROWS)
-        links = found if links is None else links.unionAll(found)
-        labels = stored(component_labels(links))
-        placed = buckets.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        blocks = (F.floor(F.count("*") / BLOCK) + 1).cast("int")
-        several = stored(placed.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), blocks.alias("blocks")).filter("a <> b").select("bucket", "blocks"))
-        mixed = stored(placed.join(several, "bucket").select("bucket", "rep", "band", "component", "blocks"))
-    members = mixed.join(layered, ["rep", "band"]).select("bucket", "blocks", "rep", "component", "n_shingles", "word")
-    rest = stored(between(members, percent).dropDuplicates(["x", "y"]))
+    of_rep = lambda *columns: sketched.filter("size(bands) > 0").select("row", *columns).join(chosen, "row").select("rep", *columns)
+    layered = of_rep("n_shingles", "bands", "words").select("rep", "n_shingles", F.explode(F.arrays_zip("bands", "words")).alias("l"))
+    layered = stored(layered.select("rep", "n_shingles", F.col("l.bands").alias("band"), F.col("l.words").alias("word")), TEXT_ROWS)
+
+    every = stored(postings(of_rep("bands", "chunks").withColumn("component", F.col("rep")), "chunks").drop("component"))
+    shared = stored(every.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
+    buckets = stored(every.join(shared, "bucket"))
+    weight = buckets.groupBy("rep").agg(F.sum("n").alias("weight"))
+    hubs = stored(buckets.join(weight, "rep").groupBy("bucket").agg(F.max(F.struct("weight", F.xxhash64("rep").alias("h"), "rep"))["rep"].alias("hub")))
+    stars = buckets.join(hubs, "bucket").filter("rep <> hub").select(F.least("rep", "hub").alias("x"), F.greatest("rep", "hub").alias("y"), "band").dropDuplicates(["x", "y"])
+    links = stored(verified_links(likely(stars, layered, percent), docs, width, percent), TEXT_ROWS)
+    labels = stored(component_labels(links))
+    discard(every, shared, buckets, hubs)
+
+    placed = of_rep("bands", "keys").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"), "bands", "keys")
+    placed = stored(placed, TEXT_ROWS)
+    least, most = F.min("component").alias("a"), F.max("component").alias("b")
+    blocks = (F.floor(F.count("*") / BLOCK) + 1).cast("int").alias("blocks")
+    mixed = stored(postings(placed, "keys").groupBy("bucket").agg(least, most, blocks).filter("a <> b").select("bucket", "blocks"))
+    # postings of buckets with one component end here, but for false hits of the bitmap, which the join ends
+    bitmap = hit_bits(mixed, "bucket", bits_for(mixed.count()))
+    members = postings(placed, "keys", bitmap).join(mixed, "bucket").join(layered, ["rep", "band"])
+    rest = stored(between(members.select("bucket", "blocks", "rep", "component", "n_shingles", "word"), percent).dropDuplicates(["x", "y"]))
     more = stored(verified_links(rest, docs, width, percent), TEXT_ROWS)
+    discard(placed, mixed)
 
     same_id = sized.select("doc_id", "set_id", "n_shingles").distinct()
     clash = same_id.groupBy("doc_id").count().filter("count > 1").select("doc_id")
