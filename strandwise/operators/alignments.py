@@ -38,6 +38,46 @@ def alignment_summary(alignments: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def read_pairs(alignments: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """(keys, read_id, ref, orientation, insert) of alignments (keys, read_id, flag, ref, pos, cigar): names with one primary
+    mapped first read and one such second read on the same reference. A hash aggregation by name brings the two together.
+
+    insert: bases from one read's 5' end to the other's, both included. FR: the forward read's 5' end comes first, RF: it comes
+    after the reverse read's; TANDEM: both reads point the same way."""
+    flag = F.col("flag")
+    steps = F.regexp_extract_all("cigar", F.lit(r"(\d+)[MDN=X]"), F.lit(1))
+    size = F.aggregate(steps, F.lit(0).cast("long"), lambda total, n: total + n.cast("long"))
+    own = alignments.filter(has(flag, "paired") & ~has(flag, "unmapped") & ~has(flag, "secondary") & ~has(flag, "supplementary"))
+    five = F.when(has(flag, "reverse"), F.col("pos") + size - 1).otherwise(F.col("pos")).cast("long")
+    ends = own.select(*keys, "read_id", has(flag, "read1").alias("first"), has(flag, "read2").alias("second"), F.struct("ref", has(flag, "reverse").alias("reverse"), five.alias("five")).alias("e"))
+    end = lambda name: F.max(F.when(F.col(name), F.col("e"))).alias(name[0])
+    both = ends.groupBy(*keys, "read_id").agg(F.count_if("first").alias("n1"), F.count_if("second").alias("n2"), end("first"), end("second")).filter("n1 = 1 and n2 = 1 and f.ref = s.ref")
+    forward, back = F.when(F.col("f.reverse"), F.col("s.five")).otherwise(F.col("f.five")), F.when(F.col("f.reverse"), F.col("f.five")).otherwise(F.col("s.five"))
+    kind = F.when(F.col("f.reverse") == F.col("s.reverse"), "TANDEM").when(forward <= back, "FR").otherwise("RF")
+    return both.select(*keys, "read_id", F.col("f.ref").alias("ref"), kind.alias("orientation"), (F.abs(F.col("f.five") - F.col("s.five")) + 1).alias("insert"))
+
+
+def insert_sizes(pairs: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """(keys, orientation, pairs, mean, sd, min, max, median, deviation) of read_pairs(); deviation: the median of the distances
+    from the median. All from counts by size, of which there are as many as sizes, however many pairs; a median of an even
+    number is the mean of the middle two."""
+    by = [*keys, "orientation"]
+
+    def middle(counted: DataFrame, value: str, name: str) -> DataFrame:
+        w = Window.partitionBy(*by)
+        ranked = counted.withColumn("_up", F.sum("k").over(w.orderBy(value))).withColumn("_n", F.sum("k").over(w))
+        at = lambda place: F.min(F.when(F.col("_up") >= place, F.col(value)))
+        return ranked.groupBy(*by).agg(((at(F.floor((F.col("_n") + 1) / 2)) + at(F.floor(F.col("_n") / 2) + 1)) / 2).alias(name))
+
+    counted = pairs.groupBy(*by, "insert").agg(F.count("*").alias("k"))
+    n, total, squares = F.sum("k"), F.sum(F.col("insert") * F.col("k")), F.sum(F.col("insert").cast("double") * F.col("insert") * F.col("k"))
+    spread = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(squares - total * (total / n), n - 1)))
+    summed = counted.groupBy(*by).agg(n.alias("pairs"), (total / n).alias("mean"), F.when(n > 1, spread).alias("sd"), F.min("insert").alias("min"), F.max("insert").alias("max"))
+    medians = middle(counted, "insert", "median")
+    apart = counted.join(medians, by).withColumn("apart", F.abs(F.col("insert") - F.col("median"))).groupBy(*by, "apart").agg(F.sum("k").alias("k"))
+    return summed.join(medians, by).join(middle(apart, "apart", "deviation"), by)
+
+
 def cycle_metrics(reads: DataFrame, keys: list[str] = ()) -> DataFrame:
     """(keys, cycle, base, n, mean_quality) of reads (seq, qual): base distribution and quality by cycle."""
     cycles = reads.select(*keys, F.posexplode(F.split("seq", "")).alias("cycle", "base"), "qual").filter("base <> ''")

@@ -46,7 +46,18 @@ def key_values(title: Column) -> Column:
 
 
 def best_reference(screen: DataFrame, keys: list[str] = ()) -> DataFrame:
-    """The top row of each screen by identity, then shared hashes 'a/b'; ties by query."""
+    """The top row of each screen by identity, then shared hashes 'a/b'; ties by query. An aggregation, so that one screen of
+    any number of rows isn't sorted in one task."""
     shared = F.split_part("shared-hashes", F.lit("/"), F.lit(1)).cast("long")
-    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(F.desc("identity"), F.desc("_shared"), "`query-ID`")
-    return screen.withColumn("_shared", shared).withColumn("_place", F.row_number().over(w)).filter("_place = 1").drop("_shared", "_place")
+    rank = F.struct(F.col("identity").alias("i"), shared.alias("s"))
+    best = screen.withColumn("_rank", rank).groupBy(*keys, "_rank").agg(F.min_by(F.struct(*[f"`{c}`" for c in screen.columns]), F.col("`query-ID`")).alias("_row"))
+    return best.groupBy(*keys).agg(F.max_by("_row", "_rank").alias("_row")).filter("_row is not null").select("_row.*")
+
+
+def best_reference_sequence(screen: DataFrame, references: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """best_reference() rows with seq_id and seq of the reference (seq_id, seq) that each names; backslashes in ids stand as -
+    in the result. Top rows whose reference is missing are left out, as a search without a result is."""
+    top = best_reference(screen, keys).withColumn("_id", F.col("`query-ID`"))
+    named = references.select(F.col("seq_id").alias("_id"), F.col("seq").alias("_seq"))
+    joined = top.join(named, "_id")
+    return joined.select(*[f"`{c}`" for c in screen.columns], F.translate("_id", "\\", "-").alias("seq_id"), F.col("_seq").alias("seq"))

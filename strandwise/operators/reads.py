@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -55,6 +56,24 @@ def read_qc(reads: DataFrame, key: str) -> DataFrame:
     return reads.groupBy(key).agg(F.count("*").alias("reads"), F.avg(F.length("seq")).alias("mean_length"), (100 * n("[GCgc]") / total).alias("gc"), (100 * n("[Nn]") / total).alias("n_share"))
 
 
+def quality_by_cycle(reads: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """(keys, cycle, n, mean, p10, q1, median, q3, p90) of reads (qual): qualities by place, from 0. A place's qualities are
+    counted before the shuffle, so a histogram of some forty values a place is all that meets; quantiles are read off its
+    running sums, as the least quality that at least that share of the reads doesn't exceed. Null and empty strings count for nothing."""
+    marks = reads.select(*keys, F.posexplode(F.split("qual", "")).alias("cycle", "_q")).filter("_q <> ''")
+    counted = marks.groupBy(*keys, "cycle", (F.ascii("_q") - 33).alias("quality")).agg(F.count("*").alias("k"))
+    w = Window.partitionBy(*keys, "cycle")
+    ranked = counted.withColumn("_up", F.sum("k").over(w.orderBy("quality"))).withColumn("_n", F.sum("k").over(w))
+    at = lambda percent, name: F.min(F.when(100 * F.col("_up") >= percent * F.col("_n"), F.col("quality"))).alias(name)
+    quantiles = [at(p, name) for p, name in ((10, "p10"), (25, "q1"), (50, "median"), (75, "q3"), (90, "p90"))]
+    return ranked.groupBy(*keys, "cycle").agg(F.max("_n").alias("n"), (F.sum(F.col("quality") * F.col("k")) / F.max("_n")).alias("mean"), *quantiles)
+
+
+def length_histogram(reads: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """(keys, length, reads): how many reads have each length; a null read has none and isn't counted."""
+    return reads.filter("seq is not null").groupBy(*keys, F.length("seq").alias("length")).agg(F.count("*").alias("reads"))
+
+
 def duplication(reads: DataFrame, key: str) -> DataFrame:
     """(key, copies, sequences): how many distinct sequences come how often."""
     return reads.groupBy(key, "seq").agg(F.count("*").alias("copies")).groupBy(key, "copies").agg(F.count("*").alias("sequences"))
@@ -156,6 +175,96 @@ def extract_umi(reads: DataFrame, length: int) -> DataFrame:
     return reads.withColumns({"umi": F.expr(f"substring(seq, 1, {length})"), "read_id": F.concat("read_id", F.lit("_"), F.expr(f"substring(seq, 1, {length})")), "seq": F.expr(f"substring(seq, {length + 1})"), "qual": F.expr(f"substring(qual, {length + 1})")})
 
 
+def _pieces(pattern: str) -> list[tuple[str, int]]:
+    """Runs of equal letters of a pattern of N, C and X: (letter, length)."""
+    if not re.fullmatch("[NCX]+", pattern):
+        raise ValueError(f"a pattern holds N, C and X only: {pattern!r}")
+    return [(m[0][0], len(m[0])) for m in re.finditer(r"N+|C+|X+", pattern)]
+
+
+def _groups(pattern: str) -> tuple[str, list[tuple[str, int]]]:
+    """A pattern of named groups as a Java pattern whose parts are all groups, and (kind, number) of each part: umi, cell,
+    discard, or keep for what stands between them. Named groups stand side by side, not within other groups."""
+    re.compile(pattern)
+    parts, at, depth, began, inside = [], 0, 0, 0, False
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "\\":
+            at += 2
+            continue
+        if inside:
+            inside = c != "]"
+        elif c == "[":
+            inside = True
+            at += 1 + (pattern[at + 1 : at + 2] == "^")  # a bracket right after is a letter
+        elif c == "|" and not depth:
+            raise ValueError("alternatives belong into a group")
+        elif c == "(":
+            named = re.match(r"\(\?P<(umi|cell|discard)_?\w*>", pattern[at:])
+            if named and depth:
+                raise ValueError("named groups can't be within others")
+            if named:
+                parts.append(("keep", pattern[began:at]))
+                parts.append((named[1], None))
+                began, at = at + len(named[0]), at + len(named[0]) - 1
+            depth += 1
+        elif c == ")":
+            depth -= 1
+            if not depth and parts and parts[-1][1] is None:
+                parts[-1] = (parts[-1][0], pattern[began:at])
+                began = at + 1
+        at += 1
+    parts.append(("keep", pattern[began:].removesuffix("$")))
+    out, number, found = "", 1, []
+    for kind, text in parts:
+        out += f"({text})"
+        found.append((kind, number))
+        number += 1 + re.compile(text).groups
+    return f"(?s)^{out}{'$' if pattern.endswith('$') else '(.*)$'}", found + ([] if pattern.endswith("$") else [("keep", number)])
+
+
+def cut_pattern(seq: Column, qual: Column, pattern: str) -> Column:
+    """Struct (umi, cell, seq, qual) of a read by a pattern: a word of N (molecular word), C (cell word) and X (stays in the
+    read), or a regular expression with groups named umi_*, cell_* and discard_*, which are cut out of the read. Null where
+    the read is shorter than the word or the expression doesn't match from the start; qualities are cut as the read is."""
+    pick = lambda kinds, parts: F.concat(*[p for kind, p in parts if kind in kinds], F.lit(""))
+    if re.fullmatch("[NCX]+", pattern):
+        at, own, marks = 1, [], []
+        for letter, n in _pieces(pattern):
+            own.append((letter, F.substring(seq, at, n)))
+            marks.append((letter, F.substring(qual, at, n)))
+            at += n
+        ok, rest = F.length(seq) >= len(pattern), 1 << 30
+        own.append(("X", F.substring(seq, at, rest)))
+        marks.append(("X", F.substring(qual, at, rest)))
+        names = ("N", "C", "X")
+    else:
+        expression, found = _groups(pattern)
+        ok, names = seq.rlike(expression), ("umi", "cell", "keep")
+        own = [(kind, F.regexp_extract(seq, expression, number)) for kind, number in found]
+        marks, at = [], F.lit(1)
+        for kind, part in own:
+            marks.append((kind, F.substring(qual, at, F.length(part))))
+            at = at + F.length(part)
+    return F.when(ok, F.struct(pick(names[0], own).alias("umi"), pick(names[1], own).alias("cell"), pick(names[2], own).alias("seq"), pick(names[2], marks).alias("qual")))
+
+
+def extract_pattern(reads: DataFrame, pattern: str, mate_pattern: str | None = None, discard: int | None = None, keys: list[str] = ("read_id",)) -> DataFrame:
+    """reads (keys, read_id, mate, seq, qual, ...) with umi and cell added, cut out of the reads, and put at the end of the
+    read's name (cell before umi), alike for both mates. pattern is for mate 1, mate_pattern for mate 2 (cut_pattern); a read
+    whose mate doesn't match goes with it. discard: the mate to drop when the words have been taken, so that the other goes on
+    as a single read with mate 1. Rows of the same keys are mates of each other."""
+    cut = F.when(F.col("mate") == 1, cut_pattern(F.col("seq"), F.col("qual"), pattern))
+    cut = F.when(F.col("mate") == 2, cut_pattern(F.col("seq"), F.col("qual"), mate_pattern)).otherwise(cut) if mate_pattern else cut
+    marked = reads.withColumn("_cut", cut).withColumn("_fails", F.col("_cut").isNull() & ((F.col("mate") == 1) | F.lit(bool(mate_pattern))))
+    words = lambda c: F.concat_ws("", *[F.max(F.when(F.col("mate") == m, F.col(f"_cut.{c}"))) for m in (1, 2)]).alias(c)
+    both = marked.groupBy(*keys).agg(words("umi"), words("cell"), F.max("_fails").alias("_fails"), F.max(F.col("mate") == 1).alias("_first")).filter("not _fails and _first")
+    named = marked.drop("umi", "cell", "_fails").join(both.drop("_fails", "_first"), list(keys))
+    suffix = F.concat(F.when(F.col("cell") != "", F.concat(F.lit("_"), "cell")).otherwise(""), F.lit("_"), F.col("umi"))
+    out = named.withColumns({"read_id": F.concat("read_id", suffix), "seq": F.coalesce("_cut.seq", "seq"), "qual": F.coalesce("_cut.qual", "qual")}).drop("_cut")
+    return out.filter(F.col("mate") != discard).withColumn("mate", F.lit(1)) if discard else out
+
+
 def dedup_umi(reads: DataFrame, keys: list[str] = (), method: str = "directional") -> DataFrame:
     """(keys, umi, n, group): words within one mismatch of each other, as groups. cluster links all neighbours; directional
     links a to b only if n(a) >= 2 n(b) - 1, and a group is what its commonest word reaches along such links, so that two

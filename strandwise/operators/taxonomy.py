@@ -163,3 +163,9 @@ def precluster(first: DataFrame, second: DataFrame, taxonomy: DataFrame, closure
     merged = merged.join(keep, "taxid", "left_semi") if keep is not None else merged
     merged = merged.join(drop, "taxid", "left_anti") if drop is not None else merged
     return simplify_to_rank(merged, taxonomy, closure, rank) if rank else merged.withColumn("resolved", F.col("taxid"))
+
+
+def taxon_sequences(report: DataFrame, sequences: DataFrame) -> DataFrame:
+    """(resolved, seq_id, seq, ...) of the sequences (seq_id, ...) that precluster() puts to a taxon: the sequences a taxon, for
+    write_fasta(by="resolved"). Names without a sequence, and sequences without a taxon, are left out."""
+    return sequences.join(report.select(F.col("name").alias("seq_id"), "resolved"), "seq_id").select("resolved", *sequences.columns)

@@ -93,6 +93,17 @@ def filter_label(passed: Column, p_value: Column, alpha: float = 0.05) -> Column
     return F.when(label == "", "PASS").otherwise(label)
 
 
+def labelled(variants: DataFrame, passed: Column, p_value: Column, alpha: float = 0.05) -> DataFrame:
+    """variants with filter, the label of filter_label()."""
+    return variants.withColumn("filter", filter_label(passed, p_value, alpha))
+
+
+def passing(variants: DataFrame, least: float = 0.0, freq: str = "freq", pass_only: bool = True) -> DataFrame:
+    """Variants labelled PASS, if only those are asked for, of at least that allele frequency; a null frequency doesn't reach it."""
+    kept = variants.filter(F.col("filter") == "PASS") if pass_only else variants
+    return kept.filter(F.col(freq) >= least)
+
+
 def filter_frequency(variants: DataFrame, least: float = 0.75, freq: str | None = "freq") -> DataFrame:
     """Variants of at least that allele frequency: freq, or alt_depth / total."""
     return variants.filter((F.col(freq) if freq else F.col("alt_depth") / F.col("total")) >= least)

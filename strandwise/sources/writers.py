@@ -2,15 +2,33 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def write_fasta(sequences: DataFrame, path: str, by: str | None = None, width: int = 0) -> None:
-    """Records as text, one folder a value of by; width > 0 breaks sequence lines."""
+#: Most rows of a file of a group.
+FILE_ROWS = 100_000
+
+
+def dealt_to_files(rows: DataFrame, by: list[str], most: int = FILE_ROWS) -> DataFrame:
+    """rows dealt by group for a writer of at most most rows a file: a group of up to most rows is one task's, a larger one is
+    split into as many parts as it needs, and small groups share a task. Groups are counted first; which part a row is in
+    follows from the row."""
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("_n")).withColumn("_files", F.ceil(F.col("_n") / most)).drop("_n")
+    keys = functools.reduce(lambda x, y: x & y, [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in by])
+    joined = rows.alias("r").join(sizes.filter("_files > 1").alias("s"), keys, "left").select("r.*", F.coalesce("_files", F.lit(1)).alias("_files"))
+    part = F.pmod(F.xxhash64(*[c for c, kind in rows.dtypes if "map" not in kind]), F.col("_files")).alias("_part")
+    return joined.select(*rows.columns, part).repartition(*by, "_part").sortWithinPartitions(*by, "_part").drop("_part")
+
+
+def write_fasta(sequences: DataFrame, path: str, by: str | None = None, width: int = 0, most: int = FILE_ROWS) -> None:
+    """Records as text, one folder a value of by, of one file or, from most records, of several; width > 0 breaks sequence
+    lines. Values of by name their folders, as by=value."""
     seq = F.regexp_replace("seq", f"(.{{{width}}})(?=.)", "$1\n") if width else F.col("seq")
     lines = sequences.select(*([by] if by else []), F.concat(F.lit(">"), "seq_id", F.lit("\n"), seq).alias("value"))
-    (lines.write.partitionBy(by) if by else lines.write).text(path)
+    (dealt_to_files(lines, [by], most).write.partitionBy(by) if by else lines.write).option("maxRecordsPerFile", most).text(path)
 
 
 def write_tsv(df: DataFrame, path: str, comments: list[str] = ()) -> bool:
@@ -27,9 +45,9 @@ def write_tsv(df: DataFrame, path: str, comments: list[str] = ()) -> bool:
     return True
 
 
-def write_cluster_json(clusters: DataFrame, path: str) -> None:
-    """One object a row, in one folder a sample."""
-    clusters.write.partitionBy("sample").json(path)
+def write_cluster_json(clusters: DataFrame, path: str, by: list[str] = ("sample",), most: int = FILE_ROWS) -> None:
+    """One object a row, in one folder a sample, or a value of the columns in by (("sample", "cluster"): a folder a cluster)."""
+    dealt_to_files(clusters, list(by), most).write.partitionBy(*by).option("maxRecordsPerFile", most).json(path)
 
 
 def vcf_header(contigs: list[tuple[str, int]], sample: str) -> list[str]:

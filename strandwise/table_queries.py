@@ -1100,3 +1100,113 @@ def document_distances(spark, d):
 @query(f"WITH {DOC_CLASSES} SELECT seq_id, representative FROM whole JOIN classes USING (sketch)")
 def sketch_members(spark, d):
     return sketches.sketch_classes(sketches.sketch(_words(Tables(spark, d).documents, "doc_id"), 50))[1]
+
+
+# ------------------------------------------------------------------ reads: quality and length by place, molecular words by pattern
+
+
+_QUANTILE = lambda p, name: f"min(quality) FILTER (100 * up >= {p} * n) AS {name}"
+
+
+@query(f"""WITH q AS (SELECT role AS key, generate_subscripts(l, 1) - 1 AS cycle, unicode(unnest(l)) - 33 AS quality FROM (SELECT role, string_split(text, '') AS l FROM conversations WHERE text <> '')),
+c AS (SELECT key, cycle, quality, count(*) AS k FROM q GROUP BY ALL),
+r AS (SELECT *, sum(k) OVER (PARTITION BY key, cycle ORDER BY quality) AS up, sum(k) OVER (PARTITION BY key, cycle) AS n FROM c)
+SELECT key, cycle, max(n)::bigint AS n, round(sum(quality * k) / max(n) + 1e-9, 6) AS mean, {_QUANTILE(10, 'p10')}, {_QUANTILE(25, 'q1')}, {_QUANTILE(50, 'median')}, {_QUANTILE(75, 'q3')}, {_QUANTILE(90, 'p90')} FROM r GROUP BY 1, 2""")
+def quality_by_cycle(spark, d):
+    turns = Tables(spark, d).conversations.select(F.col("role").alias("key"), F.col("text").alias("qual"))
+    out = reads.quality_by_cycle(turns, ["key"])
+    return out.select("key", F.col("cycle").cast("long").alias("cycle"), "n", _six("mean"), "p10", "q1", "median", "q3", "p90")
+
+
+@query("SELECT source AS key, lang, length(text) AS length, count(*) AS reads FROM documents WHERE text IS NOT NULL GROUP BY ALL")
+def length_histogram(spark, d):
+    docs = Tables(spark, d).documents.select(F.col("source").alias("key"), "lang", F.col("text").alias("seq"))
+    return reads.length_histogram(docs, ["key", "lang"]).withColumn("length", F.col("length").cast("long"))
+
+
+_MATES = "SELECT conv_id || '_' || turn // 2 AS name, turn % 2 + 1 AS mate, text AS seq FROM conversations"
+
+
+@query(f"""WITH r AS ({_MATES}), c AS (SELECT *, CASE WHEN mate = 1 THEN substr(seq, 1, 3) || substr(seq, 6, 1) ELSE substr(seq, 1, 2) END AS umi, CASE WHEN mate = 1 THEN substr(seq, 4, 2) ELSE '' END AS cell, CASE WHEN mate = 1 THEN length(seq) >= 8 ELSE length(seq) >= 2 END AS ok,
+ CASE WHEN mate = 1 THEN substr(seq, 7) ELSE substr(seq, 3) END AS rest FROM r),
+w AS (SELECT name, coalesce(max(umi) FILTER (mate = 1), '') || coalesce(max(umi) FILTER (mate = 2), '') AS umi, coalesce(max(cell) FILTER (mate = 1), '') || coalesce(max(cell) FILTER (mate = 2), '') AS cell FROM c GROUP BY 1 HAVING bool_and(ok) AND bool_or(mate = 1))
+SELECT name || CASE WHEN w.cell <> '' THEN '_' || w.cell ELSE '' END || '_' || w.umi AS read_id, mate, rest AS seq, w.umi, w.cell FROM c JOIN w USING (name)""")
+def umi_pattern(spark, d):
+    turns = Tables(spark, d).conversations
+    mates = turns.select(F.concat_ws("_", "conv_id", F.floor(F.col("turn") / 2)).alias("read_id"), (F.col("turn") % 2 + 1).alias("mate"), F.col("text").alias("seq"), F.col("text").alias("qual"))
+    return reads.extract_pattern(mates, "NNNCCNXX", "NN").select("read_id", "mate", "seq", "umi", "cell")
+
+
+@query(f"""WITH r AS ({_MATES}), m AS (SELECT *, regexp_extract(seq, '^([^aeiou ]{{1,3}})([aeiou])([a-z]+)( )', ['a', 'b', 'c', 'd'], 's') AS g FROM r WHERE mate = 1 AND regexp_matches(seq, '^[^aeiou ]{{1,3}}[aeiou][a-z]+ ', 's'))
+SELECT name || '_' || g.a || g.c AS read_id, 1::bigint AS mate, g.b || substr(seq, length(g.a || g.b || g.c || g.d) + 1) AS seq, g.a || g.c AS umi FROM m""")
+def umi_expression(spark, d):
+    turns = Tables(spark, d).conversations
+    mates = turns.select(F.concat_ws("_", "conv_id", F.floor(F.col("turn") / 2)).alias("read_id"), (F.col("turn") % 2 + 1).alias("mate"), F.col("text").alias("seq"), F.col("text").alias("qual"))
+    out = reads.extract_pattern(mates, r"^(?P<umi_1>[^aeiou ]{1,3})[aeiou](?P<umi_2>[a-z]+)(?P<discard_1> )", discard=2)
+    return out.select("read_id", F.col("mate").cast("long").alias("mate"), "seq", "umi")
+
+
+# ------------------------------------------------------------------ pairs: lines 1 and 2 of an order as mates
+
+
+def _mates(t):
+    flag = 1 + F.when(F.col("l_linenumber") == 1, 64).when(F.col("l_linenumber") == 2, 128).otherwise(64 + 256) + F.when(F.col("l_returnflag") == "N", 16).otherwise(0) + F.when(F.col("l_quantity") > 48, 4).otherwise(0)
+    cigar = F.concat(F.lit("2S"), F.col("l_quantity").cast("int"), F.lit("M1D3I"))
+    return t.lineitem.select(F.col("l_orderkey").alias("read_id"), flag.alias("flag"), (F.col("l_suppkey") % 3).alias("ref"), F.dayofyear("l_shipdate").cast("long").alias("pos"), cigar.alias("cigar"))
+
+
+PAIRED = """e AS (SELECT l_orderkey AS read_id, l_linenumber AS line, l_suppkey % 3 AS ref, l_returnflag = 'N' AS reverse, dayofyear(l_shipdate) + CASE WHEN l_returnflag = 'N' THEN l_quantity::bigint ELSE 0 END AS five FROM lineitem WHERE l_linenumber <= 2 AND l_quantity <= 48),
+g AS (SELECT read_id, count(*) FILTER (line = 1) AS n1, count(*) FILTER (line = 2) AS n2 FROM e GROUP BY 1 HAVING n1 = 1 AND n2 = 1),
+pairs AS (SELECT a.read_id, a.ref, CASE WHEN a.reverse = b.reverse THEN 'TANDEM' WHEN (CASE WHEN a.reverse THEN b.five ELSE a.five END) <= (CASE WHEN a.reverse THEN a.five ELSE b.five END) THEN 'FR' ELSE 'RF' END AS orientation, abs(a.five - b.five) + 1 AS "insert" FROM g JOIN e a ON a.read_id = g.read_id AND a.line = 1 JOIN e b ON b.read_id = g.read_id AND b.line = 2 WHERE a.ref = b.ref)"""
+
+
+@query(f'WITH {PAIRED} SELECT read_id, ref, orientation, "insert" FROM pairs')
+def read_pairs(spark, d):
+    return alignments.read_pairs(_mates(Tables(spark, d)))
+
+
+@query(f"""WITH {PAIRED}, m AS (SELECT ref, orientation, median("insert") AS med FROM pairs GROUP BY 1, 2)
+SELECT ref, orientation, count(*) AS pairs, round(avg("insert") + 1e-9, 6) AS mean, round(stddev_samp("insert") + 1e-9, 5) AS sd, min("insert") AS min, max("insert") AS max, any_value(med)::double AS median, median(abs("insert" - med))::double AS deviation FROM pairs JOIN m USING (ref, orientation) GROUP BY 1, 2""")
+def insert_sizes(spark, d):
+    out = alignments.insert_sizes(alignments.read_pairs(_mates(Tables(spark, d))), ["ref"])
+    return out.select("ref", "orientation", "pairs", _six("mean"), F.round(F.col("sd") + F.lit(1e-9), 5).alias("sd"), "min", "max", "median", "deviation")
+
+
+# ------------------------------------------------------------------ references with sequences, passing variants, lists
+
+
+@query("SELECT sample, name AS seq_id, seq, identity FROM (SELECT p_type AS sample, replace('p' || chr(92) || p_partkey, chr(92), '-') AS name, p_name AS seq, round(p_retailprice / 10, 0) AS identity, row_number() OVER (PARTITION BY p_type ORDER BY round(p_retailprice / 10, 0) DESC, p_size DESC, p_partkey::varchar) AS n, p_partkey FROM part) WHERE n = 1 AND p_partkey % 4 <> 0")
+def best_reference_sequence(spark, d):
+    part = Tables(spark, d).part
+    name = F.concat(F.lit("p\\"), F.col("p_partkey").cast("string"))
+    rows = part.select(F.col("p_type").alias("sample"), name.alias("query-ID"), F.round(F.col("p_retailprice") / 10, 0).alias("identity"), F.concat("p_size", F.lit("/50")).alias("shared-hashes"))
+    return hits.best_reference_sequence(rows, part.filter("p_partkey % 4 <> 0").select(name.alias("seq_id"), F.col("p_name").alias("seq")), ["sample"]).select("sample", "seq_id", "seq", "identity")
+
+
+def _strand_table(t):
+    n = lambda flag, status: F.count_if((F.col("l_returnflag") == flag) & (F.col("l_linestatus") == status)).alias(f"{flag}{status}")
+    table = t.lineitem.groupBy("l_suppkey").agg(n("R", "F"), n("R", "O"), n("N", "F"), n("N", "O"), F.avg("l_discount").alias("freq"))
+    return table.withColumn("p_value", variants.strand_bias(*[F.col(c) for c in ("NF", "NO", "RF", "RO")]))
+
+
+STRANDS = """WITH t AS (SELECT l_suppkey, count(*) FILTER (l_returnflag = 'N' AND l_linestatus = 'F') AS a, count(*) FILTER (l_returnflag = 'N' AND l_linestatus = 'O') AS b, count(*) FILTER (l_returnflag = 'R' AND l_linestatus = 'F') AS c, count(*) FILTER (l_returnflag = 'R' AND l_linestatus = 'O') AS d, avg(l_discount) AS freq FROM lineitem GROUP BY 1),
+p AS (SELECT l_suppkey, sum(exp(lgamma(a + b + 1) + lgamma(c + d + 1) + lgamma(a + c + 1) + lgamma(b + d + 1) - lgamma(a + b + c + d + 1) - lgamma(x + 1) - lgamma(a + b - x + 1) - lgamma(a + c - x + 1) - lgamma(d - a + x + 1))) AS p FROM t, LATERAL (SELECT unnest(range(a, least(a + b, a + c) + 1)) AS x) r GROUP BY 1),
+marked AS (SELECT l_suppkey, freq, concat_ws(';', CASE WHEN a <= b + c THEN NULL ELSE 'ft' END, CASE WHEN p < 0.05 THEN 'sb' END) AS label FROM t JOIN p USING (l_suppkey)) """
+
+
+@query(STRANDS + "SELECT l_suppkey, CASE WHEN label = '' THEN 'PASS' ELSE label END AS filter FROM marked")
+def variant_labels(spark, d):
+    table = _strand_table(Tables(spark, d))
+    return variants.labelled(table, F.col("NF") <= F.col("NO") + F.col("RF"), F.col("p_value")).select("l_suppkey", "filter")
+
+
+@query(STRANDS + "SELECT l_suppkey FROM marked WHERE label = '' AND freq >= 0.05")
+def passing_variants(spark, d):
+    table = variants.labelled(_strand_table(Tables(spark, d)), F.col("NF") <= F.col("NO") + F.col("RF"), F.col("p_value"))
+    return variants.passing(table, 0.05).select("l_suppkey")
+
+
+@query("SELECT event_type AS key, array_to_string(list_sort(list(user_id)), ',') AS items, count(*) AS n FROM (SELECT DISTINCT event_type, user_id FROM events WHERE user_id IS NOT NULL) GROUP BY 1")
+def collect_items(spark, d):
+    events = Tables(spark, d).events.withColumnRenamed("event_type", "key")
+    return flow.collect_items(events, "user_id", ["key"], distinct=True).select("key", F.array_join("items", ",").alias("items"), "n")
