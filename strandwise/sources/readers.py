@@ -99,10 +99,13 @@ def read_json_records(spark: SparkSession, path, key: str = "id") -> DataFrame:
     return rows.withColumn(key, own).drop("_file")
 
 
-def read_key_values(spark: SparkSession, path) -> DataFrame:
-    """Two-column reports, one row a file: (file, one column a key)."""
-    rows = spark.read.schema("key string, value string").csv(path, sep="\t", quote="").withColumn("file", F.regexp_extract(F.input_file_name(), "([^/]+?)(?:\\.[^./]*)?$", 1))
-    return rows.groupBy("file").pivot("key").agg(F.first("value"))
+def read_key_values(spark: SparkSession, path, keys: list[str] | None = None) -> DataFrame:
+    """Two-column reports, one row a file: (file, one column a key), file without folder and suffix. Files of one name in
+    several folders are rows of their own. keys: the columns to take; without them all keys that occur, which are collected
+    first, as many as Spark pivots at most (spark.sql.pivotMaxValues)."""
+    rows = spark.read.schema("key string, value string").csv(path, sep="\t", quote="").withColumn("_path", F.input_file_name())
+    wide = rows.groupBy("_path").pivot("key", keys).agg(F.first("value"))
+    return wide.select(F.regexp_extract("_path", "([^/]+?)(?:\\.[^./]*)?$", 1).alias("file"), *[F.col(f"`{c}`") for c in wide.columns if c != "_path"])
 
 
 def read_cdhit(spark: SparkSession, path) -> DataFrame:

@@ -7,7 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from strandwise import table_queries
+from strandwise import file_queries, table_queries  # noqa: F401  (file_queries adds its own)
 
 FOLDER = Path("/root/testdata/sf0.001")
 
