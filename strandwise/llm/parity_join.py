@@ -243,7 +243,8 @@ def similar_groups(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFr
     sized = sketched.filter("set_id is not null and doc_id is not null")
     classes = stored(sized.groupBy("set_id", "n_shingles").agg(F.min(F.struct("doc_id", "row")).alias("r")).select("set_id", "n_shingles", F.col("r.doc_id").alias("rep"), "r.row"))
     chosen = classes.select("row", "rep")
-    of_rep = lambda *columns: sketched.filter("size(bands) > 0").select("row", *columns).join(chosen, "row").select("rep", *columns)
+    # the same join at every size: sketches are dealt by their row once for each use, whatever Spark would broadcast
+    of_rep = lambda *columns, by=chosen: sketched.filter("size(bands) > 0").select("row", *columns).join(by.hint("merge"), "row").drop("row")
     layered = of_rep("n_shingles", "bands", "words").select("rep", "n_shingles", F.explode(F.arrays_zip("bands", "words")).alias("l"))
     layered = stored(layered.select("rep", "n_shingles", F.col("l.bands").alias("band"), F.col("l.words").alias("word")), TEXT_ROWS)
 
@@ -257,14 +258,14 @@ def similar_groups(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFr
     labels = stored(component_labels(links))
     discard(every, shared, buckets, hubs)
 
-    placed = of_rep("bands", "keys").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"), "bands", "keys")
-    placed = stored(placed, TEXT_ROWS)
+    labelled = chosen.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("row", "rep", F.coalesce("component", "rep").alias("component"))
+    placed = stored(of_rep("bands", "keys", by=labelled), TEXT_ROWS)
     least, most = F.min("component").alias("a"), F.max("component").alias("b")
     blocks = (F.floor(F.count("*") / BLOCK) + 1).cast("int").alias("blocks")
     mixed = stored(postings(placed, "keys").groupBy("bucket").agg(least, most, blocks).filter("a <> b").select("bucket", "blocks"))
     # postings of buckets with one component end here, but for false hits of the bitmap, which the join ends
     bitmap = hit_bits(mixed, "bucket", bits_for(mixed.count()))
-    members = postings(placed, "keys", bitmap).join(mixed, "bucket").join(layered, ["rep", "band"])
+    members = postings(placed, "keys", bitmap).join(mixed, "bucket").join(layered.hint("merge"), ["rep", "band"])
     rest = stored(between(members.select("bucket", "blocks", "rep", "component", "n_shingles", "word"), percent).dropDuplicates(["x", "y"]))
     more = stored(verified_links(rest, docs, width, percent), TEXT_ROWS)
     discard(placed, mixed)
