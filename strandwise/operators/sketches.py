@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise.operators.reads import kmers
+from strandwise.operators.scan import dealt, running
 from strandwise.operators.taxonomy import fold_to_common
-from strandwise.storage import stored
+from strandwise.storage import discard, stored
 
 
 def canonical(word: Column) -> Column:
@@ -157,3 +158,68 @@ def cluster_sequences(of: DataFrame, lengths: DataFrame, share: float = 0.85, mi
         raise RuntimeError("clusters did not settle")
     chosen = member.groupBy(key).agg(F.max_by("centre", F.struct("centre_length", "shared", "centre")).alias("centroid"))
     return lengths.select(key).join(chosen, key, "left").select(key, F.coalesce("centroid", key).alias("centroid"))
+
+
+def greedy_clusters(of: DataFrame, lengths: DataFrame, share: float = 0.85, key: str = "seq_id", first: int = 8, rounds: int = 40) -> DataFrame:
+    """(key, centroid) of sequences (key, length) and their distinct words (key, word): in order of falling length, ties by key,
+    a sequence joins the first centre before it that holds at least that share of its words, else it is a centre. Sequences
+    without words are centres.
+
+    Exact candidates by a prefix filter: if a share of a sequence's words lies in another, one of its rarest words does too,
+    of as many as may be missing and one more; so only those are looked up among the words of all. Sequences of equal words
+    are one class, which its first stands for. A word's holders are ranked in order (by ranges, so a common word is no one
+    task's), and looked up first ranks first: a round compares what is undecided with the next ranks, four times as many as
+    the round before, without holders that have joined a centre. So of thousands of near copies each meets the longest, not
+    all others. At the end what isn't a centre is compared with centres only, and joins the first.
+    """
+    words_of = stored(of.select(F.col(key).alias("k"), F.xxhash64("word").alias("h")).distinct())
+    sets = words_of.groupBy("k").agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.bit_xor(F.xxhash64("h")).alias("y"))
+    sized = stored(lengths.select(F.col(key).alias("k"), "length").join(sets, "k"))
+    place = F.struct((-F.col("length")).alias("l"), F.col("k"))
+    classes = stored(sized.groupBy("n", "x", "y").agg(F.min(place).alias("p")).select("n", "x", "y", F.col("p.k").alias("rep"), F.col("p.l").alias("l")))
+    held = stored(words_of.join(classes.select(F.col("rep").alias("k"), "l", "n"), "k"))
+    ranked = running(dealt(held, ["h"], ["l", "k"]), ["h"], ["l", "k"], {"rank": ("sum", F.lit(1).cast("long"))}).drop("_range")
+    ranked = stored(ranked)
+    rare = ranked.join(ranked.groupBy("h").agg(F.count("*").alias("f")), "h").withColumn("_i", F.row_number().over(Window.partitionBy("k").orderBy("f", "h")))
+    asked = stored(rare.filter(F.col("_i") <= F.col("n") - F.ceil(share * F.col("n")) + 1).filter("rank > 1").select("h", "k", "n", "rank"))
+    arrays = stored(held.groupBy("k").agg(F.collect_list("h").alias("w")))
+    holders = ranked.select("h", F.col("k").alias("c"), F.col("rank").alias("r"), F.col("n").alias("m"), F.col("l").alias("cl"))
+
+    def contained(pairs: DataFrame) -> DataFrame:
+        """(k, c, cl) of the pairs (k, c, cl, n) where c holds the share of k's n words."""
+        side = lambda name: arrays.select(F.col("k").alias(name), F.col("w").alias(f"w{name}"))
+        both = pairs.join(side("k"), "k").join(side("c"), "c")
+        return both.filter(F.size(F.array_intersect("wk", "wc")) >= share * F.col("n")).select("k", "c", "cl")
+
+    depth = asked.groupBy("k").agg((F.max("rank") - 1).alias("depth"))
+    state = stored(classes.select(F.col("rep").alias("k")).join(depth, "k", "left").select("k", F.coalesce("depth", F.lit(0)).alias("depth"), F.lit(None).cast("boolean").alias("centre")))
+    edges, below, upto = None, 0, first
+    for _ in range(rounds):
+        undecided = state.filter("centre is null").select("k")
+        if undecided.isEmpty():
+            break
+        near = holders.filter(f"r > {below} and r <= {upto}").join(state.filter("not centre").select(F.col("k").alias("c")), "c", "left_anti")
+        met = asked.filter(f"rank > {below + 1}").join(undecided, "k", "left_semi").join(near, "h").filter((F.col("r") < F.col("rank")) & (F.col("m") >= share * F.col("n")))
+        found = contained(met.select("k", "c", "cl", "n").dropDuplicates(["k", "c"])).select("k", "c")
+        edges = stored(found if edges is None else found.unionAll(edges))
+        while True:  # hand decisions along the edges: holders of a sequence come before it, so they are decided before it
+            joined = edges.join(state.filter("centre").select(F.col("k").alias("c")), "c", "left_semi").select("k").distinct()
+            waits = edges.join(state.filter("not centre").select(F.col("k").alias("c")), "c", "left_anti").select("k").distinct()
+            marked = state.join(joined.withColumn("_joined", F.lit(True)), "k", "left").join(waits.withColumn("_waits", F.lit(True)), "k", "left")
+            now = F.when(F.col("_joined"), False).when(F.col("_waits").isNull() & (F.col("depth") <= upto), True)
+            after = stored(marked.select("k", "depth", F.coalesce("centre", now).alias("centre"), (F.col("centre").isNull() & now.isNotNull()).alias("_new")))
+            done = after.filter("_new").isEmpty()
+            before, state = state, after.drop("_new")
+            discard(before)
+            if done:
+                break
+        below, upto = upto, 4 * upto
+    else:
+        raise RuntimeError("clusters did not settle")
+    centres = state.filter("centre").select(F.col("k").alias("c"))
+    others = asked.join(state.filter("not centre").select("k"), "k", "left_semi")
+    met = others.join(holders.join(centres, "c", "left_semi"), "h").filter((F.col("r") < F.col("rank")) & (F.col("m") >= share * F.col("n")))
+    chosen = contained(met.select("k", "c", "cl", "n").dropDuplicates(["k", "c"])).groupBy("k").agg(F.min(F.struct("cl", "c"))["c"].alias("c"))
+    of_class = classes.join(chosen.withColumnRenamed("k", "rep"), "rep", "left").select("n", "x", "y", F.coalesce("c", "rep").alias("c"))
+    clustered = stored(sized.join(of_class, ["n", "x", "y"]).select(F.col("k").alias(key), F.col("c").alias("centroid")))
+    return lengths.select(key).join(clustered, key, "left").select(key, F.coalesce("centroid", key).alias("centroid"))

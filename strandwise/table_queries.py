@@ -1210,3 +1210,19 @@ def passing_variants(spark, d):
 def collect_items(spark, d):
     events = Tables(spark, d).events.withColumnRenamed("event_type", "key")
     return flow.collect_items(events, "user_id", ["key"], distinct=True).select("key", F.array_join("items", ",").alias("items"), "n")
+
+
+# ------------------------------------------------------------------ clusters of documents by the words that they hold
+
+
+@query(f"""WITH RECURSIVE w AS (SELECT DISTINCT seq_id, word FROM ({WORDS('documents', 'doc_id')})),
+o AS (SELECT doc_id AS seq_id, row_number() OVER (ORDER BY length(text) DESC NULLS LAST, doc_id) AS i FROM documents),
+n AS (SELECT seq_id, count(*) AS n FROM w GROUP BY 1),
+held AS (SELECT a.seq_id AS a, c.seq_id AS c, count(*) AS shared FROM w a JOIN w c ON a.word = c.word AND a.seq_id <> c.seq_id GROUP BY 1, 2),
+before AS (SELECT oa.i, list(oc.i) AS cs FROM held JOIN n ON n.seq_id = a JOIN o oa ON oa.seq_id = a JOIN o oc ON oc.seq_id = c WHERE shared >= 0.85 * n AND oc.i < oa.i GROUP BY 1),
+r AS (SELECT 0::bigint AS i, []::bigint[] AS centres UNION ALL SELECT o.i, CASE WHEN list_has_any(coalesce(cs, []), centres) THEN centres ELSE list_append(centres, o.i) END FROM r JOIN o ON o.i = r.i + 1 LEFT JOIN before ON before.i = o.i),
+final AS (SELECT centres FROM r ORDER BY i DESC LIMIT 1)
+SELECT o.seq_id, t.seq_id AS centroid FROM o LEFT JOIN before ON before.i = o.i, final, LATERAL (SELECT coalesce(list_min(list_intersect(cs, centres)), o.i) AS ci) x JOIN o t ON t.i = ci""")
+def greedy_clusters(spark, d):
+    docs = Tables(spark, d).documents
+    return sketches.greedy_clusters(_words(docs, "doc_id"), docs.select(F.col("doc_id").alias("seq_id"), F.coalesce(F.length("text"), F.lit(-1)).alias("length")))
