@@ -78,5 +78,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
+def similar_sql(width: int, percent: int) -> str:
+    """Groups of documents whose shingle sets reach a similarity, by comparing all that share a shingle."""
+    return f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents WHERE text IS NOT NULL),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {width} THEN list_transform(range(1, len(w) - {width} + 2), lambda i: array_to_string(w[i : i + {width - 1}], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= {percent} * (p.n + q.n - k)),
+reached AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_urls": urls.URLS_SQL, "op10_exact_dups": exact_dups.EXACT_SQL, "op11_prefix_trie": prefix_trie.TRIE_SQL}
+    near = f"SELECT *, doc_id = component_id AS kept FROM ({similar_sql(4, 80)})"
+    similar = {"op7_near_dups": near, "op12_parity_join": similar_sql(4, 85)}
+    return similar | {"op5_urls": urls.URLS_SQL, "op10_exact_dups": exact_dups.EXACT_SQL, "op11_prefix_trie": prefix_trie.TRIE_SQL}
