@@ -22,12 +22,10 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: length of those that are decoded, and the step between them.
 HIDDEN, EMBEDDED, TAGS, TRAINED, WINDOW, HOP = 12, 12, 5, 96, 480, 448
 #: Labelled windows made for the fit, those that a pass trains on at random, and beside them at most those that the model
-#: tags wrongly; passes; and the log-odds against plain text that a span needs to be added.
-EXAMPLES, DRAWN, WRONG, PASSES, LEAST_ODDS = 16_000, 3000, 1500, 16, 4.0
+#: tags wrongly, of a third of the windows, looked through in turn; passes; and the log-odds against plain text that a span needs to be added.
+EXAMPLES, DRAWN, WRONG, PASSES, LEAST_ODDS = 16_000, 3000, 1500, 14, 4.0
 #: Characters of a document that the fit looks at, and windows that go through the network at a time.
 CONTEXT, BATCH = 4000, 1024
-#: The shortest and longest span that is added; no labelled one is shorter (an IP address) or longer.
-LEAST_SPAN, MOST_SPAN = 7, 64
 #: Documents looked at for each one whose text labelled spans are set into, on average.
 SPARE = 8
 
@@ -214,7 +212,8 @@ def fit(x: np.ndarray, gold: np.ndarray, passes: int = PASSES, seed: int = 3) ->
         order = rng.permutation(len(x))[:DRAWN]
         if turn >= 2:
             now = _rounded(params)
-            wrong = [at + np.flatnonzero((viterbi(emissions(now, x[at : at + BATCH]), now.trans) != gold[at : at + BATCH]).any(1)) for at in range(0, len(x), BATCH)]
+            third = np.arange(turn % 3, len(x), 3)
+            wrong = [third[at : at + BATCH][(viterbi(emissions(now, x[third[at : at + BATCH]]), now.trans) != gold[third[at : at + BATCH]]).any(1)] for at in range(0, len(third), BATCH)]
             order = rng.permutation(np.concatenate([order, rng.permutation(np.concatenate(wrong))[:WRONG]]))
         rate = 0.025 * (1 - turn / passes) + 0.001
         for at in range(0, len(order), 128):
@@ -265,7 +264,8 @@ def _value(kind: str, rng: np.random.Generator, form: int) -> str:
     if kind == "ip":
         return [".", ".", "[.]", " . ", "(.)", "[dot]", " dot ", "."][form].join(str(n) for n in rng.integers(1, 256, 4)) + (f":{digits(4)}" if form == 7 else "")
     if kind == "card":
-        n = digits(16)
+        n = digits(15)
+        n += next(d for d in "0123456789" if luhn(n + d))
         return [" ", "", "-", ".", " / ", "", "_", "  "][form].join(n[i : i + 4] for i in range(0, 16, 4))
     a, b, c = digits(3), digits(3), digits(4)
     return [f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"00{digits(2)} {a} {b} {c}", f"{a}.{b}.{c}", f"tel:{a}{b}{c}", f"1-{a}-{b}-{c}", f"{a} {b} {c}"][form]
@@ -283,19 +283,13 @@ def _decoy(rng: np.random.Generator) -> str:
     return made[int(rng.integers(0, len(made)))]
 
 
-def labelled_spans(text: str) -> list[tuple[str, int, int]]:
-    """The base spans of a text of the corpus, and numbers of 14 to 19 digits in one piece as cards: a wrong check digit, which
-    the network can't see, mostly means a mistyped number."""
-    found = base_spans(text)
-    return found + [("card", m.start(), m.end()) for m in re.finditer(r"(?<![0-9])[0-9]{14,19}(?![0-9])", text) if not any(s < m.end() and m.start() < e for _, s, e in found)]
-
-
 def labelled_windows(contexts: list[str], examples: int = EXAMPLES, seed: int = 7, forms: tuple[int, ...] = tuple(range(FORMS))) -> tuple[np.ndarray, np.ndarray]:
     """Windows of text and the tag of each character: two fifths are texts of the contexts as they are, mostly about a digit or
-    an @ where they have one, with labelled_spans(); the others have a made-up value or decoy set into them."""
+    an @ where they have one, with their base spans; the others have a made-up value or decoy set into them."""
     rng = np.random.default_rng(seed)
     contexts = [c for c in contexts if len(c) >= 2 * TRAINED] or ["the quick brown fox and the lazy dog walk on by the long old road and back again to their home " * 4]
-    known = [labelled_spans(c) for c in contexts]
+    known = [base_spans(c) for c in contexts]
+    unsure = [[(m.start(), m.end()) for m in re.finditer(r"[0-9]{14,19}", c) if not luhn(m[0])] for c in contexts]
     marks = [[m.start() for m in re.finditer(r"[0-9@]+", c)] for c in contexts]
     busy = [i for i, m in enumerate(marks) if m]
     x, y = np.zeros((examples, TRAINED), np.int64), np.zeros((examples, TRAINED), np.int64)
@@ -305,6 +299,8 @@ def labelled_windows(contexts: list[str], examples: int = EXAMPLES, seed: int =
             text, at = contexts[i], int(rng.integers(0, len(contexts[i]) - TRAINED + 1))
             if marks[i] and rng.random() < 0.7:
                 at = int(np.clip(marks[i][int(rng.integers(len(marks[i])))] - rng.integers(0, TRAINED), 0, len(text) - TRAINED))
+            if any(s < at + TRAINED and at < e for s, e in unsure[i]):
+                at = next((k for k in rng.integers(0, len(text) - TRAINED + 1, 8).tolist() if not any(s < k + TRAINED and k < e for s, e in unsure[i])), at)
             tags = np.zeros(len(text), np.int64)
             for kind, s, e in known[i]:
                 tags[s:e] = KINDS.index(kind) + 1
@@ -345,6 +341,21 @@ def fit_on_sample(docs: DataFrame, contexts: int = 200) -> Tagger:
 # ------------------------------------------------------------------ decoding whole texts
 
 _CORE = re.compile(r"[A-Za-z0-9+(](?:.*[A-Za-z0-9])?", re.S)
+_NUMBERS = re.compile(r"[0-9]+")
+
+
+def plausible(kind: str, value: str) -> bool:
+    """The exact check of what the tagger marks: a card has 14 to 19 digits whose last one checks, an IP address four numbers up
+    to 255 (and a port), a phone 7 to 15 digits, an email words on both sides of an at."""
+    numbers = _NUMBERS.findall(value)
+    digits = "".join(numbers)
+    if kind == "card":
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    if kind == "ip":
+        return 4 <= len(numbers) <= 5 and all(len(n) <= 3 and int(n) <= 255 for n in numbers[:4])
+    if kind == "phone":
+        return 7 <= len(digits) <= 15
+    return re.search(r"[A-Za-z0-9].*(?:@|\bat\b|(?<![A-Za-z])AT(?![A-Za-z])).*[A-Za-z0-9]", value, re.S) is not None
 
 
 def scored(model: Tagger, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -443,11 +454,11 @@ def added_spans(model: Tagger, texts: list[str], base: list[list[tuple[str, int,
             if odds(model, scores, tags, int(s), e) < LEAST_ODDS:
                 continue
             row, s, e = int(group[n]), int(s - starts[n]), int(e - starts[n])
-            found = _CORE.search(texts[row][s:e])
-            if found and LEAST_SPAN <= found.end() - found.start() <= MOST_SPAN:
+            found, kind = _CORE.search(texts[row][s:e]), KINDS[tags[starts[n] + s] - 1]
+            if found and plausible(kind, found[0]):
                 s, e = s + found.start(), s + found.end()
                 if not any(s < y and x < e for _, x, y in base[row]):
-                    out[row].append((KINDS[tags[starts[n] + s] - 1], s, e))
+                    out[row].append((kind, s, e))
     return out
 
 

@@ -151,6 +151,35 @@ def test_private_held_out(tagger):
     assert not any(private_data.added_spans(tagger, plain, [[] for _ in plain]))
 
 
+@pytest.mark.parametrize(("kind", "value", "fits"), [
+    ("card", "4539 / 5787 / 6362 / 1486", True), ("card", "4539 / 5787 / 6362 / 1487", False), ("card", "4539578763621487", False), ("card", "453957876", False), ("ip", "10[.]0[.]0[.]255", True), ("ip", "10 dot 0 dot 0 dot 256", False),
+    ("ip", "1.2.3.4:8080", True), ("ip", "1.2.3", False), ("phone", "555-123-4567", True), ("phone", "555-12", False), ("phone", "1234567890123456", False), ("email", "jane at example dot org", True), ("email", "JANE AT EXAMPLE DOT ORG", True), ("email", "jane example org", False), ("email", "a" * 90 + " [at] " + "b" * 90 + " [dot] com", True),
+])
+def test_private_exact_check(kind, value, fits):
+    assert private_data.plausible(kind, value) == fits
+
+
+def test_private_values_set_into_documents(spark):
+    """Recall by kind and precision on prose of the corpus, with values that the fit never saw; numbers whose last digit doesn't
+    check are set in as well, and nothing but the values may be found."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").filter("length(text) between 400 and 5000")
+    model = private_data.fit_on_sample(docs)
+    rng, texts, truth = np.random.default_rng(12), [], []
+    for i, row in enumerate(docs.orderBy("doc_id").limit(400).collect()):
+        kind, text = private_data.KINDS[i % 4], "".join("e" if c in "0123456789@" else c for c in row.text)
+        at, value = text.find(" ", int(rng.integers(0, len(text) - 100))), private_data._value(private_data.KINDS[i % 4], rng, i // 4 % private_data.FORMS)
+        wrong = "".join(map(str, rng.integers(0, 10, 16)))
+        texts.append(f"{text[:at]} {value} {text[at + 1:]} {wrong if not private_data.luhn(wrong) else 'none'} end")
+        truth.append((kind, at + 1, at + 1 + len(value)))
+    base = [private_data.base_spans(t) for t in texts]
+    more = private_data.added_spans(model, texts, base)
+    found, stray = defaultdict(list), 0
+    for b, m, (kind, s, e) in zip(base, more, truth, strict=True):
+        found[kind].append(any(k == kind and min(e, y) - max(s, x) >= 0.6 * (e - s) for k, x, y in b + m))
+        stray += sum(not (x < e and s < y) for _, x, y in m)
+    assert all(sum(v) >= 0.85 * len(v) for v in found.values()) and stray <= 4
+
+
 def test_private_rows(spark, tagger):
     schema = "doc_id long, text string, _found string, _row string, spans string"
     long = prose(1, 30_000) + " a.b@c.de"
