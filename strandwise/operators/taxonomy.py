@@ -13,22 +13,19 @@ from strandwise.storage import stored
 LEVELS = {"R": 9, "D": 8, "K": 7, "P": 6, "C": 5, "O": 4, "F": 3, "G": 2, "S": 1}
 
 
-def ancestors(taxonomy: DataFrame, rounds: int = 64, levels: int = 6) -> DataFrame:
-    """(taxid, ancestor, depth): each taxon with itself (depth 0) and all above it. A round follows so many levels at once, in
-    one job; a tree deeper than rounds * levels, or with a cycle, is an error."""
+def ancestors(taxonomy: DataFrame, rounds: int = 9) -> DataFrame:
+    """(taxid, ancestor, depth): each taxon with itself (depth 0) and all above it. By doubling: a round puts the ancestors of
+    those that are reached at the full depth so far on top, so a tree of depth d takes about log2(d) rounds of one join. A tree
+    deeper than 2 ** rounds levels, or with a cycle, is an error."""
     nodes = taxonomy.select("taxid", F.col("taxid").alias("ancestor"), F.lit(0).alias("depth"))
-    up = stored(taxonomy.select("taxid", "parent_taxid").join(taxonomy.select(F.col("taxid").alias("parent_taxid")), "parent_taxid", "left_semi").select("taxid", "parent_taxid").distinct())
-    known, path, base = nodes, up.select("taxid", F.col("parent_taxid").alias("a1")), 1
-    for _ in range(rounds):
-        for i in range(2, levels + 1):
-            path = path.join(up.select(F.col("taxid").alias(f"a{i - 1}"), F.col("parent_taxid").alias(f"a{i}")), f"a{i - 1}", "left")
-        steps = path.select("taxid", F.posexplode(F.array(*[f"a{i}" for i in range(1, levels + 1)])).alias("n", "ancestor")).filter("ancestor is not null")
-        found = stored(steps.select("taxid", "ancestor", (F.col("n") + base).alias("depth")).distinct())
-        known, base = known.unionAll(found), base + levels
-        last = found.filter(F.col("depth") == base - 1).select(F.col("taxid").alias("leaf"), F.col("ancestor").alias("taxid"))
-        path = last.join(up, "taxid").select(F.col("leaf").alias("taxid"), F.col("parent_taxid").alias("a1"))
-        if path.isEmpty():
-            return known.groupBy("taxid", "ancestor").agg(F.min("depth").alias("depth"))
+    known = stored(taxonomy.select("taxid", "parent_taxid").join(taxonomy.select(F.col("taxid").alias("parent_taxid")), "parent_taxid", "left_semi").select("taxid", F.col("parent_taxid").alias("ancestor"), F.lit(1).alias("depth")).distinct())
+    reach = 1
+    for _ in range(rounds + 1):
+        ends = known.filter(F.col("depth") == reach).select(F.col("taxid").alias("_leaf"), F.col("ancestor").alias("taxid"))
+        further = stored(ends.join(known, "taxid").select(F.col("_leaf").alias("taxid"), "ancestor", (F.col("depth") + reach).alias("depth")).distinct())
+        if further.isEmpty():
+            return nodes.unionAll(known).groupBy("taxid", "ancestor").agg(F.min("depth").alias("depth"))
+        known, reach = known.unionAll(further), 2 * reach
     raise RuntimeError("ancestors did not settle")
 
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths of the tables stored since the innermost only_kept() began; None outside of any.
+_made: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("made", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir. Where that is unset and everything runs in one process (tests, bench), a new
@@ -35,13 +41,46 @@ def stored(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(key, before)
+    if (made := _made.get()) is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _names(table: DataFrame) -> set[str]:
+    """Names of the stored tables that a table reads."""
+    return {name for f in table.inputFiles() if (name := f.rpartition("/")[0].rpartition("/")[2]).startswith("table-")}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes the files of stored tables that nothing will read again."""
     for table in tables:
         for path in {f.rpartition("/")[0] for f in table.inputFiles()}:
             if "/table-" in path:
-                where = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+                _delete(table.sparkSession, path)
+
+
+@contextlib.contextmanager
+def only_kept(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Within the context, tables are stored as ever; at its end all of them are deleted but those given to the function that it
+    yields. For a step of which only the stored result is read again; a step that fails leaves nothing behind."""
+    outer, own, kept = _made.get(), [], set()
+    token = _made.set(own)
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.update(_names(table))
+        return table
+
+    try:
+        yield keep
+    finally:
+        _made.reset(token)
+        for path in own:
+            if path.rpartition("/")[2] not in kept:
+                _delete(spark, path)
+            elif outer is not None:
+                outer.append(path)

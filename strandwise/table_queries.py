@@ -1064,7 +1064,7 @@ word_taxon AS (SELECT word, arg_max(ancestor, level) AS taxid FROM common JOIN s
 @query(f"WITH RECURSIVE {WORD_TREE} SELECT word, taxid FROM word_taxon")
 def word_taxa(spark, d):
     t = Tables(spark, d)
-    return sketches.word_taxa(_taken_words(t), taxonomy.ancestors(_word_tree(t), levels=2))
+    return sketches.word_taxa(_taken_words(t), taxonomy.ancestors(_word_tree(t)))
 
 
 @query(f"""WITH RECURSIVE {WORD_TREE},
@@ -1079,7 +1079,7 @@ SELECT seq_id, arg_max(ancestor, level) AS taxid, any_value(best.score)::bigint
 def classify_turns(spark, d):
     t = Tables(spark, d)
     turns = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("seq_id"), F.lower("text").alias("seq"))
-    up = stored(taxonomy.ancestors(_word_tree(t), levels=2))
+    up = stored(taxonomy.ancestors(_word_tree(t)))
     return sketches.classify_reads(sketches.words(turns, 1, split=" "), sketches.word_taxa(_taken_words(t), up), up)
 
 
