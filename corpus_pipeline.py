@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strandwise.llm import exact_dups, mixing, near_dups, packing, toxicity
-from strandwise.storage import stored
+from strandwise.storage import discard, only_kept, stored
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +41,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to documents, each one's rows written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages applied to documents, each one's rows written and read again. What a stage stored on its way, and the rows of
+    the stage before it, are deleted as soon as its own rows are written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        with only_kept(spark) as keep:
+            docs = keep(stored(stage(spark, docs, sf_dir)))
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
