@@ -89,11 +89,24 @@ def select_metrics(metrics: DataFrame, spec: list[tuple[str, str, str, str]], on
     return chosen.groupBy(on).pivot("name", list(dict.fromkeys(s[3] for s in spec))).agg(F.first("value", ignorenulls=True))
 
 
+#: Most columns that a pivot makes of values in the data.
+MOST_COLUMNS = 5000
+
+
+def _names(df: DataFrame, column: str) -> list[str]:
+    """The distinct values of a column in order, for columns of a report; over MOST_COLUMNS of them are an error."""
+    found = [r[0] for r in df.filter(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(MOST_COLUMNS + 1).collect()]
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"{column} has over {MOST_COLUMNS} values, more than a report has columns")
+    return found
+
+
 def general_stats(metrics: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
-    """Wide table of (sample, namespace, title, value) with 'namespace. title (suffix)' as names."""
+    """Wide table of (sample, namespace, title, value) with 'namespace. title (suffix)' as names, MOST_COLUMNS at most."""
     named = metrics.join(suffixes, ["namespace", "title"], "left") if suffixes is not None else metrics.withColumn("suffix", F.lit(None).cast("string"))
     name = F.concat(F.col("namespace"), F.lit(". "), F.col("title"), F.coalesce(F.concat(F.lit(" ("), "suffix", F.lit(")")), F.lit("")))
-    return named.withColumn("_name", name).groupBy("sample").pivot("_name").agg(F.first("value", ignorenulls=True))
+    named = named.withColumn("_name", name)
+    return named.groupBy("sample").pivot("_name", _names(named, "_name")).agg(F.first("value", ignorenulls=True))
 
 
 def group_label(species: Column, segment: Column, cluster: Column) -> Column:
@@ -102,9 +115,10 @@ def group_label(species: Column, segment: Column, cluster: Column) -> Column:
 
 
 def constraint_summary(df: DataFrame, values: list[str]) -> DataFrame:
-    """A row a sample with 'group - variable' columns, grouped, in the order of values. df: sample, idgroup and values."""
+    """A row a sample with 'group - variable' columns, grouped, in the order of values. df: sample, idgroup and values; groups
+    become columns, so there are MOST_COLUMNS of them at most."""
     long = df.select("sample", "idgroup", *[F.col(v).cast("string").alias(v) for v in values]).unpivot(["sample", "idgroup"], values, "variable", "value").dropna().distinct()
-    groups = [r[0] for r in long.select("idgroup").distinct().orderBy("idgroup").collect()]  # columns of the report
+    groups = _names(long, "idgroup")
     named = long.withColumn("_name", F.concat_ws(" - ", "idgroup", "variable"))
     wide = named.groupBy("sample").pivot("_name", [f"{g} - {v}" for g in groups for v in values]).agg(F.min("value"))
     return drop_null_columns(wide)

@@ -448,8 +448,9 @@ def consensus_seq(spark, d):
 
 def _first_letters(t):
     """(ref, pos, base): each place's letter in the first document that has the place. Id and code point pack into one number,
-    so that the least is found by hash aggregation; ids over 2**42 don't fit."""
-    letters = _letters(t).select("ref", "pos", (F.col("doc_id") * (1 << 21) + F.ascii("kind")).alias("packed"))
+    so that the least is found by hash aggregation; ids from 0 to 2**42 fit, others are an error."""
+    packed = F.when(F.col("doc_id").between(0, (1 << 42) - 1), F.col("doc_id") * (1 << 21) + F.ascii("kind")).otherwise(F.raise_error(F.lit("doc_id doesn't fit in 42 bits")).cast("long"))
+    letters = _letters(t).select("ref", "pos", packed.alias("packed"))
     least = letters.groupBy("ref", "pos").agg(F.min("packed").alias("packed"))
     code = F.lpad(F.hex(F.pmod("packed", F.lit(1 << 21))), 8, "0")
     return least.select("ref", "pos", F.decode(F.unhex(code), "UTF-32").alias("base"))
