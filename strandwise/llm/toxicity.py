@@ -45,10 +45,19 @@ def features(data: np.ndarray) -> np.ndarray:
 
 @dataclass
 class SeverityModel:
-    """P(grade > k) = 1 / (1 + exp(cuts[k] - weights . x)), with one weight a feature for all cuts; x: log(1 + count)."""
+    """P(grade > k) = 1 / (1 + exp(cuts[k] - weights . x)), with one weight a feature for all cuts; x: log(1 + count).
+
+    The fit weighs toxic texts LEAN of 1, however rare they are, so these chances lean to toxic, which is what the decision
+    at 0.5 wants. shift is the log-odds between that weight and the labelled share of toxic texts: with it they are chances
+    at that share, so that a text without any telling feature has about the chance that the labels have, not more."""
 
     weights: np.ndarray
     cuts: np.ndarray
+    shift: float = 0.0
+
+    def likely(self, leaning: np.ndarray) -> np.ndarray:
+        """Chances at the labelled share from chances() of the leaning fit."""
+        return leaning / (leaning + (1 - leaning) * np.exp(self.shift))
 
     def chances(self, found: np.ndarray) -> np.ndarray:
         hit = found[self.weights[found] != 0]
@@ -118,9 +127,9 @@ def _trained(grade: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.n
     return w, cuts
 
 
-def _model(seen: np.ndarray, fold: np.ndarray, toxic: np.ndarray, hits, rounds: int) -> SeverityModel:
+def _model(seen: np.ndarray, fold: np.ndarray, toxic: np.ndarray, hits, rounds: int, share: float) -> SeverityModel:
     """seen: (2 folds, 2 classes, FEATURES) texts with each feature. hits: from chosen features to (row, feature, count) of all
-    texts. Without a toxic or without another text the model calls nothing toxic."""
+    texts. share: of all labelled texts, those that are toxic. Without a toxic or without another text the model calls nothing toxic."""
     n = np.array([[((fold == f) & (toxic == c)).sum() for c in (0, 1)] for f in (0, 1)], float)
     chosen, prior = _chosen(seen.sum(0), n.sum(0))
     if not len(chosen):
@@ -134,7 +143,8 @@ def _model(seen: np.ndarray, fold: np.ndarray, toxic: np.ndarray, hits, rounds:
     w, cuts = _trained(grade, row[own], place[feature[own]], np.log1p(count[own]), prior, rounds)
     weights = np.zeros(FEATURES, np.float32)
     weights[chosen] = w
-    return SeverityModel(weights, cuts)
+    share = min(max(share, 1e-6), 1 - 1e-6)
+    return SeverityModel(weights, cuts, float(np.log(LEAN / (1 - LEAN)) - np.log(share / (1 - share))))
 
 
 def fit(texts: list[str], toxic: list[int], rounds: int = 150) -> SeverityModel:
@@ -156,7 +166,7 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 150) -> SeverityModel:
         keep = np.isin(feature, wanted)
         return row[keep], feature[keep], count[keep]
 
-    return _model(seen, fold, label, hits, rounds)
+    return _model(seen, fold, label, hits, rounds, float(np.mean(toxic)) if len(toxic) else 0.0)
 
 
 def sample_of_labels(labels: DataFrame, column: str, rows_a_class: int) -> DataFrame:
@@ -230,27 +240,31 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, rows_a_class: int = ROWS_A
         row = np.array([place[k] for k in zip(got["_id"], got["toxic"], strict=True)], np.int64)
         return row, got["feature"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
 
-    return _model(seen.reshape(2, 2, FEATURES), *(texts[c].to_numpy(np.int64) for c in ("fold", "toxic")), hits, rounds)
+    share = labels.filter(F.col("toxic").isin(0, 1)).agg(F.avg("toxic")).first()[0] or 0.0
+    return _model(seen.reshape(2, 2, FEATURES), *(texts[c].to_numpy(np.int64) for c in ("fold", "toxic")), hits, rounds, share)
 
 
 def score_severity(docs: DataFrame, model: SeverityModel) -> DataFrame:
     """docs with toxic_chance, severity (expected grade, 0 to GRADES) and toxic added; columns of these names are replaced.
 
-    Null and empty texts have no features and are not toxic; a chance of just 0.5 is toxic; rows that repeat a text get
+    Chance and severity are those at the labelled share of toxic texts (SeverityModel); toxic is decided on the leaning chance,
+    where just 0.5 is toxic, so that a text may be called toxic at a chance below one half. Null and empty texts have no
+    features and are not toxic; rows that repeat a text get
     one and the same score. Texts are read whole, each alone. The model (1 MB) is broadcast; nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("chance double, severity double")
+    @F.arrow_udf("chance double, severity double, toxic boolean")
     def run(text: pa.Array) -> pa.Array:
         data, offsets = text_buffers(text)
         rows = [shared.value.chances(features(data[s:e])) for _, s, e in pieces(offsets)]
         table = np.array(rows).reshape(len(rows), GRADES)
-        return pa.StructArray.from_arrays([pa.array(table[:, 0]), pa.array(table.sum(1))], ["chance", "severity"])
+        likely = shared.value.likely(table)
+        return pa.StructArray.from_arrays([pa.array(likely[:, 0]), pa.array(likely.sum(1)), pa.array(table[:, 0] >= 0.5)], ["chance", "severity", "toxic"])
 
     names = [c for c in docs.columns if c not in ("toxic_chance", "severity", "toxic")]
     scored = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), run(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_scored"))
-    return scored.select("_row.*", F.col("_scored.chance").alias("toxic_chance"), F.col("_scored.severity").alias("severity"), (F.col("_scored.chance") >= 0.5).alias("toxic"))
+    return scored.select("_row.*", F.col("_scored.chance").alias("toxic_chance"), F.col("_scored.severity").alias("severity"), F.col("_scored.toxic").alias("toxic"))
 
 
 def without_toxic(docs: DataFrame, model: SeverityModel) -> DataFrame:

@@ -300,6 +300,21 @@ def test_fits_on_odd_labels(spark):
     assert docs.select(quality.held_out(F.col("doc_id")).alias("x")).filter("x is null").count() == 0
 
 
+def test_severity_is_calibrated(spark):
+    """A text without telling words has about the labelled share of toxic texts as its chance, and the decision doesn't change."""
+    rng = np.random.default_rng(31)
+    toxic = [int(i % 10 == 0) for i in range(600)]
+    texts = [prose(9000 + i, 40) + (f" {rng.choice(['wretch', 'villain', 'scoundrel'])}" if t and rng.random() < 0.9 else "") for i, t in enumerate(toxic)]
+    model = toxicity.fit(texts, toxic)
+    scored = toxicity.score_severity(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    plain = [r.toxic_chance for r in scored if not r.toxic]
+    assert len(plain) > 500 and np.median(plain) < 0.1 and max(plain) < 0.5
+    assert abs(np.mean([r.toxic_chance for r in scored]) - 0.1) < 0.05
+    for r in scored[:50]:
+        leaning = model.chances(toxicity.features(np.frombuffer(r.text.encode(), np.uint8)))
+        assert r.toxic == bool(leaning[0] >= 0.5) and np.isclose(r.severity, model.likely(leaning).sum()) and 0 <= r.severity <= toxicity.GRADES
+
+
 def test_severity_against_a_plain_sum():
     model = toxicity.fit([prose(i, 40) for i in range(60)] + [prose(i, 40) + " wretch villain wretch" for i in range(60, 90)], [0] * 60 + [1] * 30)
     text = "Wretch, villain wretch and alpha"
