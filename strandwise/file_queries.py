@@ -72,10 +72,10 @@ def table_files(spark, d):
     return read.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name", F.col("r_regionkey").cast("int").alias("r_regionkey"), "r_name")
 
 
-@query("SELECT p_brand AS sample, p_size::bigint AS cluster, p_name AS centroid, length(p_name)::bigint AS size FROM part")
+@query("SELECT p_brand AS sample, (p_size // 10)::bigint AS cluster, p_name AS centroid, length(p_name)::bigint AS size FROM part")
 def cluster_json_files(spark, d):
     path = _folder(spark)
-    own = Tables(spark, d).part.select(F.col("p_brand").alias("sample"), F.col("p_size").alias("cluster"), F.col("p_name").alias("centroid"), F.length("p_name").alias("size"))
+    own = Tables(spark, d).part.select(F.col("p_brand").alias("sample"), F.floor(F.col("p_size") / 10).alias("cluster"), F.col("p_name").alias("centroid"), F.length("p_name").alias("size"))
     writers.write_cluster_json(own, path, by=["sample", "cluster"])
     return spark.read.json(path).select("sample", F.col("cluster").cast("long").alias("cluster"), "centroid", "size")
 
