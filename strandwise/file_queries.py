@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwise.operators import clusters, report, taxonomy, variants
+from strandwise.operators import clusters, intervals, report, taxonomy, variants
 from strandwise.sources import readers, writers
 from strandwise.storage import shared_folder
 from strandwise.table_queries import TREE, Tables, _tree, query
@@ -204,8 +204,6 @@ def sam_files(spark, d):
 @query("SELECT l_partkey::varchar AS chrom, day(l_shipdate)::bigint - 1 AS start, day(l_shipdate)::bigint AS \"end\" FROM lineitem GROUP BY l_partkey, day(l_shipdate) HAVING count(*) < 2")
 def low_depth_files(spark, d):
     """Positions of less than two reads in mpileup rows, as intervals."""
-    from strandwise.operators import intervals
-
     depth = Tables(spark, d).lineitem.groupBy("l_partkey", F.dayofmonth("l_shipdate").alias("pos")).agg(F.count("*").alias("n"))
     path = _written(depth.select("l_partkey", "pos", _tabs("l_partkey", "pos", F.lit("A"), "n", F.lit(".,"), F.lit("II")).alias("value")), ["l_partkey"], ["pos"])
     return intervals.low_depth(readers.read_mpileup(spark, path), 2)
