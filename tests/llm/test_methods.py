@@ -132,6 +132,34 @@ def test_private_windows_meet_in_the_middle(tagger):
         assert np.allclose(private_data.emissions(tagger, window)[0, i - at], scores[i], atol=1e-4)
 
 
+def test_private_network_without_exponentials(tagger, monkeypatch):
+    """Texts go through the network that was trained, and no exponential is taken for a gate of a character."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, private_data.CLASSES, (30, 70))
+    e = tagger.embed[x.T]
+    sides = [private_data._lstm(e[::k], w)[0][::k] for k, w in zip((1, -1), tagger.lstm, strict=True)]
+    trained = (np.concatenate(sides, 2) @ tagger.out[:-1] + tagger.out[-1]).transpose(1, 0, 2)
+    counted = []
+    for name in ("exp", "tanh"):
+        monkeypatch.setattr(np, name, lambda *a, real=getattr(np, name), **k: counted.append(a) or real(*a, **k))
+    assert np.allclose(private_data.emissions(tagger, x), trained, atol=1e-4) and not counted
+
+
+def test_private_gradients():
+    """The gradients of a direction of the network are those that small steps of its weights show, where no gate is shut."""
+    rng = np.random.default_rng(4)
+    x, w = rng.normal(0, 1, (9, 5, private_data.EMBEDDED)), rng.normal(0, 0.15, (private_data.EMBEDDED + private_data.HIDDEN + 1, 4 * private_data.HIDDEN))
+    toward = rng.normal(0, 1, (9, 5, private_data.HIDDEN))
+    loss = lambda x, w: (private_data._lstm(x, w)[0] * toward).sum()
+    dw, dx = private_data._lstm_back(x, w, private_data._lstm(x, w)[1], toward)
+    for given, whole, at in ((w, dw, 0), (x, dx, 1)):
+        for _ in range(20):
+            place, step = tuple(int(rng.integers(n)) for n in given.shape), np.zeros_like(given)
+            step[place] = 1e-5
+            up, down = (loss(*((x, w + k * step) if at == 0 else (x + k * step, w))) for k in (1, -1))
+            assert abs((up - down) / 2e-5 - whole[place]) < 1e-3 * max(1, abs(whole[place]))
+
+
 def test_private_held_out(tagger):
     """Values, a third in a form that the fit never saw, in texts that it never saw."""
     rng, found, right, made = np.random.default_rng(3), 0, 0, 0
