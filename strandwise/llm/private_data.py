@@ -72,7 +72,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 @dataclass
 class Tagger:
-    """Embeddings, LSTM weights of both directions (gates i, f, o, g), emissions and transitions."""
+    """Embeddings, LSTM weights of both directions (gates f, o, g; a cell takes in what it forgets: i = 1 - f), emissions and transitions."""
 
     embed: np.ndarray
     lstm: list[np.ndarray]
@@ -103,24 +103,24 @@ def _bent(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _lstm(x: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, list]:
-    """x: (steps, batch, EMBEDDED); w: (EMBEDDED + HIDDEN + 1, 4 * HIDDEN). As 1 / (1 + exp(-x)) is (1 + tanh(x / 2)) / 2, so
+    """x: (steps, batch, EMBEDDED); w: (EMBEDDED + HIDDEN + 1, 3 * HIDDEN). As 1 / (1 + exp(-x)) is (1 + tanh(x / 2)) / 2, so
     the gates are with the cubic."""
     steps, n, _ = x.shape
     h = c = np.zeros((n, HIDDEN), x.dtype)
     out, kept = np.empty((steps, n, HIDDEN), x.dtype), []
     from_x = x.reshape(-1, EMBEDDED) @ w[:EMBEDDED] + w[-1]
-    from_x = from_x.reshape(steps, n, 4 * HIDDEN)
-    scale = np.where(np.arange(4 * HIDDEN) < 3 * HIDDEN, 0.5, 1).astype(x.dtype)
+    from_x = from_x.reshape(steps, n, 3 * HIDDEN)
+    scale = np.where(np.arange(3 * HIDDEN) < 2 * HIDDEN, 0.5, 1).astype(x.dtype)
     for t in range(steps):
         z, slope = _bent((from_x[t] + h @ w[EMBEDDED:-1]) * scale)
-        gates, g = 0.5 + 0.5 * z[:, : 3 * HIDDEN], z[:, 3 * HIDDEN :]
-        i, f, o = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
+        gates, g = 0.5 + 0.5 * z[:, : 2 * HIDDEN], z[:, 2 * HIDDEN :]
+        f, o = gates[:, :HIDDEN], gates[:, HIDDEN:]
         before = (h, c)
-        c = f * c + i * g
+        c = f * c + (1 - f) * g
         tc, slope_c = _bent(c)
         h = o * tc
         out[t] = h
-        kept.append((before, i, f, o, g, tc, slope * scale**2, slope_c))
+        kept.append((before, f, o, g, tc, slope * scale**2, slope_c))
     return out, kept
 
 
@@ -128,10 +128,10 @@ def _lstm_back(x, w, kept, dout):
     dw, dx = np.zeros_like(w), np.zeros_like(x)
     dh = dc = np.zeros_like(dout[0])
     for t in range(len(x) - 1, -1, -1):
-        (h0, c0), i, f, o, g, tc, slope, slope_c = kept[t]
+        (h0, c0), f, o, g, tc, slope, slope_c = kept[t]
         dh = dh + dout[t]
         dc = dc + dh * o * slope_c
-        dz = np.concatenate([dc * g, dc * c0, dh * tc, dc * i], 1) * slope
+        dz = np.concatenate([dc * (c0 - g), dh * tc, dc * (1 - f)], 1) * slope
         dw[:EMBEDDED] += x[t].T @ dz
         dw[EMBEDDED:-1] += h0.T @ dz
         dw[-1] += dz.sum(0)
@@ -145,29 +145,27 @@ EDGE, LEAD = 4 ** (-1 / 3), 0.75 * 4 ** (1 / 3)
 SCALE = EDGE * 2 / 3
 
 
-def _passed(codes: np.ndarray, embed: np.ndarray, w: np.ndarray, last: np.ndarray, out: np.ndarray) -> None:
-    """Adds to out (steps, TAGS, windows) what one direction gives to each tag. codes: (steps, windows); embed: values of each
-    class; w: weights of hidden values, character's values and 1, times SCALE (half of it for the gates); last: the tags'. Cells
-    and hidden values are half of their value, so w and last have twice the weights of hidden values."""
+def _passed(codes: np.ndarray, inputs: np.ndarray, w: np.ndarray, last: np.ndarray, out: np.ndarray) -> None:
+    """Adds to out (steps, TAGS, windows) what one direction gives to each tag. codes: (steps, windows); inputs: values of each
+    class; w: weights of hidden values and inputs, times SCALE (half of it for the gates); last: the tags'. Cells and hidden
+    values are half of their value, so w and last have twice the weights of hidden values."""
     steps, n = codes.shape
-    ins, z, square = np.zeros((HIDDEN + EMBEDDED + 1, n), np.float32), np.empty((4 * HIDDEN, n), np.float32), np.empty((4 * HIDDEN, n), np.float32)
-    ins[-1] = 1
-    h, e, gates = ins[:HIDDEN], ins[HIDDEN:-1], z[: 3 * HIDDEN]
-    i, f, o, g = (z[k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
+    ins, z, square = np.zeros((HIDDEN + len(inputs), n), np.float32), np.empty((3 * HIDDEN, n), np.float32), np.empty((3 * HIDDEN, n), np.float32)
+    h, e, gates = ins[:HIDDEN], ins[HIDDEN:], z[: 2 * HIDDEN]
+    f, o, g = (z[k * HIDDEN : (k + 1) * HIDDEN] for k in range(3))
     c, now, scores = np.zeros((HIDDEN, n), np.float32), np.empty((HIDDEN, n), np.float32), np.empty((TAGS, n), np.float32)
     for t in range(steps):
-        np.take(embed, codes[t], axis=1, out=e, mode="clip")
+        np.take(inputs, codes[t], axis=1, out=e, mode="clip")
         np.matmul(w, ins, out=z)
         np.clip(z, -EDGE, EDGE, out=z)
         np.multiply(z, z, out=square)
         np.subtract(LEAD, square, out=square)
         z *= square
         gates += 0.5
-        g *= i
+        c -= g
         c *= f
         c += g
-        np.multiply(c, 2 * SCALE, out=now)
-        np.clip(now, -EDGE, EDGE, out=now)
+        np.multiply(c, 2 * SCALE, out=now)  # a mean of values in the cubic's reach, so within EDGE
         np.multiply(now, now, out=g)
         np.subtract(LEAD, g, out=g)
         now *= g
@@ -176,15 +174,17 @@ def _passed(codes: np.ndarray, embed: np.ndarray, w: np.ndarray, last: np.ndarra
 
 
 def emissions(model: Tagger, x: np.ndarray) -> np.ndarray:
-    """Scores (windows, steps, TAGS) of windows of character classes (windows, steps)."""
-    codes, embed = np.ascontiguousarray(x.T), model.embed.T.copy()
+    """Scores (windows, steps, TAGS) of windows of character classes (windows, steps). Class 0 shuts the gates, so scores don't
+    depend on how many of it follow a text."""
+    codes = np.ascontiguousarray(x.T)
+    inputs = np.concatenate([model.embed.T, np.ones((1, CLASSES), np.float32), np.arange(CLASSES)[None] == 0]).astype(np.float32)
     out = np.empty((x.shape[1], TAGS, len(x)), np.float32)
     out[:] = model.out[-1][:, None]
-    scale = np.where(np.arange(4 * HIDDEN) < 3 * HIDDEN, SCALE / 2, SCALE)
+    scale, shut = np.repeat([SCALE / 2, SCALE / 2, SCALE], HIDDEN), np.repeat([1e4, -1e4, 0], HIDDEN)
     for k, w in enumerate(model.lstm):
-        w = (np.concatenate([2 * w[EMBEDDED:-1], w[:EMBEDDED], w[-1:]]) * scale).astype(np.float32)
+        w = (np.concatenate([2 * w[EMBEDDED:-1], w[:EMBEDDED], w[-1:], shut[None]]) * scale).astype(np.float32)
         last, back = 2 * model.out[k * HIDDEN : (k + 1) * HIDDEN].T, -1 if k else 1
-        _passed(codes[::back], embed, w.T.copy(), last.copy(), out[::back])
+        _passed(codes[::back], inputs, w.T.copy(), last.copy(), out[::back])
     return out.transpose(2, 0, 1)
 
 
@@ -230,9 +230,9 @@ def fit(x: np.ndarray, gold: np.ndarray, passes: int = PASSES, seed: int = 3) ->
     from the third one on as many as WRONG of those that the model so far tags wrongly, so that it meets the rare hard ones."""
     rng = np.random.default_rng(seed)
     init = lambda *s: rng.normal(0, 0.25, s).astype(np.float32)
-    params = [init(CLASSES, EMBEDDED), init(EMBEDDED + HIDDEN + 1, 4 * HIDDEN), init(EMBEDDED + HIDDEN + 1, 4 * HIDDEN), init(2 * HIDDEN + 1, TAGS), np.zeros((TAGS, TAGS), np.float32)]
+    params = [init(CLASSES, EMBEDDED), init(EMBEDDED + HIDDEN + 1, 3 * HIDDEN), init(EMBEDDED + HIDDEN + 1, 3 * HIDDEN), init(2 * HIDDEN + 1, TAGS), np.zeros((TAGS, TAGS), np.float32)]
     for w in params[1:3]:
-        w[-1, HIDDEN : 2 * HIDDEN] = 1
+        w[-1, :HIDDEN] = 1
     first, second, steps = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     for turn in range(passes):
         order = rng.permutation(len(x))[:DRAWN]
@@ -393,8 +393,10 @@ def scored(model: Tagger, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         last = max(0, -(-(length - WINDOW) // HOP)) * HOP
         places += [(start + at, min(WINDOW, length - at), margin if at else 0, WINDOW - margin if at < last else min(WINDOW, length - at)) for at in range(0, last + 1, HOP)]
     places.sort(key=lambda place: place[1])
-    for k in range(0, len(places), BATCH):
-        part = places[k : k + BATCH]
+    short = sum(place[1] < WINDOW for place in places)  # in smaller batches, which pad less
+    cuts = [*range(0, short, min(BATCH, max(BATCH // 4, short // 4))), *range(short, len(places), BATCH), len(places)]
+    for k, end in zip(cuts, cuts[1:], strict=False):
+        part = places[k:end]
         x = np.zeros((len(part), part[-1][1]), np.int64)
         for row, (at, size, _, _) in zip(x, part, strict=True):
             row[:size] = codes[at : at + size]
@@ -463,7 +465,7 @@ def added_spans(model: Tagger, texts: list[str], base: list[list[tuple[str, int,
     codes = [char_classes(t) for t in texts]
     lengths = np.array([len(c) for c in codes])
     used = np.flatnonzero(lengths)
-    groups = np.split(used, np.flatnonzero(np.diff(np.cumsum(lengths[used]) // 1_000_000)) + 1) if len(used) else []
+    groups = np.split(used, np.flatnonzero(np.diff(np.cumsum(lengths[used]) // 2_000_000)) + 1) if len(used) else []
     for group in groups:
         joined, size = np.concatenate([codes[n] for n in group]), lengths[group]
         scores = scored(model, joined, size)

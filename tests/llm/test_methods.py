@@ -135,7 +135,7 @@ def test_private_windows_meet_in_the_middle(tagger):
 def test_private_network_without_exponentials(tagger, monkeypatch):
     """Texts go through the network that was trained, and no exponential is taken for a gate of a character."""
     rng = np.random.default_rng(8)
-    x = rng.integers(0, private_data.CLASSES, (30, 70))
+    x = rng.integers(1, private_data.CLASSES, (30, 70))
     e = tagger.embed[x.T]
     sides = [private_data._lstm(e[::k], w)[0][::k] for k, w in zip((1, -1), tagger.lstm, strict=True)]
     trained = (np.concatenate(sides, 2) @ tagger.out[:-1] + tagger.out[-1]).transpose(1, 0, 2)
@@ -145,10 +145,20 @@ def test_private_network_without_exponentials(tagger, monkeypatch):
     assert np.allclose(private_data.emissions(tagger, x), trained, atol=1e-4) and not counted
 
 
+def test_private_scores_without_neighbours(tagger):
+    """A text has the same scores alone and beside longer ones, whose windows pad its own."""
+    texts = ["call 555-123-4567", prose(3, 20), prose(5, 60), "7", prose(6, 400)]
+    codes = [private_data.char_classes(t) for t in texts]
+    together, at = private_data.scored(tagger, np.concatenate(codes), np.array([len(c) for c in codes])), 0
+    for c in codes:
+        assert np.allclose(private_data.scored(tagger, c, np.array([len(c)])), together[at : at + len(c)], atol=1e-4)
+        at += len(c)
+
+
 def test_private_gradients():
     """The gradients of a direction of the network are those that small steps of its weights show, where no gate is shut."""
     rng = np.random.default_rng(4)
-    x, w = rng.normal(0, 1, (9, 5, private_data.EMBEDDED)), rng.normal(0, 0.15, (private_data.EMBEDDED + private_data.HIDDEN + 1, 4 * private_data.HIDDEN))
+    x, w = rng.normal(0, 1, (9, 5, private_data.EMBEDDED)), rng.normal(0, 0.15, (private_data.EMBEDDED + private_data.HIDDEN + 1, 3 * private_data.HIDDEN))
     toward = rng.normal(0, 1, (9, 5, private_data.HIDDEN))
     loss = lambda x, w: (private_data._lstm(x, w)[0] * toward).sum()
     dw, dx = private_data._lstm_back(x, w, private_data._lstm(x, w)[1], toward)
