@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -98,6 +99,16 @@ def labelled(variants: DataFrame, passed: Column, p_value: Column, alpha: float
     return variants.withColumn("filter", filter_label(passed, p_value, alpha))
 
 
+def excess(value: Column, least: float) -> Column:
+    """Aggregate: by how much the sum of the values exceeds as many times least, in units of 2**-60; 0 and more if their mean
+    reaches it. Sums of integers, so neither their order nor how they are split over tasks moves a mean that all but ties
+    with least, as the rounding of a plain mean does. Nulls don't count; digits of a value beyond 2**-60 are cut off."""
+    whole = F.floor(value * (1 << 30))
+    rest = F.floor((value * (1 << 30) - whole) * (1 << 30))
+    least_whole, least_rest = divmod(int(Fraction(least) * (1 << 60)), 1 << 30)
+    return F.sum(whole - least_whole).cast("decimal(20,0)") * (1 << 30) + F.sum(rest - least_rest)
+
+
 def passing(variants: DataFrame, least: float = 0.0, freq: str = "freq", pass_only: bool = True) -> DataFrame:
     """Variants labelled PASS, if only those are asked for, of at least that allele frequency; a null frequency doesn't reach it."""
     kept = variants.filter(F.col("filter") == "PASS") if pass_only else variants

@@ -69,3 +69,19 @@ def test_cluster_sequences_takes_documents(spark, tmp_path):
         brute[i] = max(holds, key=lambda j: len(texts[j]), default=i)
     assert {r.seq_id: r.centroid for r in table_queries.QUERIES["cluster_sequences"](spark, str(tmp_path)).collect()} == brute
     assert sum(i != c for i, c in brute.items()) == 10
+
+
+def test_passing_variants_at_the_least_mean(spark, tmp_path):
+    """Discounts of mean 0.05 in decimals; as doubles they are a little less, whatever tasks their sum is split over."""
+    rows = [(1, i * 7 % 11 / 100, "N", "O") for i in range(605)] + [(2, 0.05, "N", "O"), (3, 0.049, "N", "O"), (3, 0.052, "N", "O"), (4, None, "N", "O")]
+    table, got = spark.createDataFrame(rows, "l_suppkey long, l_discount double, l_returnflag string, l_linestatus string"), {}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        for n in (1, 2, 16, 24):
+            table.repartition(n).write.parquet(f"{tmp_path}/{n}/lineitem.parquet")
+            got[n] = sorted(r.l_suppkey for r in table_queries.QUERIES["passing_variants"](spark, f"{tmp_path}/{n}").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == dict.fromkeys(got, [2, 3])
