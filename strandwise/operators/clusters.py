@@ -88,18 +88,19 @@ def split_by_quality(contigs: DataFrame, min_length: int, max_n: float) -> tuple
 
 def assembly_stats(contigs: DataFrame, key: str = "sample", length: str = "length", gc: str | None = None, n: str | None = None) -> DataFrame:
     """(key, contigs, total, largest, n50, l50[, gc, n_per_100k]): n50 is the length at which the sorted running total
-    reaches half; lengths are counted first, so a key's window has a row a length."""
+    reaches half; lengths are counted first, so a key's window has a row a length. A key of empty contigs only reaches it at
+    its first; one without letters has no shares."""
     counted = contigs.groupBy(key, length).agg(F.count("*").alias("k"))
     w = Window.partitionBy(key).orderBy(F.desc(length))
     run = counted.withColumn("sum", F.sum(F.col(length) * F.col("k")).over(w)).withColumn("cum", F.sum("k").over(w)).withColumn("total", F.sum(F.col(length) * F.col("k")).over(Window.partitionBy(key)))
     # within one length the half is reached at its ceil((half - sum before) / length)-th contig
     half = F.col("total") / 2
     before = F.col("sum") - F.col(length) * F.col("k")
-    place = F.col("cum") - F.col("k") + F.greatest(F.lit(1), F.ceil((half - before) / F.col(length)))
+    place = F.col("cum") - F.col("k") + F.greatest(F.lit(1), F.ceil(F.try_divide(half - before, F.col(length))))
     reached = F.col("sum") >= half
     out = run.groupBy(key).agg(F.sum("k").alias("contigs"), F.max("total").alias("total"), F.max(length).alias("largest"), F.max(F.when(reached, F.col(length))).alias("n50"), F.min(F.when(reached, place)).cast("long").alias("l50"))
     if gc and n:
-        more = contigs.groupBy(key).agg((100 * F.sum(gc) / F.sum(length)).alias("gc"), (1e5 * F.sum(n) / F.sum(length)).alias("n_per_100k"))
+        more = contigs.groupBy(key).agg(F.try_divide(100 * F.sum(gc), F.sum(length)).alias("gc"), F.try_divide(1e5 * F.sum(n), F.sum(length)).alias("n_per_100k"))
         out = out.join(more, key)
     return out
 

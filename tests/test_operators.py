@@ -173,3 +173,11 @@ def test_files(spark, tmp_path):
     calls = spark.createDataFrame([("c", 2, "A", "G", "PASS", 3), ("c", 1, "T", "G", "PASS", 4)], "chrom string, pos int, ref string, alt string, filter string, dp int")
     writers.write_vcf(calls, str(tmp_path / "v"), writers.vcf_header([("c", 9)], "s"), F.concat(F.lit("DP="), "dp"), ["dp"])
     assert rows(readers.read_vcf(spark, str(tmp_path / "v")), "pos", "alt") == [(1, "G"), (2, "G")]
+
+
+def test_assembly_stats_of_empty_contigs(spark):
+    df = spark.createDataFrame([("a", 4, 2), ("a", 0, 0), ("a", None, 0), ("b", 0, 0), ("b", 0, 0), ("c", None, None)], "sample string, length long, gc long")
+    names = ["sample", "contigs", "total", "largest", "n50", "l50"]
+    assert rows(clusters.assembly_stats(df), *names) == [("a", 3, 4, 4, 4, 1), ("b", 2, 0, 0, 0, 1), ("c", 1, None, None, None, None)]
+    shares = clusters.assembly_stats(df, gc="gc", n="gc").collect()
+    assert {(r["sample"], r["gc"], r["n_per_100k"]) for r in shares} == {("a", 50.0, 5e4), ("b", None, None), ("c", None, None)}
