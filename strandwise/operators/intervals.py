@@ -13,11 +13,16 @@ BIN = 1 << 14
 
 def merge_intervals(df: DataFrame, keys: list[str], gap: int = 0) -> DataFrame:
     """Overlapping or touching (up to gap apart) intervals as one, with n: how many went in. A key's intervals are scanned by
-    ranges, so a key of any number of them is no single task's work."""
-    order = ["start", "end"]
-    far = running(dealt(df.select(*keys, *order), keys, order), keys, order, {"_far": ("max", F.col("end"))}, before=True)
-    marked = far.withColumn("_new", F.when(F.col("_far").isNull() | (F.col("start") > F.col("_far") + gap), 1).otherwise(0))
-    return running(marked, keys, order, {"_g": ("sum", F.col("_new"))}).groupBy(*keys, "_g").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("_g")
+    ranges, so a key of any number of them is no single task's work. Equal intervals are counted first, so no order among them
+    is left open. An interval without a start goes with its key's last, one without an end stands after those of its start."""
+    order = ["_no_start", "start", "_no_end", "end"]
+    # those that end before they start, by more than gap, don't reach their own copies, and stay rows of their own
+    apart = F.when(F.col("start") > F.col("end") + gap, F.monotonically_increasing_id())
+    counted = df.select(*keys, "start", "end").withColumn("_apart", apart).groupBy(*keys, "start", "end", "_apart").agg(F.count("*").alias("_copies")).drop("_apart")
+    placed = counted.withColumns({"_no_start": F.col("start").isNull(), "_no_end": F.col("end").isNull()})
+    far = running(dealt(placed, keys, order), keys, order, {"_far": ("max", F.col("end"))}, before=True)
+    marked = far.withColumn("_new", F.when(F.col("start") > F.col("_far") + gap, 1).otherwise(0))
+    return running(marked, keys, order, {"_g": ("sum", F.col("_new"))}).groupBy(*keys, "_g").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("_copies").alias("n")).drop("_g")
 
 
 def runs(df: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:

@@ -181,3 +181,10 @@ def test_assembly_stats_of_empty_contigs(spark):
     assert rows(clusters.assembly_stats(df), *names) == [("a", 3, 4, 4, 4, 1), ("b", 2, 0, 0, 0, 1), ("c", 1, None, None, None, None)]
     shares = clusters.assembly_stats(df, gc="gc", n="gc").collect()
     assert {(r["sample"], r["gc"], r["n_per_100k"]) for r in shares} == {("a", 50.0, 5e4), ("b", None, None), ("c", None, None)}
+
+
+def test_merge_intervals_of_odd_places(spark):
+    """As the query's SQL on one thread: no start goes with the last interval, copies count once, reversed ones stand apart."""
+    df = spark.createDataFrame([("a", 1, 4), ("a", None, None), ("a", None, None), ("a", 9, 11), ("a", 9, 11), ("a", 2, 3), ("b", None, None), ("c", 5, 2), ("c", 5, 2), ("d", 3, None), ("d", 3, 5), ("d", 6, 7)], "chrom string, start long, end long")
+    got = {(r.chrom, r.start, r.end, r.n) for r in intervals.merge_intervals(df, ["chrom"]).collect()}
+    assert got == {("a", 1, 4, 2), ("a", 9, 11, 4), ("b", None, None, 1), ("c", 5, 2, 1), ("d", 3, 5, 2), ("d", 6, 7, 1)}
