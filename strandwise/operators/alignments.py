@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandwise.operators.intervals import sequence
+from strandwise.operators.intervals import PIECE, bases, pieces, sequence
+from strandwise.operators.scan import dealt, running
+from strandwise.storage import stored
 
 #: Flag bits, coverage steps, and IUPAC codes by the set of bases A 1, C 2, G 4, T 8.
 FLAGS = {"paired": 1, "proper_pair": 2, "unmapped": 4, "mate_unmapped": 8, "reverse": 16, "read1": 64, "read2": 128, "secondary": 256, "qc_fail": 512, "duplicate": 1024, "supplementary": 2048}
@@ -236,16 +240,57 @@ def contig_consensus(piled: DataFrame, keys: list[str], min_depth: int = 1, inse
     return sequence(piled.withColumn("base", F.concat(consensus_base(min_depth), mark)), keys)
 
 
+def first_letters(reads: DataFrame) -> DataFrame:
+    """(key, seq) of reads (key, read, seq): at each place the letter of the least read that is long enough. A read gives what
+    it is longer than all before it, so a key's reads are scanned by ranges as lengths, and few texts are read."""
+    sized = reads.filter("read is not null and seq <> ''").select("key", "read", "seq", F.length("seq").cast("long").alias("n"))
+    order = ["read", "n"]
+    far = running(dealt(sized.select("key", *order), ["key"], order), ["key"], order, {"_far": ("max", F.col("n"))}, before=True)
+    longer = far.withColumn("_far", F.coalesce("_far", F.lit(0))).filter("n > _far").select(F.col("key").alias("_key"), F.col("read").alias("_read"), F.col("n").alias("_n"), F.col("_far").cast("int").alias("_far"))
+    texts = sized.join(longer, F.col("key").eqNullSafe(F.col("_key")) & (F.col("read") == F.col("_read")) & (F.col("n") == F.col("_n")))
+    one = texts.groupBy("key", "read", "n", "_far").agg(F.min("seq").alias("seq"))
+    tails = one.select("key", F.col("_far").alias("pos"), F.substring("seq", F.col("_far") + 1, (F.col("n") - F.col("_far")).cast("int")).alias("base"))
+    return sequence(tails, ["key"])
+
+
+def equal_letters(a: Column, b: Column) -> Column:
+    """Places at which two strings of one length have the same letter."""
+
+    @F.pandas_udf("long")
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        codes = lambda x: np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32)
+        return pd.Series([int(np.count_nonzero(codes(x) == codes(y))) for x, y in zip(a, b)], dtype="int64")
+
+    return run(a, b)
+
+
+def agreeing(reads: DataFrame, current: DataFrame, tenths: int = 1, small: int = 1 << 22) -> DataFrame:
+    """(key, read) of reads (key, read, seq), placed from 1, of whose letters at least so many tenths are those of the key's
+    current sequence (key, seq). Compared by pieces, so letters aren't shuffled; current sequences of more than small letters
+    aren't broadcast either, however little their files and the plan's estimate are."""
+    large = (current.agg(F.sum(F.length("seq").cast("long"))).first()[0] or 0) > small
+    own = pieces(current, "key").withColumnRenamed("piece", "own")
+    both = pieces(reads, "key", "read").join(own.hint("merge") if large else F.broadcast(own), ["key", "block"])
+    n = F.least(F.length("piece"), F.length("own"))
+    cut = both.withColumn("n", n).select("key", "read", "n", equal_letters(F.substring("piece", F.lit(1), n), F.substring("own", F.lit(1), n)).alias("k"))
+    return cut.groupBy("key", "read").agg(F.sum("k").alias("k"), F.sum("n").alias("n")).filter(10 * F.col("k") >= tenths * F.col("n")).select("key", "read")
+
+
+def piled_reads(reads: DataFrame, kept: DataFrame) -> DataFrame:
+    """The pileup of reads (key, read, seq), placed from 1, that are among kept (key, read): places with A, C, G or T."""
+    cut = pieces(reads, "key", "read").join(kept, ["key", "read"], "left_semi")
+    letters = cut.select("key", "block", F.posexplode(F.split("piece", "")).alias("p", "kind")).filter(F.col("kind").isin("A", "C", "G", "T"))
+    return pileup(letters.select("key", (F.col("block").cast("long") * PIECE + F.col("p") + 1).alias("pos"), "kind"), ["key", "pos"])
+
+
 def refine(align, reference: DataFrame, rounds: int = 3, min_depth: int = 10) -> DataFrame:
     """(key, step, seq) of all rounds: align(reference) gives a pileup (key, pos, A ... del) on the current sequences, whose
     consensus is the next reference; N keeps the reference's base. Steps it1, it2, ..."""
-    from strandwise.operators.intervals import bases
-    from strandwise.storage import stored
-
     current, out = stored(reference.select("key", "seq")), None
     for n in range(1, rounds + 1):
         called = align(current).withColumn("base", consensus_base(min_depth)).select("key", "pos", F.when(F.col("base") != "N", F.col("base")).alias("new"))
-        merged = bases(current).join(called, ["key", "pos"], "left").withColumn("base", F.coalesce("new", "base"))
+        # a row a letter, however small its file is: not to be broadcast
+        merged = bases(current).join(called.hint("merge"), ["key", "pos"], "left").withColumn("base", F.coalesce("new", "base"))
         current = stored(sequence(merged, ["key"]))
         step = current.select("key", F.lit(f"it{n}").alias("step"), "seq")
         out = step if out is None else out.unionAll(step)

@@ -9,6 +9,8 @@ from strandwise.operators.scan import dealt, running
 
 #: Width of the bins that turn range joins into equi joins.
 BIN = 1 << 14
+#: Letters of a sequence in one row, where it is cut.
+PIECE = 1 << 12
 
 
 def merge_intervals(df: DataFrame, keys: list[str], gap: int = 0) -> DataFrame:
@@ -57,14 +59,23 @@ def project_positions(blocks: DataFrame, positions: DataFrame) -> DataFrame:
     return found.select("key", "pos", (F.col("query_start") + F.col("pos") - F.col("ref_start")).alias("query_pos"))
 
 
+def pieces(sequences: DataFrame, *keys: str) -> DataFrame:
+    """(keys, block, piece): seq cut every PIECE letters, blocks numbered from 0."""
+    return sequences.select(*keys, F.posexplode(F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))).alias("block", "piece"))
+
+
 def bases(sequences: DataFrame, key: str = "key") -> DataFrame:
     """(key, pos, base) of each position, from 1."""
-    return sequences.select(key, F.posexplode(F.split("seq", "")).alias("p", "base")).filter("base <> ''").select(key, (F.col("p") + 1).cast("long").alias("pos"), "base")
+    letters = pieces(sequences, key).select(key, "block", F.posexplode(F.split("piece", "")).alias("p", "base")).filter("base <> ''")
+    return letters.select(key, (F.col("block").cast("long") * PIECE + F.col("p") + 1).alias("pos"), "base")
 
 
 def sequence(rows: DataFrame, keys: list[str], base: str = "base", pos: str = "pos") -> DataFrame:
-    """(keys, seq): bases joined in order of position. A sequence is one value, so it meets in one row."""
-    return rows.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(pos, base))), lambda s: s[base]), "").alias("seq"))
+    """(keys, seq): bases joined in order of position. A sequence is one value, so it meets in one row, as pieces that are
+    joined before."""
+    joined = lambda at, part: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, part))), lambda s: s[part]), "")
+    parts = rows.groupBy(*keys, F.floor(F.col(pos) / PIECE).alias("_block")).agg(joined(pos, base).alias("_part"))
+    return parts.groupBy(*keys).agg(joined("_block", "_part").alias("seq"))
 
 
 def mask_sequence(sequences: DataFrame, intervals: DataFrame) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
 from strandwise import table_queries
-from strandwise.operators import graph, reads
+from strandwise.operators import alignments, graph, reads
 
 
 def test_trim_reads_takes_long_texts(spark, tmp_path):
@@ -85,3 +86,22 @@ def test_passing_variants_at_the_least_mean(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert got == dict.fromkeys(got, [2, 3])
+
+
+def test_refine_rounds_by_pieces(spark, tmp_path):
+    """Texts over several pieces, two rows of one read, reads and roles without a number; rows of the query's own SQL."""
+    rng = np.random.default_rng(4)
+    base = "".join(rng.choice(list("ACGTn \U0001f600"), 13_000))
+    rows = [(i, 0, "user" if i % 3 else "system", base[: 300 * i + 1] if i % 4 else base[i : 4096 * (i % 3 + 1) + i].lower()) for i in range(44)]
+    rows += [(50, 0, "user", "ACGT" * 3000), (50, 0, "user", base[:9000]), (51, None, "user", base), (52, 1, None, base[:40]), (53, 0, "user", None), (54, 0, "user", "")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r.key, r.step): r.seq for r in table_queries.QUERIES["refine_rounds"](spark, str(tmp_path)).collect()}
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = {(key, step): seq for key, step, seq in duck.execute(table_queries.SQL["refine_rounds"]).fetchall()}
+    assert {k: len(s) for k, s in got.items()} == {k: len(s) for k, s in want.items()} and got == want
+    turns = spark.createDataFrame([("k", i, base[: 100 * i]) for i in range(1, 90)], "key string, read long, seq string")
+    current = spark.createDataFrame(alignments.first_letters(turns).collect(), "key string, seq string")
+    few = alignments.agreeing(turns, current, tenths=10, small=100)
+    assert "Broadcast" not in few._jdf.queryExecution().executedPlan().toString()
+    assert few.count() == alignments.agreeing(turns, current, tenths=10).count() == 89
