@@ -33,9 +33,10 @@ def words(df: DataFrame, k: int, key: str = "seq_id", split: str | None = None,
 
 
 def sketch(of: DataFrame, size: int, key: str = "seq_id") -> DataFrame:
-    """(key, h): the size least hashes of the words of each key."""
-    hashed = of.select(key, portable_hash(F.col("word")).alias("h")).distinct()
-    return hashed.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("h"))).filter(F.col("_n") <= size).drop("_n")
+    """(key, h): the size least hashes of the words of each key. Ranked before equal hashes are made one, so each task cuts its
+    own rows down to so many a key before the shuffle."""
+    hashed = of.select(key, portable_hash(F.col("word")).alias("h"))
+    return hashed.withColumn("_n", F.dense_rank().over(Window.partitionBy(key).orderBy("h"))).filter(F.col("_n") <= size).select(key, "h").distinct()
 
 
 def shared_counts(sketches: DataFrame, key: str = "seq_id") -> DataFrame:
@@ -68,17 +69,20 @@ def block_pairs(classes: DataFrame, k: int, key: str = "seq_id", block: int = 51
     The keys of a hash are dealt into blocks of about block keys, and a row goes to each pair of blocks that its own is part
     of, so a task meets two blocks at a time, whatever share of the keys a hash has. A pair counts only at the least hash that
     it shares, where its sketches are compared whole: it comes once, and its shared hashes are never listed."""
-    posted = classes.select(F.col(key).alias("k"), "sketch", F.explode("sketch").alias("h"))
+    posted = classes.select(F.col(key).alias("k"), F.size("sketch").alias("size"), F.explode("sketch").alias("h"))
     sizes = posted.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    placed = stored(posted.join(sizes.select("h", "blocks"), "h").withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")))
+    common = stored(posted.join(sizes.select("h", "blocks"), "h"))
+    # of a sketch only the hashes that others have too go along
+    parts = common.groupBy("k").agg(F.array_sort(F.collect_list("h")).alias("sketch"))
+    placed = common.join(parts, "k").withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = placed.select("h", "own", "k", "sketch", others)
+    dealt = placed.select("h", "own", "k", "size", "sketch", others)
     # a pair of blocks is one key of the join; within a block both sides hold all of it
     low, high = dealt.filter("own <= other"), dealt.filter("own >= other")
-    left = low.select("h", F.col("own").alias("lo"), F.col("other").alias("hi"), F.col("k").alias("x"), F.col("sketch").alias("sx"))
-    right = high.select("h", F.col("other").alias("lo"), F.col("own").alias("hi"), F.col("k").alias("y"), F.col("sketch").alias("sy"))
+    left = low.select("h", F.col("own").alias("lo"), F.col("other").alias("hi"), F.col("k").alias("x"), F.col("size").alias("nx"), F.col("sketch").alias("sx"))
+    right = high.select("h", F.col("other").alias("lo"), F.col("own").alias("hi"), F.col("k").alias("y"), F.col("size").alias("ny"), F.col("sketch").alias("sy"))
     met = left.join(right, ["h", "lo", "hi"]).filter("(lo < hi or x < y) and x <> y")
-    both = met.select("h", F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"), F.array_intersect("sx", "sy").alias("both"), (F.size("sx") + F.size("sy")).alias("n"))
+    both = met.select("h", F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"), F.array_intersect("sx", "sy").alias("both"), (F.col("nx") + F.col("ny")).alias("n"))
     shared = both.filter(F.array_min("both") == F.col("h")).select("a", "b", F.size("both").cast("long").alias("shared"), "n")
     j = F.col("shared") / (F.col("n") - F.col("shared"))
     return shared.select("a", "b", "shared", j.alias("jaccard")).withColumn("distance", F.greatest(F.lit(0.0), -F.log(2 * F.col("jaccard") / (1 + F.col("jaccard"))) / k))

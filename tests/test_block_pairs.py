@@ -45,3 +45,13 @@ def test_no_task_holds_a_hot_hash(spark):
     blocks = math.ceil(300 / 30)
     own_block = F.pmod(F.xxhash64("seq_id"), F.lit(blocks))
     assert classes.groupBy(own_block).count().agg(F.max("count")).first()[0] < 3 * 30
+
+
+def test_sketches_are_cut_before_the_shuffle(spark):
+    """One exchange, of ranked rows; hashes that come twice count once."""
+    of = spark.createDataFrame([(k, f"w{k * i % 97}") for k in range(1, 6) for i in range(200)], "seq_id long, word string")
+    cut = sketches.sketch(of, 7)
+    assert cut._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    all_of = of.select("seq_id", sketches.portable_hash(F.col("word")).alias("h")).distinct().collect()
+    want = {(k, h) for k in range(1, 6) for h in sorted(r.h for r in all_of if r.seq_id == k)[:7]}
+    assert Counter((r.seq_id, r.h) for r in cut.collect()) == Counter(dict.fromkeys(want, 1))
