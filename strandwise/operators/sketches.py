@@ -137,18 +137,25 @@ def without_host(reads: DataFrame, classified: DataFrame, key: str = "seq_id") -
     return reads.join(classified.select(key).distinct(), key, "left_anti")
 
 
-def cluster_sequences(of: DataFrame, lengths: DataFrame, share: float = 0.85, minima: int = 8, key: str = "seq_id", rounds: int = 100) -> DataFrame:
+def cluster_sequences(of: DataFrame, lengths: DataFrame, share: float = 0.85, minima: int = 8, key: str = "seq_id", rounds: int = 100, block: int = 1024) -> DataFrame:
     """(key, centroid): greedy by length: sequences meet in buckets of their least word hashes, where each is compared with
     the bucket's longest. The longest sequences are centres; one that holds the share of its words in a centre joins the
     longest such, and can't be a centre itself; one whose candidates all joined others is a centre.
     Candidates are as many as sequences and buckets, and every round decides those whose longer candidates are decided."""
-    hashed = of.select(key, portable_hash(F.col("word")).alias("h"))
-    low = hashed.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("h"))).filter(F.col("_n") <= minima).drop("_n").join(lengths, key)
+    low = sketch(of, minima, key).join(lengths, key)
     longest = low.groupBy("h").agg(F.min_by(F.struct(F.col(key).alias("centre"), F.col("length").alias("centre_length")), F.struct(-F.col("length"), key)).alias("c")).select("h", "c.*")
-    pairs = low.join(longest, "h").filter(F.col("centre") != F.col(key)).select(key, "centre", "centre_length").distinct()
-    size = hashed.groupBy(key).agg(F.count("*").alias("n"))
-    both = pairs.join(hashed, key).join(hashed.withColumnRenamed(key, "centre"), ["centre", "h"]).groupBy(key, "centre", "centre_length").agg(F.count("*").alias("shared"))
-    near = stored(both.join(size, key).filter(F.col("shared") >= share * F.col("n")).drop("n"))
+    pairs = stored(low.join(longest, "h").filter(F.col("centre") != F.col(key)).select(key, "centre", "centre_length").distinct())
+    # a set is one row; a centre of many goes to as many tasks as its candidates need
+    parts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / block).cast("int").alias("_parts"))
+    asked = pairs.select(F.col(key).alias("_k")).union(pairs.select("centre")).distinct()
+    few = asked.count() <= 1 << 20
+    hashed = of.select(F.col(key).alias("_k"), portable_hash(F.col("word")).alias("h"))
+    hashed = hashed.join(F.broadcast(asked), "_k", "left_semi") if few else hashed
+    sets = hashed.groupBy("_k").agg(F.collect_set("h").alias("_words"))
+    own = pairs.join(parts, "centre").join(sets.select(F.col("_k").alias(key), F.col("_words").alias("_own")), key).withColumn("_part", F.pmod(F.xxhash64(key), F.col("_parts")).cast("int"))
+    held = sets.join(parts.withColumnRenamed("centre", "_k"), "_k").select(F.col("_k").alias("centre"), "_words", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"))
+    both = own.join(held, ["centre", "_part"]).select(key, "centre", "centre_length", F.size("_own").alias("n"), F.size(F.array_intersect("_own", "_words")).cast("long").alias("shared"))
+    near = stored(both.filter(F.col("shared") >= share * F.col("n")).drop("n"))
     left, member = near, near.limit(0)
     for _ in range(rounds):
         open_keys = left.select(F.col(key).alias("centre")).distinct()

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from strandwise import table_queries
-from strandwise.operators import alignments, graph, reads
+from strandwise.operators import alignments, graph, reads, sketches
 
 
 def test_trim_reads_takes_long_texts(spark, tmp_path):
@@ -105,3 +105,14 @@ def test_refine_rounds_by_pieces(spark, tmp_path):
     few = alignments.agreeing(turns, current, tenths=10, small=100)
     assert "Broadcast" not in few._jdf.queryExecution().executedPlan().toString()
     assert few.count() == alignments.agreeing(turns, current, tenths=10).count() == 89
+
+
+def test_cluster_sequences_of_a_hot_centre(spark):
+    """Many near copies of one sequence go to several tasks, as sets of a row each; words that come twice count once."""
+    base = [f"w{i}" for i in range(100)]
+    own = {0: [*base, "long"]} | {k: [w for i, w in enumerate(base) if i % 90 != k] for k in range(1, 41)} | {90: ["other", "words"]}
+    of = spark.createDataFrame([(k, w) for k, v in own.items() for w in v + v[:3]], "seq_id long, word string")
+    lengths = spark.createDataFrame([(k, len(v)) for k, v in own.items()], "seq_id long, length int")
+    for block in (2, 1024):
+        got = {r.seq_id: r.centroid for r in sketches.cluster_sequences(of, lengths, block=block).collect()}
+        assert got == {k: 90 if k == 90 else 0 for k in own}
