@@ -183,17 +183,23 @@ def greedy_clusters(of: DataFrame, lengths: DataFrame, share: float = 0.85, key:
     the round before, without holders that have joined a centre. So of thousands of near copies each meets the longest, not
     all others. At the end what isn't a centre is compared with centres only, and joins the first.
     """
-    words_of = stored(of.select(F.col(key).alias("k"), F.xxhash64("word").alias("h")).distinct())
-    sets = words_of.groupBy("k").agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.bit_xor(F.xxhash64("h")).alias("y"))
-    sized = stored(lengths.select(F.col(key).alias("k"), "length").join(sets, "k"))
+    sets = stored(of.select(F.col(key).alias("k"), F.xxhash64("word").alias("h")).groupBy("k").agg(F.array_sort(F.collect_set("h")).alias("w")))
+    sized = stored(lengths.select(F.col(key).alias("k"), "length").join(sets, "k").select("k", "length", F.size("w").cast("long").alias("n"), F.xxhash64("w").alias("x"), F.xxhash64(F.lit(1), "w").alias("y")))
     place = F.struct((-F.col("length")).alias("l"), F.col("k"))
     classes = stored(sized.groupBy("n", "x", "y").agg(F.min(place).alias("p")).select("n", "x", "y", F.col("p.k").alias("rep"), F.col("p.l").alias("l")))
-    held = stored(words_of.join(classes.select(F.col("rep").alias("k"), "l", "n"), "k"))
-    ranked = running(dealt(held, ["h"], ["l", "k"]), ["h"], ["l", "k"], {"rank": ("sum", F.lit(1).cast("long"))}).drop("_range")
-    ranked = stored(ranked)
-    rare = ranked.join(ranked.groupBy("h").agg(F.count("*").alias("f")), "h").withColumn("_i", F.row_number().over(Window.partitionBy("k").orderBy("f", "h")))
-    asked = stored(rare.filter(F.col("_i") <= F.col("n") - F.ceil(share * F.col("n")) + 1).filter("rank > 1").select("h", "k", "n", "rank"))
+    words_of = sets.join(classes.select(F.col("rep").alias("k"), "l", "n"), "k").select("k", "l", "n", F.explode("w").alias("h"))
+    # a word of one class only links nothing: it counts in n, and goes no further
+    common = stored(words_of.groupBy("h").agg(F.count("*").alias("f")).filter("f > 1"))
+    held = stored(words_of.join(common, "h"))
+    discard(sets, common)
+    ranges = dealt(held, ["h"], ["l", "k"])
+    ranked = stored(running(ranges, ["h"], ["l", "k"], {"rank": ("sum", F.lit(1).cast("long"))}).drop("_range"))
+    discard(ranges)
+    of_key = Window.partitionBy("k")
+    rare = ranked.withColumn("_i", F.row_number().over(of_key.orderBy("f", "h"))).withColumn("_s", F.count("*").over(of_key))
+    asked = stored(rare.filter(F.col("_i") <= F.col("_s") - F.ceil(share * F.col("n")) + 1).filter("rank > 1").select("h", "k", "n", "rank"))
     arrays = stored(held.groupBy("k").agg(F.collect_list("h").alias("w")))
+    discard(held)
     holders = ranked.select("h", F.col("k").alias("c"), F.col("rank").alias("r"), F.col("n").alias("m"), F.col("l").alias("cl"))
 
     def contained(pairs: DataFrame) -> DataFrame:
@@ -212,7 +218,9 @@ def greedy_clusters(of: DataFrame, lengths: DataFrame, share: float = 0.85, key:
         near = holders.filter(f"r > {below} and r <= {upto}").join(state.filter("not centre").select(F.col("k").alias("c")), "c", "left_anti")
         met = asked.filter(f"rank > {below + 1}").join(undecided, "k", "left_semi").join(near, "h").filter((F.col("r") < F.col("rank")) & (F.col("m") >= share * F.col("n")))
         found = contained(met.select("k", "c", "cl", "n").dropDuplicates(["k", "c"])).select("k", "c")
-        edges = stored(found if edges is None else found.unionAll(edges))
+        before, edges = edges, stored(found if edges is None else found.unionAll(edges))
+        if before is not None:
+            discard(before)
         while True:  # hand decisions along the edges: holders of a sequence come before it, so they are decided before it
             joined = edges.join(state.filter("centre").select(F.col("k").alias("c")), "c", "left_semi").select("k").distinct()
             waits = edges.join(state.filter("not centre").select(F.col("k").alias("c")), "c", "left_anti").select("k").distinct()

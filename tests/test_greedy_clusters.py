@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from strandwise.operators import sketches
+from strandwise.operators import scan, sketches
 
 
 def brute(sets: dict[int, set], length: dict[int, int], share: float) -> dict[int, int]:
@@ -41,3 +41,12 @@ def test_against_sequential(spark, share, first):
 def test_empty(spark):
     got = sketches.greedy_clusters(spark.createDataFrame([], "seq_id long, word string"), spark.createDataFrame([(1, 3)], "seq_id long, length int"))
     assert [tuple(r) for r in got.collect()] == [(1, 1)]
+
+
+def test_words_of_one_sequence_are_not_dealt(spark, monkeypatch):
+    sets, seen = {k: {f"own{k}_{i}" for i in range(50 if k < 8 else 1)} | {f"c{i}" for i in range(9)} for k in range(16)}, []
+    monkeypatch.setattr(sketches, "dealt", lambda rows, *by: seen.append(rows.count()) or scan.dealt(rows, *by))
+    of = spark.createDataFrame([(k, w) for k, v in sets.items() for w in v], "seq_id long, word string")
+    length = {k: len(v) for k, v in sets.items()}
+    got = sketches.greedy_clusters(of, spark.createDataFrame(list(length.items()), "seq_id long, length int")).collect()
+    assert {r.seq_id: r.centroid for r in got} == brute(sets, length, 0.85) and seen == [16 * 9]
